@@ -47,3 +47,33 @@ def first_error(errors: str | Column, ok_text: Column) -> tuple[Column, Column]:
     e = F.col(errors) if isinstance(errors, str) else errors
     ok = F.size(e) == 0
     return ok, F.when(ok, ok_text).otherwise(F.element_at(e, 1))
+
+
+def conform(df: DataFrame, schema, widths: dict[str, int] | None = None,
+            required: Sequence[str] = (), keep: Sequence[str] = (),
+            errors: str = "errors") -> DataFrame:
+    """B5 + R13: cast every column of ``schema`` with the null-safe coercions
+    and list what breaks the declared types: a present value that does not
+    fit (NULL after the cast), text longer than its width, a required value
+    missing. ``keep`` columns pass through unchanged (keys, load order)."""
+    from ledgerline.functions import rules as R
+    from ledgerline.functions.coerce import coerce_field
+
+    src = dict((f.name, f.dataType) for f in df.schema.fields)
+    cols, checks = [], []
+    for f in schema.fields:
+        if f.name in src:
+            raw = F.col(f.name)
+            c = coerce_field(raw, f, src[f.name])
+            checks.append(Rule(f"{f.name}_type",
+                               f"{f.name}: value does not fit {f.dataType.simpleString()}",
+                               R.unparsable(raw, c)))
+        else:
+            c = F.lit(None).cast(f.dataType)
+        cols.append(c.alias(f.name))
+    out = df.select(*[F.col(k) for k in keep], *cols)
+    for name, n in (widths or {}).items():
+        checks.append(Rule(f"{name}_len", f"{name}: longer than {n}", R.too_long(name, n)))
+    for name in required:
+        checks.append(Rule(f"{name}_required", f"{name}: missing", R.required(name)))
+    return annotate(out, checks, errors)

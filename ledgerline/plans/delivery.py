@@ -11,8 +11,7 @@ from pyspark.sql.types import (DecimalType, IntegerType, StringType, StructField
 
 from ledgerline.functions import rules as R
 from ledgerline.functions import scalars as S
-from ledgerline.functions.coerce import coerce_field
-from ledgerline.operators.quality import Rule, annotate
+from ledgerline.operators.quality import Rule, conform, errors_column
 from ledgerline.operators.relational import first_by_key
 from ledgerline.sources.files import write_table
 
@@ -64,26 +63,12 @@ MART_KEYS = ("year", "month", "day", "city", "store_id")
 def conform_wide(wide: DataFrame, order_col: str = "row_seq") -> DataFrame:
     """B1-B5 + R13: cast every column to its declared type with the null-safe
     coercions and attach the list of load errors (too long text, a value that
-    does not fit its type, a store without address). An absent optional column
-    reads as NULL."""
-    src_types = dict((f.name, f.dataType) for f in wide.schema.fields)
-    cols = []
-    checks = []
-    for f in WIDE_SCHEMA.fields:
-        if f.name in src_types:
-            raw = F.col(f.name)
-            c = coerce_field(raw, f, src_types[f.name])
-            checks.append(Rule(f"{f.name}_type", f"{f.name}: value does not fit {f.dataType.simpleString()}",
-                               R.unparsable(raw, c)))
-        else:
-            c = F.lit(None).cast(f.dataType)
-        cols.append(c.alias(f.name))
-    out = wide.select(F.col(order_col), *cols)
-    for name, n in TEXT_WIDTHS.items():
-        checks.append(Rule(f"{name}_len", f"{name}: longer than {n}", R.too_long(name, n)))
-    checks.append(Rule("store_address_required", "store_address: missing",
-                       F.col("store_id").isNotNull() & R.required("store_address")))
-    return annotate(out, checks, "load_errors")
+    does not fit its type). An absent optional column reads as NULL. A store
+    without address is an error only where a store id is given."""
+    out = conform(wide, WIDE_SCHEMA, TEXT_WIDTHS, keep=[order_col], errors="load_errors")
+    store_rule = Rule("store_address_required", "store_address: missing",
+                      F.col("store_id").isNotNull() & R.required("store_address"))
+    return out.withColumn("load_errors", F.concat(F.col("load_errors"), errors_column([store_rule])))
 
 
 def normalize_delivery(wide: DataFrame, order_col: str = "row_seq",

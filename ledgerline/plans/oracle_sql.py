@@ -38,7 +38,8 @@ FIXTURES: dict[str, tuple[tuple[str, ...], str]] = {
 
 
 def with_fixtures(needs: tuple[str, ...], body: str) -> str:
-    """Prefix ``body`` with the CTEs it needs (dependencies first)."""
+    """Prefix ``body`` with the CTEs it needs (dependencies first). A body
+    starting with ``,`` continues the CTE list."""
     order: list[str] = []
 
     def visit(n: str) -> None:
@@ -53,7 +54,7 @@ def with_fixtures(needs: tuple[str, ...], body: str) -> str:
     if not order:
         return body
     ctes = ",\n".join(f"{n} AS ({FIXTURES[n][1]})" for n in order)
-    return f"WITH {ctes}\n{body}"
+    return f"WITH {ctes}\n{body.lstrip()}"
 
 
 def factor(col: str) -> str:
@@ -96,3 +97,119 @@ SELECT {MART_KEYS_SQL},
         AS orders_with_cancel
 FROM mart_orders o LEFT JOIN mart_items oi ON o.order_id = oi.order_id
 GROUP BY 1, 2, 3, 4, 5, 6, 7, 8""")
+
+
+FIXTURES["delivery_wide"] = (("geo",), """
+        SELECT CAST(l.l_orderkey AS INTEGER) AS order_id,
+               CAST(o.o_custkey AS INTEGER) AS user_id,
+               g.c_name AS user_phone,
+               g.c_nationkey AS store_id,
+               g.n_name || ', ' || g.r_name AS store_address,
+               CASE WHEN o.o_orderstatus <> 'P' THEN CAST(l.l_suppkey AS INTEGER) END AS driver_id,
+               s.s_name AS driver_phone,
+               g.r_name || ', ' || g.n_name || ', ' || g.c_name AS address_text,
+               o.o_orderdate AS created_at,
+               CAST(NULL AS TIMESTAMP) AS paid_at,
+               CAST(NULL AS TIMESTAMP) AS delivery_started_at,
+               CASE WHEN o.o_orderstatus = 'F' THEN o.o_orderdate END AS delivered_at,
+               CASE WHEN o.o_orderstatus = 'P' THEN o.o_orderdate END AS canceled_at,
+               o.o_orderpriority AS payment_type,
+               CAST(CASE WHEN o.o_orderkey % 4 = 0 THEN 10 WHEN o.o_orderkey % 4 = 1 THEN 2.5 END
+                    AS DECIMAL(5,2)) AS order_discount,
+               CAST(NULL AS VARCHAR) AS order_cancellation_reason,
+               CAST(NULL AS DECIMAL(10,2)) AS delivery_cost,
+               CAST(l.l_partkey AS INTEGER) AS item_id,
+               p.p_name AS item_title, p.p_type AS item_category,
+               CAST(l.l_quantity AS INTEGER) AS item_quantity,
+               CAST(p.p_retailprice AS DECIMAL(10,2)) AS item_price,
+               CAST(CASE WHEN l.l_discount > 0 THEN round(l.l_discount * 100) END AS DECIMAL(5,2))
+                    AS item_discount,
+               CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END AS item_canceled_quantity,
+               CAST(NULL AS INTEGER) AS item_replaced_id,
+               row_number() OVER (ORDER BY l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey,
+                                  l.l_quantity, l.l_extendedprice, l.l_shipdate) AS row_seq
+        FROM lineitem l
+        JOIN orders o ON l.l_orderkey = o.o_orderkey
+        JOIN geo g ON o.o_custkey = g.c_custkey
+        JOIN part p ON l.l_partkey = p.p_partkey
+        JOIN supplier s ON l.l_suppkey = s.s_suppkey""")
+
+
+def first_wins(key: str, cols: str) -> str:
+    return with_fixtures(("delivery_wide",), f"""
+SELECT {cols} FROM (
+    SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY row_seq) AS rn
+    FROM delivery_wide WHERE {key} IS NOT NULL) t
+WHERE rn = 1""")
+
+
+ORACLE["scan_parquet"] = "SELECT * FROM lineitem"
+
+ORACLE["scan_dir"] = """
+SELECT n_nationkey, n_name, n_regionkey, CAST(NULL AS VARCHAR) AS n_comment,
+       'nation.parquet' AS _file_name, CAST(row_number() OVER () - 1 AS BIGINT) AS _row_index
+FROM nation"""
+
+ORACLE["sink_overwrite"] = ORACLE["order_mart"]
+
+ORACLE["safe_casts"] = """
+SELECT o_orderkey,
+    TRY_CAST(CAST(o_orderkey AS VARCHAR) AS INTEGER) AS key_from_text,
+    CAST(NULL AS INTEGER) AS key_from_bad_text,
+    CASE WHEN trunc(o_totalprice / 1000) BETWEEN -2147483648 AND 2147483647
+         THEN CAST(trunc(o_totalprice / 1000) AS INTEGER) END AS total_k_int,
+    CASE WHEN trunc(o_totalprice * 100000) BETWEEN -2147483648 AND 2147483647
+         THEN CAST(trunc(o_totalprice * 100000) AS INTEGER) END AS total_overflow_int,
+    o_totalprice AS total_from_text,
+    TRY_CAST(CAST(o_totalprice / 100 AS VARCHAR) AS DECIMAL(5,2)) AS total_dec,
+    CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS status_text,
+    CASE WHEN o_orderstatus = 'O' THEN NULL ELSE o_orderdate END AS created_ts
+FROM orders"""
+
+ORACLE["conform_schema"] = """
+SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name,
+       TRY_CAST(p_retailprice AS DECIMAL(5,2)) AS p_retailprice
+FROM part
+WHERE TRY_CAST(p_retailprice AS DECIMAL(5,2)) IS NOT NULL AND length(p_name) <= 10"""
+
+ORACLE["load_rejects"] = """
+SELECT CAST(p_partkey AS INTEGER) AS p_partkey,
+       CASE WHEN TRY_CAST(p_retailprice AS DECIMAL(5,2)) IS NULL
+            THEN 'p_retailprice: value does not fit decimal(5,2)'
+            ELSE 'p_name: longer than 10' END AS reason,
+       p_retailprice AS raw_price
+FROM part
+WHERE TRY_CAST(p_retailprice AS DECIMAL(5,2)) IS NULL OR length(p_name) > 10"""
+
+ORACLE["dim_users"] = first_wins("user_id", "user_id, user_phone")
+ORACLE["dim_stores"] = first_wins("store_id", "store_id, store_address")
+ORACLE["dim_drivers"] = first_wins("driver_id", "driver_id, driver_phone")
+ORACLE["fact_orders"] = first_wins(
+    "order_id",
+    "order_id, user_id, store_id, driver_id, address_text, created_at, paid_at, "
+    "delivery_started_at, delivered_at, canceled_at, payment_type, order_discount, "
+    "order_cancellation_reason, delivery_cost")
+ORACLE["fact_items"] = with_fixtures(("delivery_wide",), """
+SELECT row_seq AS order_item_id, order_id, item_id, item_title, item_category, item_quantity,
+       item_price, item_discount, item_canceled_quantity, item_replaced_id AS replaced_by_item_id
+FROM delivery_wide""")
+
+ORACLE["insert_new_keys"] = with_fixtures(("delivery_wide",), """
+, existing AS (SELECT CAST(c_custkey AS INTEGER) AS user_id, c_name AS user_phone
+               FROM customer WHERE c_custkey % 2 = 0),
+incoming AS (SELECT user_id, user_phone FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY row_seq) AS rn
+    FROM delivery_wide WHERE user_id IS NOT NULL) t WHERE rn = 1)
+SELECT * FROM existing
+UNION ALL
+SELECT i.* FROM incoming i WHERE i.user_id NOT IN (SELECT user_id FROM existing)""")
+
+ORACLE["fk_orphans"] = with_fixtures(("mart_orders",), """
+SELECT order_id, user_id FROM mart_orders o
+WHERE user_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_acctbal >= 0
+                  AND CAST(c.c_custkey AS INTEGER) = o.user_id)""")
+
+ORACLE["pk_violations"] = """
+SELECT l_orderkey, l_linenumber, COUNT(*) AS n_rows
+FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1"""

@@ -32,3 +32,153 @@ def q_order_mart(spark, sf):
 @query("item_mart")
 def q_item_mart(spark, sf):
     return delivery.item_mart(FX.mart_orders(spark, sf), FX.mart_items(spark, sf))
+
+
+# ---- sources and sinks (A) -----------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql.types import (DecimalType, IntegerType, LongType, StringType,  # noqa: E402
+                               StructField, StructType)
+
+from ledgerline.functions import coerce as C  # noqa: E402
+from ledgerline.operators import quality as Q  # noqa: E402
+from ledgerline.operators import relational as RL  # noqa: E402
+from ledgerline.plans.tables import load  # noqa: E402
+from ledgerline.session import scratch_path  # noqa: E402
+from ledgerline.sources import files as IO  # noqa: E402
+
+NATION_SCHEMA = StructType([
+    StructField("n_nationkey", IntegerType()),
+    StructField("n_name", StringType()),
+    StructField("n_regionkey", IntegerType()),
+    StructField("n_comment", StringType()),      # optional: absent from the files
+])
+PART_NAME_WIDTH = 10
+PART_SCHEMA = StructType([
+    StructField("p_partkey", IntegerType()),
+    StructField("p_name", StringType()),
+    StructField("p_retailprice", DecimalType(5, 2)),
+])
+
+
+@query("scan_parquet")
+def q_scan_parquet(spark, sf):
+    return IO.scan_parquet(spark, f"{sf}/lineitem.parquet")
+
+
+@query("scan_dir")
+def q_scan_dir(spark, sf):
+    df = IO.scan_parquet_dir(spark, sf, NATION_SCHEMA, glob="n*.parquet")
+    return df.select("n_nationkey", "n_name", "n_regionkey", "n_comment",
+                     "_file_name", F.col("_row_index").cast("bigint").alias("_row_index"))
+
+
+@query("sink_overwrite")
+def q_sink_overwrite(spark, sf):
+    """Full refresh: the order mart written twice to the same place
+    (partitioned by year), read back once."""
+    mart = delivery.order_mart(FX.mart_orders(spark, sf), FX.mart_items(spark, sf))
+    path = scratch_path(spark, "sink_overwrite")
+    IO.write_table(mart, path, partition_by=("year",))
+    IO.write_table(mart, path, partition_by=("year",))
+    back = spark.read.parquet(path)
+    return back.select(*mart.columns)
+
+
+@query("safe_casts")
+def q_safe_casts(spark, sf):
+    o = load(spark, sf, "orders")
+    st = dict(o.dtypes)
+    return o.select(
+        F.col("o_orderkey"),
+        C.safe_int(F.col("o_orderkey").cast("string")).alias("key_from_text"),
+        C.safe_int(F.concat(F.col("o_orderkey").cast("string"), F.lit("x"))).alias("key_from_bad_text"),
+        C.safe_int(F.col("o_totalprice") / 1000, o.schema["o_totalprice"].dataType).alias("total_k_int"),
+        C.safe_int(F.col("o_totalprice") * 100000, o.schema["o_totalprice"].dataType).alias("total_overflow_int"),
+        C.safe_float(F.col("o_totalprice").cast("string")).alias("total_from_text"),
+        C.safe_decimal(F.col("o_totalprice") / 100, 5, 2, o.schema["o_totalprice"].dataType).alias("total_dec"),
+        C.safe_str(F.when(F.col("o_orderstatus") == "P", F.lit("NaT"))
+                   .otherwise(F.col("o_orderstatus"))).alias("status_text"),
+        C.safe_ts(F.when(F.col("o_orderstatus") == "O", F.lit("NaT"))
+                  .otherwise(F.col("o_orderdate").cast("string"))).alias("created_ts"),
+    )
+
+
+def _conformed_parts(spark, sf):
+    p = load(spark, sf, "part").select("p_partkey", "p_name", "p_retailprice")
+    return Q.conform(p, PART_SCHEMA, widths={"p_name": PART_NAME_WIDTH}, keep=[], errors="errors")
+
+
+@query("conform_schema")
+def q_conform_schema(spark, sf):
+    c = _conformed_parts(spark, sf)
+    return c.filter(F.size("errors") == 0).drop("errors")
+
+
+@query("load_rejects")
+def q_load_rejects(spark, sf):
+    c = _conformed_parts(spark, sf)
+    rej = c.filter(F.size("errors") > 0)
+    raw = load(spark, sf, "part").select(F.col("p_partkey").cast("int").alias("p_partkey"),
+                                         F.col("p_retailprice").alias("raw_price"))
+    return (rej.select("p_partkey", F.element_at("errors", 1).alias("reason"))
+            .join(raw, "p_partkey"))
+
+
+# ---- delivery load (P1) ----------------------------------------------------
+
+def _p1(spark, sf):
+    return delivery.normalize_delivery(FX.delivery_wide(spark, sf), persist=False)
+
+
+@query("dim_users")
+def q_dim_users(spark, sf):
+    return _p1(spark, sf)["users"]
+
+
+@query("dim_stores")
+def q_dim_stores(spark, sf):
+    return _p1(spark, sf)["stores"]
+
+
+@query("dim_drivers")
+def q_dim_drivers(spark, sf):
+    return _p1(spark, sf)["drivers"]
+
+
+@query("fact_orders")
+def q_fact_orders(spark, sf):
+    return _p1(spark, sf)["orders"]
+
+
+@query("fact_items")
+def q_fact_items(spark, sf):
+    return _p1(spark, sf)["order_items"]
+
+
+@query("insert_new_keys")
+def q_insert_new_keys(spark, sf):
+    """Users already stored: customers with an even key; the load adds the
+    users of the wide input whose key is new (first row wins)."""
+    c = load(spark, sf, "customer")
+    existing = c.filter(F.col("c_custkey") % 2 == 0).select(
+        F.col("c_custkey").cast("int").alias("user_id"), F.col("c_name").alias("user_phone"))
+    wide = FX.delivery_wide(spark, sf)
+    incoming = RL.first_by_key(wide, ["user_id"], [F.col("row_seq")], ["user_id", "user_phone"])
+    return RL.insert_new(existing, incoming, ["user_id"])
+
+
+@query("fk_orphans")
+def q_fk_orphans(spark, sf):
+    """Orders whose user is not among the customers with a non-negative
+    balance."""
+    parents = (load(spark, sf, "customer").filter(F.col("c_acctbal") >= 0)
+               .select(F.col("c_custkey").cast("int").alias("user_id")))
+    orders = FX.mart_orders(spark, sf).select("order_id", "user_id")
+    return RL.check_fk(orders, parents, "user_id")
+
+
+@query("pk_violations")
+def q_pk_violations(spark, sf):
+    li = load(spark, sf, "lineitem")
+    return RL.check_unique(li, ["l_orderkey", "l_linenumber"], out="n_rows")
