@@ -213,3 +213,92 @@ WHERE user_id IS NOT NULL
 ORACLE["pk_violations"] = """
 SELECT l_orderkey, l_linenumber, COUNT(*) AS n_rows
 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1"""
+
+
+# ---- retail fixtures and tasks ----------------------------------------------
+
+FIXTURES["calendar"] = ((), """
+        SELECT DISTINCT CAST(o_orderdate AS DATE) AS date,
+               CAST(year(o_orderdate) * 100 + weekofyear(o_orderdate) AS INTEGER) AS wm_yr_wk,
+               dayname(o_orderdate) AS weekday,
+               CAST(month(o_orderdate) AS INTEGER) AS month,
+               CAST(year(o_orderdate) AS INTEGER) AS year
+        FROM orders""")
+FIXTURES["prices"] = ((), """
+        SELECT DISTINCT CAST(l.l_suppkey AS INTEGER) AS store_id,
+               CAST(l.l_partkey AS INTEGER) AS item_id,
+               CAST(year(l.l_shipdate) * 100 + weekofyear(l.l_shipdate) AS INTEGER) AS wm_yr_wk,
+               p.p_retailprice / 100 AS sell_price
+        FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""")
+FIXTURES["sales"] = (("geo",), """
+        SELECT CAST(l.l_partkey AS INTEGER) AS item_id, p.p_brand AS dept_id, p.p_type AS cat_id,
+               g.c_nationkey AS store_id, g.r_name AS state_id,
+               CAST(SUM(CASE WHEN month(l.l_shipdate) = 1 THEN l.l_quantity ELSE 0 END) AS INTEGER) AS d_1,
+               CAST(SUM(CASE WHEN month(l.l_shipdate) = 2 THEN l.l_quantity ELSE 0 END) AS INTEGER) AS d_2
+        FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+        JOIN orders o ON l.l_orderkey = o.o_orderkey
+        JOIN geo g ON o.o_custkey = g.c_custkey
+        GROUP BY 1, 2, 3, 4, 5""")
+
+ORACLE["weekend_flag"] = with_fixtures(("calendar",), """
+SELECT *, CASE WHEN weekday IN ('Saturday', 'Sunday') THEN 1 ELSE 0 END AS is_weekend FROM calendar""")
+ORACLE["rename_week"] = with_fixtures(("calendar",), """
+SELECT date, wm_yr_wk AS week_id, weekday, month, year FROM calendar""")
+ORACLE["distinct_weekdays"] = with_fixtures(("calendar",), "SELECT DISTINCT weekday FROM calendar")
+ORACLE["n_stores"] = with_fixtures(("sales",), "SELECT COUNT(DISTINCT store_id) AS n_stores FROM sales")
+ORACLE["avg_sales_by_category"] = with_fixtures(("sales",), """
+SELECT cat_id, AVG(d_1) AS avg_sales FROM sales GROUP BY cat_id""")
+ORACLE["price_int"] = with_fixtures(("prices",), """
+SELECT *, CAST(trunc(sell_price) AS INTEGER) AS sell_price_int FROM prices""")
+ORACLE["top_prices"] = with_fixtures(("prices",), """
+SELECT * FROM prices ORDER BY sell_price DESC, store_id, item_id, wm_yr_wk LIMIT 5""")
+ORACLE["sql_avg_by_state"] = with_fixtures(("sales",), """
+SELECT state_id, AVG(d_1) AS avg_sales FROM sales GROUP BY state_id""")
+ORACLE["filter_state"] = with_fixtures(("sales",), "SELECT * FROM sales WHERE state_id = 'AMERICA'")
+ORACLE["top_prices_in_period"] = with_fixtures(("prices", "calendar"), """
+SELECT DISTINCT p.sell_price FROM prices p JOIN calendar c ON p.wm_yr_wk = c.wm_yr_wk
+WHERE c.date BETWEEN DATE '1998-01-01' AND DATE '1998-01-31'
+ORDER BY sell_price DESC LIMIT 5""")
+ORACLE["top_sales_per_category"] = with_fixtures(("sales",), """
+SELECT * FROM (
+  SELECT *, CAST(rank() OVER (PARTITION BY cat_id ORDER BY d_1 DESC) AS INTEGER) AS rank FROM sales) t
+WHERE rank = 1""")
+ORACLE["price_category"] = with_fixtures(("prices",), """
+SELECT *, CASE WHEN sell_price > 5 THEN 'High' ELSE 'Low' END AS price_category FROM prices""")
+ORACLE["sum_sales_by_store"] = with_fixtures(("sales",), """
+SELECT store_id, CAST(SUM(d_1) AS BIGINT) AS total_sales FROM sales GROUP BY store_id""")
+
+# ---- transactions --------------------------------------------------------------
+
+FIXTURES["transactions"] = ((), """
+        SELECT user_id, ts AS timestamp, CAST(event_id % 50 AS INTEGER) AS item_id,
+               event_type AS category, value AS price, CAST(event_id % 5 + 1 AS INTEGER) AS quantity,
+               'city_' || CAST(user_id % 7 AS VARCHAR) AS city,
+               CAST(value AS DECIMAL(18,2)) * CAST(event_id % 5 + 1 AS INTEGER) AS revenue
+        FROM events""")
+
+ORACLE["scan_csv_roundtrip"] = with_fixtures(("transactions",), """
+SELECT user_id, timestamp, item_id, category, price, quantity, city FROM transactions""")
+ORACLE["top_categories"] = with_fixtures(("transactions",), """
+SELECT category, CAST(SUM(revenue) AS DECIMAL(20,2)) AS total_revenue
+FROM transactions GROUP BY category ORDER BY total_revenue DESC, category LIMIT 5""")
+ORACLE["multi_category_users"] = with_fixtures(("transactions",), """
+SELECT user_id, list_sort(list(DISTINCT category)) AS categories,
+       CAST(COUNT(DISTINCT category) AS INTEGER) AS n_categories
+FROM transactions GROUP BY user_id HAVING COUNT(DISTINCT category) > 2""")
+ORACLE["avg_receipt_by_city"] = with_fixtures(("transactions",), """
+SELECT city, round(CAST(SUM(revenue) AS DOUBLE) / COUNT(*), 6) AS avg_receipt
+FROM transactions GROUP BY city""")
+ORACLE["top_item_per_category"] = with_fixtures(("transactions",), """
+SELECT category, item_id, total_qty FROM (
+  SELECT category, item_id, CAST(SUM(quantity) AS BIGINT) AS total_qty,
+         rank() OVER (PARTITION BY category ORDER BY SUM(quantity) DESC) AS rk
+  FROM transactions GROUP BY category, item_id) t
+WHERE rk = 1""")
+ORACLE["peak_hour"] = with_fixtures(("transactions",), """
+, hourly AS (SELECT CAST(hour(timestamp) AS INTEGER) AS hour,
+                    CAST(SUM(revenue) AS DECIMAL(20,2)) AS revenue
+             FROM transactions GROUP BY 1)
+SELECT hour, revenue, CAST((SELECT SUM(revenue) FROM hourly) AS DECIMAL(20,2)) AS total_revenue,
+       round(CAST(revenue AS DOUBLE) / CAST((SELECT SUM(revenue) FROM hourly) AS DOUBLE), 6) AS share
+FROM hourly ORDER BY revenue DESC, hour LIMIT 1""")

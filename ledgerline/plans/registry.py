@@ -182,3 +182,114 @@ def q_fk_orphans(spark, sf):
 def q_pk_violations(spark, sf):
     li = load(spark, sf, "lineitem")
     return RL.check_unique(li, ["l_orderkey", "l_linenumber"], out="n_rows")
+
+
+# ---- retail tasks (calendar, sales, prices) -------------------------------
+
+from ledgerline.plans import retail, transactions as TX  # noqa: E402
+
+# Parameters of the registered retail queries (the reference's state and
+# January period, mapped onto the fixture's regions and years).
+STATE = "AMERICA"
+PERIOD = ("1998-01-01", "1998-01-31")
+
+
+@query("weekend_flag")
+def q_weekend_flag(spark, sf):
+    return retail.weekend_flag(FX.calendar(spark, sf))
+
+
+@query("rename_week")
+def q_rename_week(spark, sf):
+    return retail.rename_week(FX.calendar(spark, sf))
+
+
+@query("distinct_weekdays")
+def q_distinct_weekdays(spark, sf):
+    return retail.distinct_weekdays(FX.calendar(spark, sf))
+
+
+@query("n_stores")
+def q_n_stores(spark, sf):
+    return retail.n_stores(FX.sales(spark, sf))
+
+
+@query("avg_sales_by_category")
+def q_avg_sales_by_category(spark, sf):
+    return retail.avg_sales_by_category(FX.sales(spark, sf))
+
+
+@query("price_int")
+def q_price_int(spark, sf):
+    return retail.price_int(FX.prices(spark, sf))
+
+
+@query("top_prices")
+def q_top_prices(spark, sf):
+    return retail.top_prices(FX.prices(spark, sf))
+
+
+@query("sql_avg_by_state")
+def q_sql_avg_by_state(spark, sf):
+    return retail.sql_avg_by_state(FX.sales(spark, sf))
+
+
+@query("filter_state")
+def q_filter_state(spark, sf):
+    return retail.filter_state(FX.sales(spark, sf), STATE)
+
+
+@query("top_prices_in_period")
+def q_top_prices_in_period(spark, sf):
+    return retail.top_prices_in_period(FX.prices(spark, sf), FX.calendar(spark, sf), *PERIOD)
+
+
+@query("top_sales_per_category")
+def q_top_sales_per_category(spark, sf):
+    return retail.top_sales_per_category(FX.sales(spark, sf))
+
+
+@query("price_category")
+def q_price_category(spark, sf):
+    return retail.price_category(FX.prices(spark, sf))
+
+
+@query("sum_sales_by_store")
+def q_sum_sales_by_store(spark, sf):
+    return retail.sum_sales_by_store(FX.sales(spark, sf))
+
+
+# ---- transactions ---------------------------------------------------------
+
+@query("scan_csv_roundtrip")
+def q_scan_csv_roundtrip(spark, sf):
+    """The transactions written as a CSV with a header, read back with an
+    explicit schema."""
+    path = scratch_path(spark, "transactions_csv")
+    IO.write_csv(FX.transactions_text(spark, sf), path, drop=())
+    return IO.scan_csv(spark, path, FX.TRANSACTIONS_SCHEMA)
+
+
+@query("top_categories")
+def q_top_categories(spark, sf):
+    return TX.top_categories(FX.transactions(spark, sf))
+
+
+@query("multi_category_users")
+def q_multi_category_users(spark, sf):
+    return TX.multi_category_users(FX.transactions(spark, sf))
+
+
+@query("avg_receipt_by_city")
+def q_avg_receipt_by_city(spark, sf):
+    return TX.avg_receipt_by_city(FX.transactions(spark, sf))
+
+
+@query("top_item_per_category")
+def q_top_item_per_category(spark, sf):
+    return TX.top_item_per_category(FX.transactions(spark, sf))
+
+
+@query("peak_hour")
+def q_peak_hour(spark, sf):
+    return TX.peak_hour(FX.transactions_text(spark, sf))
