@@ -74,7 +74,7 @@ def parse_long_date(col: str | Column, trim: bool = False) -> Column:
     c = _c(col)
     if trim:
         c = F.trim(c)
-    return F.try_to_date(c, F.lit(LONG_DATE_FORMAT))
+    return F.try_to_date(c, LONG_DATE_FORMAT)
 
 
 def combine_dt(date: str | Column, time: str | Column) -> Column:

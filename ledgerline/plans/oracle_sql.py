@@ -302,3 +302,120 @@ ORACLE["peak_hour"] = with_fixtures(("transactions",), """
 SELECT hour, revenue, CAST((SELECT SUM(revenue) FROM hourly) AS DECIMAL(20,2)) AS total_revenue,
        round(CAST(revenue AS DOUBLE) / CAST((SELECT SUM(revenue) FROM hourly) AS DOUBLE), 6) AS share
 FROM hourly ORDER BY revenue DESC, hour LIMIT 1""")
+
+
+# ---- credit and titles ---------------------------------------------------------
+
+FIXTURES["credit"] = ((), """
+        SELECT c_custkey AS client_id, c_mktsegment AS status, c_mktsegment AS savings,
+               CASE WHEN c_acctbal >= 1000 THEN 'good' ELSE 'bad' END AS credit_risk,
+               CAST(18 + c_custkey % 60 AS INTEGER) AS age, abs(c_acctbal) AS amount,
+               CAST(4 + c_custkey % 69 AS INTEGER) AS duration
+        FROM customer""")
+FIXTURES["titles"] = ((), """
+        SELECT o_orderkey AS show_id,
+               CASE WHEN o_orderkey % 10 < 7 THEN 'Movie' ELSE 'TV Show' END AS type,
+               CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS director,
+               CASE WHEN o_custkey % 11 <> 0 THEN 'country_' || CAST(o_custkey % 17 AS VARCHAR) END AS country,
+               CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 29 = 0 THEN 'unknown'
+                    ELSE strftime(o_orderdate, '%B %-d, %Y') END AS date_added,
+               CASE WHEN o_orderkey % 6 = 0 THEN 'TV-MA' WHEN o_orderkey % 400 = 1 THEN 'NC-17'
+                    ELSE o_orderpriority END AS rating,
+               CASE WHEN o_orderkey % 31 = 0 THEN NULL
+                    WHEN o_orderkey % 10 < 7 THEN CAST(40 + o_orderkey % 120 AS VARCHAR) || ' min'
+                    ELSE CAST(1 + o_orderkey % 9 AS VARCHAR) || ' Seasons' END AS duration,
+               CAST(try_strptime(CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 29 = 0
+                    THEN 'unknown' ELSE strftime(o_orderdate, '%B %-d, %Y') END, '%B %-d, %Y') AS DATE)
+                    AS added_date,
+               CASE WHEN o_orderkey % 31 <> 0 AND o_orderkey % 10 < 7
+                    THEN CAST(40 + o_orderkey % 120 AS INTEGER) END AS min,
+               CASE WHEN o_orderkey % 31 <> 0 AND o_orderkey % 10 >= 7
+                    THEN CAST(1 + o_orderkey % 9 AS INTEGER) END AS season
+        FROM orders""")
+
+ORACLE["remap_values"] = with_fixtures(("credit",), """
+SELECT client_id, status,
+       CASE status WHEN 'AUTOMOBILE' THEN 'auto' WHEN 'BUILDING' THEN 'building'
+                   WHEN 'MACHINERY' THEN 'machines' ELSE status END AS status_display
+FROM credit""")
+ORACLE["crosstab_zero_filled"] = with_fixtures(("credit",), """
+, dom AS (SELECT * FROM (VALUES (1, 'AUTOMOBILE'), (2, 'BUILDING'), (3, 'FURNITURE'),
+                               (4, 'HOUSEHOLD'), (5, 'MACHINERY'), (6, 'UNKNOWN')) v(position, savings))
+SELECT CAST(d.position AS INTEGER) AS position, d.savings,
+       CAST(COUNT(c.client_id) FILTER (WHERE c.credit_risk = 'good') AS BIGINT) AS good,
+       CAST(COUNT(c.client_id) FILTER (WHERE c.credit_risk = 'bad') AS BIGINT) AS bad
+FROM dom d LEFT JOIN credit c ON c.savings = d.savings
+GROUP BY d.position, d.savings""")
+ORACLE["age_quartiles"] = with_fixtures(("credit",), """
+SELECT savings, credit_risk, quantile_cont(age, 0.25) AS q1, quantile_cont(age, 0.5) AS median,
+       quantile_cont(age, 0.75) AS q3
+FROM credit WHERE age IS NOT NULL GROUP BY savings, credit_risk""")
+ORACLE["age_histogram"] = with_fixtures(("credit",), """
+, b AS (SELECT credit_risk, CAST(LEAST(floor((age - 20) / 5) + 1, 11) AS INTEGER) AS bin
+        FROM credit WHERE age BETWEEN 20 AND 75)
+SELECT credit_risk, bin, CAST(15 + 5 * bin AS DOUBLE) AS bin_lo, CAST(20 + 5 * bin AS DOUBLE) AS bin_hi,
+       COUNT(*) AS n FROM b GROUP BY credit_risk, bin
+UNION ALL
+SELECT 'all', bin, CAST(15 + 5 * bin AS DOUBLE), CAST(20 + 5 * bin AS DOUBLE), COUNT(*) FROM b GROUP BY bin""")
+ORACLE["scatter_points"] = with_fixtures(("credit",), "SELECT amount, duration, age, credit_risk FROM credit")
+ORACLE["null_counts"] = with_fixtures(("titles",), """
+SELECT COUNT(*) FILTER (WHERE director IS NULL) AS director,
+       COUNT(*) FILTER (WHERE country IS NULL) AS country,
+       COUNT(*) FILTER (WHERE date_added IS NULL) AS date_added,
+       COUNT(*) FILTER (WHERE rating IS NULL) AS rating,
+       COUNT(*) FILTER (WHERE duration IS NULL) AS duration
+FROM titles""")
+ORACLE["top_countries_missing"] = with_fixtures(("titles",), """
+SELECT country, COUNT(*) AS n FROM titles WHERE director IS NULL AND country IS NOT NULL
+GROUP BY country ORDER BY n DESC, country LIMIT 5""")
+ORACLE["top_countries"] = with_fixtures(("titles",), """
+SELECT country, COUNT(*) AS n FROM titles WHERE country IS NOT NULL
+GROUP BY country ORDER BY n DESC, country LIMIT 5""")
+ORACLE["top_countries_share"] = with_fixtures(("titles",), """
+, top AS (SELECT country, COUNT(*) AS n FROM titles WHERE country IS NOT NULL
+          GROUP BY country ORDER BY n DESC, country LIMIT 5)
+SELECT country, n, round(n / (SELECT SUM(n) FROM top), 9) AS share FROM top""")
+ORACLE["ratings_min_count"] = with_fixtures(("titles",), """
+SELECT rating, COUNT(*) AS n FROM titles WHERE type = 'Movie' AND rating IS NOT NULL
+GROUP BY rating HAVING COUNT(*) >= 50""")
+ORACLE["top_countries_rated"] = with_fixtures(("titles",), """
+SELECT country, COUNT(*) AS n FROM titles
+WHERE type = 'Movie' AND rating = 'TV-MA' AND country IS NOT NULL
+GROUP BY country ORDER BY n DESC, country LIMIT 3""")
+ORACLE["parse_long_date"] = with_fixtures(("titles",), "SELECT show_id, date_added, added_date FROM titles")
+ORACLE["monthly_mean_count"] = with_fixtures(("titles",), """
+SELECT CAST(m AS INTEGER) AS month, round(AVG(n), 9) AS avg_count FROM (
+  SELECT year(added_date) AS y, month(added_date) AS m, COUNT(*) AS n
+  FROM titles WHERE type = 'Movie' AND added_date IS NOT NULL GROUP BY 1, 2) t
+GROUP BY m""")
+ORACLE["titles_per_year"] = with_fixtures(("titles",), """
+SELECT CAST(year(added_date) AS INTEGER) AS year, COUNT(*) AS n
+FROM titles WHERE type = 'Movie' AND added_date IS NOT NULL GROUP BY 1""")
+ORACLE["duration_split"] = with_fixtures(("titles",), "SELECT show_id, type, duration, min, season FROM titles")
+ORACLE["duration_histogram"] = with_fixtures(("titles",), """
+, v AS (SELECT 'min' AS kind, CAST(min AS DOUBLE) AS x, 30 AS nb FROM titles WHERE min IS NOT NULL
+        UNION ALL
+        SELECT 'season', CAST(season AS DOUBLE), 20 FROM titles WHERE season IS NOT NULL),
+s AS (SELECT kind, MIN(x) AS lo, MAX(x) AS hi, MAX(nb) AS nb FROM v GROUP BY kind),
+b AS (SELECT v.kind, s.lo, s.hi, s.nb,
+             CAST(CASE WHEN s.hi = s.lo THEN 1 WHEN v.x >= s.hi THEN s.nb
+                       ELSE floor((v.x - s.lo) / ((s.hi - s.lo) / s.nb)) + 1 END AS INTEGER) AS bin
+      FROM v JOIN s ON v.kind = s.kind)
+SELECT kind, bin, round(lo + (bin - 1) * ((hi - lo) / nb), 6) AS bin_lo,
+       round(lo + bin * ((hi - lo) / nb), 6) AS bin_hi, COUNT(*) AS n
+FROM b GROUP BY kind, bin, lo, hi, nb""")
+ORACLE["box_stats"] = with_fixtures(("titles",), """
+, q AS (SELECT quantile_cont(min, 0.25) AS q1, quantile_cont(min, 0.5) AS median,
+               quantile_cont(min, 0.75) AS q3 FROM titles WHERE min IS NOT NULL),
+f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo_f, q3 + 1.5 * (q3 - q1) AS hi_f FROM q)
+SELECT f.q1, f.median, f.q3, f.iqr,
+       MIN(CASE WHEN t.min BETWEEN f.lo_f AND f.hi_f THEN CAST(t.min AS DOUBLE) END) AS whisker_lo,
+       MAX(CASE WHEN t.min BETWEEN f.lo_f AND f.hi_f THEN CAST(t.min AS DOUBLE) END) AS whisker_hi,
+       CAST(COUNT(*) FILTER (WHERE NOT (t.min BETWEEN f.lo_f AND f.hi_f)) AS BIGINT) AS n_outliers,
+       COUNT(*) AS n
+FROM titles t, f WHERE t.min IS NOT NULL
+GROUP BY f.q1, f.median, f.q3, f.iqr""")
+ORACLE["avg_duration_by_year"] = with_fixtures(("titles",), """
+SELECT CAST(year(added_date) AS INTEGER) AS year, type, round(AVG(COALESCE(min, season)), 9) AS avg_duration
+FROM titles WHERE year(added_date) >= 2000 AND COALESCE(min, season) IS NOT NULL
+GROUP BY 1, 2""")

@@ -293,3 +293,110 @@ def q_top_item_per_category(spark, sf):
 @query("peak_hour")
 def q_peak_hour(spark, sf):
     return TX.peak_hour(FX.transactions_text(spark, sf))
+
+
+# ---- credit and titles exploration -----------------------------------------
+
+from ledgerline.plans import explore as X  # noqa: E402
+
+# The fixture's status classes are market segments; the display mapping and
+# the category list are parameters (X.STATUS_DISPLAY / X.SAVINGS_ORDER hold
+# the credit data set's own values).
+SEGMENT_DISPLAY = {"AUTOMOBILE": "auto", "BUILDING": "building", "MACHINERY": "machines"}
+SEGMENT_ORDER = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "UNKNOWN")
+NULL_COUNT_COLS = ("director", "country", "date_added", "rating", "duration")
+
+
+@query("remap_values")
+def q_remap_values(spark, sf):
+    return X.remap_values(FX.credit(spark, sf), "status", SEGMENT_DISPLAY) \
+        .select("client_id", "status", "status_display")
+
+
+@query("crosstab_zero_filled")
+def q_crosstab_zero_filled(spark, sf):
+    return X.crosstab_zero_filled(FX.credit(spark, sf), "savings", SEGMENT_ORDER)
+
+
+@query("age_quartiles")
+def q_age_quartiles(spark, sf):
+    return X.age_quartiles(FX.credit(spark, sf))
+
+
+@query("age_histogram")
+def q_age_histogram(spark, sf):
+    return X.age_histogram(FX.credit(spark, sf))
+
+
+@query("scatter_points")
+def q_scatter_points(spark, sf):
+    return X.scatter_points(FX.credit(spark, sf), "amount", "duration", "age", "credit_risk")
+
+
+@query("null_counts")
+def q_null_counts(spark, sf):
+    return X.null_counts(FX.titles(spark, sf), NULL_COUNT_COLS)
+
+
+@query("top_countries_missing")
+def q_top_countries_missing(spark, sf):
+    return X.top_countries_missing(FX.titles(spark, sf))
+
+
+@query("top_countries")
+def q_top_countries(spark, sf):
+    return X.top_countries(FX.titles(spark, sf))
+
+
+@query("top_countries_share")
+def q_top_countries_share(spark, sf):
+    return X.top_countries_share(FX.titles(spark, sf)) \
+        .withColumn("share", F.round("share", 9))
+
+
+@query("ratings_min_count")
+def q_ratings_min_count(spark, sf):
+    return X.ratings_min_count(FX.titles(spark, sf))
+
+
+@query("top_countries_rated")
+def q_top_countries_rated(spark, sf):
+    return X.top_countries_rated(FX.titles(spark, sf))
+
+
+@query("parse_long_date")
+def q_parse_long_date(spark, sf):
+    return X.parse_long_date(FX.titles(spark, sf))
+
+
+@query("monthly_mean_count")
+def q_monthly_mean_count(spark, sf):
+    return X.monthly_mean_count(FX.titles(spark, sf)) \
+        .withColumn("avg_count", F.round("avg_count", 9))
+
+
+@query("titles_per_year")
+def q_titles_per_year(spark, sf):
+    return X.titles_per_year(FX.titles(spark, sf))
+
+
+@query("duration_split")
+def q_duration_split(spark, sf):
+    return X.duration_split(FX.titles(spark, sf))
+
+
+@query("duration_histogram")
+def q_duration_histogram(spark, sf):
+    h = X.duration_histogram(FX.titles(spark, sf))
+    return h.withColumn("bin_lo", F.round("bin_lo", 6)).withColumn("bin_hi", F.round("bin_hi", 6))
+
+
+@query("box_stats")
+def q_box_stats(spark, sf):
+    return X.box_stats(FX.titles(spark, sf))
+
+
+@query("avg_duration_by_year")
+def q_avg_duration_by_year(spark, sf):
+    return X.avg_duration_by_year(FX.titles(spark, sf)) \
+        .withColumn("avg_duration", F.round("avg_duration", 9))
