@@ -12,17 +12,21 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Rule:
-    """``fails`` is TRUE when the row breaks the rule; NULL counts as passing."""
+    """``fails`` is TRUE when the row breaks the rule; NULL counts as passing.
+    ``message`` is a text or a Column (a message built from the row)."""
     name: str
-    message: str
+    message: str | Column
     fails: Column
 
+    def message_col(self) -> Column:
+        return self.message if isinstance(self.message, Column) else F.lit(self.message)
+
 
 def errors_column(rules: Sequence[Rule]) -> Column:
     """Messages of the failed rules, in rule order."""
     if not rules:
         return F.array().cast("array<string>")
-    arr = F.array(*[F.when(F.coalesce(r.fails, F.lit(False)), F.lit(r.message)) for r in rules])
+    arr = F.array(*[F.when(F.coalesce(r.fails, F.lit(False)), r.message_col()) for r in rules])
     return F.filter(arr, lambda x: x.isNotNull())
 
 
@@ -77,3 +81,15 @@ def conform(df: DataFrame, schema, widths: dict[str, int] | None = None,
     for name in required:
         checks.append(Rule(f"{name}_required", f"{name}: missing", R.required(name)))
     return annotate(out, checks, errors)
+
+
+def fill_defaults(df: DataFrame, defaults: dict) -> DataFrame:
+    """Missing values take a default (a value or a Column)."""
+    out = df
+    for name, v in defaults.items():
+        d = v if isinstance(v, Column) else F.lit(v)
+        if name in df.columns:
+            out = out.withColumn(name, F.coalesce(F.col(name), d.cast(df.schema[name].dataType)))
+        else:
+            out = out.withColumn(name, d)
+    return out

@@ -419,3 +419,137 @@ ORACLE["avg_duration_by_year"] = with_fixtures(("titles",), """
 SELECT CAST(year(added_date) AS INTEGER) AS year, type, round(AVG(COALESCE(min, season)), 9) AS avg_duration
 FROM titles WHERE year(added_date) >= 2000 AND COALESCE(min, season) IS NOT NULL
 GROUP BY 1, 2""")
+
+
+# ---- validation ------------------------------------------------------------------
+
+FIXTURES["order_lines"] = ((), """
+        SELECT o.o_orderkey AS order_id,
+               CASE WHEN o.o_orderstatus = 'P' THEN 'paid' WHEN o.o_orderstatus = 'F' THEN 'delivered'
+                    WHEN o.o_orderkey % 19 = 0 THEN 'lost' ELSE 'new' END AS status,
+               l.l_linenumber AS line_no,
+               (CASE WHEN l.l_partkey % 50 = 0 THEN 'sku-' ELSE 'SKU' END) || CAST(l.l_partkey AS VARCHAR) AS sku,
+               CAST(l.l_quantity AS INTEGER) - 1 AS qty,
+               CAST((CAST(round(l.l_extendedprice * 100) AS BIGINT) % 100000) * CAST(0.001 AS DECIMAL(4,3))
+                    AS DECIMAL(12,3)) AS unit_price
+        FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey""")
+FIXTURES["order_checks"] = (("order_lines",), """
+        SELECT order_id, status, COUNT(line_no) AS n_items,
+               CAST(round_even(COALESCE(SUM(qty * round_even(unit_price, 2)), 0), 2) AS DECIMAL(18,2)) AS total,
+               bool_or(COALESCE(line_no IS NOT NULL AND NOT regexp_full_match(sku, '[A-Z0-9]{3,12}'), false))
+                   AS bad_sku,
+               bool_or(COALESCE(qty <= 0, false)) AS bad_qty,
+               bool_or(COALESCE(unit_price < 0, false)) AS bad_price
+        FROM order_lines GROUP BY order_id, status""")
+FIXTURES["order_errors"] = (("order_checks",), """
+        SELECT *, list_filter([
+                 CASE WHEN bad_sku THEN 'sku: 3 to 12 capital letters or digits' END,
+                 CASE WHEN bad_qty THEN 'qty: must be greater than 0' END,
+                 CASE WHEN bad_price THEN 'price: must not be negative' END,
+                 CASE WHEN status NOT IN ('new', 'paid', 'delivered', 'canceled') THEN 'status: unknown' END,
+                 CASE WHEN n_items = 0 THEN 'items: must not be empty' END,
+                 CASE WHEN status IN ('paid', 'delivered') AND total = 0
+                      THEN 'status ''' || status || ''' needs a total above 0' END],
+               lambda x: x IS NOT NULL) AS errors
+        FROM order_checks""")
+FIXTURES["signup"] = ((), """
+        SELECT c_custkey AS user_key,
+               lower(replace(c_name, '#', '_')) || CASE WHEN c_custkey % 23 = 0 THEN '' ELSE '@' END
+                   || 'mail' || CAST(c_custkey % 5 AS VARCHAR) || '.example.com' AS email,
+               '  cUSTOMER   ' || lower(c_mktsegment) || ' x' AS name,
+               substr('abcdefghijklmnop', 1, CAST(c_custkey % 12 + 1 AS INTEGER)) AS password,
+               CASE WHEN c_custkey % 3 <> 0
+                    THEN 'https://www.mail' || CAST(c_custkey % 7 AS VARCHAR) || '.example.com/x' END AS website
+        FROM customer""")
+FIXTURES["energy"] = ((), """
+        SELECT ts AS timestep, value AS consumption_eur, value / 2 AS consumption_sib,
+               CAST(user_id AS DOUBLE) AS price_eur, value - 5 AS price_sib
+        FROM events""")
+FIXTURES["energy_checked"] = (("energy",), """
+        SELECT *, list_filter([
+                 CASE WHEN consumption_eur < 0 THEN 'consumption_eur: must not be negative' END,
+                 CASE WHEN consumption_sib < 0 THEN 'consumption_sib: must not be negative' END,
+                 CASE WHEN price_eur < 0 THEN 'price_eur: must not be negative' END,
+                 CASE WHEN price_sib < 0 THEN 'price_sib: must not be negative' END,
+                 CASE WHEN timestep IS NULL THEN 'timestep: not a timestamp' END],
+               lambda x: x IS NOT NULL) AS errors
+        FROM energy""")
+
+ORACLE["validate_orders"] = with_fixtures(("order_errors",), """
+SELECT order_id, status, n_items, total, errors, len(errors) = 0 AS valid FROM order_errors""")
+ORACLE["first_error"] = with_fixtures(("order_errors",), """
+SELECT order_id, len(errors) = 0 AS ok,
+       CASE WHEN len(errors) = 0 THEN 'total=' || CAST(total AS VARCHAR) ELSE errors[1] END AS message
+FROM order_errors""")
+ORACLE["order_totals"] = with_fixtures(("order_checks",), "SELECT order_id, n_items, total FROM order_checks")
+ORACLE["line_amount"] = with_fixtures(("order_lines",), """
+SELECT order_id, line_no, qty, CAST(round_even(unit_price, 2) AS DECIMAL(12,2)) AS price,
+       CAST(qty * round_even(unit_price, 2) AS DECIMAL(18,2)) AS amount
+FROM order_lines WHERE line_no IS NOT NULL""")
+ORACLE["rule_sku"] = with_fixtures(("order_lines",), """
+SELECT order_id, line_no, sku, regexp_full_match(sku, '[A-Z0-9]{3,12}') AS sku_ok
+FROM order_lines WHERE line_no IS NOT NULL""")
+ORACLE["rule_sku_place"] = with_fixtures(("order_lines",), r"""
+SELECT order_id, line_no, sku,
+       CASE WHEN NOT (upper(sku) = sku AND lower(sku) <> sku AND regexp_full_match(sku, '[\p{L}\p{N}]+'))
+            THEN 'sku: capital letters and digits only'
+            WHEN length(sku) < 3 OR length(sku) > 12 THEN 'sku: 3 to 12 characters' END AS error
+FROM order_lines WHERE line_no IS NOT NULL""")
+ORACLE["rule_password"] = with_fixtures(("signup",), """
+SELECT user_key, length(password) >= 8 AS password_ok,
+       CASE WHEN password IS NOT NULL THEN '**********' END AS password
+FROM signup""")
+ORACLE["rule_email"] = with_fixtures(("signup",), r"""
+SELECT user_key, regexp_full_match(email, '[^@\s]+@[^@\s]+\.[^@\s]+') AS email_ok,
+       CASE WHEN website IS NULL THEN true ELSE regexp_full_match(website, 'https?://[^/?#\s]+.*') END
+           AS website_ok
+FROM signup""")
+ORACLE["domain_rule"] = with_fixtures(("signup",), r"""
+, d AS (SELECT user_key, email, website, lower(string_split(email, '@')[-1]) AS email_domain,
+               regexp_replace(lower(regexp_extract(website, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/:?#@]+)', 1)),
+                              '^www\.', '') AS site_host
+        FROM signup)
+SELECT user_key, email_domain, site_host,
+       NOT COALESCE(email IS NOT NULL AND website IS NOT NULL AND site_host = email_domain, false) AS domain_ok
+FROM d""")
+ORACLE["normalize_name"] = with_fixtures(("signup",), r"""
+SELECT user_key, name,
+       array_to_string(list_transform(string_split(trim(regexp_replace(name, '\s+', ' ', 'g')), ' '),
+                                      lambda w: upper(w[1]) || lower(w[2:])), ' ') AS name_normalized
+FROM signup""")
+ORACLE["redact"] = with_fixtures(("signup",), """
+SELECT user_key, CASE WHEN password IS NOT NULL THEN '**********' END AS password, website FROM signup""")
+ORACLE["rule_range"] = with_fixtures(("credit",), """
+SELECT client_id, duration, duration BETWEEN 1 AND 60 AS duration_ok,
+       CASE WHEN NOT (duration BETWEEN 1 AND 60) THEN 'duration: out of range 1-60' END AS error
+FROM credit""")
+ORACLE["rule_energy"] = with_fixtures(("energy_checked",), """
+SELECT *, len(errors) = 0 AS valid FROM energy_checked""")
+ORACLE["fill_defaults"] = with_fixtures(("mart_items",), """
+SELECT order_id, item_id, CAST(COALESCE(item_discount, 0) AS DECIMAL(5,2)) AS item_discount,
+       true AS is_active
+FROM mart_items""")
+
+# ---- energy records ------------------------------------------------------------
+
+ENERGY_ORDER = "timestep, consumption_eur, consumption_sib, price_eur, price_sib"
+ORACLE["row_ids"] = with_fixtures(("energy",), f"""
+SELECT row_number() OVER (ORDER BY {ENERGY_ORDER}) AS id, * FROM energy""")
+ORACLE["append_records"] = with_fixtures(("energy",), f"""
+SELECT row_number() OVER (ORDER BY CASE WHEN timestep < TIMESTAMP '2024-01-15 00:00:00' THEN 0 ELSE 1 END,
+                          {ENERGY_ORDER}) AS id, * FROM energy""")
+ORACLE["delete_records"] = with_fixtures(("energy_checked",), f"""
+SELECT row_number() OVER (ORDER BY {ENERGY_ORDER}) AS id,
+       timestep, consumption_eur, consumption_sib, price_eur, price_sib
+FROM energy_checked WHERE len(errors) = 0""")
+ORACLE["unpivot_energy"] = with_fixtures(("energy",), """
+SELECT timestep, 'consumption_eur' AS variable, consumption_eur AS value FROM energy
+UNION ALL SELECT timestep, 'consumption_sib', consumption_sib FROM energy
+UNION ALL SELECT timestep, 'price_eur', price_eur FROM energy
+UNION ALL SELECT timestep, 'price_sib', price_sib FROM energy""")
+ORACLE["combine_dt"] = with_fixtures(("energy",), """
+SELECT timestep, strftime(timestep, '%Y-%m-%d %H:%M') AS combined FROM energy""")
+ORACLE["stream_intake"] = with_fixtures(("energy_checked",), """
+SELECT timestep, consumption_eur, consumption_sib, price_eur, price_sib
+FROM energy_checked WHERE len(errors) = 0""")
+ORACLE["stream_dedup_keys"] = ORACLE["dim_users"]

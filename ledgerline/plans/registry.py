@@ -37,8 +37,8 @@ def q_item_mart(spark, sf):
 # ---- sources and sinks (A) -----------------------------------------------
 
 from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql.types import (DecimalType, IntegerType, LongType, StringType,  # noqa: E402
-                               StructField, StructType)
+from pyspark.sql.types import (DecimalType, DoubleType, IntegerType, LongType,  # noqa: E402
+                               StringType, StructField, StructType, TimestampNTZType)
 
 from ledgerline.functions import coerce as C  # noqa: E402
 from ledgerline.operators import quality as Q  # noqa: E402
@@ -400,3 +400,178 @@ def q_box_stats(spark, sf):
 def q_avg_duration_by_year(spark, sf):
     return X.avg_duration_by_year(FX.titles(spark, sf)) \
         .withColumn("avg_duration", F.round("avg_duration", 9))
+
+
+# ---- validation (orders, sign-up, energy) -----------------------------------
+
+from ledgerline.functions import rules as RU  # noqa: E402
+from ledgerline.functions import scalars as SC  # noqa: E402
+from ledgerline.plans import records as REC  # noqa: E402
+from ledgerline.plans import validation as V  # noqa: E402
+
+TIMEOUT_RANGE = (1, 60)
+
+
+def _lines_only(spark, sf):
+    return FX.order_lines(spark, sf).filter(F.col("line_no").isNotNull())
+
+
+@query("validate_orders")
+def q_validate_orders(spark, sf):
+    return V.validate_orders(V.order_checks_flat(FX.order_lines(spark, sf)))
+
+
+@query("first_error")
+def q_first_error(spark, sf):
+    return V.order_result(V.order_checks_flat(FX.order_lines(spark, sf)))
+
+
+@query("order_totals")
+def q_order_totals(spark, sf):
+    return V.order_checks_flat(FX.order_lines(spark, sf)).select("order_id", "n_items", "total")
+
+
+@query("line_amount")
+def q_line_amount(spark, sf):
+    return _lines_only(spark, sf).select(
+        "order_id", "line_no", "qty",
+        SC.cents_half_even("unit_price").cast("decimal(12,2)").alias("price"),
+        SC.line_amount("qty", "unit_price").cast("decimal(18,2)").alias("amount"))
+
+
+@query("rule_sku")
+def q_rule_sku(spark, sf):
+    return _lines_only(spark, sf).select(
+        "order_id", "line_no", "sku", (~RU.sku_format("sku")).alias("sku_ok"))
+
+
+@query("rule_sku_place")
+def q_rule_sku_place(spark, sf):
+    return _lines_only(spark, sf).select(
+        "order_id", "line_no", "sku", V.sku_place_error("sku").alias("error"))
+
+
+@query("rule_password")
+def q_rule_password(spark, sf):
+    s = FX.signup(spark, sf)
+    return s.select("user_key", (~RU.too_short("password")).alias("password_ok"),
+                    SC.redact("password").alias("password"))
+
+
+@query("rule_email")
+def q_rule_email(spark, sf):
+    return V.signup_checks(FX.signup(spark, sf)).select("user_key", "email_ok", "website_ok")
+
+
+@query("domain_rule")
+def q_domain_rule(spark, sf):
+    s = FX.signup(spark, sf)
+    ok = ~F.coalesce(RU.site_equals_mail("email", "website"), F.lit(False))
+    return s.select("user_key", SC.email_domain("email").alias("email_domain"),
+                    SC.url_host("website").alias("site_host"), ok.alias("domain_ok"))
+
+
+@query("normalize_name")
+def q_normalize_name(spark, sf):
+    return FX.signup(spark, sf).select("user_key", "name",
+                                       SC.normalize_name("name").alias("name_normalized"))
+
+
+@query("redact")
+def q_redact(spark, sf):
+    return FX.signup(spark, sf).select("user_key", SC.redact("password").alias("password"), "website")
+
+
+@query("rule_range")
+def q_rule_range(spark, sf):
+    c = FX.credit(spark, sf)
+    bad = RU.out_of_range("duration", *TIMEOUT_RANGE)
+    return c.select("client_id", "duration", (~bad).alias("duration_ok"),
+                    F.when(bad, F.lit(f"duration: {V.MSG_RANGE} {TIMEOUT_RANGE[0]}-{TIMEOUT_RANGE[1]}"))
+                    .alias("error"))
+
+
+@query("rule_energy")
+def q_rule_energy(spark, sf):
+    a = Q.annotate(FX.energy(spark, sf), V.energy_rules(), "errors")
+    return a.withColumn("valid", F.size("errors") == 0)
+
+
+@query("fill_defaults")
+def q_fill_defaults(spark, sf):
+    items = FX.mart_items(spark, sf).select("order_id", "item_id", "item_discount")
+    return Q.fill_defaults(items, {"item_discount": 0, "is_active": True})
+
+
+# ---- energy records ----------------------------------------------------------
+
+SPLIT_TS = "2024-01-15 00:00:00"
+
+
+@query("row_ids")
+def q_row_ids(spark, sf):
+    return REC.with_ids(FX.energy(spark, sf))
+
+
+@query("append_records")
+def q_append_records(spark, sf):
+    e = FX.energy(spark, sf)
+    cut = F.lit(SPLIT_TS).cast("timestamp_ntz")
+    existing = REC.with_ids(e.filter(F.col("timestep") < cut))
+    new = e.filter(F.col("timestep") >= cut)
+    return REC.append(existing, new)
+
+
+@query("delete_records")
+def q_delete_records(spark, sf):
+    """The records that break the energy rules are deleted by id."""
+    current = REC.with_ids(FX.energy(spark, sf))
+    bad = Q.annotate(current, V.energy_rules(), "errors").filter(F.size("errors") > 0).select("id")
+    return REC.delete(current, bad)
+
+
+@query("unpivot_energy")
+def q_unpivot_energy(spark, sf):
+    return REC.long_form(FX.energy(spark, sf))
+
+
+@query("combine_dt")
+def q_combine_dt(spark, sf):
+    return REC.minute_text(FX.energy(spark, sf))
+
+
+# ---- streams -----------------------------------------------------------------
+
+from ledgerline.streaming import intake as ST  # noqa: E402
+
+ENERGY_SCHEMA = StructType([StructField("timestep", TimestampNTZType())]
+                           + [StructField(m, DoubleType()) for m in REC.MEASURES])
+USERS_SCHEMA = StructType([StructField("user_id", IntegerType()),
+                           StructField("user_phone", StringType()),
+                           StructField("row_seq", LongType())])
+STREAM_FILE_ROWS = 2500
+
+
+@query("stream_intake")
+def q_stream_intake(spark, sf):
+    """Energy records dropped as files in a folder, taken in by a stream:
+    good rows to the output, bad ones to rejects."""
+    base = scratch_path(spark, "stream_intake")
+    src = f"{base}/in"
+    (FX.energy(spark, sf).orderBy(*REC.STORED_ORDER).write
+     .option("maxRecordsPerFile", STREAM_FILE_ROWS).parquet(src))
+    ST.stream_records(spark, src, ENERGY_SCHEMA, V.energy_rules(), f"{base}/out",
+                      f"{base}/rejects", f"{base}/checkpoint", max_files_per_trigger=1)
+    return spark.read.parquet(f"{base}/out").drop("batch_id")
+
+
+@query("stream_dedup_keys")
+def q_stream_dedup_keys(spark, sf):
+    """Wide order-line files loaded one by one; each user kept once."""
+    base = scratch_path(spark, "stream_dedup")
+    src = f"{base}/in"
+    wide = FX.delivery_wide(spark, sf).select("user_id", "user_phone", "row_seq")
+    wide.orderBy("row_seq").write.option("maxRecordsPerFile", STREAM_FILE_ROWS * 4).parquet(src)
+    ST.stream_first_by_key(spark, src, USERS_SCHEMA, ["user_id"], ["row_seq"],
+                           f"{base}/out", f"{base}/checkpoint", max_files_per_trigger=1)
+    return spark.read.parquet(f"{base}/out").select("user_id", "user_phone")
