@@ -6,13 +6,14 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DecimalType, IntegerType, StringType, StructField, StructType,
+from pyspark.sql.types import (DecimalType, IntegerType, IntegralType, StringType, StructField,
+                               StructType,
                                TimestampNTZType)
 
 from ledgerline.functions import rules as R
 from ledgerline.functions import scalars as S
 from ledgerline.operators.quality import Rule, conform, errors_column
-from ledgerline.operators.relational import first_by_key
+from ledgerline.operators.relational import first_by_key, with_row_id
 from ledgerline.sources.files import write_table
 
 # ---- fixed values --------------------------------------------------------
@@ -90,11 +91,15 @@ def normalize_delivery(wide: DataFrame, order_col: str = "row_seq",
     rejects = (conformed.filter(F.size("load_errors") > 0)
                .select(order_col, "order_id", "item_id", "load_errors"))
     order = [F.col(order_col)]
-    items = ok.select(
-        F.col(order_col).cast("long").alias("order_item_id"),
-        "order_id", "item_id", "item_title", "item_category", "item_quantity",
-        "item_price", "item_discount", "item_canceled_quantity",
-        F.col("item_replaced_id").alias("replaced_by_item_id"))
+    item_cols = ["order_id", "item_id", "item_title", "item_category", "item_quantity",
+                 "item_price", "item_discount", "item_canceled_quantity",
+                 F.col("item_replaced_id").alias("replaced_by_item_id")]
+    if isinstance(conformed.schema[order_col].dataType, IntegralType):
+        items = ok.select(F.col(order_col).cast("long").alias("order_item_id"), *item_cols)
+    else:
+        # e.g. (file name, row position): dense ids in that order
+        items = with_row_id(ok.select(order_col, *item_cols), [order_col], "order_item_id") \
+            .drop(order_col)
     return {
         "users": first_by_key(ok, ["user_id"], order, USER_COLS),
         "stores": first_by_key(ok, ["store_id"], order, STORE_COLS),
