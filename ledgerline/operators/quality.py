@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 @dataclass(frozen=True)
@@ -66,7 +67,9 @@ def conform(df: DataFrame, schema, widths: dict[str, int] | None = None,
     src = dict((f.name, f.dataType) for f in df.schema.fields)
     cols, checks = [], []
     for f in schema.fields:
-        if f.name in src:
+        if f.name in src and src[f.name] == f.dataType and not isinstance(f.dataType, StringType):
+            c = F.col(f.name)                       # already the declared type: nothing to check
+        elif f.name in src:
             raw = F.col(f.name)
             c = coerce_field(raw, f, src[f.name])
             checks.append(Rule(f"{f.name}_type",

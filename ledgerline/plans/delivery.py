@@ -3,6 +3,8 @@ order items (+ rejects) -> daily order and item marts (survey P1, P2)."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,56 +63,69 @@ MART_KEYS = ("year", "month", "day", "city", "store_id")
 
 # ---- P1: load -------------------------------------------------------------
 
-def conform_wide(wide: DataFrame, order_col: str = "row_seq") -> DataFrame:
+def conform_wide(wide: DataFrame, order_col: str | Sequence[str] = "row_seq") -> DataFrame:
     """B1-B5 + R13: cast every column to its declared type with the null-safe
     coercions and attach the list of load errors (too long text, a value that
     does not fit its type). An absent optional column reads as NULL. A store
     without address is an error only where a store id is given."""
-    out = conform(wide, WIDE_SCHEMA, TEXT_WIDTHS, keep=[order_col], errors="load_errors")
+    out = conform(wide, WIDE_SCHEMA, TEXT_WIDTHS, keep=_names(order_col), errors="load_errors")
     store_rule = Rule("store_address_required", "store_address: missing",
                       F.col("store_id").isNotNull() & R.required("store_address"))
     return out.withColumn("load_errors", F.concat(F.col("load_errors"), errors_column([store_rule])))
 
 
-def normalize_delivery(wide: DataFrame, order_col: str = "row_seq",
-                       persist: bool = True) -> dict[str, DataFrame]:
+DELIVERY_TABLES = ("users", "stores", "drivers", "orders", "order_items", "rejects")
+
+
+def _names(order_col: str | Sequence[str]) -> list[str]:
+    return [order_col] if isinstance(order_col, str) else list(order_col)
+
+
+def normalize_delivery(wide: DataFrame, order_col: str | Sequence[str] = "row_seq",
+                       persist: bool = True,
+                       tables: tuple[str, ...] = DELIVERY_TABLES) -> dict[str, DataFrame]:
     """Wide order lines -> ``users``, ``stores``, ``drivers``, ``orders``,
-    ``order_items`` and ``rejects``.
+    ``order_items`` and ``rejects`` (only the ``tables`` asked for).
 
     * a row with a load error goes to ``rejects`` with its keys and reasons
       and adds nothing anywhere (row-level quarantine);
     * dimensions and orders: first row per key in ``order_col`` order wins,
       NULL keys skipped (one shuffle per key; a hot key is cut map-side);
     * order items: every accepted row; ``order_item_id`` is the row's load
-      position (``order_col``), like a sequence that also counts failed rows.
+      position: ``order_col`` itself when it is one number column (like a
+      sequence that also counts failed rows), else the dense rank of the
+      ``order_col`` columns.
     """
+    order_cols = _names(order_col)
     conformed = conform_wide(wide, order_col)
-    if persist:
+    if persist and len(tables) > 1:
         conformed = conformed.persist(StorageLevel.MEMORY_AND_DISK)
     ok = conformed.filter(F.size("load_errors") == 0).drop("load_errors")
-    rejects = (conformed.filter(F.size("load_errors") > 0)
-               .select(order_col, "order_id", "item_id", "load_errors"))
-    order = [F.col(order_col)]
-    item_cols = ["order_id", "item_id", "item_title", "item_category", "item_quantity",
-                 "item_price", "item_discount", "item_canceled_quantity",
-                 F.col("item_replaced_id").alias("replaced_by_item_id")]
-    if isinstance(conformed.schema[order_col].dataType, IntegralType):
-        items = ok.select(F.col(order_col).cast("long").alias("order_item_id"), *item_cols)
-    else:
-        # e.g. (file name, row position): dense ids in that order
-        items = with_row_id(ok.select(order_col, *item_cols), [order_col], "order_item_id") \
-            .drop(order_col)
-    return {
-        "users": first_by_key(ok, ["user_id"], order, USER_COLS),
-        "stores": first_by_key(ok, ["store_id"], order, STORE_COLS),
-        "drivers": first_by_key(ok, ["driver_id"], order, DRIVER_COLS),
-        "orders": first_by_key(ok, ["order_id"], order, ORDER_COLS),
-        "order_items": items,
-        "rejects": rejects,
-    }
-
-
-def load_delivery(wide: DataFrame, out_dir: str, order_col: str = "row_seq") -> dict[str, str]:
+    order = [F.col(c) for c in order_cols]
+    out: dict[str, DataFrame] = {}
+    for name, key, cols in (("users", "user_id", USER_COLS), ("stores", "store_id", STORE_COLS),
+                            ("drivers", "driver_id", DRIVER_COLS), ("orders", "order_id", ORDER_COLS)):
+        if name in tables:
+            out[name] = first_by_key(ok, [key], order, cols)
+    if "order_items" in tables:
+        item_cols = ["order_id", "item_id", "item_title", "item_category", "item_quantity",
+                     "item_price", "item_discount", "item_canceled_quantity",
+                     F.col("item_replaced_id").alias("replaced_by_item_id")]
+        if len(order_cols) == 1 and isinstance(conformed.schema[order_cols[0]].dataType, IntegralType):
+            out["order_items"] = ok.select(F.col(order_cols[0]).cast("long").alias("order_item_id"),
+                                           *item_cols)
+        else:
+            # e.g. (file name, row position): dense ids in that order
+            out["order_items"] = with_row_id(ok.select(*order_cols, *item_cols), order_cols,
+                                             "order_item_id").drop(*order_cols)
+    if "rejects" in tables:
+        out["rejects"] = (conformed.filter(F.size("load_errors") > 0)
+                          .select(*order_cols, "order_id", "item_id", "load_errors"))
+    return out
+
+
+def load_delivery(wide: DataFrame, out_dir: str,
+                  order_col: str | Sequence[str] = "row_seq") -> dict[str, str]:
     """P1 + A5: full refresh of the five tables (and rejects) under
     ``out_dir``. The input is checked first, so an empty input fails without
     touching the output (X5)."""

@@ -17,6 +17,9 @@ STATUS_DELIVERED, STATUS_CANCELED = "F", "P"
 LONG_DATE_FORMAT = "MMMM d, yyyy"
 FIRST_WINS_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                     "l_quantity", "l_extendedprice", "l_shipdate")
+# the load order travels as flat columns (a struct sort key loses the
+# prefix sort and compares row by row)
+LOAD_ORDER = tuple(f"load_{c[2:]}" for c in FIRST_WINS_ORDER)
 
 
 def _t(spark, sf, name):
@@ -42,9 +45,11 @@ def _order_columns(o_status, o_orderdate, o_orderkey) -> list:
     ]
 
 
-def delivery_wide(spark: SparkSession, sf: str, with_seq: bool = True) -> DataFrame:
+def delivery_wide(spark: SparkSession, sf: str, with_seq: bool = False) -> DataFrame:
     """One row per order line: the wide input of the delivery load.
-    ``row_seq`` is the load order 1..n (dense, distributed row ids)."""
+    The ``load_*`` columns give the total load order (the line's sort
+    columns); first-wins needs only that order. ``with_seq`` adds its dense
+    rank ``row_seq`` 1..n (a distributed sort, see ``with_row_id``)."""
     l = _t(spark, sf, "lineitem")
     o = _t(spark, sf, "orders")
     p = _t(spark, sf, "part")
@@ -80,12 +85,10 @@ def delivery_wide(spark: SparkSession, sf: str, with_seq: bool = True) -> DataFr
         F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("item_canceled_quantity"),
         F.lit(None).cast("int").alias("item_replaced_id"),
     ]
+    out = j.select(*cols, *[F.col(c).alias(a) for c, a in zip(FIRST_WINS_ORDER, LOAD_ORDER)])
     if not with_seq:
-        return j.select(*cols)
-    keyed = j.select(*cols, *[F.col(k).alias(f"__k{i}") for i, k in enumerate(FIRST_WINS_ORDER)])
-    keys = [f"__k{i}" for i in range(len(FIRST_WINS_ORDER))]
-    seq = with_row_id(keyed, keys, out="row_seq")
-    return seq.drop(*keys)
+        return out
+    return with_row_id(out, list(LOAD_ORDER), out="row_seq")
 
 
 def mart_orders(spark: SparkSession, sf: str) -> DataFrame:

@@ -127,33 +127,34 @@ def q_load_rejects(spark, sf):
 
 # ---- delivery load (P1) ----------------------------------------------------
 
-def _p1(spark, sf):
-    return delivery.normalize_delivery(FX.delivery_wide(spark, sf), persist=False)
+def _p1(spark, sf, table):
+    wide = FX.delivery_wide(spark, sf)
+    return delivery.normalize_delivery(wide, FX.LOAD_ORDER, persist=False, tables=(table,))[table]
 
 
 @query("dim_users")
 def q_dim_users(spark, sf):
-    return _p1(spark, sf)["users"]
+    return _p1(spark, sf, "users")
 
 
 @query("dim_stores")
 def q_dim_stores(spark, sf):
-    return _p1(spark, sf)["stores"]
+    return _p1(spark, sf, "stores")
 
 
 @query("dim_drivers")
 def q_dim_drivers(spark, sf):
-    return _p1(spark, sf)["drivers"]
+    return _p1(spark, sf, "drivers")
 
 
 @query("fact_orders")
 def q_fact_orders(spark, sf):
-    return _p1(spark, sf)["orders"]
+    return _p1(spark, sf, "orders")
 
 
 @query("fact_items")
 def q_fact_items(spark, sf):
-    return _p1(spark, sf)["order_items"]
+    return _p1(spark, sf, "order_items")
 
 
 @query("insert_new_keys")
@@ -164,7 +165,7 @@ def q_insert_new_keys(spark, sf):
     existing = c.filter(F.col("c_custkey") % 2 == 0).select(
         F.col("c_custkey").cast("int").alias("user_id"), F.col("c_name").alias("user_phone"))
     wide = FX.delivery_wide(spark, sf)
-    incoming = RL.first_by_key(wide, ["user_id"], [F.col("row_seq")], ["user_id", "user_phone"])
+    incoming = RL.first_by_key(wide, ["user_id"], list(FX.LOAD_ORDER), ["user_id", "user_phone"])
     return RL.insert_new(existing, incoming, ["user_id"])
 
 
@@ -546,9 +547,12 @@ from ledgerline.streaming import intake as ST  # noqa: E402
 
 ENERGY_SCHEMA = StructType([StructField("timestep", TimestampNTZType())]
                            + [StructField(m, DoubleType()) for m in REC.MEASURES])
-USERS_SCHEMA = StructType([StructField("user_id", IntegerType()),
-                           StructField("user_phone", StringType()),
-                           StructField("row_seq", LongType())])
+USERS_SCHEMA = StructType([StructField("user_id", IntegerType()), StructField("user_phone", StringType()),
+                           StructField("load_orderkey", LongType()), StructField("load_linenumber", IntegerType()),
+                           StructField("load_partkey", LongType()), StructField("load_suppkey", LongType()),
+                           StructField("load_quantity", DoubleType()),
+                           StructField("load_extendedprice", DoubleType()),
+                           StructField("load_shipdate", TimestampNTZType())])
 STREAM_FILE_ROWS = 2500
 
 
@@ -570,8 +574,8 @@ def q_stream_dedup_keys(spark, sf):
     """Wide order-line files loaded one by one; each user kept once."""
     base = scratch_path(spark, "stream_dedup")
     src = f"{base}/in"
-    wide = FX.delivery_wide(spark, sf).select("user_id", "user_phone", "row_seq")
-    wide.orderBy("row_seq").write.option("maxRecordsPerFile", STREAM_FILE_ROWS * 4).parquet(src)
-    ST.stream_first_by_key(spark, src, USERS_SCHEMA, ["user_id"], ["row_seq"],
+    wide = FX.delivery_wide(spark, sf).select("user_id", "user_phone", *FX.LOAD_ORDER)
+    wide.orderBy(*FX.LOAD_ORDER).write.option("maxRecordsPerFile", STREAM_FILE_ROWS * 4).parquet(src)
+    ST.stream_first_by_key(spark, src, USERS_SCHEMA, ["user_id"], list(FX.LOAD_ORDER),
                            f"{base}/out", f"{base}/checkpoint", max_files_per_trigger=1)
     return spark.read.parquet(f"{base}/out").select("user_id", "user_phone")
