@@ -24,25 +24,45 @@ class Rule:
 
 
 def errors_column(rules: Sequence[Rule]) -> Column:
-    """Messages of the failed rules, in rule order."""
+    """Messages of the failed rules, in rule order. Built as a concat of
+    one-element arrays, which stays in generated code (a lambda ``filter``
+    over the array would be evaluated row by row, interpreted)."""
+    empty = F.array().cast("array<string>")
     if not rules:
-        return F.array().cast("array<string>")
-    arr = F.array(*[F.when(F.coalesce(r.fails, F.lit(False)), r.message_col()) for r in rules])
-    return F.filter(arr, lambda x: x.isNotNull())
+        return empty
+    parts = [F.when(F.coalesce(r.fails, F.lit(False)), F.array(r.message_col())).otherwise(empty)
+             for r in rules]
+    return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
-def annotate(df: DataFrame, rules: Sequence[Rule], errors: str = "errors") -> DataFrame:
-    """V1: add the error list (one projection, no shuffle)."""
-    return df.withColumn(errors, errors_column(rules))
+def any_failed(rules: Sequence[Rule]) -> Column:
+    """TRUE when at least one rule fails (a cheap boolean: use it to split
+    rows rather than the size of the error list)."""
+    if not rules:
+        return F.lit(False)
+    out = F.coalesce(rules[0].fails, F.lit(False))
+    for r in rules[1:]:
+        out = out | F.coalesce(r.fails, F.lit(False))
+    return out
+
+
+def annotate(df: DataFrame, rules: Sequence[Rule], errors: str = "errors",
+             valid: str | None = None) -> DataFrame:
+    """V1: add the error list (one projection, no shuffle); with ``valid``
+    also a boolean column that is TRUE when no rule failed."""
+    out = df.withColumn(errors, errors_column(rules))
+    if valid:
+        out = out.withColumn(valid, ~any_failed(rules))
+    return out
 
 
 def validate(df: DataFrame, rules: Sequence[Rule], errors: str = "errors") -> tuple[DataFrame, DataFrame]:
     """V1: split into valid rows and rejects (rejects keep the error list).
-    Both outputs share one plan; cache or write the annotated frame when both
-    are consumed."""
-    a = annotate(df, rules, errors)
-    valid = a.filter(F.size(errors) == 0).drop(errors)
-    rejects = a.filter(F.size(errors) > 0)
+    Both outputs share one plan; cache or write the input when both are
+    consumed."""
+    bad = any_failed(rules)
+    valid = df.filter(~bad)
+    rejects = df.filter(bad).withColumn(errors, errors_column(rules))
     return valid, rejects
 
 
@@ -56,11 +76,14 @@ def first_error(errors: str | Column, ok_text: Column) -> tuple[Column, Column]:
 
 def conform(df: DataFrame, schema, widths: dict[str, int] | None = None,
             required: Sequence[str] = (), keep: Sequence[str] = (),
-            errors: str = "errors") -> DataFrame:
+            errors: str = "errors", valid: str | None = None,
+            extra_rules: Sequence[Rule] = ()) -> DataFrame:
     """B5 + R13: cast every column of ``schema`` with the null-safe coercions
     and list what breaks the declared types: a present value that does not
     fit (NULL after the cast), text longer than its width, a required value
-    missing. ``keep`` columns pass through unchanged (keys, load order)."""
+    missing. ``keep`` columns pass through unchanged (keys, load order).
+    ``extra_rules`` are checked on the conformed columns; ``valid`` names a
+    boolean column for splitting good rows from rejects."""
     from ledgerline.functions import rules as R
     from ledgerline.functions.coerce import coerce_field
 
@@ -83,7 +106,8 @@ def conform(df: DataFrame, schema, widths: dict[str, int] | None = None,
         checks.append(Rule(f"{name}_len", f"{name}: longer than {n}", R.too_long(name, n)))
     for name in required:
         checks.append(Rule(f"{name}_required", f"{name}: missing", R.required(name)))
-    return annotate(out, checks, errors)
+    checks.extend(extra_rules)
+    return annotate(out, checks, errors, valid)
 
 
 def fill_defaults(df: DataFrame, defaults: dict) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql.types import (DecimalType, IntegerType, IntegralType, StringTyp
 
 from ledgerline.functions import rules as R
 from ledgerline.functions import scalars as S
-from ledgerline.operators.quality import Rule, conform, errors_column
+from ledgerline.operators.quality import Rule, conform
 from ledgerline.operators.relational import first_by_key, with_row_id
 from ledgerline.sources.files import write_table
 
@@ -63,24 +63,25 @@ MART_KEYS = ("year", "month", "day", "city", "store_id")
 
 # ---- P1: load -------------------------------------------------------------
 
+def _names(order_col: str | Sequence[str]) -> list[str]:
+    return [order_col] if isinstance(order_col, str) else list(order_col)
+
+
 def conform_wide(wide: DataFrame, order_col: str | Sequence[str] = "row_seq") -> DataFrame:
     """B1-B5 + R13: cast every column to its declared type with the null-safe
     coercions and attach the list of load errors (too long text, a value that
-    does not fit its type). An absent optional column reads as NULL. A store
-    without address is an error only where a store id is given."""
-    out = conform(wide, WIDE_SCHEMA, TEXT_WIDTHS, keep=_names(order_col), errors="load_errors")
+    does not fit its type) and a ``load_ok`` flag. An absent optional column
+    reads as NULL. A store without address is an error only where a store id
+    is given."""
     store_rule = Rule("store_address_required", "store_address: missing",
                       F.col("store_id").isNotNull() & R.required("store_address"))
-    return out.withColumn("load_errors", F.concat(F.col("load_errors"), errors_column([store_rule])))
+    return conform(wide, WIDE_SCHEMA, TEXT_WIDTHS, keep=_names(order_col), errors="load_errors",
+                   valid="load_ok", extra_rules=[store_rule])
 
 
 DELIVERY_TABLES = ("users", "stores", "drivers", "orders", "order_items", "rejects")
 
 
-def _names(order_col: str | Sequence[str]) -> list[str]:
-    return [order_col] if isinstance(order_col, str) else list(order_col)
-
-
 def normalize_delivery(wide: DataFrame, order_col: str | Sequence[str] = "row_seq",
                        persist: bool = True,
                        tables: tuple[str, ...] = DELIVERY_TABLES) -> dict[str, DataFrame]:
@@ -100,7 +101,7 @@ def normalize_delivery(wide: DataFrame, order_col: str | Sequence[str] = "row_se
     conformed = conform_wide(wide, order_col)
     if persist and len(tables) > 1:
         conformed = conformed.persist(StorageLevel.MEMORY_AND_DISK)
-    ok = conformed.filter(F.size("load_errors") == 0).drop("load_errors")
+    ok = conformed.filter(F.col("load_ok")).drop("load_errors", "load_ok")
     order = [F.col(c) for c in order_cols]
     out: dict[str, DataFrame] = {}
     for name, key, cols in (("users", "user_id", USER_COLS), ("stores", "store_id", STORE_COLS),
@@ -119,7 +120,7 @@ def normalize_delivery(wide: DataFrame, order_col: str | Sequence[str] = "row_se
             out["order_items"] = with_row_id(ok.select(*order_cols, *item_cols), order_cols,
                                              "order_item_id").drop(*order_cols)
     if "rejects" in tables:
-        out["rejects"] = (conformed.filter(F.size("load_errors") > 0)
+        out["rejects"] = (conformed.filter(~F.col("load_ok"))
                           .select(*order_cols, "order_id", "item_id", "load_errors"))
     return out
 

@@ -106,19 +106,20 @@ def q_safe_casts(spark, sf):
 
 def _conformed_parts(spark, sf):
     p = load(spark, sf, "part").select("p_partkey", "p_name", "p_retailprice")
-    return Q.conform(p, PART_SCHEMA, widths={"p_name": PART_NAME_WIDTH}, keep=[], errors="errors")
+    return Q.conform(p, PART_SCHEMA, widths={"p_name": PART_NAME_WIDTH}, keep=[], errors="errors",
+                     valid="ok")
 
 
 @query("conform_schema")
 def q_conform_schema(spark, sf):
     c = _conformed_parts(spark, sf)
-    return c.filter(F.size("errors") == 0).drop("errors")
+    return c.filter(F.col("ok")).drop("errors", "ok")
 
 
 @query("load_rejects")
 def q_load_rejects(spark, sf):
     c = _conformed_parts(spark, sf)
-    rej = c.filter(F.size("errors") > 0)
+    rej = c.filter(~F.col("ok"))
     raw = load(spark, sf, "part").select(F.col("p_partkey").cast("int").alias("p_partkey"),
                                          F.col("p_retailprice").alias("raw_price"))
     return (rej.select("p_partkey", F.element_at("errors", 1).alias("reason"))
@@ -494,8 +495,7 @@ def q_rule_range(spark, sf):
 
 @query("rule_energy")
 def q_rule_energy(spark, sf):
-    a = Q.annotate(FX.energy(spark, sf), V.energy_rules(), "errors")
-    return a.withColumn("valid", F.size("errors") == 0)
+    return Q.annotate(FX.energy(spark, sf), V.energy_rules(), "errors", valid="valid")
 
 
 @query("fill_defaults")
@@ -527,7 +527,7 @@ def q_append_records(spark, sf):
 def q_delete_records(spark, sf):
     """The records that break the energy rules are deleted by id."""
     current = REC.with_ids(FX.energy(spark, sf))
-    bad = Q.annotate(current, V.energy_rules(), "errors").filter(F.size("errors") > 0).select("id")
+    bad = current.filter(Q.any_failed(V.energy_rules())).select("id")
     return REC.delete(current, bad)
 
 

@@ -79,9 +79,8 @@ def order_rules(status: str = "status") -> list[Rule]:
 
 def validate_orders(checks: DataFrame, key: str = "order_id") -> DataFrame:
     """V1: every order with its error list and a valid flag."""
-    a = annotate(checks, order_rules(), "errors")
-    return a.select(key, "status", "n_items", "total", "errors",
-                    (F.size("errors") == 0).alias("valid"))
+    a = annotate(checks, order_rules(), "errors", valid="valid")
+    return a.select(key, "status", "n_items", "total", "errors", "valid")
 
 
 def order_result(checks: DataFrame, key: str = "order_id") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerline.operators.quality import Rule, annotate
+from ledgerline.operators.quality import Rule, validate
 from ledgerline.operators.relational import first_by_key
 
 
@@ -35,11 +35,9 @@ def stream_records(spark: SparkSession, src_dir: str, schema: StructType, rules:
     stream = reader.parquet(src_dir)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        a = annotate(batch, rules, "errors")
-        a.filter(F.size("errors") == 0).drop("errors").write.mode("overwrite") \
-            .parquet(_batch_path(out_dir, batch_id))
-        a.filter(F.size("errors") > 0).write.mode("overwrite") \
-            .parquet(_batch_path(rejects_dir, batch_id))
+        good, bad = validate(batch, rules, "errors")
+        good.write.mode("overwrite").parquet(_batch_path(out_dir, batch_id))
+        bad.write.mode("overwrite").parquet(_batch_path(rejects_dir, batch_id))
 
     q = (stream.writeStream.foreachBatch(each_batch)
          .option("checkpointLocation", checkpoint)
