@@ -98,6 +98,25 @@ def decimal_factor(discount_pct: str | Column) -> Column:
     return (F.lit(1) - d / F.lit(100)).cast("decimal(7,4)")
 
 
+def cents(price: str | Column) -> Column:
+    """A money decimal with 2 places as an exact count of cents (long)."""
+    return (_c(price) * F.lit(100)).cast("long")
+
+
+def factor_units(discount_pct: str | Column) -> Column:
+    """``1 - coalesce(d, 0)/100`` in exact units of 1e-4 (long) for a
+    NUMERIC(5,2) percentage: 2.51 % -> 9749."""
+    d = F.coalesce(_c(discount_pct), F.lit(0).cast("decimal(5,2)"))
+    return F.lit(10000) - (d * F.lit(100)).cast("long")
+
+
+def units_to_decimal(units: str | Column, scale: int, precision: int = 28) -> Column:
+    """An exact integer count of 10^-scale units back to decimal(p, scale)."""
+    from decimal import Decimal
+    step = F.lit(Decimal(1).scaleb(-scale))
+    return (_c(units).cast("decimal(20,0)") * step).cast(f"decimal({precision},{scale})")
+
+
 def gross_amount(price: str | Column, qty: str | Column) -> Column:
     """Price x quantity."""
     return _c(price) * _c(qty)

@@ -45,6 +45,11 @@ def where_present(df: DataFrame, col: str) -> DataFrame:
     return df.filter(F.col(col).isNotNull())
 
 
+def project(df: DataFrame, cols: Sequence[str | Column]) -> DataFrame:
+    """Column selection (pruned down to the scan)."""
+    return df.select(*cols)
+
+
 # ---- D: joins --------------------------------------------------------------
 
 def insert_new(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -137,7 +142,12 @@ def with_row_id(df: DataFrame, order_by: Sequence[str | Column], out: str = "id"
     the data) give offsets that are broadcast back.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    ordered = df.orderBy(*_cols(order_by)).checkpoint(eager=True)
+    # the input position as last sort key lets the range partitioner split a
+    # run of equal keys (a hot key) over several partitions
+    ordered = (df.withColumn("__tie", F.monotonically_increasing_id())
+               .orderBy(*_cols(order_by), F.col("__tie"))
+               .drop("__tie")
+               .checkpoint(eager=True))
     tagged = (ordered
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__mid", F.monotonically_increasing_id()))

@@ -144,23 +144,34 @@ def _mart_keys(orders: DataFrame) -> list:
             S.city_of("address_text").alias("city"), F.col("store_id")]
 
 
+def _item_units(items: DataFrame) -> DataFrame:
+    """Line amounts as exact integers: cents x qty, and the item-discounted
+    net in 1e-6 units. 64-bit integer arithmetic runs in generated code
+    (38-digit decimals fall back to object arithmetic); with ANSI mode (the
+    Spark default) an overflow fails the job instead of wrapping, which
+    happens only beyond ~9e11 per line or ~9e12 per order."""
+    gross = S.cents("item_price") * F.col("item_quantity").cast("long")
+    return items.select("*", gross.alias("__gross_c"),
+                        (gross * S.factor_units("item_discount")).alias("__net_u"))
+
+
 def order_mart(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Daily order mart by (year, month, day, city, store).
 
     ``orders`` holds one row per order_id (its primary key). Items are first
     summed per order (map-side combined), so the join is 1:1 on order_id and a
     hot order cannot skew it; every order-level count is then a plain count,
-    and only customers need a distinct count. Decimal arithmetic is exact;
-    the sums are rounded once, to decimal(15,2)."""
-    per_order = items.groupBy("order_id").agg(
-        F.sum(S.gross_amount("item_price", "item_quantity")).alias("__gross"),
-        F.sum(S.net_amount("item_price", "item_quantity", "item_discount"))
-        .cast("decimal(28,6)").alias("__net"),
+    and only customers need a distinct count. All arithmetic is exact: the
+    item sums in integer units, the order discount in decimal on the order
+    rows; the sums are rounded once, to decimal(15,2)."""
+    per_order = _item_units(items).groupBy("order_id").agg(
+        F.sum("__gross_c").alias("__gross_c"),
+        F.sum("__net_u").alias("__net_u"),
     )
     j = orders.join(per_order, "order_id", "left")
-    rev = F.col("__net") * S.decimal_factor("order_discount")
+    rev = S.units_to_decimal("__net_u", 6) * S.decimal_factor("order_discount")
     return (j.groupBy(*_mart_keys(orders)).agg(
-        F.sum("__gross").cast("decimal(15,2)").alias("turnover"),
+        S.units_to_decimal(F.sum("__gross_c"), 2, 15).alias("turnover"),
         F.sum(rev).cast("decimal(15,2)").alias("revenue"),
         F.count("order_id").cast("int").alias("orders_created"),
         F.count(F.when(F.col("delivered_at").isNotNull(), F.col("order_id"))).cast("int")
@@ -196,9 +207,8 @@ def item_mart(orders: DataFrame, items: DataFrame) -> DataFrame:
     ``orders_with_cancel`` become plain counts (no distinct expansion). An
     order without items gives one row with NULL item keys, counted once."""
     item_keys = ["item_category", "item_id", "item_title"]
-    per_oi = items.groupBy("order_id", *item_keys).agg(
-        F.sum(S.net_amount("item_price", "item_quantity", "item_discount"))
-        .cast("decimal(28,6)").alias("__net"),
+    per_oi = _item_units(items).groupBy("order_id", *item_keys).agg(
+        F.sum("__net_u").alias("__net_u"),
         F.sum("item_quantity").alias("__qty"),
         F.sum("item_canceled_quantity").alias("__canc"),
         F.max(F.when(F.col("item_canceled_quantity") > 0, 1).otherwise(0)).alias("__has_cancel"),
@@ -207,8 +217,8 @@ def item_mart(orders: DataFrame, items: DataFrame) -> DataFrame:
     keys = _mart_keys(orders) + [F.col("item_category").alias("category"), F.col("item_id"),
                                  F.col("item_title")]
     return (j.groupBy(*keys).agg(
-        F.sum(F.col("__net") * S.decimal_factor("order_discount")).cast("decimal(15,2)")
-        .alias("item_turnover"),
+        F.sum(S.units_to_decimal("__net_u", 6) * S.decimal_factor("order_discount"))
+        .cast("decimal(15,2)").alias("item_turnover"),
         F.sum("__qty").cast("int").alias("quantity_ordered"),
         F.sum("__canc").cast("int").alias("quantity_canceled"),
         F.count("order_id").cast("int").alias("orders_with_item"),

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 # the casts that may fail are written with try_cast on purpose.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -106,3 +106,17 @@ def test_monthly_mean_skips_empty_months(spark):
     df = spark.createDataFrame(rows, "d date")
     got = [(r.month, r.avg_count) for r in A.monthly_mean_count(df, "d").collect()]
     assert got == [(1, 1.5)]
+
+
+def test_row_ids_hot_key_spread(spark):
+    df = spark.range(0, 4000, 1, 8).select(F.lit(1).alias("k"), F.col("id").alias("v"))
+    got = RL.with_row_id(df, ["k"])
+    assert got.select(F.min("id"), F.max("id"), F.countDistinct("id")).first() == (1, 4000, 4000)
+    # equal keys keep their input order
+    assert got.filter(F.col("id") != F.col("v") + 1).count() == 0
+
+
+def test_schema_summary(spark):
+    from ledgerline.operators.quality import schema_summary
+    r = schema_summary(spark.createDataFrame([(1, "a")], "a int, b string")).first()
+    assert r.n_fields == 2 and '"name":"a"' in r.schema_json
