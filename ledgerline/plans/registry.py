@@ -6,8 +6,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from ledgerline.plans import delivery, fixtures as FX
+from pyspark.sql import functions as F
+from pyspark.sql.types import (DecimalType, DoubleType, IntegerType, LongType, StringType,
+                               StructField, StructType, TimestampNTZType)
+
+from ledgerline.functions import coerce as C
+from ledgerline.functions import rules as RU
+from ledgerline.functions import scalars as SC
+from ledgerline.operators import quality as Q
+from ledgerline.operators import relational as RL
+from ledgerline.plans import delivery, retail
+from ledgerline.plans import explore as X
+from ledgerline.plans import fixtures as FX
+from ledgerline.plans import records as REC
+from ledgerline.plans import transactions as TX
+from ledgerline.plans import validation as V
+from ledgerline.plans.tables import load
+from ledgerline.session import scratch_path
+from ledgerline.sources import files as IO
+from ledgerline.streaming import intake as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,16 +53,6 @@ def q_item_mart(spark, sf):
 
 # ---- sources and sinks (A) -----------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql.types import (DecimalType, DoubleType, IntegerType, LongType,  # noqa: E402
-                               StringType, StructField, StructType, TimestampNTZType)
-
-from ledgerline.functions import coerce as C  # noqa: E402
-from ledgerline.operators import quality as Q  # noqa: E402
-from ledgerline.operators import relational as RL  # noqa: E402
-from ledgerline.plans.tables import load  # noqa: E402
-from ledgerline.session import scratch_path  # noqa: E402
-from ledgerline.sources import files as IO  # noqa: E402
 
 NATION_SCHEMA = StructType([
     StructField("n_nationkey", IntegerType()),
@@ -188,7 +195,6 @@ def q_pk_violations(spark, sf):
 
 # ---- retail tasks (calendar, sales, prices) -------------------------------
 
-from ledgerline.plans import retail, transactions as TX  # noqa: E402
 
 # Parameters of the registered retail queries (the reference's state and
 # January period, mapped onto the fixture's regions and years).
@@ -299,7 +305,6 @@ def q_peak_hour(spark, sf):
 
 # ---- credit and titles exploration -----------------------------------------
 
-from ledgerline.plans import explore as X  # noqa: E402
 
 # The fixture's status classes are market segments; the display mapping and
 # the category list are parameters (X.STATUS_DISPLAY / X.SAVINGS_ORDER hold
@@ -406,10 +411,6 @@ def q_avg_duration_by_year(spark, sf):
 
 # ---- validation (orders, sign-up, energy) -----------------------------------
 
-from ledgerline.functions import rules as RU  # noqa: E402
-from ledgerline.functions import scalars as SC  # noqa: E402
-from ledgerline.plans import records as REC  # noqa: E402
-from ledgerline.plans import validation as V  # noqa: E402
 
 TIMEOUT_RANGE = (1, 60)
 
@@ -543,7 +544,6 @@ def q_combine_dt(spark, sf):
 
 # ---- streams -----------------------------------------------------------------
 
-from ledgerline.streaming import intake as ST  # noqa: E402
 
 ENERGY_SCHEMA = StructType([StructField("timestep", TimestampNTZType())]
                            + [StructField(m, DoubleType()) for m in REC.MEASURES])
