@@ -61,11 +61,13 @@ def age_histogram(df: DataFrame, col: str = "age", edges: Sequence[float] = AGE_
 def scatter_points(df: DataFrame, x: str, y: str, z: str | None = None, by: str | None = None,
                    max_points: int | None = None, seed: int = 42) -> DataFrame:
     """The points of a 2-D/3-D scatter with their class. A cap, when
-    asked for, is a seeded sample (the feature: a drawable subset)."""
+    asked for, is a seeded uniform random subset of ``max_points`` rows (the
+    feature: a drawable subset): the k smallest random keys, taken k per
+    partition and then merged, so no partition is moved whole."""
     cols = [x, y] + ([z] if z else []) + ([by] if by else [])
     pts = df.select(*cols)
     if max_points is not None:
-        return pts.sample(fraction=1.0, seed=seed).limit(max_points)
+        return pts.orderBy(F.rand(seed)).limit(max_points)
     return pts
 
 

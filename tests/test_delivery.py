@@ -109,3 +109,15 @@ def test_load_refuses_empty_input(spark):
     with pytest.raises(ValueError):
         delivery.load_delivery(empty, out)
     assert not os.path.exists(out)
+
+
+def test_load_delivery_writes_all_tables(spark):
+    from ledgerline.plans import fixtures as FX
+    out = scratch_path(spark, "load_all")
+    paths = delivery.load_delivery(FX.delivery_wide(spark, "/root/testdata/sf0.001"), out, FX.LOAD_ORDER)
+    assert set(paths) == set(delivery.DELIVERY_TABLES)
+    items = spark.read.parquet(paths["order_items"])
+    assert items.count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    assert items.agg(F.min("order_item_id"), F.max("order_item_id")).first() == (1, items.count())
+    orders = spark.read.parquet(paths["orders"])
+    assert orders.count() == orders.select("order_id").distinct().count()

@@ -120,3 +120,12 @@ def test_schema_summary(spark):
     from ledgerline.operators.quality import schema_summary
     r = schema_summary(spark.createDataFrame([(1, "a")], "a int, b string")).first()
     assert r.n_fields == 2 and '"name":"a"' in r.schema_json
+
+
+def test_scatter_cap_is_random_subset(spark):
+    from ledgerline.plans.explore import scatter_points
+    df = spark.range(0, 1000, 1, 4).select(F.col("id").alias("x"), (F.col("id") * 2).alias("y"))
+    a = scatter_points(df, "x", "y", max_points=50, seed=7).collect()
+    b = scatter_points(df, "x", "y", max_points=50, seed=7).collect()
+    assert len(a) == 50 and sorted(a) == sorted(b)
+    assert max(r.x for r in a) > 100          # not just the first rows
