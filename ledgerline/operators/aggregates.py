@@ -144,12 +144,12 @@ def histogram(df: DataFrame, col: str, edges: Sequence[float], by: str | None =
 
 def histogram_n(df: DataFrame, col: str, n: int, out: str = "n") -> DataFrame:
     """N equal-width bins over [min, max] of the column (NULL dropped).
-    min and max come from a scalar sub-query that Spark runs once; when
+    min and max come from one scalar sub-query that Spark runs once; when
     min = max every value falls in bin 1."""
     src = df.filter(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("__x"))
-    stats = src.agg(F.min("__x").alias("lo"), F.max("__x").alias("hi"))
-    lo = stats.select("lo").scalar()
-    hi = stats.select("hi").scalar()
+    # one scalar sub-query (a struct of both bounds): one pass for min and max
+    bounds = src.agg(F.struct(F.min("__x").alias("lo"), F.max("__x").alias("hi")).alias("b")).scalar()
+    lo, hi = bounds["lo"], bounds["hi"]
     width = (hi - lo) / F.lit(n)
     b = (F.when(hi == lo, F.lit(1))
          .when(F.col("__x") >= hi, F.lit(n))
