@@ -93,3 +93,18 @@ def test_hot_group_histogram_and_quantiles(spark):
 def test_session_has_skew_join(spark):
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_sorted_quantiles_equal_exact_on_hot_group(spark):
+    df = spark.range(0, N, 1, 12).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 7).cast("string")).alias("g"),
+        ((F.col("id") * 7919) % 1000 / 7.0).alias("x"))
+    probs = (0.1, 0.25, 0.5, 0.9)
+    a = {r.g: tuple(r[1:]) for r in A.group_quantiles(df, ["g"], "x", probs, method="map").collect()}
+    b = {r.g: tuple(r[1:]) for r in A.group_quantiles(df, ["g"], "x", probs, method="sorted").collect()}
+    assert a.keys() == b.keys()
+    for g in a:
+        for u, v in zip(a[g], b[g]):
+            assert abs(u - v) <= 1e-9 * max(1.0, abs(u)), (g, a[g], b[g])
+    one = A.group_quantiles(df.filter("g = 'hot'"), [], "x", (0.5,), method="sorted").first()
+    assert abs(one[0] - a["hot"][2]) < 1e-9
