@@ -63,8 +63,11 @@ def stream_first_by_key(spark: SparkSession, src_dir: str, schema: StructType, k
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         firsts = first_by_key(batch, list(keys), list(order_by), cols)
         try:
-            seen = (spark.read.parquet(out_dir)
-                    .filter(F.col("batch_id") < batch_id).select(*keys))
+            stored = (spark.read.parquet(out_dir)
+                      .filter(F.col("batch_id") < batch_id).select(*keys))
+            # only the stored keys that occur in this batch: the batch's keys
+            # are the small side, so the stored keys are scanned, not shuffled
+            seen = stored.join(firsts.select(*keys), list(keys), "left_semi")
             firsts = firsts.join(seen, list(keys), "left_anti")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":   # else: first batch, no output yet
