@@ -37,23 +37,32 @@ def scan_parquet_dir(spark: SparkSession, folder: str, schema: StructType,
 
 
 def scan_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
-             header: bool = True) -> DataFrame:
+             header: bool = True, infer: bool = False) -> DataFrame:
     """A3/A4: CSV with a header. An explicit schema is the production path;
-    without one every column reads as text (as the reference's Spark read did),
-    never ``inferSchema`` which costs a full extra pass over the data."""
+    without one every column reads as text (as the reference's Spark read
+    did). ``infer=True`` asks Spark to infer the types (as pandas does), which
+    costs a full extra pass over the data."""
     reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
     if schema is not None:
         reader = reader.schema(schema)
+    elif infer:
+        reader = reader.option("inferSchema", True)
     return reader.csv(path)
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite",
-                partition_by: tuple[str, ...] = (), fmt: str = "parquet") -> str:
-    """A5: full-refresh sink (overwrite) or append. Returns the path."""
-    w = df.write.mode(mode).format(fmt)
+def write_table(df: DataFrame, path: str | None, mode: str = "overwrite",
+                partition_by: tuple[str, ...] = (), fmt: str = "parquet",
+                options: dict[str, str] | None = None) -> str | None:
+    """A5: full-refresh sink (overwrite) or append. Any Spark writer format
+    works, e.g. ``fmt="jdbc"`` with ``options={"url": ..., "dbtable": ...}``
+    and ``path=None`` for a database table. Returns the path."""
+    w = df.write.mode(mode).format(fmt).options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
+    if path is None:
+        w.save()
+    else:
+        w.save(path)
     return path
 
 
