@@ -97,10 +97,17 @@ def normalize_delivery(wide: DataFrame, order_col: str | Sequence[str] = "row_se
       sequence that also counts failed rows), else the dense rank of the
       ``order_col`` columns.
     """
-    order_cols = _names(order_col)
     conformed = conform_wide(wide, order_col)
     if persist and len(tables) > 1:
         conformed = conformed.persist(StorageLevel.MEMORY_AND_DISK)
+    return split_conformed(conformed, order_col, tables)
+
+
+def split_conformed(conformed: DataFrame, order_col: str | Sequence[str] = "row_seq",
+                    tables: tuple[str, ...] = DELIVERY_TABLES) -> dict[str, DataFrame]:
+    """The P1 outputs from an already conformed wide frame (see
+    :func:`normalize_delivery`)."""
+    order_cols = _names(order_col)
     ok = conformed.filter(F.col("load_ok")).drop("load_errors", "load_ok")
     order = [F.col(c) for c in order_cols]
     out: dict[str, DataFrame] = {}
@@ -132,8 +139,14 @@ def load_delivery(wide: DataFrame, out_dir: str,
     touching the output (X5)."""
     if not wide.limit(1).collect():
         raise ValueError("no input rows: nothing loaded, output left as it was")
-    tables = normalize_delivery(wide, order_col)
-    return {name: write_table(df, f"{out_dir.rstrip('/')}/{name}") for name, df in tables.items()}
+    # the conformed input feeds six outputs: computed once, released after
+    conformed = conform_wide(wide, order_col).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        tables = split_conformed(conformed, order_col)
+        return {name: write_table(df, f"{out_dir.rstrip('/')}/{name}")
+                for name, df in tables.items()}
+    finally:
+        conformed.unpersist()
 
 
 # ---- P2: marts -------------------------------------------------------------
