@@ -1,17 +1,51 @@
-"""Input tables of a data folder (``<dir>/<name>.parquet``)."""
+"""Input tables of a data folder (``<dir>/<name>.parquet``).
+
+The tables are read with declared schemas: Spark then needs no schema
+inference job per read (footer reads over every file of a large table);
+a table without a declared schema falls back to the file's own."""
 
 from __future__ import annotations
 
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
+                               StructType, TimestampNTZType)
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
+I, L, D, S, T = IntegerType(), LongType(), DoubleType(), StringType(), TimestampNTZType()
+
+
+def _schema(*fields) -> StructType:
+    return StructType([StructField(n, t) for n, t in fields])
+
+
+# Declared column types of the driver's tables (as written in their files).
+SCHEMAS: dict[str, StructType] = {
+    "region": _schema(("r_regionkey", I), ("r_name", S)),
+    "nation": _schema(("n_nationkey", I), ("n_name", S), ("n_regionkey", I)),
+    "customer": _schema(("c_custkey", L), ("c_name", S), ("c_nationkey", I), ("c_acctbal", D),
+                        ("c_mktsegment", S)),
+    "supplier": _schema(("s_suppkey", L), ("s_name", S), ("s_nationkey", I), ("s_acctbal", D)),
+    "part": _schema(("p_partkey", L), ("p_name", S), ("p_brand", S), ("p_type", S), ("p_size", I),
+                    ("p_retailprice", D)),
+    "orders": _schema(("o_orderkey", L), ("o_custkey", L), ("o_orderstatus", S),
+                      ("o_totalprice", D), ("o_orderdate", T), ("o_orderpriority", S)),
+    "lineitem": _schema(("l_orderkey", L), ("l_partkey", L), ("l_suppkey", L), ("l_linenumber", I),
+                        ("l_quantity", D), ("l_extendedprice", D), ("l_discount", D), ("l_tax", D),
+                        ("l_returnflag", S), ("l_linestatus", S), ("l_shipdate", T)),
+    "events": _schema(("event_id", L), ("ts", T), ("user_id", L), ("event_type", S), ("value", D),
+                      ("props", S)),
+}
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(name)
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    reader = spark.read
+    if name in SCHEMAS:
+        reader = reader.schema(SCHEMAS[name])
+    return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))

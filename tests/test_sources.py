@@ -35,3 +35,11 @@ def test_preview_and_register(spark):
     assert [r.k for r in IO.preview(df, 3, order_by=[F.col("k").desc()]).collect()] == [9, 8, 7]
     IO.register(df, "ledgerline_test_view")
     assert spark.sql("SELECT count(*) AS n FROM ledgerline_test_view").first().n == 10
+
+
+def test_declared_table_schemas_match_files(spark):
+    from ledgerline.plans.tables import SCHEMAS
+    for name, schema in SCHEMAS.items():
+        for sf in ("/root/testdata/sf0.001", "/root/testdata/sf0.01"):
+            assert spark.read.parquet(f"{sf}/{name}.parquet").schema.simpleString() == \
+                schema.simpleString(), (name, sf)
