@@ -79,3 +79,28 @@ def py_safe_int(v):
 def test_safe_int_text_matches_python(spark, values):
     got = _eval(spark, values, C.safe_int("v", StringType()))
     assert got == [py_safe_int(v) for v in values]
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["http", "https"]), st.sampled_from(["", "www.", "WWW."]),
+                          st.text(alphabet="abcXYZ", min_size=1, max_size=6),
+                          st.sampled_from([".com", ".example.org", ".io"]),
+                          st.sampled_from(["", "/", "/x/y?q=1", ":8080/p"])),
+                min_size=1, max_size=40))
+def test_url_host_matches_python(spark, parts):
+    from urllib.parse import urlsplit
+    urls = [f"{s}://{w}{h}{t}{p}" for s, w, h, t, p in parts]
+
+    def py_host(u):
+        host = urlsplit(u).hostname.lower()
+        return host[4:] if host.startswith("www.") else host
+    assert _eval(spark, urls, S.url_host("v")) == [py_host(u) for u in urls]
+
+
+@SETTINGS
+@given(st.lists(st.decimals(min_value=-999, max_value=999, places=3, allow_nan=False),
+                min_size=1, max_size=50))
+def test_store_rounding_is_half_up(spark, values):
+    from decimal import ROUND_HALF_UP
+    got = _eval(spark, values, C.safe_decimal("v", 5, 2), "decimal(12,3)")
+    assert got == [v.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP) for v in values]
