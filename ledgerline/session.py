@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    # remove checkpoint files (row ids) once their data is no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
