@@ -4,9 +4,10 @@ order items (+ rejects) -> daily order and item marts (survey P1, P2)."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DecimalType, IntegerType, IntegralType, StringType, StructField,
                                StructType,
@@ -168,6 +169,25 @@ def _item_units(items: DataFrame) -> DataFrame:
                         (gross * S.factor_units("item_discount")).alias("__net_u"))
 
 
+_SPLIT = 10 ** 9
+
+
+def _discounted_sum(net_units: str, order_discount: str, scale_out: str = "decimal(15,2)") -> Column:
+    """Exact ``sum(net x (1 - order%))`` over the rows of a group, in integer
+    arithmetic per row. ``net_units`` is a long in 1e-6 units and the factor a
+    long in 1e-4 units, so each product is in 1e-10 units; to stay within 64
+    bits the net is split as ``hi * 10^9 + lo`` (integer division) and both
+    parts are multiplied and summed separately. The two sums meet in decimal
+    once per group: ``(A * 10^9 + B) * 10^-10``, rounded half-up to cents."""
+    f = S.factor_units(order_discount)
+    hi = F.expr(f"`{net_units}` div {_SPLIT}")
+    lo = F.col(net_units) - hi * F.lit(_SPLIT)
+    a = F.sum(hi * f).cast("decimal(19,0)")
+    b = F.sum(lo * f).cast("decimal(19,0)")
+    units = (a * F.lit(_SPLIT).cast("decimal(10,0)") + b).cast("decimal(27,0)")
+    return (units * F.lit(Decimal("1E-10")).cast("decimal(10,10)")).cast(scale_out)
+
+
 def order_mart(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Daily order mart by (year, month, day, city, store).
 
@@ -182,10 +202,9 @@ def order_mart(orders: DataFrame, items: DataFrame) -> DataFrame:
         F.sum("__net_u").alias("__net_u"),
     )
     j = orders.join(per_order, "order_id", "left")
-    rev = S.units_to_decimal("__net_u", 6) * S.decimal_factor("order_discount")
     return (j.groupBy(*_mart_keys(orders)).agg(
         S.units_to_decimal(F.sum("__gross_c"), 2, 15).alias("turnover"),
-        F.sum(rev).cast("decimal(15,2)").alias("revenue"),
+        _discounted_sum("__net_u", "order_discount").alias("revenue"),
         F.count("order_id").cast("int").alias("orders_created"),
         F.count(F.when(F.col("delivered_at").isNotNull(), F.col("order_id"))).cast("int")
         .alias("orders_delivered"),
@@ -230,8 +249,7 @@ def item_mart(orders: DataFrame, items: DataFrame) -> DataFrame:
     keys = _mart_keys(orders) + [F.col("item_category").alias("category"), F.col("item_id"),
                                  F.col("item_title")]
     return (j.groupBy(*keys).agg(
-        F.sum(S.units_to_decimal("__net_u", 6) * S.decimal_factor("order_discount"))
-        .cast("decimal(15,2)").alias("item_turnover"),
+        _discounted_sum("__net_u", "order_discount").alias("item_turnover"),
         F.sum("__qty").cast("int").alias("quantity_ordered"),
         F.sum("__canc").cast("int").alias("quantity_canceled"),
         F.count("order_id").cast("int").alias("orders_with_item"),
