@@ -169,22 +169,24 @@ def _item_units(items: DataFrame) -> DataFrame:
                         (gross * S.factor_units("item_discount")).alias("__net_u"))
 
 
-_SPLIT = 10 ** 9
+# lo < 10^5 keeps lo x factor below 10^9 per row (no practical group size
+# overflows its sum); hi x factor sums overflow only beyond decimal(15,2) range
+_SPLIT = 10 ** 5
 
 
 def _discounted_sum(net_units: str, order_discount: str, scale_out: str = "decimal(15,2)") -> Column:
     """Exact ``sum(net x (1 - order%))`` over the rows of a group, in integer
     arithmetic per row. ``net_units`` is a long in 1e-6 units and the factor a
     long in 1e-4 units, so each product is in 1e-10 units; to stay within 64
-    bits the net is split as ``hi * 10^9 + lo`` (integer division) and both
+    bits the net is split as ``hi * 10^5 + lo`` (integer division) and both
     parts are multiplied and summed separately. The two sums meet in decimal
-    once per group: ``(A * 10^9 + B) * 10^-10``, rounded half-up to cents."""
+    once per group: ``(A * 10^5 + B) * 10^-10``, rounded half-up to cents."""
     f = S.factor_units(order_discount)
     hi = F.expr(f"`{net_units}` div {_SPLIT}")
     lo = F.col(net_units) - hi * F.lit(_SPLIT)
     a = F.sum(hi * f).cast("decimal(19,0)")
     b = F.sum(lo * f).cast("decimal(19,0)")
-    units = (a * F.lit(_SPLIT).cast("decimal(10,0)") + b).cast("decimal(27,0)")
+    units = (a * F.lit(_SPLIT).cast("decimal(6,0)") + b).cast("decimal(27,0)")
     return (units * F.lit(Decimal("1E-10")).cast("decimal(10,10)")).cast(scale_out)
 
 

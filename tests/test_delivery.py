@@ -121,3 +121,22 @@ def test_load_delivery_writes_all_tables(spark):
     assert items.agg(F.min("order_item_id"), F.max("order_item_id")).first() == (1, items.count())
     orders = spark.read.parquet(paths["orders"])
     assert orders.count() == orders.select("order_id").distinct().count()
+
+
+def test_discounted_sum_exact_for_large_and_negative_nets(spark):
+    import random
+    from decimal import ROUND_HALF_UP
+
+    from ledgerline.plans.delivery import _discounted_sum
+    rnd = random.Random(5)
+    rows = []
+    for g in range(4):
+        for _ in range(30):
+            net = rnd.randint(-10**12, 9 * 10**17) if g else rnd.randint(0, 10**9)
+            disc = Decimal(rnd.randint(0, 9999)) / 100
+            rows.append((g, net, disc))
+    df = spark.createDataFrame(rows, "g int, n long, d decimal(5,2)")
+    got = {r.g: r.v for r in df.groupBy("g").agg(_discounted_sum("n", "d", "decimal(38,2)").alias("v")).collect()}
+    for g in range(4):
+        exact = sum(Decimal(n) * (10000 - int(d * 100)) for gg, n, d in rows if gg == g) * Decimal("1E-10")
+        assert got[g] == exact.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP), g
