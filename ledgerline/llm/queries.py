@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, exact_dedup, token_counts
+from ledgerline.llm import bpe, exact_dedup, near_dedup, token_counts
 from ledgerline.llm.storage import documents
 from ledgerline.session import scratch_path
 
@@ -16,6 +16,11 @@ def op1_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(documents(spark, sf_dir), bpe.default_tokenizer(spark, "word_bpe_49k.json"))
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups at 85 % and the document that stays."""
+    return near_dedup.near_groups(documents(spark, sf_dir), percent=85)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts and the row that stays."""
     return exact_dedup.exact_groups(documents(spark, sf_dir))
@@ -30,7 +35,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe_transducer, op5_exact_dedup, op10_token_counts)}
+    f.__name__: f for f in (op1_bpe_transducer, op2_minhash_near_dedup, op5_exact_dedup, op10_token_counts)}
 
 _LOWER_TEXT = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
 
