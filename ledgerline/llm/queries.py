@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, exact_dedup, near_dedup, token_counts
-from ledgerline.llm.storage import documents
+from ledgerline.llm import bpe, exact_dedup, near_dedup, secret_scan, token_counts, toxicity, warc
+from ledgerline.llm.storage import documents, table
 from ledgerline.session import scratch_path
 
 
@@ -26,6 +26,21 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record and read back."""
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every whole text."""
+    return secret_scan.find_secrets(documents(spark, sf_dir))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of every whole text."""
+    return toxicity.score_documents(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts through a digest cache. Each call has a cache of its own,
     so a result never depends on earlier calls."""
@@ -35,7 +50,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe_transducer, op2_minhash_near_dedup, op5_exact_dedup, op10_token_counts)}
+    f.__name__: f for f in (op1_bpe_transducer, op2_minhash_near_dedup, op5_exact_dedup, op6_warc, op7_secret_scan,
+                              op8_toxicity, op10_token_counts)}
 
 _LOWER_TEXT = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
 
@@ -45,4 +61,13 @@ ORACLE: dict[str, str] = {
              g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text_sha256)
         SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.text_sha256
         FROM d JOIN g USING (text_sha256)""",
+    "op6_warc": """
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+                          sha256(coalesce(html, '')) AS payload_digest FROM pages),
+             g AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100
+                   GROUP BY payload_digest)
+        SELECT p.page_id, p.payload_bytes, p.payload_digest,
+               CASE WHEN p.page_id <> g.first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN p.page_id <> g.first THEN g.first END AS refers_to
+        FROM p LEFT JOIN g USING (payload_digest)""",
 }
