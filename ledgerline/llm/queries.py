@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, exact_dedup, near_dedup, secret_scan, token_counts, toxicity, warc
+from ledgerline.llm import (bpe, exact_dedup, lm_scoring, near_dedup, quality, secret_scan, token_counts, toxicity,
+                            warc)
 from ledgerline.llm.storage import documents, table
 from ledgerline.session import scratch_path
 
@@ -21,6 +22,11 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(documents(spark, sf_dir), percent=85)
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents."""
+    return quality.score_documents(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts and the row that stays."""
     return exact_dedup.exact_groups(documents(spark, sf_dir))
@@ -41,6 +47,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of good documents against all."""
+    return lm_scoring.score_documents(documents(spark, sf_dir), lm_scoring.good_ids(table(spark, sf_dir, "labels")))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts through a digest cache. Each call has a cache of its own,
     so a result never depends on earlier calls."""
@@ -50,8 +61,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe_transducer, op2_minhash_near_dedup, op5_exact_dedup, op6_warc, op7_secret_scan,
-                              op8_toxicity, op10_token_counts)}
+    f.__name__: f for f in (op1_bpe_transducer, op2_minhash_near_dedup, op3_quality_classifier, op5_exact_dedup, op6_warc, op7_secret_scan,
+                              op8_toxicity, op9_lm_scoring, op10_token_counts)}
 
 _LOWER_TEXT = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
 
