@@ -42,6 +42,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.session import ship_package
+
 CACHE_ENTRIES = 300_000
 CACHE_CHUNK_CHARS = 48
 SLICE_CHARS = 1 << 18
@@ -462,4 +464,5 @@ def decode_documents(rows: DataFrame, path: str) -> DataFrame:
 def default_tokenizer(spark: SparkSession, name: str) -> str:
     """Path of an installed public vocabulary file."""
     import public_tokenizers
+    ship_package(spark)
     return public_tokenizers.path(name)

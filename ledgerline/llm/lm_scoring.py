@@ -8,9 +8,11 @@ the documents of ``target_ids`` (here those labelled as good and not toxic).
 
 Counting is one pass: each task sums dense counts of its documents and gives
 out its non-zero buckets, which are summed by a shuffle; what is gathered grows
-with the corpus, the summed model doesn't. The model (at most ``UNIGRAMS`` +
-``BIGRAMS`` rows of two counts) is broadcast, and a second pass scores all
-documents without a shuffle:
+with the corpus, the summed model doesn't. The counts (at most 2 * ``UNIGRAMS`` +
+``BIGRAMS`` rows) are broadcast, and a second pass scores all documents
+without a shuffle. The models are *matched*: background counts are scaled to
+the target's number of tokens, so both are smoothed alike, and a document's own
+counts are taken off both models before it is scored, so neither has seen it:
 
     p(w | v) = (c(v w) + PAIR_MASS * p(w)) / (c(v) + PAIR_MASS)
     p(w)     = (c(w) + 1 / 2) / (N + UNIGRAMS / 2)
@@ -80,34 +82,45 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["bucket", "n", "n_target"])
 
 
-def _model(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Probabilities of words, and counts of histories and pairs."""
-    words = counts[:UNIGRAMS].astype(np.float64)
-    total = words.sum()
-    return ((words + 0.5) / (total + 0.5 * UNIGRAMS)).astype(np.float32), \
-        counts[UNIGRAMS:2 * UNIGRAMS].astype(np.float32), counts[2 * UNIGRAMS:].astype(np.float32)
+def _own(buckets: np.ndarray, doc_of: np.ndarray, size: int) -> np.ndarray:
+    """How often each token's bucket occurs in the token's own document."""
+    _, at, times = np.unique(doc_of * size + buckets, return_inverse=True, return_counts=True)
+    return times[at]
 
 
-def _log2(model, words: np.ndarray, before: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    p, histories, joint = model
-    return np.log2((joint[pairs] + PAIR_MASS * p[words]) / (histories[before] + PAIR_MASS))
+def _log2(counts: tuple[np.ndarray, ...], total: float, scale: float, found: list[tuple[np.ndarray, np.ndarray]],
+          own_tokens: np.ndarray) -> np.ndarray:
+    """Per token: log2 p by the counts (words, histories, pairs) less the
+    document's own, scaled. ``found``: buckets and own occurrences."""
+    word, history, pair = (np.maximum(c[b] - own, 0) * scale for c, (b, own) in zip(counts, found))
+    p = (word + 0.5) / (np.maximum(total - own_tokens, 0) * scale + 0.5 * UNIGRAMS)
+    return np.log2((pair + PAIR_MASS * p) / (history + PAIR_MASS))
 
 
 def _score_batches(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target, background = shared.value
+        n_target, n_all = (float(c[0].sum(dtype=np.float64)) for c in (target, background))
+        match = n_target / n_all if n_target else 1.0
         for batch in batches:
+            of_target = batch.column(2).to_numpy(zero_copy_only=False).astype(np.float64)
             sizes, losses = [], ([], [])
-            for _, _, doc_words, words, before, pairs in _tokens(batch.column(1)):
-                sizes.append(np.diff(doc_words))
-                for model, out in zip((target, background), losses):
-                    total = np.concatenate([[0.0], np.cumsum(_log2(model, words, before, pairs), dtype=np.float64)])
-                    out.append(total[doc_words[1:]] - total[doc_words[:-1]])
+            for lo, hi, doc_words, words, before, pairs in _tokens(batch.column(1)):
+                n = np.diff(doc_words)
+                doc_of = np.repeat(np.arange(hi - lo), n)
+                found = [(b, _own(b, doc_of, size)) for b, size in
+                         ((words, UNIGRAMS), (before, UNIGRAMS), (pairs, BIGRAMS))]
+                inside = of_target[lo:hi][doc_of]
+                sizes.append(n)
+                for out, counts, total, scale, part in ((losses[0], target, n_target, 1.0, inside),
+                                                        (losses[1], background, n_all, match, 1.0)):
+                    bits = _log2(counts, total, scale, [(b, own * part) for b, own in found], n[doc_of] * part)
+                    sums = np.concatenate([[0.0], np.cumsum(bits)])
+                    out.append(sums[doc_words[1:]] - sums[doc_words[:-1]])
             n = np.concatenate(sizes) if sizes else np.empty(0, np.int64)
             with np.errstate(invalid="ignore", divide="ignore"):
                 ce = [-np.concatenate(x) / n if x else np.empty(0) for x in losses]
-            empty = n == 0
-            columns = [pa.array(x, mask=empty) for x in (*ce, ce[1] - ce[0])]
+            columns = [pa.array(x, mask=n == 0) for x in (*ce, ce[1] - ce[0])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), *columns],
                                              ["doc_id", "n_tokens", "ce_target", "ce_background", "score"])
     return run
@@ -119,26 +132,33 @@ def good_ids(labels: DataFrame) -> DataFrame:
             .select(F.col("doc_id").alias("target_id")).filter(F.col("target_id").isNotNull()).distinct())
 
 
-def ngram_counts(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
-    """Written (bucket, n, n_target) over all documents."""
-    ids = materialise(target_ids, "target-ids")
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    marked = (docs.select("doc_id", "text")
-              .join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("target_id"), "left")
-              .select("text", F.col("target_id").isNotNull().alias("of_target")))
-    return materialise(marked.mapInArrow(_counts, "bucket int, n long, n_target long")
+def _marked(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
+    """(doc_id, text, of_target); up to BROADCAST_IDS ids are broadcast."""
+    few = target_ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return (docs.select("doc_id", "text")
+            .join(F.broadcast(target_ids) if few else target_ids, F.col("doc_id") == F.col("target_id"), "left")
+            .select("doc_id", "text", F.col("target_id").isNotNull().alias("of_target")))
+
+
+def ngram_counts(marked: DataFrame) -> DataFrame:
+    """Written (bucket, n, n_target) over all rows of (text, of_target)."""
+    return materialise(marked.select("text", "of_target").mapInArrow(_counts, "bucket int, n long, n_target long")
                        .groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")),
                        "ngram-counts")
 
 
 def score_documents(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, ce_target, ce_background
-    (bits per token) and score = ce_background - ce_target."""
-    rows = ngram_counts(docs, target_ids).toArrow()     # at most 2 * UNIGRAMS + BIGRAMS rows
-    counts = np.zeros((2, 2 * UNIGRAMS + BIGRAMS), dtype=np.int64)
-    for k, name in enumerate(("n_target", "n")):
-        counts[k, rows["bucket"].to_numpy()] = rows[name].to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(_model(c) for c in counts))
+    (bits per token) and score = ce_background - ce_target. ``target_ids``:
+    distinct (target_id)."""
+    marked = _marked(docs, materialise(target_ids, "target-ids"))
+    rows = ngram_counts(marked).toArrow()       # at most 2 * UNIGRAMS + BIGRAMS rows
+    models = []
+    for name in ("n_target", "n"):
+        counts = np.zeros(2 * UNIGRAMS + BIGRAMS, dtype=np.float64)
+        counts[rows["bucket"].to_numpy()] = rows[name].to_numpy()
+        models.append((counts[:UNIGRAMS], counts[UNIGRAMS:2 * UNIGRAMS], counts[2 * UNIGRAMS:]))
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(models))
     schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL(
         "n_tokens long, ce_target double, ce_background double, score double").fields])
-    return docs.select("doc_id", "text").mapInArrow(_score_batches(shared), schema)
+    return marked.mapInArrow(_score_batches(shared), schema)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import (bpe, exact_dedup, lm_scoring, near_dedup, quality, secret_scan, token_counts, toxicity,
+from ledgerline.llm import (bpe, decontaminate, exact_dedup, lm_scoring, near_dedup, quality, secret_scan, token_counts, toxicity,
                             warc)
 from ledgerline.llm.storage import documents, table
 from ledgerline.session import scratch_path
@@ -27,6 +27,11 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in the documents."""
+    return decontaminate.find_leaks(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts and the row that stays."""
     return exact_dedup.exact_groups(documents(spark, sf_dir))
@@ -61,7 +66,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe_transducer, op2_minhash_near_dedup, op3_quality_classifier, op5_exact_dedup, op6_warc, op7_secret_scan,
+    f.__name__: f for f in (op1_bpe_transducer, op2_minhash_near_dedup, op3_quality_classifier, op4_decontamination,
+                              op5_exact_dedup, op6_warc, op7_secret_scan,
                               op8_toxicity, op9_lm_scoring, op10_token_counts)}
 
 _LOWER_TEXT = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")

@@ -22,6 +22,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     read it back: the lineage is cut, a lost executor loses nothing, and every
     later read sees the same rows."""
     spark = df.sparkSession
+    ship_package(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
