@@ -63,12 +63,6 @@ def negative(col: str | Column) -> Column:
     return _c(col) < 0
 
 
-def any_negative(*cols: str | Column) -> Column:
-    """Any of the measures < 0 (NULL measures are ignored)."""
-    return F.greatest(*[F.when(_c(c) < 0, F.lit(True)) for c in cols]) if len(cols) > 1 \
-        else negative(cols[0])
-
-
 def too_short(col: str | Column, n: int = PASSWORD_MIN_LEN) -> Column:
     """Text shorter than n."""
     return F.length(_c(col)) < n
@@ -108,11 +102,6 @@ def status_unknown(col: str | Column, allowed: tuple[str, ...] = ORDER_STATUSES)
     return ~_c(col).isin(*allowed)
 
 
-def no_items(col: str | Column) -> Column:
-    """Order without items (NULL list counts as empty)."""
-    return F.coalesce(F.size(_c(col)), F.lit(0)) <= 0
-
-
 def paid_with_zero_total(status: str | Column, total: Column) -> Column:
     """Paid or delivered while the total is 0."""
     return _c(status).isin(*PAID_STATUSES) & (total == 0)

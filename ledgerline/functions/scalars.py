@@ -99,14 +99,16 @@ def decimal_factor(discount_pct: str | Column) -> Column:
 
 
 def cents(price: str | Column) -> Column:
-    """A money decimal with 2 places as an exact count of cents (long)."""
-    return (_c(price) * F.lit(100)).cast("long")
+    """Money as an exact count of cents (long); other types and scales are
+    first rounded half-up to cents, as the store does."""
+    return (_c(price).cast("decimal(18,2)") * F.lit(100)).cast("long")
 
 
 def factor_units(discount_pct: str | Column) -> Column:
     """``1 - coalesce(d, 0)/100`` in exact units of 1e-4 (long) for a
-    NUMERIC(5,2) percentage: 2.51 % -> 9749."""
-    d = F.coalesce(_c(discount_pct), F.lit(0).cast("decimal(5,2)"))
+    NUMERIC(5,2) percentage: 2.51 % -> 9749. Other types and scales are first
+    rounded half-up to two places."""
+    d = F.coalesce(_c(discount_pct).cast("decimal(5,2)"), F.lit(0).cast("decimal(5,2)"))
     return F.lit(10000) - (d * F.lit(100)).cast("long")
 
 

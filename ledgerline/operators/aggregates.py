@@ -56,7 +56,7 @@ def crosstab(df: DataFrame, row: str, col: str, row_values: Sequence[str],
     spark = df.sparkSession
     domain = spark.createDataFrame([(i + 1, v) for i, v in enumerate(row_values)],
                                    f"position int, {row} string")
-    out = F.broadcast(domain).join(counts, row, "left")
+    out = domain.join(counts, row, "left")
     return out.select("position", row,
                       *[F.coalesce(F.col(f"`{c}`"), F.lit(fill)).cast("bigint").alias(c)
                         for c in col_values])
@@ -65,14 +65,15 @@ def crosstab(df: DataFrame, row: str, col: str, row_values: Sequence[str],
 def group_quantiles(df: DataFrame, by: Sequence[str], col: str,
                     probs: Sequence[float] = (0.25, 0.5, 0.75), approx: bool = False,
                     names: Sequence[str] | None = None, accuracy: int = 10000,
-                    method: str = "map") -> DataFrame:
+                    method: str = "sorted") -> DataFrame:
     """Quantiles per group with linear interpolation.
 
-    * ``method="map"`` (default): exact ``percentile``; the aggregation buffer
+    * ``method="map"``: exact ``percentile``; the aggregation buffer
       is a value->count map per group, combined map-side. Memory follows the
-      number of *distinct* values in a group (ages, durations, ratings...).
-    * ``method="sorted"``: exact and fully distributed for groups of many
-      distinct values: global dense ids in (group, value) order from a
+      number of *distinct* values in a group: only for columns whose values are
+      known to be few (whole years, minutes, ratings).
+    * ``method="sorted"`` (default): exact and fully distributed, for any
+      number of distinct values: global dense ids in (group, value) order from a
       range-partitioned sort (a hot group spans many tasks), then the two
       neighbours of each quantile position are fetched by an equi-join on
       the unique id. No group is ever gathered in one task.
@@ -116,11 +117,11 @@ def _quantiles_sorted(src: DataFrame, by: list[str], col: str, probs: list[float
 
 
 def box_stats(df: DataFrame, col: str, by: Sequence[str] = (), whisker: float = 1.5,
-              method: str = "map") -> DataFrame:
+              method: str = "sorted") -> DataFrame:
     """Quartiles, IQR, whiskers (most extreme values within
     ``whisker`` x IQR of the box) and the number of outliers per group.
     Second pass: the per-group quartiles (one row per group) are joined back
-    on the group key."""
+    on the group key, NULL being a group of its own."""
     by = list(by)
     src = df.filter(F.col(col).isNotNull())
     q = group_quantiles(src, by, col, names=["q1", "median", "q3"], method=method)
@@ -128,7 +129,9 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str] = (), whisker: float =
          .withColumn("lo_fence", F.col("q1") - whisker * F.col("iqr"))
          .withColumn("hi_fence", F.col("q3") + whisker * F.col("iqr")))
     if by:
-        j = src.select(*by, col).join(q, by, "inner")
+        keyed = q.select(*[F.col(b).alias(f"__{b}") for b in by], *[c for c in q.columns if c not in by])
+        same = [F.col(b).eqNullSafe(F.col(f"__{b}")) for b in by]
+        j = src.select(*by, col).join(keyed, same, "inner")
     else:
         # one group: the quartiles are a scalar sub-query (one struct, run once)
         one = q.select(F.struct(*q.columns).alias("s")).scalar()
@@ -144,57 +147,67 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str] = (), whisker: float =
     return stats
 
 
+def _is_number(x: Column) -> Column:
+    return x.isNotNull() & ~F.isnan(x)
+
+
 def histogram(df: DataFrame, col: str, edges: Sequence[float], by: str | None = None,
               total: bool = True, out: str = "n", overall_label: str = "all") -> DataFrame:
     """Counts per bin for fixed ascending edges (bins ``[e_i, e_i+1)``,
-    the last one closed); values outside are dropped. With ``by`` the counts
-    are per class **and** overall, in one pass (grouping sets); the overall
-    rows carry ``overall_label`` in the class column (chosen by
-    ``grouping_id``, so a real NULL class stays separate)."""
+    the last one closed). Every bin is there, empty ones with 0; values outside,
+    NULL and NaN are not counted. With ``by`` the counts are per class **and**
+    overall, in one pass (grouping sets); the overall rows carry
+    ``overall_label`` in the class column (chosen by ``grouping_id``, so a real
+    NULL class stays separate). One conditional count per bin, all map-side
+    combined."""
     edges = [float(e) for e in edges]
     if len(edges) < 2 or any(b <= a for a, b in zip(edges, edges[1:])):
         raise ValueError("edges must be strictly ascending")
-    x = F.col(col).cast("double")
-    # bin = number of edges <= x, with the last edge folded into the last bin
-    nb = len(edges) - 1
-    b = F.lit(0)
-    for e in edges[:-1]:
-        b = b + F.when(x >= F.lit(e), 1).otherwise(0)
-    bin_col = (F.when((x < F.lit(edges[0])) | (x > F.lit(edges[-1])), F.lit(None).cast("int"))
-               .otherwise(F.least(b, F.lit(nb)).cast("int")))
-    binned = df.select(*([by] if by else []), bin_col.alias("bin")).filter(F.col("bin").isNotNull())
-    lo_map = F.element_at(F.array(*[F.lit(e) for e in edges[:-1]]), F.col("bin"))
-    hi_map = F.element_at(F.array(*[F.lit(e) for e in edges[1:]]), F.col("bin"))
+    bins = list(zip(edges[:-1], edges[1:]))
+    x = F.col("__x")
+    src = df.select(*([by] if by else []), F.col(col).cast("double").alias("__x"))
+    counts = []
+    for i, (lo, hi) in enumerate(bins):
+        below = x <= hi if i == len(bins) - 1 else x < hi
+        counts.append(F.count(F.when(_is_number(x) & (x >= lo) & below, 1)).alias(f"__b{i}"))
     if by is None:
-        res = binned.groupBy("bin").agg(F.count(F.lit(1)).alias(out))
+        res = src.agg(*counts)
     elif not total:
-        res = binned.groupBy(by, "bin").agg(F.count(F.lit(1)).alias(out))
+        res = src.groupBy(by).agg(*counts)
     else:
-        res = (binned.groupingSets([[by, "bin"], ["bin"]], by, "bin")
-               .agg(F.count(F.lit(1)).alias(out), F.grouping_id().alias("__g")))
-        res = res.select(
-            F.when(F.col("__g") == 0, F.col(by)).otherwise(F.lit(overall_label)).alias(by),
-            "bin", out)
-    return res.select(*([by] if by else []), "bin",
-                      lo_map.alias("bin_lo"), hi_map.alias("bin_hi"), out)
-
-
-def histogram_n(df: DataFrame, col: str, n: int, out: str = "n") -> DataFrame:
-    """N equal-width bins over [min, max] of the column (NULL dropped).
-    min and max come from one scalar sub-query that Spark runs once; when
-    min = max every value falls in bin 1."""
-    src = df.filter(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("__x"))
-    # one scalar sub-query (a struct of both bounds): one pass for min and max
-    bounds = src.agg(F.struct(F.min("__x").alias("lo"), F.max("__x").alias("hi")).alias("b")).scalar()
-    lo, hi = bounds["lo"], bounds["hi"]
-    width = (hi - lo) / F.lit(n)
-    b = (F.when(hi == lo, F.lit(1))
-         .when(F.col("__x") >= hi, F.lit(n))
-         .otherwise(F.floor((F.col("__x") - lo) / width).cast("int") + 1))
-    res = src.select(b.cast("int").alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias(out))
-    return res.select("bin",
-                      (lo + (F.col("bin") - 1) * width).alias("bin_lo"),
-                      (lo + F.col("bin") * width).alias("bin_hi"), out)
+        res = src.groupingSets([[by], []], by).agg(*counts, F.grouping_id().alias("__g"))
+        res = res.withColumn(by, F.when(F.col("__g") == 0, F.col(by)).otherwise(F.lit(overall_label)))
+    rows = F.array(*[F.struct(F.lit(i + 1).alias("bin"), F.lit(lo).alias("bin_lo"), F.lit(hi).alias("bin_hi"),
+                              F.col(f"__b{i}").alias(out)) for i, (lo, hi) in enumerate(bins)])
+    return res.select(*([by] if by else []), F.inline(rows))
+
+
+def histogram_n(df: DataFrame, col: str, n: int | dict[str, int], by: str | None = None,
+                out: str = "n") -> DataFrame:
+    """Equal-width bins over [min, max] of the column (NULL and NaN
+    dropped), empty bins with 0. With ``by``, ``n`` gives the number of bins
+    per class (other classes are dropped): one pass finds all bounds, a second
+    counts. When min = max every value falls in bin 1."""
+    x = F.col(col).cast("double")
+    if by is None:
+        return histogram_n(df.select(F.lit("").alias("__all"), x.alias("__x")), "__x", {"": n}, "__all", out) \
+            .drop("__all")
+    src = df.select(F.col(by), x.alias("__x")).filter(_is_number(F.col("__x")) & F.col(by).isin(*n))
+    spark = df.sparkSession
+    classes = spark.createDataFrame(list(n.items()), f"`{by}` string, __n int")
+    # one row per class that the caller names
+    bounds = classes.join(src.groupBy(by).agg(F.min("__x").alias("__lo"), F.max("__x").alias("__hi")), by, "left")
+    width = (F.col("__hi") - F.col("__lo")) / F.col("__n")
+    b = (F.when(F.col("__hi") == F.col("__lo"), F.lit(1))
+         .when(F.col("__x") >= F.col("__hi"), F.col("__n"))
+         .otherwise(F.floor((F.col("__x") - F.col("__lo")) / width).cast("int") + 1))
+    counts = (src.join(F.broadcast(bounds), by).select(by, b.cast("int").alias("bin"))
+              .groupBy(by, "bin").agg(F.count(F.lit(1)).alias("__count")))
+    bins = bounds.withColumn("bin", F.explode(F.sequence(F.lit(1), F.col("__n"))))
+    return (bins.join(counts, [by, "bin"], "left")
+            .select(by, "bin", (F.col("__lo") + (F.col("bin") - 1) * width).alias("bin_lo"),
+                    (F.col("__lo") + F.col("bin") * width).alias("bin_hi"),
+                    F.coalesce("__count", F.lit(0)).cast("bigint").alias(out)))
 
 
 def null_count(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -218,9 +231,3 @@ def monthly_mean_count(df: DataFrame, ts: str | Column, out: str = "avg_count")
            .filter(F.col("year").isNotNull())
            .groupBy("year", "month").agg(F.count(F.lit(1)).alias("__n")))
     return per.groupBy("month").agg(F.avg("__n").alias(out)).orderBy("month")
-
-
-def count_distinct_if(col: str | Column, cond: Column) -> Column:
-    """``COUNT(DISTINCT CASE WHEN cond THEN col END)``."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.count_distinct(F.when(cond, c))

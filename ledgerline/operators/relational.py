@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.session import ensure_checkpoint_dir, scratch_path
 
 
 def _cols(xs) -> list[Column]:
@@ -68,7 +68,7 @@ def check_fk(child: DataFrame, parent: DataFrame, child_key: str,
     """Child rows whose non-NULL key has no parent (a NULL key passes,
     as in SQL)."""
     pk = parent_key or child_key
-    parents = parent.select(F.col(pk).alias("__pk")).distinct()
+    parents = parent.select(F.col(pk).alias("__pk"))
     return (child.filter(F.col(child_key).isNotNull())
             .join(parents, F.col(child_key) == F.col("__pk"), "left_anti"))
 
@@ -135,18 +135,22 @@ def with_row_id(df: DataFrame, order_by: Sequence[str | Column], out: str = "id"
     """dense row ids 1..n in a total order, without moving all rows to one
     task.
 
-    The sorted data is written once to the shared checkpoint folder (range
-    partitioned by the sort), which fixes its partitions across retries and
-    cuts the lineage. Each partition then counts its rows; the per-partition
-    counts (one row per partition, so bounded by the partition count, not by
-    the data) give offsets that are broadcast back.
+    The rows are written once as they come; the place in the written files is
+    the last sort key, so the order is the same when a task is run again, and a run
+    of equal keys (a hot key) is split over several partitions. The sorted data
+    is written to the shared checkpoint folder (range partitioned by the sort),
+    which fixes its partitions and cuts the lineage. Each partition then counts
+    its rows; the per-partition counts (one row per partition, so bounded by
+    the partition count, not by the data) give offsets that are broadcast back.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    # the input position as last sort key lets the range partitioner split a
-    # run of equal keys (a hot key) over several partitions
-    ordered = (df.withColumn("__tie", F.monotonically_increasing_id())
-               .orderBy(*_cols(order_by), F.col("__tie"))
-               .drop("__tie")
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    staged = scratch_path(spark, "row-ids")
+    df.write.parquet(staged)
+    placed = spark.read.schema(df.schema).parquet(staged).select(
+        "*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    ordered = (placed.orderBy(*_cols(order_by), "__file", "__row")
+               .drop("__file", "__row")
                .checkpoint(eager=True))
     tagged = (ordered
               .withColumn("__pid", F.spark_partition_id())
@@ -167,25 +171,26 @@ def with_row_id(df: DataFrame, order_by: Sequence[str | Column], out: str = "id"
 
 def append_records(existing: DataFrame, new: DataFrame, order_by: Sequence[str],
                    id_col: str = "id") -> DataFrame:
-    """Bag union; new rows get ids ``count(existing) + 1 ...`` in their
-    order, existing rows keep theirs. Ids are re-made over the union with the
-    existing rows first."""
-    both = (existing.drop(id_col).withColumn("__part", F.lit(0))
-            .unionByName(new.withColumn("__part", F.lit(1))))
-    return with_row_id(both, ["__part", *order_by], out=id_col).drop("__part")
-
-
-def delete_records(df: DataFrame, ids: DataFrame, order_by: Sequence[str],
-                   id_col: str = "id", check: bool = True) -> DataFrame:
-    """Remove rows by id, then renumber 1..n. An unknown id is an error
-    (one bounded probe: at most one row reaches the driver)."""
+    """Bag union. Stored rows keep their ids and are not touched; the new
+    rows get ``count(existing) + 1 ...`` in their own order. Of the stored rows
+    only the count is read."""
+    stored = existing.agg(F.count(F.lit(1)).alias("n")).scalar()
+    fresh = with_row_id(new, order_by, out=id_col).withColumn(id_col, F.col(id_col) + stored)
+    return existing.unionByName(fresh.select(*existing.columns))
+
+
+def delete_records(df: DataFrame, ids: DataFrame, id_col: str = "id", check: bool = True) -> DataFrame:
+    """Remove rows by id, then renumber 1..n in the stored order (that of
+    the ids). An unknown id is an error (one bounded probe: at most one row
+    reaches the driver)."""
     if check:
         missing = ids.select(id_col).join(df.select(id_col), id_col, "left_anti")
         probe = missing.limit(1).collect()
         if probe:
             raise KeyError(f"record id {probe[0][0]} not found")
     kept = df.join(ids.select(id_col), id_col, "left_anti")
-    return with_row_id(kept.drop(id_col), order_by, out=id_col)
+    return with_row_id(kept, [id_col], out="__new").drop(id_col).withColumnRenamed("__new", id_col) \
+        .select(*df.columns)
 
 
 def to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str],

@@ -21,8 +21,10 @@ STATUS_DISPLAY = {
     "... >= 200 DM / salary for at least 1 year": ">=200 DM / salary for at least 1 year",
     "... < 0 DM": "< 0 DM",
 }
-STATUS_ORDER = ("no checking account", "0< ... < 200 DM",
-                ">=200 DM / salary for at least 1 year", "< 0 DM")
+SAVINGS_DISPLAY = {
+    "... <  100 DM": "... < 100 DM",
+    "100 <= ... <  500 DM": "100 <= ... < 500 DM",
+}
 SAVINGS_ORDER = ("unknown/no savings account", "... < 100 DM", "100 <= ... < 500 DM",
                  "... >= 1000 DM", "500 <= ... < 1000 DM")
 RISK_CLASSES = ("good", "bad")
@@ -37,6 +39,11 @@ def remap_values(df: DataFrame, col: str, mapping: Mapping[str, str],
     return df.withColumn(out or f"{col}_display", S.remap(col, mapping))
 
 
+def with_display(df: DataFrame) -> DataFrame:
+    """The credit data set's status and savings classes as shown."""
+    return remap_values(remap_values(df, "status", STATUS_DISPLAY), "savings", SAVINGS_DISPLAY)
+
+
 def crosstab_zero_filled(df: DataFrame, row: str, row_values: Sequence[str],
                          col: str = "credit_risk",
                          col_values: Sequence[str] = RISK_CLASSES) -> DataFrame:
@@ -45,11 +52,12 @@ def crosstab_zero_filled(df: DataFrame, row: str, row_values: Sequence[str],
     return A.crosstab(df, row, col, row_values, col_values)
 
 
-def age_quartiles(df: DataFrame, by: Sequence[str] = ("savings", "credit_risk"),
+def age_quartiles(df: DataFrame, by: Sequence[str] = ("savings_display", "credit_risk"),
                   col: str = "age", approx: bool = False) -> DataFrame:
-    """Quartiles (violin inner lines) per category and class."""
+    """Quartiles (violin inner lines) per category and class. Ages are
+    whole years, so a group's value map has some 120 entries at most."""
     return A.group_quantiles(df, list(by), col, (0.25, 0.5, 0.75), approx=approx,
-                             names=["q1", "median", "q3"])
+                             names=["q1", "median", "q3"], method="map")
 
 
 def age_histogram(df: DataFrame, col: str = "age", edges: Sequence[float] = AGE_EDGES,
@@ -58,17 +66,9 @@ def age_histogram(df: DataFrame, col: str = "age", edges: Sequence[float] = AGE_
     return A.histogram(df, col, edges, by=by, total=True)
 
 
-def scatter_points(df: DataFrame, x: str, y: str, z: str | None = None, by: str | None = None,
-                   max_points: int | None = None, seed: int = 42) -> DataFrame:
-    """The points of a 2-D/3-D scatter with their class. A cap, when
-    asked for, is a seeded uniform random subset of ``max_points`` rows (the
-    feature: a drawable subset): the k smallest random keys, taken k per
-    partition and then merged, so no partition is moved whole."""
-    cols = [x, y] + ([z] if z else []) + ([by] if by else [])
-    pts = df.select(*cols)
-    if max_points is not None:
-        return pts.orderBy(F.rand(seed)).limit(max_points)
-    return pts
+def scatter_points(df: DataFrame, x: str, y: str, z: str | None = None, by: str | None = None) -> DataFrame:
+    """The points of a 2-D/3-D scatter with their class, all of them."""
+    return df.select(x, y, *([z] if z else []), *([by] if by else []))
 
 
 def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -133,15 +133,14 @@ def duration_split(titles: DataFrame) -> DataFrame:
 def duration_histogram(titles: DataFrame, movie_bins: int = MOVIE_BINS,
                        season_bins: int = SEASON_BINS) -> DataFrame:
     """Equal-width histograms of movie minutes and show seasons."""
-    d = duration_split(titles)
-    h_min = A.histogram_n(d, "min", movie_bins).withColumn("kind", F.lit("min"))
-    h_sea = A.histogram_n(d, "season", season_bins).withColumn("kind", F.lit("season"))
-    return h_min.unionByName(h_sea)
+    long = RL.to_long(duration_split(titles), ["show_id"], ["min", "season"], "kind", "value")
+    return A.histogram_n(long, "value", {"min": movie_bins, "season": season_bins}, by="kind")
 
 
 def box_stats(titles: DataFrame) -> DataFrame:
-    """Box-plot numbers of movie minutes."""
-    return A.box_stats(duration_split(titles), "min")
+    """Box-plot numbers of movie minutes (whole minutes: few distinct
+    values, so the value map of the quartiles stays small)."""
+    return A.box_stats(duration_split(titles), "min", method="map")
 
 
 def avg_duration_by_year(titles: DataFrame, year_from: int = 2000) -> DataFrame:

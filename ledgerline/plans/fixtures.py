@@ -15,6 +15,11 @@ from ledgerline.plans.tables import load
 # Fixed values of the adapters (FIXTURES.md §2).
 STATUS_DELIVERED, STATUS_CANCELED = "F", "P"
 LONG_DATE_FORMAT = "MMMM d, yyyy"
+CREDIT_STATUS = ("no checking account", "0<= ... < 200 DM",
+                 "... >= 200 DM / salary for at least 1 year", "... < 0 DM")
+CREDIT_SAVINGS = {"AUTOMOBILE": "unknown/no savings account", "BUILDING": "... <  100 DM",
+                  "FURNITURE": "100 <= ... <  500 DM", "HOUSEHOLD": "500 <= ... < 1000 DM",
+                  "MACHINERY": "100 <= ... <  500 DM"}
 FIRST_WINS_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                     "l_quantity", "l_extendedprice", "l_shipdate")
 # the load order travels as flat columns (a struct sort key loses the
@@ -151,7 +156,7 @@ def prices(spark: SparkSession, sf: str) -> DataFrame:
             .distinct())
 
 
-def sales(spark: SparkSession, sf: str, days: int = 2) -> DataFrame:
+def sales(spark: SparkSession, sf: str, days: int = 12) -> DataFrame:
     """Wide daily sales per (item, dept, cat, store, state): d_k = units
     shipped in month k."""
     l = _t(spark, sf, "lineitem")
@@ -207,10 +212,11 @@ def credit(spark: SparkSession, sf: str) -> DataFrame:
     c = _t(spark, sf, "customer")
     return c.select(
         F.col("c_custkey").alias("client_id"),
-        F.col("c_mktsegment").alias("status"),
-        F.col("c_mktsegment").alias("savings"),
+        F.element_at(F.array(*map(F.lit, CREDIT_STATUS)), (F.col("c_custkey") % 4 + 1).cast("int")).alias("status"),
+        F.element_at(F.create_map(*[F.lit(x) for pair in CREDIT_SAVINGS.items() for x in pair]),
+                     F.col("c_mktsegment")).alias("savings"),
         F.when(F.col("c_acctbal") >= 1000, "good").otherwise("bad").alias("credit_risk"),
-        (F.lit(18) + F.col("c_custkey") % 60).cast("int").alias("age"),
+        F.when(F.col("c_custkey") % 37 != 0, (F.lit(18) + F.col("c_custkey") % 60).cast("int")).alias("age"),
         F.abs(F.col("c_acctbal")).alias("amount"),
         (F.lit(4) + F.col("c_custkey") % 69).cast("int").alias("duration"),
     )

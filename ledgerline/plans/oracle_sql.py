@@ -233,8 +233,9 @@ FIXTURES["prices"] = ((), """
 FIXTURES["sales"] = (("geo",), """
         SELECT CAST(l.l_partkey AS INTEGER) AS item_id, p.p_brand AS dept_id, p.p_type AS cat_id,
                g.c_nationkey AS store_id, g.r_name AS state_id,
-               CAST(SUM(CASE WHEN month(l.l_shipdate) = 1 THEN l.l_quantity ELSE 0 END) AS INTEGER) AS d_1,
-               CAST(SUM(CASE WHEN month(l.l_shipdate) = 2 THEN l.l_quantity ELSE 0 END) AS INTEGER) AS d_2
+               """ + ", ".join(
+    f"CAST(SUM(CASE WHEN month(l.l_shipdate) = {k} THEN l.l_quantity ELSE 0 END) AS INTEGER) AS d_{k}"
+    for k in range(1, 13)) + """
         FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
         JOIN orders o ON l.l_orderkey = o.o_orderkey
         JOIN geo g ON o.o_custkey = g.c_custkey
@@ -307,9 +308,16 @@ FROM hourly ORDER BY revenue DESC, hour LIMIT 1""")
 # ---- credit and titles ---------------------------------------------------------
 
 FIXTURES["credit"] = ((), """
-        SELECT c_custkey AS client_id, c_mktsegment AS status, c_mktsegment AS savings,
+        SELECT c_custkey AS client_id,
+               CASE c_custkey % 4 WHEN 0 THEN 'no checking account' WHEN 1 THEN '0<= ... < 200 DM'
+                    WHEN 2 THEN '... >= 200 DM / salary for at least 1 year' ELSE '... < 0 DM' END AS status,
+               CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'unknown/no savings account'
+                    WHEN 'BUILDING' THEN '... <  100 DM' WHEN 'HOUSEHOLD' THEN '500 <= ... < 1000 DM'
+                    WHEN 'FURNITURE' THEN '100 <= ... <  500 DM'
+                    WHEN 'MACHINERY' THEN '100 <= ... <  500 DM' END AS savings,
+               replace(savings, '<  ', '< ') AS savings_display,
                CASE WHEN c_acctbal >= 1000 THEN 'good' ELSE 'bad' END AS credit_risk,
-               CAST(18 + c_custkey % 60 AS INTEGER) AS age, abs(c_acctbal) AS amount,
+               CASE WHEN c_custkey % 37 <> 0 THEN CAST(18 + c_custkey % 60 AS INTEGER) END AS age, abs(c_acctbal) AS amount,
                CAST(4 + c_custkey % 69 AS INTEGER) AS duration
         FROM customer""")
 FIXTURES["titles"] = ((), """
@@ -335,28 +343,32 @@ FIXTURES["titles"] = ((), """
 
 ORACLE["remap_values"] = with_fixtures(("credit",), """
 SELECT client_id, status,
-       CASE status WHEN 'AUTOMOBILE' THEN 'auto' WHEN 'BUILDING' THEN 'building'
-                   WHEN 'MACHINERY' THEN 'machines' ELSE status END AS status_display
+       CASE status WHEN '0<= ... < 200 DM' THEN '0< ... < 200 DM'
+                   WHEN '... >= 200 DM / salary for at least 1 year' THEN '>=200 DM / salary for at least 1 year'
+                   WHEN '... < 0 DM' THEN '< 0 DM' ELSE status END AS status_display,
+       savings, savings_display
 FROM credit""")
 ORACLE["crosstab_zero_filled"] = with_fixtures(("credit",), """
-, dom AS (SELECT * FROM (VALUES (1, 'AUTOMOBILE'), (2, 'BUILDING'), (3, 'FURNITURE'),
-                               (4, 'HOUSEHOLD'), (5, 'MACHINERY'), (6, 'UNKNOWN')) v(position, savings))
-SELECT CAST(d.position AS INTEGER) AS position, d.savings,
+, dom AS (SELECT * FROM (VALUES (1, 'unknown/no savings account'), (2, '... < 100 DM'),
+                               (3, '100 <= ... < 500 DM'), (4, '... >= 1000 DM'),
+                               (5, '500 <= ... < 1000 DM')) v(position, savings_display))
+SELECT CAST(d.position AS INTEGER) AS position, d.savings_display,
        CAST(COUNT(c.client_id) FILTER (WHERE c.credit_risk = 'good') AS BIGINT) AS good,
        CAST(COUNT(c.client_id) FILTER (WHERE c.credit_risk = 'bad') AS BIGINT) AS bad
-FROM dom d LEFT JOIN credit c ON c.savings = d.savings
-GROUP BY d.position, d.savings""")
+FROM dom d LEFT JOIN credit c ON c.savings_display = d.savings_display
+GROUP BY d.position, d.savings_display""")
 ORACLE["age_quartiles"] = with_fixtures(("credit",), """
-SELECT savings, credit_risk, quantile_cont(age, 0.25) AS q1, quantile_cont(age, 0.5) AS median,
+SELECT savings_display, credit_risk, quantile_cont(age, 0.25) AS q1, quantile_cont(age, 0.5) AS median,
        quantile_cont(age, 0.75) AS q3
-FROM credit WHERE age IS NOT NULL GROUP BY savings, credit_risk""")
+FROM credit WHERE age IS NOT NULL GROUP BY savings_display, credit_risk""")
 ORACLE["age_histogram"] = with_fixtures(("credit",), """
-, b AS (SELECT credit_risk, CAST(LEAST(floor((age - 20) / 5) + 1, 11) AS INTEGER) AS bin
-        FROM credit WHERE age BETWEEN 20 AND 75)
-SELECT credit_risk, bin, CAST(15 + 5 * bin AS DOUBLE) AS bin_lo, CAST(20 + 5 * bin AS DOUBLE) AS bin_hi,
-       COUNT(*) AS n FROM b GROUP BY credit_risk, bin
-UNION ALL
-SELECT 'all', bin, CAST(15 + 5 * bin AS DOUBLE), CAST(20 + 5 * bin AS DOUBLE), COUNT(*) FROM b GROUP BY bin""")
+, people AS (SELECT credit_risk, age FROM credit UNION ALL SELECT 'all', age FROM credit),
+bins AS (SELECT CAST(i AS INTEGER) AS bin FROM range(1, 12) r(i)),
+classes AS (SELECT DISTINCT credit_risk FROM people)
+SELECT c.credit_risk, b.bin, CAST(15 + 5 * b.bin AS DOUBLE) AS bin_lo, CAST(20 + 5 * b.bin AS DOUBLE) AS bin_hi,
+       (SELECT COUNT(*) FROM people p WHERE p.credit_risk = c.credit_risk AND p.age >= 15 + 5 * b.bin
+           AND (p.age < 20 + 5 * b.bin OR (b.bin = 11 AND p.age = 75))) AS n
+FROM classes c, bins b""")
 ORACLE["scatter_points"] = with_fixtures(("credit",), "SELECT amount, duration, age, credit_risk FROM credit")
 ORACLE["null_counts"] = with_fixtures(("titles",), """
 SELECT COUNT(*) FILTER (WHERE director IS NULL) AS director,
@@ -401,9 +413,10 @@ b AS (SELECT v.kind, s.lo, s.hi, s.nb,
              CAST(CASE WHEN s.hi = s.lo THEN 1 WHEN v.x >= s.hi THEN s.nb
                        ELSE floor((v.x - s.lo) / ((s.hi - s.lo) / s.nb)) + 1 END AS INTEGER) AS bin
       FROM v JOIN s ON v.kind = s.kind)
-SELECT kind, bin, round(lo + (bin - 1) * ((hi - lo) / nb), 6) AS bin_lo,
-       round(lo + bin * ((hi - lo) / nb), 6) AS bin_hi, COUNT(*) AS n
-FROM b GROUP BY kind, bin, lo, hi, nb""")
+SELECT s.kind, CAST(r.i AS INTEGER) AS bin, round(s.lo + (r.i - 1) * ((s.hi - s.lo) / s.nb), 6) AS bin_lo,
+       round(s.lo + r.i * ((s.hi - s.lo) / s.nb), 6) AS bin_hi,
+       (SELECT COUNT(*) FROM b WHERE b.kind = s.kind AND b.bin = r.i) AS n
+FROM s, range(1, 31) r(i) WHERE r.i <= s.nb""")
 ORACLE["box_stats"] = with_fixtures(("titles",), """
 , q AS (SELECT quantile_cont(min, 0.25) AS q1, quantile_cont(min, 0.5) AS median,
                quantile_cont(min, 0.75) AS q3 FROM titles WHERE min IS NOT NULL),
@@ -536,7 +549,8 @@ ENERGY_ORDER = "timestep, consumption_eur, consumption_sib, price_eur, price_sib
 ORACLE["row_ids"] = with_fixtures(("energy",), f"""
 SELECT row_number() OVER (ORDER BY {ENERGY_ORDER}) AS id, * FROM energy""")
 ORACLE["append_records"] = with_fixtures(("energy",), f"""
-SELECT row_number() OVER (ORDER BY CASE WHEN timestep < TIMESTAMP '2024-01-15 00:00:00' THEN 0 ELSE 1 END,
+SELECT row_number() OVER (ORDER BY CASE WHEN timestep >= TIMESTAMP '2024-01-15 00:00:00' THEN 0
+                                        WHEN consumption_eur >= 50 THEN 1 ELSE 2 END,
                           {ENERGY_ORDER}) AS id, * FROM energy""")
 ORACLE["delete_records"] = with_fixtures(("energy_checked",), f"""
 SELECT row_number() OVER (ORDER BY {ENERGY_ORDER}) AS id,

@@ -23,8 +23,8 @@ def append(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def delete(records: DataFrame, ids: DataFrame) -> DataFrame:
-    """Delete by id (unknown id -> error), then renumber."""
-    return RL.delete_records(records, ids, list(STORED_ORDER))
+    """Delete by id (unknown id -> error), then renumber in stored order."""
+    return RL.delete_records(records, ids)
 
 
 def long_form(records: DataFrame, measures=MEASURES) -> DataFrame:

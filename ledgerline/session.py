@@ -45,8 +45,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only invent one when
-    it is unset (local tests), never on a configured cluster.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a
+    temporary folder is made for a local master only: on a cluster other
+    executors could not see it, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
@@ -85,10 +88,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/ledgerline/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def clear_scratch(spark: SparkSession) -> bool:
+    """Remove the written intermediate tables of this library under the shared
+    folder, when nothing reads them any more (e.g. at the end of a job)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerline")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for the Python side (tests only)."""
     return path[5:] if path.startswith("file:") else path
-
-
-def table_path(sf_dir: str, name: str) -> str:
-    return os.path.join(sf_dir, f"{name}.parquet")

@@ -9,24 +9,37 @@ from ledgerline.operators import aggregates as A
 from ledgerline.operators import relational as RL
 
 
-def test_histogram_edges(spark):
+def test_histogram_edges_and_empty_bins(spark):
     df = spark.createDataFrame([(a, "g") for a in (19, 20, 74, 75, 76)] + [(22, "b")],
                                "age int, risk string")
-    h = A.histogram(df, "age", list(range(20, 76, 5)), by="risk", total=True)
-    got = sorted((r.risk, r.bin, r.n) for r in h.collect())
+    h = A.histogram(df, "age", list(range(20, 76, 5)), by="risk", total=True).collect()
+    assert len(h) == 3 * 11                       # every bin of both classes and overall
+    got = sorted((r.risk, r.bin, r.n) for r in h if r.n)
     assert got == [("all", 1, 2), ("all", 11, 2), ("b", 1, 1), ("g", 1, 1), ("g", 11, 2)]
 
 
-def test_histogram_null_class_kept_apart(spark):
-    df = spark.createDataFrame([(21, None), (22, "x")], "age int, risk string")
-    got = sorted((r.risk or "-", r.n) for r in A.histogram(df, "age", [20, 25], by="risk").collect())
-    assert got == [("-", 1), ("all", 2), ("x", 1)]
+def test_histogram_null_class_and_values(spark):
+    rows = [(21.0, None), (22.0, "x"), (None, "x"), (float("nan"), "x"), (None, "y")]
+    df = spark.createDataFrame(rows, "age double, risk string")
+    got = sorted((r.risk or "-", r.bin, r.n) for r in A.histogram(df, "age", [20, 25, 30], by="risk").collect())
+    assert got == [("-", 1, 1), ("-", 2, 0), ("all", 1, 2), ("all", 2, 0), ("x", 1, 1), ("x", 2, 0),
+                   ("y", 1, 0), ("y", 2, 0)]
 
 
-def test_histogram_n_single_value(spark):
-    df = spark.createDataFrame([(5,), (5,)], "x int")
-    r = A.histogram_n(df, "x", 10).collect()
-    assert [(x.bin, x.n) for x in r] == [(1, 2)]
+def test_histogram_n(spark):
+    df = spark.createDataFrame([(5.0,), (5.0,), (None,), (float("nan"),)], "x double")
+    r = sorted((x.bin, x.n) for x in A.histogram_n(df, "x", 10).collect())
+    assert r == [(1, 2)] + [(i, 0) for i in range(2, 11)]
+    two = spark.createDataFrame([("a", 0.0), ("a", 4.0), ("b", 1.0), ("b", 1.0), ("c", 9.0)], "k string, x double")
+    got = sorted((x.k, x.bin, x.bin_lo, x.n) for x in A.histogram_n(two, "x", {"a": 4, "b": 2}, by="k").collect())
+    assert got == [("a", 1, 0.0, 1), ("a", 2, 1.0, 0), ("a", 3, 2.0, 0), ("a", 4, 3.0, 1),
+                   ("b", 1, 1.0, 2), ("b", 2, 1.0, 0)]
+
+
+def test_box_stats_keep_null_group(spark):
+    df = spark.createDataFrame([(None, x) for x in (1, 2, 3)] + [("a", 5)], "g string, x int")
+    got = {r.g: (r.median, r.n) for r in A.box_stats(df, "x", by=["g"]).collect()}
+    assert got == {None: (2.0, 3), "a": (5.0, 1)}
 
 
 def test_ties_kept_by_rank(spark):
@@ -47,10 +60,10 @@ def test_row_ids_and_delete(spark):
     ids = RL.with_row_id(df, ["k"]).orderBy("id").collect()
     assert [(r.id, r.v) for r in ids] == [(1, "a"), (2, "b"), (3, "c")]
     withid = RL.with_row_id(df, ["k"])
-    left = RL.delete_records(withid, spark.createDataFrame([(2,)], "id long"), ["k"])
+    left = RL.delete_records(withid, spark.createDataFrame([(2,)], "id long"))
     assert [(r.id, r.v) for r in left.orderBy("id").collect()] == [(1, "a"), (2, "c")]
     with pytest.raises(KeyError):
-        RL.delete_records(withid, spark.createDataFrame([(9,)], "id long"), ["k"])
+        RL.delete_records(withid, spark.createDataFrame([(9,)], "id long"))
 
 
 def test_row_ids_many_partitions(spark):
@@ -60,11 +73,15 @@ def test_row_ids_many_partitions(spark):
     assert got.count() == 5000
 
 
-def test_append_records(spark):
-    old = RL.with_row_id(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), ["k"])
-    new = spark.createDataFrame([(0, "z")], "k int, v string")
-    got = RL.append_records(old, new, ["k"]).orderBy("id").collect()
-    assert [(r.id, r.v) for r in got] == [(1, "a"), (2, "b"), (3, "z")]
+def test_two_appends_keep_stored_ids(spark):
+    rows = lambda *ks: spark.createDataFrame([(k,) for k in ks], "k int")
+    stored = RL.with_row_id(rows(5, 7), ["k"])
+    stored = RL.append_records(stored, rows(1), ["k"])
+    stored = RL.append_records(stored, rows(9), ["k"])
+    assert {r.k: r.id for r in stored.collect()} == {5: 1, 7: 2, 1: 3, 9: 4}
+    # a delete keeps the stored order, whatever the keys are
+    left = RL.delete_records(stored, spark.createDataFrame([(2,)], "id long"))
+    assert {r.k: r.id for r in left.collect()} == {5: 1, 1: 2, 9: 3}
 
 
 def test_insert_new_and_fk(spark):
@@ -122,10 +139,12 @@ def test_schema_summary(spark):
     assert r.n_fields == 2 and '"name":"a"' in r.schema_json
 
 
-def test_scatter_cap_is_random_subset(spark):
-    from ledgerline.plans.explore import scatter_points
-    df = spark.range(0, 1000, 1, 4).select(F.col("id").alias("x"), (F.col("id") * 2).alias("y"))
-    a = scatter_points(df, "x", "y", max_points=50, seed=7).collect()
-    b = scatter_points(df, "x", "y", max_points=50, seed=7).collect()
-    assert len(a) == 50 and sorted(a) == sorted(b)
-    assert max(r.x for r in a) > 100          # not just the first rows
+def test_money_units_round_other_types(spark):
+    from decimal import Decimal
+
+    from ledgerline.functions import scalars as S
+    df = spark.createDataFrame([(0.29, 2.5), (1.005, 12.345)], "p double, d double")
+    got = [tuple(r) for r in df.select(S.cents("p"), S.factor_units("d")).collect()]
+    assert got == [(29, 9750), (101, 8765)]
+    exact = spark.createDataFrame([(Decimal("0.29"),)], "p decimal(10,2)").select(S.cents("p")).first()[0]
+    assert exact == 29
