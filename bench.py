@@ -16,14 +16,15 @@ ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
 from ledgerline.plans.registry import QUERIES  # noqa: E402
-from ledgerline.session import build_session  # noqa: E402
+from ledgerline.session import build_session, clear_scratch  # noqa: E402
 
 HEADLINE = (
     "order_mart", "item_mart", "fact_orders", "dim_users", "fact_items",
     "pk_violations", "fk_orphans", "avg_sales_by_category", "top_prices_in_period",
     "top_sales_per_category", "top_item_per_category", "peak_hour", "multi_category_users",
     "age_histogram", "age_quartiles", "monthly_mean_count", "duration_histogram", "box_stats",
-    "validate_orders", "first_error", "rule_sku_place", "row_ids", "delete_records",
+    "validate_orders", "first_error", "rule_sku_place", "row_ids", "append_records", "delete_records",
+    "sink_overwrite", "insert_new_keys", "stream_intake", "stream_dedup_keys",
 )
 
 
@@ -51,6 +52,7 @@ def main() -> None:
     for name in names:
         run_once(spark, name, sf)                                # warm-up
         times[name] = round(statistics.median(run_once(spark, name, sf) for _ in range(reps)), 3)
+    clear_scratch(spark)
     spark.stop()
     label = os.path.basename(sf.rstrip("/"))
     out = {"metric": "sum_of_median_query_seconds", "value": round(sum(times.values()), 3),

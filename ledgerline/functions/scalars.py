@@ -171,11 +171,12 @@ def redact(col: str | Column) -> Column:
 
 def order_total(items: str | Column, qty: str = "qty", price: str = "unit_price") -> Column:
     """Sum of qty x price over an array of structs; each price rounded
-    half-even to cents first, the total rounded half-even too."""
+    half-even to cents first, the total rounded half-even too. An item without
+    quantity or price adds nothing."""
     zero = F.lit(0).cast("decimal(38,2)")
     total = F.aggregate(
         _c(items), zero,
-        lambda acc, x: (acc + x[qty] * F.bround(x[price], 2)).cast("decimal(38,2)"),
+        lambda acc, x: (acc + F.coalesce(x[qty] * F.bround(x[price], 2), F.lit(0))).cast("decimal(38,2)"),
     )
     return F.bround(total, 2)
 

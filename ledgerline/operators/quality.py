@@ -88,26 +88,28 @@ def conform(df: DataFrame, schema, widths: dict[str, int] | None = None,
     from ledgerline.functions.coerce import coerce_field
 
     src = dict((f.name, f.dataType) for f in df.schema.fields)
-    cols, checks = [], []
+    cols, checks, misfits = [], [], []
     for f in schema.fields:
         if f.name in src and src[f.name] == f.dataType and not isinstance(f.dataType, StringType):
             c = F.col(f.name)                       # already the declared type: nothing to check
         elif f.name in src:
             raw = F.col(f.name)
             c = coerce_field(raw, f, src[f.name])
+            # judged on the raw value, before the cast one takes its name
+            misfits.append(R.unparsable(raw, c).alias(f"__misfit_{f.name}"))
             checks.append(Rule(f"{f.name}_type",
                                f"{f.name}: value does not fit {f.dataType.simpleString()}",
-                               R.unparsable(raw, c)))
+                               F.col(f"__misfit_{f.name}")))
         else:
             c = F.lit(None).cast(f.dataType)
         cols.append(c.alias(f.name))
-    out = df.select(*[F.col(k) for k in keep], *cols)
+    out = df.select(*[F.col(k) for k in keep], *cols, *misfits)
     for name, n in (widths or {}).items():
         checks.append(Rule(f"{name}_len", f"{name}: longer than {n}", R.too_long(name, n)))
     for name in required:
         checks.append(Rule(f"{name}_required", f"{name}: missing", R.required(name)))
     checks.extend(extra_rules)
-    return annotate(out, checks, errors, valid)
+    return annotate(out, checks, errors, valid).drop(*[f"__misfit_{f.name}" for f in schema.fields])
 
 
 def fill_defaults(df: DataFrame, defaults: dict) -> DataFrame:

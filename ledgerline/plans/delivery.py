@@ -6,7 +6,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DecimalType, IntegerType, IntegralType, StringType, StructField,
@@ -17,6 +16,7 @@ from ledgerline.functions import rules as R
 from ledgerline.functions import scalars as S
 from ledgerline.operators.quality import Rule, conform
 from ledgerline.operators.relational import first_by_key, with_row_id
+from ledgerline.session import scratch_path
 from ledgerline.sources.files import write_table
 
 # ---- fixed values --------------------------------------------------------
@@ -84,7 +84,7 @@ DELIVERY_TABLES = ("users", "stores", "drivers", "orders", "order_items", "rejec
 
 
 def normalize_delivery(wide: DataFrame, order_col: str | Sequence[str] = "row_seq",
-                       persist: bool = True,
+                       written: bool = True,
                        tables: tuple[str, ...] = DELIVERY_TABLES) -> dict[str, DataFrame]:
     """Wide order lines -> ``users``, ``stores``, ``drivers``, ``orders``,
     ``order_items`` and ``rejects`` (only the ``tables`` asked for).
@@ -98,10 +98,18 @@ def normalize_delivery(wide: DataFrame, order_col: str | Sequence[str] = "row_se
       sequence that also counts failed rows), else the dense rank of the
       ``order_col`` columns.
     """
+    if written and len(tables) > 1:
+        return split_conformed(written_conformed(wide, order_col), order_col, tables)
+    return split_conformed(conform_wide(wide, order_col), order_col, tables)
+
+
+def written_conformed(wide: DataFrame, order_col: str | Sequence[str] = "row_seq") -> DataFrame:
+    """The conformed input, written once to the shared scratch folder: several
+    outputs read it, and a lost executor does not make the wide join run again."""
     conformed = conform_wide(wide, order_col)
-    if persist and len(tables) > 1:
-        conformed = conformed.persist(StorageLevel.MEMORY_AND_DISK)
-    return split_conformed(conformed, order_col, tables)
+    path = scratch_path(wide.sparkSession, "conformed")
+    conformed.write.parquet(path)
+    return wide.sparkSession.read.schema(conformed.schema).parquet(path)
 
 
 def split_conformed(conformed: DataFrame, order_col: str | Sequence[str] = "row_seq",
@@ -138,16 +146,12 @@ def load_delivery(wide: DataFrame, out_dir: str,
     """P1 + A5: full refresh of the five tables (and rejects) under
     ``out_dir``. The input is checked first, so an empty input fails without
     touching the output (X5)."""
-    if not wide.limit(1).collect():
+    conformed = written_conformed(wide, order_col)
+    if not conformed.limit(1).collect():
         raise ValueError("no input rows: nothing loaded, output left as it was")
-    # the conformed input feeds six outputs: computed once, released after
-    conformed = conform_wide(wide, order_col).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        tables = split_conformed(conformed, order_col)
-        return {name: write_table(df, f"{out_dir.rstrip('/')}/{name}")
-                for name, df in tables.items()}
-    finally:
-        conformed.unpersist()
+    tables = split_conformed(conformed, order_col)
+    return {name: write_table(df, f"{out_dir.rstrip('/')}/{name}")
+            for name, df in tables.items()}
 
 
 # ---- P2: marts -------------------------------------------------------------
@@ -162,8 +166,10 @@ def _item_units(items: DataFrame) -> DataFrame:
     """Line amounts as exact integers: cents x qty, and the item-discounted
     net in 1e-6 units. 64-bit integer arithmetic runs in generated code
     (38-digit decimals fall back to object arithmetic); with ANSI mode (the
-    Spark default) an overflow fails the job instead of wrapping, which
-    happens only beyond ~9e11 per line or ~9e12 per order."""
+    Spark default, asked for here) an overflow fails the job instead of wrapping,
+    which happens only beyond ~9e11 per line or ~9e12 per order."""
+    if items.sparkSession.conf.get("spark.sql.ansi.enabled") != "true":
+        raise ValueError("the marts need spark.sql.ansi.enabled=true: an overflow must not wrap")
     gross = S.cents("item_price") * F.col("item_quantity").cast("long")
     return items.select("*", gross.alias("__gross_c"),
                         (gross * S.factor_units("item_discount")).alias("__net_u"))
@@ -216,23 +222,6 @@ def order_mart(orders: DataFrame, items: DataFrame) -> DataFrame:
     ))
 
 
-def order_mart_naive(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """The literal form (join, then distinct counts); test twin of
-    :func:`order_mart`."""
-    j = orders.join(items, "order_id", "left")
-    rev = S.net_amount("item_price", "item_quantity", "item_discount", "order_discount")
-    return (j.groupBy(*_mart_keys(orders)).agg(
-        F.sum(S.gross_amount("item_price", "item_quantity")).cast("decimal(15,2)").alias("turnover"),
-        F.sum(rev).cast("decimal(15,2)").alias("revenue"),
-        F.count_distinct("order_id").cast("int").alias("orders_created"),
-        F.count_distinct(F.when(F.col("delivered_at").isNotNull(), F.col("order_id"))).cast("int")
-        .alias("orders_delivered"),
-        F.count_distinct(F.when(F.col("canceled_at").isNotNull(), F.col("order_id"))).cast("int")
-        .alias("orders_canceled"),
-        F.count_distinct("user_id").cast("int").alias("unique_customers"),
-    ))
-
-
 def item_mart(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Daily item mart by the order-mart keys + (category, item, title).
 
@@ -247,7 +236,11 @@ def item_mart(orders: DataFrame, items: DataFrame) -> DataFrame:
         F.sum("item_canceled_quantity").alias("__canc"),
         F.max(F.when(F.col("item_canceled_quantity") > 0, 1).otherwise(0)).alias("__has_cancel"),
     )
-    j = orders.join(per_oi, "order_id", "left")
+    # inner join + orders without items: both sides of an inner join can be
+    # split, so an order with very many items does not stay in one task
+    with_items = orders.join(per_oi, "order_id")
+    bare = orders.join(items.select("order_id").distinct(), "order_id", "left_anti")
+    j = with_items.unionByName(bare, allowMissingColumns=True)
     keys = _mart_keys(orders) + [F.col("item_category").alias("category"), F.col("item_id"),
                                  F.col("item_title")]
     return (j.groupBy(*keys).agg(

@@ -5,7 +5,7 @@ broadcast by size; lineitem x orders is a shuffle join on the order key)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.relational import with_row_id
@@ -255,6 +255,39 @@ def energy(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def energy_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Energy records as they come in: the time as text, not always one, and
+    measures that may be negative."""
+    e = _t(spark, sf, "events")
+    k = F.col("event_id")
+
+    def sign(n: int) -> Column:
+        return F.when(k % n == 0, F.lit(-1.0)).otherwise(F.lit(1.0))
+
+    return e.select(
+        k.alias("event_id"),
+        F.when(k % 71 == 0, F.lit("yesterday")).otherwise(F.col("ts").cast("string")).alias("timestep"),
+        (F.col("value") * sign(43)).alias("consumption_eur"),
+        (F.col("value") / 2 * sign(47)).alias("consumption_sib"),
+        (F.col("user_id") * sign(53)).alias("price_eur"),
+        (F.col("value") - 5).alias("price_sib"),
+    )
+
+
+def _uuid_text(k: Column) -> Column:
+    """A UUID-like id from a key, for every 31st not one."""
+    text = F.concat(F.lit("00000000-0000-4000-8000-"), F.lpad(k.cast("string"), 12, "0"))
+    return F.when(k % 31 == 0, F.concat(F.lit("user "), k.cast("string"))).otherwise(text)
+
+
+def raw_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts as they come in: some names missing, some prices too large."""
+    k = F.col("p_partkey")
+    return _t(spark, sf, "part").select(
+        k.alias("p_partkey"), F.when(k % 11 != 0, F.col("p_name")).alias("p_name"),
+        (F.col("p_retailprice") * F.when(k % 9 == 0, F.lit(10.0)).otherwise(F.lit(1.0))).alias("p_retailprice"))
+
+
 def signup(spark: SparkSession, sf: str) -> DataFrame:
     c = _t(spark, sf, "customer")
     k = F.col("c_custkey")
@@ -264,33 +297,42 @@ def signup(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("mail"), (k % 5).cast("string"), F.lit(".example.com"))
     return c.select(
         k.alias("user_key"),
+        _uuid_text(k).alias("id"),
         email.alias("email"),
         F.concat(F.lit("  cUSTOMER   "), F.lower(F.col("c_mktsegment")), F.lit(" x")).alias("name"),
         F.substr(F.lit("abcdefghijklmnop"), F.lit(1), (k % 12 + 1).cast("int")).alias("password"),
-        F.when(k % 3 != 0, F.concat(F.lit("https://www.mail"), (k % 7).cast("string"),
-                                    F.lit(".example.com/x"))).alias("website"),
+        F.when(k % 41 == 0, F.lit("ftp://files.example.com"))
+        .when(k % 3 != 0, F.concat(F.lit("https://www.mail"), (k % 7).cast("string"),
+                                   F.lit(".example.com/x"))).alias("website"),
     )
 
 
 def order_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Flat order lines (orders left join lineitem): one row per line, and one
-    row with NULL line columns for an order without lines."""
+    """Flat order lines: one row per line, and one row with NULL line columns
+    for an order without lines. Some values are missing or break a rule."""
     o = _t(spark, sf, "orders")
     l = _t(spark, sf, "lineitem")
-    j = o.join(l, o.o_orderkey == l.l_orderkey, "left")
-    k = F.col("o_orderkey")
+    k, p, u = F.col("o_orderkey"), F.col("l_partkey"), F.col("o_custkey")
     status = (F.when(F.col("o_orderstatus") == "P", "paid")
               .when(F.col("o_orderstatus") == "F", "delivered")
               .when(k % 19 == 0, "lost").otherwise("new"))
-    sku = F.concat(F.when(F.col("l_partkey") % 50 == 0, F.lit("sku-")).otherwise(F.lit("SKU")),
-                   F.col("l_partkey").cast("string"))
+    email = F.when(u % 29 != 0, F.concat(F.lit("user"), u.cast("string"),
+                                         F.when(u % 17 == 0, F.lit(" at ")).otherwise(F.lit("@")),
+                                         F.lit("mail.example.com")))
+    orders = o.select(k.alias("order_id"), _uuid_text(u).alias("user_id"), email.alias("user_email"),
+                      status.alias("status"))
+    text = p.cast("string")
+    sku = (F.when(p % 47 == 0, F.lit(None).cast("string"))
+           .when(p % 50 == 0, F.concat(F.lit("sku-"), text))
+           .when(p % 41 == 0, F.concat(F.lit("K"), (p % 10).cast("string")))
+           .when(p % 43 == 0, F.concat(F.lit("SKU"), F.lpad(text, 10, "0")))
+           .otherwise(F.concat(F.lit("SKU"), text)))
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint") % 100000
     unit_price = (cents * F.lit(0.001).cast("decimal(4,3)")).cast("decimal(12,3)")
-    return j.select(
-        k.alias("order_id"),
-        status.alias("status"),
-        F.col("l_linenumber").alias("line_no"),
-        sku.alias("sku"),
-        (F.col("l_quantity").cast("int") - 1).alias("qty"),
-        unit_price.alias("unit_price"),
-    )
+    lines = l.select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"), sku.alias("sku"),
+        F.when(p % 53 != 0, F.col("l_quantity").cast("int") - 1).alias("qty"),
+        F.when(p % 37 == 0, -unit_price).when(p % 59 != 0, unit_price).alias("unit_price"))
+    # inner join + orders without lines: a hot order can be split
+    bare = orders.join(l.select(F.col("l_orderkey").alias("order_id")).distinct(), "order_id", "left_anti")
+    return orders.join(lines, "order_id").unionByName(bare, allowMissingColumns=True)

@@ -62,41 +62,49 @@ def factor(col: str) -> str:
     return f"CAST(1 - CAST(COALESCE({col}, 0) AS DECIMAL(9,4)) * 0.01 AS DECIMAL(7,4))"
 
 
-MART_KEYS_SQL = """
-    CAST(EXTRACT(YEAR FROM o.created_at) AS INTEGER) AS year,
-    CAST(EXTRACT(MONTH FROM o.created_at) AS INTEGER) AS month,
-    CAST(EXTRACT(DAY FROM o.created_at) AS INTEGER) AS day,
-    SPLIT_PART(o.address_text, ',', 1) AS city,
-    o.store_id"""
+# The marts by another way than the Spark plan: counts from the orders alone,
+# amounts from one total per order (or per order and item).
+FIXTURES["orders_by_day"] = (("mart_orders",), f"""
+        SELECT order_id, user_id, store_id, split_part(address_text, ',', 1) AS city,
+               CAST(date_part('year', created_at) AS INTEGER) AS year,
+               CAST(date_part('month', created_at) AS INTEGER) AS month,
+               CAST(date_part('day', created_at) AS INTEGER) AS day,
+               delivered_at IS NOT NULL AS is_delivered, canceled_at IS NOT NULL AS is_canceled,
+               {factor('order_discount')} AS kept
+        FROM mart_orders""")
+FIXTURES["item_totals"] = (("mart_items",), f"""
+        SELECT order_id, item_category AS category, item_id, item_title,
+               CAST(SUM(item_price * item_quantity) AS DECIMAL(20,2)) AS gross,
+               CAST(SUM(item_price * item_quantity * {factor('item_discount')}) AS DECIMAL(20,6)) AS net,
+               SUM(item_quantity) AS pieces, SUM(item_canceled_quantity) AS canceled
+        FROM mart_items GROUP BY ALL""")
 
 ORACLE: dict[str, str] = {}
 
-ORACLE["order_mart"] = with_fixtures(("mart_orders", "mart_items"), f"""
-SELECT {MART_KEYS_SQL},
-    CAST(SUM(oi.item_price * oi.item_quantity) AS DECIMAL(15,2)) AS turnover,
-    CAST(SUM(oi.item_price * oi.item_quantity * {factor('oi.item_discount')}
-             * {factor('o.order_discount')}) AS DECIMAL(15,2)) AS revenue,
-    CAST(COUNT(DISTINCT o.order_id) AS INTEGER) AS orders_created,
-    CAST(COUNT(DISTINCT CASE WHEN o.delivered_at IS NOT NULL THEN o.order_id END) AS INTEGER)
-        AS orders_delivered,
-    CAST(COUNT(DISTINCT CASE WHEN o.canceled_at IS NOT NULL THEN o.order_id END) AS INTEGER)
-        AS orders_canceled,
-    CAST(COUNT(DISTINCT o.user_id) AS INTEGER) AS unique_customers
-FROM mart_orders o LEFT JOIN mart_items oi ON o.order_id = oi.order_id
-GROUP BY 1, 2, 3, 4, 5""")
-
-ORACLE["item_mart"] = with_fixtures(("mart_orders", "mart_items"), f"""
-SELECT {MART_KEYS_SQL},
-    oi.item_category AS category, oi.item_id, oi.item_title,
-    CAST(SUM(oi.item_price * oi.item_quantity * {factor('oi.item_discount')}
-             * {factor('o.order_discount')}) AS DECIMAL(15,2)) AS item_turnover,
-    CAST(SUM(oi.item_quantity) AS INTEGER) AS quantity_ordered,
-    CAST(SUM(oi.item_canceled_quantity) AS INTEGER) AS quantity_canceled,
-    CAST(COUNT(DISTINCT o.order_id) AS INTEGER) AS orders_with_item,
-    CAST(COUNT(DISTINCT CASE WHEN oi.item_canceled_quantity > 0 THEN o.order_id END) AS INTEGER)
-        AS orders_with_cancel
-FROM mart_orders o LEFT JOIN mart_items oi ON o.order_id = oi.order_id
-GROUP BY 1, 2, 3, 4, 5, 6, 7, 8""")
+ORACLE["order_mart"] = with_fixtures(("orders_by_day", "item_totals"), """
+, amounts AS (SELECT d.year, d.month, d.day, d.city, d.store_id, SUM(t.gross) AS gross, SUM(t.net * d.kept) AS net
+              FROM orders_by_day d JOIN item_totals t ON t.order_id = d.order_id GROUP BY ALL),
+counts AS (SELECT year, month, day, city, store_id, COUNT(*) AS n, COUNT(*) FILTER (is_delivered) AS n_delivered,
+                  COUNT(*) FILTER (is_canceled) AS n_canceled, COUNT(DISTINCT user_id) AS n_users
+           FROM orders_by_day GROUP BY ALL)
+SELECT year, month, day, city, store_id,
+       CAST(a.gross AS DECIMAL(15,2)) AS turnover, CAST(a.net AS DECIMAL(15,2)) AS revenue,
+       CAST(n AS INTEGER) AS orders_created, CAST(n_delivered AS INTEGER) AS orders_delivered,
+       CAST(n_canceled AS INTEGER) AS orders_canceled, CAST(n_users AS INTEGER) AS unique_customers
+FROM counts c LEFT JOIN amounts a USING (year, month, day, city, store_id)""")
+
+ORACLE["item_mart"] = with_fixtures(("orders_by_day", "item_totals"), """
+, parts AS (SELECT d.*, t.category, t.item_id, t.item_title, t.net, t.pieces, t.canceled
+            FROM orders_by_day d JOIN item_totals t ON t.order_id = d.order_id
+            UNION ALL
+            SELECT d.*, NULL, NULL, NULL, NULL, NULL, NULL FROM orders_by_day d
+            WHERE d.order_id NOT IN (SELECT order_id FROM item_totals))
+SELECT year, month, day, city, store_id, category, item_id, item_title,
+       CAST(SUM(net * kept) AS DECIMAL(15,2)) AS item_turnover,
+       CAST(SUM(pieces) AS INTEGER) AS quantity_ordered, CAST(SUM(canceled) AS INTEGER) AS quantity_canceled,
+       CAST(COUNT(*) AS INTEGER) AS orders_with_item,
+       CAST(COUNT(*) FILTER (canceled > 0) AS INTEGER) AS orders_with_cancel
+FROM parts GROUP BY ALL""")
 
 
 FIXTURES["delivery_wide"] = (("geo",), """
@@ -166,20 +174,45 @@ SELECT o_orderkey,
     CASE WHEN o_orderstatus = 'O' THEN NULL ELSE o_orderdate END AS created_ts
 FROM orders"""
 
-ORACLE["conform_schema"] = """
+FIXTURES["raw_parts"] = ((), """
+        SELECT p_partkey, CASE WHEN p_partkey % 11 <> 0 THEN p_name END AS p_name,
+               p_retailprice * CASE WHEN p_partkey % 9 = 0 THEN 10.0 ELSE 1.0 END AS p_retailprice FROM part""")
+ORACLE["conform_schema"] = with_fixtures(("raw_parts",), """
 SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name,
        TRY_CAST(p_retailprice AS DECIMAL(5,2)) AS p_retailprice
-FROM part
-WHERE TRY_CAST(p_retailprice AS DECIMAL(5,2)) IS NOT NULL AND length(p_name) <= 10"""
+FROM raw_parts
+WHERE TRY_CAST(p_retailprice AS DECIMAL(5,2)) IS NOT NULL AND length(p_name) <= 10""")
 
-ORACLE["load_rejects"] = """
+ORACLE["load_rejects"] = with_fixtures(("raw_parts",), """
 SELECT CAST(p_partkey AS INTEGER) AS p_partkey,
        CASE WHEN TRY_CAST(p_retailprice AS DECIMAL(5,2)) IS NULL
             THEN 'p_retailprice: value does not fit decimal(5,2)'
-            ELSE 'p_name: longer than 10' END AS reason,
+            WHEN p_name IS NULL THEN 'p_name: missing' ELSE 'p_name: longer than 10' END AS reason,
        p_retailprice AS raw_price
-FROM part
-WHERE TRY_CAST(p_retailprice AS DECIMAL(5,2)) IS NULL OR length(p_name) > 10"""
+FROM raw_parts
+WHERE TRY_CAST(p_retailprice AS DECIMAL(5,2)) IS NULL OR p_name IS NULL OR length(p_name) > 10""")
+
+ORACLE["scan_csv_infer"] = """
+SELECT user_id, CAST(event_id % 50 AS INTEGER) AS item_id, event_type AS category, value AS price,
+       CAST(event_id % 5 + 1 AS INTEGER) AS quantity, 'city_' || CAST(user_id % 7 AS VARCHAR) AS city
+FROM events"""
+ORACLE["write_csv_without_id"] = """
+SELECT ts AS timestep, value AS consumption_eur, value / 2 AS consumption_sib,
+       CAST(user_id AS DOUBLE) AS price_eur, value - 5 AS price_sib FROM events"""
+ORACLE["preview"] = "SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 5"
+ORACLE["has_key"] = """
+SELECT c_custkey AS o_custkey FROM customer
+WHERE EXISTS (SELECT 1 FROM orders WHERE orders.o_custkey = customer.c_custkey)"""
+ORACLE["schema_summary"] = "SELECT CAST(COUNT(*) AS INTEGER) AS n_fields FROM (DESCRIBE orders)"
+ORACLE["build_marts"] = f"""
+SELECT 'order_mart' AS mart, CAST(SUM(revenue) AS DECIMAL(20,2)) AS amount, COUNT(*) AS n
+FROM ({ORACLE["order_mart"]}) a
+UNION ALL
+SELECT 'item_mart', CAST(SUM(item_turnover) AS DECIMAL(20,2)), COUNT(*) FROM ({ORACLE["item_mart"]}) b"""
+ORACLE["delivery_rejects"] = """
+SELECT CAST(l_orderkey AS INTEGER) AS order_id, CAST(l_partkey AS INTEGER) AS item_id,
+       ['payment_type: longer than 50'] AS load_errors
+FROM lineitem WHERE l_orderkey % 97 = 0"""
 
 ORACLE["dim_users"] = first_wins("user_id", "user_id, user_phone")
 ORACLE["dim_stores"] = first_wins("store_id", "store_id, store_address")
@@ -438,40 +471,69 @@ GROUP BY 1, 2""")
 
 FIXTURES["order_lines"] = ((), """
         SELECT o.o_orderkey AS order_id,
+               CASE WHEN o.o_custkey % 31 = 0 THEN 'user ' || CAST(o.o_custkey AS VARCHAR)
+                    ELSE '00000000-0000-4000-8000-' || lpad(CAST(o.o_custkey AS VARCHAR), 12, '0') END AS user_id,
+               CASE WHEN o.o_custkey % 29 <> 0 THEN 'user' || CAST(o.o_custkey AS VARCHAR)
+                    || CASE WHEN o.o_custkey % 17 = 0 THEN ' at ' ELSE '@' END || 'mail.example.com' END AS user_email,
                CASE WHEN o.o_orderstatus = 'P' THEN 'paid' WHEN o.o_orderstatus = 'F' THEN 'delivered'
                     WHEN o.o_orderkey % 19 = 0 THEN 'lost' ELSE 'new' END AS status,
                l.l_linenumber AS line_no,
-               (CASE WHEN l.l_partkey % 50 = 0 THEN 'sku-' ELSE 'SKU' END) || CAST(l.l_partkey AS VARCHAR) AS sku,
-               CAST(l.l_quantity AS INTEGER) - 1 AS qty,
-               CAST((CAST(round(l.l_extendedprice * 100) AS BIGINT) % 100000) * CAST(0.001 AS DECIMAL(4,3))
-                    AS DECIMAL(12,3)) AS unit_price
+               CASE WHEN l.l_partkey % 47 = 0 THEN NULL
+                    WHEN l.l_partkey % 50 = 0 THEN 'sku-' || CAST(l.l_partkey AS VARCHAR)
+                    WHEN l.l_partkey % 41 = 0 THEN 'K' || CAST(l.l_partkey % 10 AS VARCHAR)
+                    WHEN l.l_partkey % 43 = 0 THEN 'SKU' || lpad(CAST(l.l_partkey AS VARCHAR), 10, '0')
+                    ELSE 'SKU' || CAST(l.l_partkey AS VARCHAR) END AS sku,
+               CASE WHEN l.l_partkey % 53 <> 0 THEN CAST(l.l_quantity AS INTEGER) - 1 END AS qty,
+               CASE WHEN l.l_partkey % 37 = 0 THEN -1 WHEN l.l_partkey % 59 <> 0 THEN 1 END
+                 * CAST((CAST(round(l.l_extendedprice * 100) AS BIGINT) % 100000) * CAST(0.001 AS DECIMAL(4,3))
+                        AS DECIMAL(12,3)) AS unit_price
         FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey""")
+# one row per order line and rule that it breaks, rules numbered in field order
+FIXTURES["line_errors"] = (("order_lines",), """
+        SELECT order_id, line_no, 1 AS rule, 'sku: missing' AS message
+        FROM order_lines WHERE line_no IS NOT NULL AND sku IS NULL
+        UNION ALL SELECT order_id, line_no, 2, 'sku: 3 to 12 capital letters or digits'
+        FROM order_lines WHERE NOT regexp_full_match(sku, '[A-Z0-9]{3,12}')
+        UNION ALL SELECT order_id, line_no, 3, 'qty: missing'
+        FROM order_lines WHERE line_no IS NOT NULL AND qty IS NULL
+        UNION ALL SELECT order_id, line_no, 4, 'qty: must be greater than 0' FROM order_lines WHERE qty <= 0
+        UNION ALL SELECT order_id, line_no, 5, 'unit_price: missing'
+        FROM order_lines WHERE line_no IS NOT NULL AND unit_price IS NULL
+        UNION ALL SELECT order_id, line_no, 6, 'price: must not be negative'
+        FROM order_lines WHERE unit_price < 0""")
 FIXTURES["order_checks"] = (("order_lines",), """
-        SELECT order_id, status, COUNT(line_no) AS n_items,
-               CAST(round_even(COALESCE(SUM(qty * round_even(unit_price, 2)), 0), 2) AS DECIMAL(18,2)) AS total,
-               bool_or(COALESCE(line_no IS NOT NULL AND NOT regexp_full_match(sku, '[A-Z0-9]{3,12}'), false))
-                   AS bad_sku,
-               bool_or(COALESCE(qty <= 0, false)) AS bad_qty,
-               bool_or(COALESCE(unit_price < 0, false)) AS bad_price
-        FROM order_lines GROUP BY order_id, status""")
-FIXTURES["order_errors"] = (("order_checks",), """
-        SELECT *, list_filter([
-                 CASE WHEN bad_sku THEN 'sku: 3 to 12 capital letters or digits' END,
-                 CASE WHEN bad_qty THEN 'qty: must be greater than 0' END,
-                 CASE WHEN bad_price THEN 'price: must not be negative' END,
-                 CASE WHEN status NOT IN ('new', 'paid', 'delivered', 'canceled') THEN 'status: unknown' END,
-                 CASE WHEN n_items = 0 THEN 'items: must not be empty' END,
-                 CASE WHEN status IN ('paid', 'delivered') AND total = 0
-                      THEN 'status ''' || status || ''' needs a total above 0' END],
-               lambda x: x IS NOT NULL) AS errors
-        FROM order_checks""")
+        SELECT order_id, status, user_email, COUNT(line_no) AS n_items,
+               CAST(round_even(COALESCE(SUM(qty * round_even(unit_price, 2)), 0), 2) AS DECIMAL(18,2)) AS total
+        FROM order_lines GROUP BY order_id, status, user_email""")
+FIXTURES["order_fields"] = (("order_checks", "line_errors"), """
+        SELECT c.*,
+               CASE WHEN user_email IS NULL THEN ['user_email: missing']
+                    WHEN NOT regexp_full_match(user_email, '[^@\\s]+@[^@\\s]+\\.[^@\\s]+')
+                    THEN ['user_email: not an e-mail address'] ELSE [] END AS email_errors,
+               COALESCE((SELECT list(message ORDER BY rule) FROM
+                         (SELECT DISTINCT rule, message FROM line_errors e WHERE e.order_id = c.order_id)), [])
+                   AS item_errors,
+               (SELECT arg_min(message, line_no * 10 + rule) FROM line_errors e WHERE e.order_id = c.order_id)
+                   AS first_item,
+               CASE WHEN status NOT IN ('new', 'paid', 'delivered', 'canceled') THEN ['status: unknown'] ELSE [] END
+                   AS status_errors
+        FROM order_checks c""")
+FIXTURES["order_errors"] = (("order_fields",), """
+        SELECT *, CASE WHEN len(email_errors) + len(item_errors) + len(status_errors) > 0
+                       THEN list_concat(list_concat(email_errors, item_errors), status_errors)
+                       WHEN n_items = 0 THEN ['items: must not be empty']
+                       WHEN status IN ('paid', 'delivered') AND total = 0
+                       THEN ['status ' || chr(39) || status || chr(39) || ' needs a total above 0'] ELSE [] END AS errors
+        FROM order_fields""")
 FIXTURES["signup"] = ((), """
         SELECT c_custkey AS user_key,
+               CASE WHEN c_custkey % 31 = 0 THEN 'user ' || CAST(c_custkey AS VARCHAR)
+                    ELSE '00000000-0000-4000-8000-' || lpad(CAST(c_custkey AS VARCHAR), 12, '0') END AS id,
                lower(replace(c_name, '#', '_')) || CASE WHEN c_custkey % 23 = 0 THEN '' ELSE '@' END
                    || 'mail' || CAST(c_custkey % 5 AS VARCHAR) || '.example.com' AS email,
                '  cUSTOMER   ' || lower(c_mktsegment) || ' x' AS name,
                substr('abcdefghijklmnop', 1, CAST(c_custkey % 12 + 1 AS INTEGER)) AS password,
-               CASE WHEN c_custkey % 3 <> 0
+               CASE WHEN c_custkey % 41 = 0 THEN 'ftp://files.example.com' WHEN c_custkey % 3 <> 0
                     THEN 'https://www.mail' || CAST(c_custkey % 7 AS VARCHAR) || '.example.com/x' END AS website
         FROM customer""")
 FIXTURES["energy"] = ((), """
@@ -492,7 +554,8 @@ ORACLE["validate_orders"] = with_fixtures(("order_errors",), """
 SELECT order_id, status, n_items, total, errors, len(errors) = 0 AS valid FROM order_errors""")
 ORACLE["first_error"] = with_fixtures(("order_errors",), """
 SELECT order_id, len(errors) = 0 AS ok,
-       CASE WHEN len(errors) = 0 THEN 'total=' || CAST(total AS VARCHAR) ELSE errors[1] END AS message
+       CASE WHEN len(errors) = 0 THEN 'total=' || CAST(total AS VARCHAR)
+            ELSE COALESCE(email_errors[1], first_item, errors[1]) END AS message
 FROM order_errors""")
 ORACLE["order_totals"] = with_fixtures(("order_checks",), "SELECT order_id, n_items, total FROM order_checks")
 ORACLE["line_amount"] = with_fixtures(("order_lines",), """
@@ -515,8 +578,46 @@ FROM signup""")
 ORACLE["rule_email"] = with_fixtures(("signup",), r"""
 SELECT user_key, regexp_full_match(email, '[^@\s]+@[^@\s]+\.[^@\s]+') AS email_ok,
        CASE WHEN website IS NULL THEN true ELSE regexp_full_match(website, 'https?://[^/?#\s]+.*') END
-           AS website_ok
+           AS website_ok,
+       regexp_full_match(id, '[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}') AS id_ok
 FROM signup""")
+ORACLE["signup"] = with_fixtures(("signup",), r"""
+, f AS (SELECT *, list_filter([
+              CASE WHEN NOT regexp_full_match(id, '[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}')
+                   THEN 'id: not a UUID' END,
+              CASE WHEN NOT regexp_full_match(email, '[^@\s]+@[^@\s]+\.[^@\s]+')
+                   THEN 'email: not an e-mail address' END,
+              CASE WHEN length(password) < 8 THEN 'password: too short' END,
+              CASE WHEN NOT regexp_full_match(website, 'https?://[^/?#\s]+.*')
+                   THEN 'website: not an http(s) URL' END], lambda x: x IS NOT NULL) AS field_errors
+        FROM signup)
+SELECT user_key, array_to_string(list_transform(string_split(trim(regexp_replace(name, '\s+', ' ', 'g')), ' '),
+                                                lambda w: upper(w[1]) || lower(w[2:])), ' ') AS name,
+       email, '**********' AS password, website,
+       CASE WHEN len(field_errors) > 0 THEN field_errors
+            WHEN website = 'https://www.' || string_split(email, '@')[2] || '/x'
+            THEN ['website: must not be the e-mail domain'] ELSE [] END AS errors,
+       len(errors) = 0 AS valid
+FROM f""")
+ORACLE["user_out"] = with_fixtures(("signup",), r"""
+SELECT id, email, true AS is_active FROM signup
+WHERE starts_with(id, '00000000') AND email LIKE '%@%'""")
+ORACLE["place_order"] = with_fixtures(("order_lines",), r"""
+, e AS (SELECT *, CASE WHEN starts_with(user_id, 'user') THEN 'user_id: not a UUID'
+                       WHEN sku IS NULL THEN 'sku: missing' WHEN qty IS NULL THEN 'qty: missing'
+                       WHEN unit_price IS NULL THEN 'unit_price: missing'
+                       WHEN NOT (upper(sku) = sku AND lower(sku) <> sku AND regexp_full_match(sku, '[\p{L}\p{N}]+'))
+                       THEN 'sku: capital letters and digits only'
+                       WHEN length(sku) NOT BETWEEN 3 AND 12 THEN 'sku: 3 to 12 characters'
+                       WHEN qty <= 0 THEN 'qty: must be greater than 0'
+                       WHEN unit_price < 0 THEN 'price: must not be negative' END AS error
+        FROM order_lines WHERE line_no IS NOT NULL)
+SELECT order_id, line_no, error, CASE WHEN error IS NULL THEN user_id END AS user_id,
+       CASE WHEN error IS NULL THEN sku END AS sku, CASE WHEN error IS NULL THEN qty END AS qty,
+       CASE WHEN error IS NULL THEN CAST(round_even(unit_price, 2) AS DECIMAL(12,2)) END AS price,
+       CASE WHEN error IS NULL THEN CAST(qty * round_even(unit_price, 2) AS DECIMAL(18,2)) END AS amount
+FROM e""")
+ORACLE["order_totals_nested"] = with_fixtures(("order_checks",), "SELECT order_id, n_items, total FROM order_checks")
 ORACLE["domain_rule"] = with_fixtures(("signup",), r"""
 , d AS (SELECT user_key, email, website, lower(string_split(email, '@')[-1]) AS email_domain,
                regexp_replace(lower(regexp_extract(website, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/:?#@]+)', 1)),
@@ -536,8 +637,19 @@ ORACLE["rule_range"] = with_fixtures(("credit",), """
 SELECT client_id, duration, duration BETWEEN 1 AND 60 AS duration_ok,
        CASE WHEN NOT (duration BETWEEN 1 AND 60) THEN 'duration: out of range 1-60' END AS error
 FROM credit""")
-ORACLE["rule_energy"] = with_fixtures(("energy_checked",), """
-SELECT *, len(errors) = 0 AS valid FROM energy_checked""")
+ORACLE["rule_energy"] = """
+WITH t AS (SELECT event_id, CASE WHEN event_id % 71 <> 0 THEN ts END AS timestep,
+                  value * CASE WHEN event_id % 43 = 0 THEN -1 ELSE 1 END AS consumption_eur,
+                  value / 2 * CASE WHEN event_id % 47 = 0 THEN -1 ELSE 1 END AS consumption_sib,
+                  CAST(user_id * CASE WHEN event_id % 53 = 0 THEN -1 ELSE 1 END AS DOUBLE) AS price_eur,
+                  value - 5 AS price_sib FROM events)
+SELECT *, list_filter([CASE WHEN consumption_eur < 0 THEN 'consumption_eur: must not be negative' END,
+                       CASE WHEN consumption_sib < 0 THEN 'consumption_sib: must not be negative' END,
+                       CASE WHEN price_eur < 0 THEN 'price_eur: must not be negative' END,
+                       CASE WHEN price_sib < 0 THEN 'price_sib: must not be negative' END,
+                       CASE WHEN timestep IS NULL THEN 'timestep: not a timestamp' END],
+                      lambda x: x IS NOT NULL) AS errors, len(errors) = 0 AS valid
+FROM t"""
 ORACLE["fill_defaults"] = with_fixtures(("mart_items",), """
 SELECT order_id, item_id, CAST(COALESCE(item_discount, 0) AS DECIMAL(5,2)) AS item_discount,
        true AS is_active
@@ -566,4 +678,7 @@ SELECT timestep, strftime(timestep, '%Y-%m-%d %H:%M') AS combined FROM energy"""
 ORACLE["stream_intake"] = with_fixtures(("energy_checked",), """
 SELECT timestep, consumption_eur, consumption_sib, price_eur, price_sib
 FROM energy_checked WHERE len(errors) = 0""")
+ORACLE["stream_rejects"] = with_fixtures(("energy_checked",), """
+SELECT timestep, consumption_eur, consumption_sib, price_eur, price_sib, errors
+FROM energy_checked WHERE len(errors) > 0""")
 ORACLE["stream_dedup_keys"] = ORACLE["dim_users"]

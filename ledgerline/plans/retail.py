@@ -64,12 +64,11 @@ def filter_state(sales: DataFrame, state: str) -> DataFrame:
 def top_prices_in_period(prices: DataFrame, calendar: DataFrame, lo: str, hi: str,
                          k: int = 5) -> DataFrame:
     """10: the k highest distinct prices of the weeks that have a day in
-    [lo, hi]. The date filter runs on the calendar before the join; the
-    join meets a weekly price with each of its days (many-to-many), so the
-    prices are made distinct after the projection."""
+    [lo, hi]. The date filter runs on the calendar; a semi join keeps the
+    prices of its weeks, each once however many days of its week count."""
     cal = RL.between_dates(calendar.select(F.col("wm_yr_wk").alias("week_id"), "date"),
                            "date", lo, hi)
-    j = prices.join(cal, prices.wm_yr_wk == cal.week_id)
+    j = prices.join(cal, prices.wm_yr_wk == cal.week_id, "left_semi")
     return RL.top_k(j.select("sell_price").distinct(), [F.col("sell_price").desc()], k)
 
 

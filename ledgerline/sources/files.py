@@ -23,8 +23,12 @@ def scan_parquet_dir(spark: SparkSession, folder: str, schema: StructType,
     The declared schema makes an optional column (absent from some files)
     read as NULL. ``_file_name`` and ``_row_index`` give the first-wins order
     (file name, row position in the file). The folder must hold at least one
-    matching file, else Spark raises before any output is touched (X5).
+    matching file: with a declared schema Spark itself would read none as no
+    rows, and a full refresh would then empty its output (X5).
     """
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{glob}")
+    if not pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern):
+        raise FileNotFoundError(f"no files match {folder}/{glob}")
     df = (spark.read.schema(schema)
           .option("pathGlobFilter", glob)
           .option("recursiveFileLookup", "false")
@@ -68,8 +72,11 @@ def write_table(df: DataFrame, path: str | None, mode: str = "overwrite",
 
 def write_csv(df: DataFrame, path: str, drop: tuple[str, ...] = ("id",),
               mode: str = "overwrite") -> str:
-    """CSV sink with a header, without the derived id column."""
-    df.drop(*drop).write.mode(mode).option("header", True).csv(path)
+    """CSV sink with a header, without the derived id column. Times are
+    written to the microsecond (Spark's default cuts them to milliseconds)."""
+    times = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+    (df.drop(*drop).write.mode(mode).option("header", True)
+     .option("timestampFormat", times).option("timestampNTZFormat", times).csv(path))
     return path
 
 

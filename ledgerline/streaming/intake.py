@@ -1,22 +1,22 @@
 """File-stream intake with validation and key de-duplication.
 
-Both jobs use ``foreachBatch`` with an idempotent per-batch write: batch
-``n`` goes to ``<out>/batch_id=n`` in overwrite mode, so a batch that is run
-again after a failure (the checkpoint has its offsets but not its commit)
-replaces its own output instead of adding duplicates.
+The intake writes batch ``n`` to ``<out>/batch_id=n`` in overwrite mode, so a
+batch that is run again after a failure (the checkpoint has its offsets but not
+its commit) replaces its own output instead of adding duplicates. The key load
+keeps its keys in the stream's state store.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerline.operators.quality import Rule, validate
-from ledgerline.operators.relational import first_by_key
+from ledgerline.operators.quality import Rule, annotate
+from ledgerline.session import ship_package
 
 
 def _batch_path(base: str, batch_id: int) -> str:
@@ -24,20 +24,20 @@ def _batch_path(base: str, batch_id: int) -> str:
 
 
 def stream_records(spark: SparkSession, src_dir: str, schema: StructType, rules: Sequence[Rule],
-                   out_dir: str, rejects_dir: str, checkpoint: str,
+                   out_dir: str, checkpoint: str,
                    max_files_per_trigger: int | None = None, wait: bool = True):
-    """New record files are validated; good rows are appended to
-    ``out_dir``, bad rows (with their error list) to ``rejects_dir``. Runs
-    with ``availableNow`` and stops by itself when the folder is drained."""
+    """New record files are validated. Each batch is read once and written
+    once, with its error list and parted by ``valid``; :func:`accepted` and
+    :func:`rejected` read the two sides. Runs with ``availableNow`` and stops
+    by itself when the folder is drained."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(src_dir)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        good, bad = validate(batch, rules, "errors")
-        good.write.mode("overwrite").parquet(_batch_path(out_dir, batch_id))
-        bad.write.mode("overwrite").parquet(_batch_path(rejects_dir, batch_id))
+        (annotate(batch, rules, "errors", valid="valid").write.mode("overwrite")
+         .partitionBy("valid").parquet(_batch_path(out_dir, batch_id)))
 
     q = (stream.writeStream.foreachBatch(each_batch)
          .option("checkpointLocation", checkpoint)
@@ -47,35 +47,54 @@ def stream_records(spark: SparkSession, src_dir: str, schema: StructType, rules:
     return q
 
 
+def accepted(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The valid rows that :func:`stream_records` has taken in."""
+    return (spark.read.parquet(out_dir).filter(F.col("valid").cast("boolean"))
+            .drop("batch_id", "valid", "errors"))
+
+
+def rejected(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The rows it has rejected, with their error lists."""
+    return spark.read.parquet(out_dir).filter(~F.col("valid").cast("boolean")).drop("batch_id", "valid")
+
+
+def _first_of_key(order: list[str], columns: list[str]):
+    def run(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.exists:                        # loaded by an earlier batch
+            for _ in frames:
+                pass
+            return
+        best = None
+        for frame in frames:
+            first = frame.sort_values(order, kind="stable").head(1)
+            best = first if best is None else pd.concat([best, first]).sort_values(order, kind="stable").head(1)
+        state.update((True,))
+        yield best[columns]
+    return run
+
+
 def stream_first_by_key(spark: SparkSession, src_dir: str, schema: StructType, keys: Sequence[str],
-                        order_by: Sequence[str | Column], out_dir: str, checkpoint: str,
+                        order_by: Sequence[str], out_dir: str, checkpoint: str,
                         max_files_per_trigger: int | None = None, wait: bool = True):
     """Incremental load where each key is kept once across all files:
-    within a batch the first row per key wins (``order_by``), and keys
-    already in the output (earlier batches) are skipped. The output table is
-    the state; it grows with the number of keys (no event time bounds it)."""
+    within a batch the first row per key wins (``order_by``), and keys of
+    earlier batches are skipped. The keys seen are the stream's state, kept by
+    the state store and looked up by key: a batch costs what it holds, not what
+    was loaded before. Rows with a NULL key are skipped. The state grows with
+    the number of keys (no event time bounds it); a production run sets the
+    RocksDB state store, which holds it on disk."""
+    ship_package(spark)
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(src_dir)
-    cols = [f.name for f in schema.fields]
-
-    def each_batch(batch: DataFrame, batch_id: int) -> None:
-        firsts = first_by_key(batch, list(keys), list(order_by), cols)
-        try:
-            stored = (spark.read.parquet(out_dir)
-                      .filter(F.col("batch_id") < batch_id).select(*keys))
-            # only the stored keys that occur in this batch: the batch's keys
-            # are the small side, so the stored keys are scanned, not shuffled
-            seen = stored.join(firsts.select(*keys), list(keys), "left_semi")
-            firsts = firsts.join(seen, list(keys), "left_anti")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":   # else: first batch, no output yet
-                raise
-        firsts.write.mode("overwrite").parquet(_batch_path(out_dir, batch_id))
-
-    q = (stream.writeStream.foreachBatch(each_batch)
-         .option("checkpointLocation", checkpoint)
+    for key in keys:
+        stream = stream.filter(F.col(key).isNotNull())
+    firsts = stream.groupBy(*keys).applyInPandasWithState(
+        _first_of_key(list(order_by), [f.name for f in schema.fields]), schema, "seen boolean", "append",
+        "NoTimeout")
+    q = (firsts.writeStream.format("parquet").outputMode("append")
+         .option("path", out_dir).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     if wait:
         q.awaitTermination()

@@ -11,6 +11,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from ledgerline.plans import delivery
 from ledgerline.session import local_path, scratch_path
 from ledgerline.sources import files as IO
+from tests.naive_marts import order_mart_naive
 
 T0 = dt.datetime(2024, 5, 6, 10, 0)
 
@@ -46,7 +47,7 @@ def test_order_mart_matches_naive_twin(spark):
     sf = "/root/testdata/sf0.001"
     o, i = FX.mart_orders(spark, sf), FX.mart_items(spark, sf)
     a = delivery.order_mart(o, i)
-    b = delivery.order_mart_naive(o, i)
+    b = order_mart_naive(o, i)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
@@ -78,7 +79,7 @@ def test_first_wins_across_files_and_null_keys(spark, tmp_path):
         shutil.copy(src, f"{flat}/{tag}.parquet")
     wide = IO.scan_parquet_dir(spark, flat, WIDE)
     ordered = wide.withColumn("row_seq", F.struct("_file_name", "_row_index")).drop("_file_name", "_row_index")
-    t = delivery.normalize_delivery(ordered, persist=False)
+    t = delivery.normalize_delivery(ordered, written=False)
     users = {r.user_id: r.user_phone for r in t["users"].collect()}
     assert users == {5: "first"}
     assert t["order_items"].count() == 3          # item rows are all kept, also with NULL user
@@ -97,7 +98,7 @@ def test_optional_column_absent_reads_null(spark, tmp_path):
 def test_rejects_row_level(spark):
     wide = spark.createDataFrame([(1, 1, "x" * 30, 9), (2, 2, "ok", 9)],
                                  "order_id int, user_id int, user_phone string, row_seq long")
-    t = delivery.normalize_delivery(wide, persist=False)
+    t = delivery.normalize_delivery(wide, written=False)
     assert [r.user_id for r in t["users"].collect()] == [2]
     rej = t["rejects"].collect()
     assert len(rej) == 1 and rej[0].load_errors == ["user_phone: longer than 20"]

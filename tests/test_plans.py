@@ -57,6 +57,16 @@ def test_filter_and_projection_reach_the_scan(plans):
     assert "ReadSchema: struct<o_orderdate:timestamp_ntz>" in per
 
 
+def test_hot_orders_join_splittably(plans):
+    # inner join plus the orders without lines, not one outer join
+    for name in ("item_mart", "validate_orders", "first_error", "order_totals"):
+        assert "LeftAnti" in plans[name] and "LeftOuter" not in plans[name], name
+
+
+def test_period_weeks_are_a_semi_join(plans):
+    assert "LeftSemi" in plans["top_prices_in_period"]
+
+
 def test_one_pass_histogram(plans):
     assert "Expand" in plans["age_histogram"]          # grouping sets: one scan, two groupings
     assert len(re.findall(r"^\(\d+\) Scan parquet", plans["age_histogram"], re.M)) == 1

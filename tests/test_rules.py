@@ -47,38 +47,93 @@ def test_validate_split_and_first_error(spark):
     assert [(r.ok, r.t) for r in got] == [(True, "fine"), (False, "q must be > 0"), (False, "q missing")]
 
 
-def _nested(spark, rows):
-    return spark.createDataFrame(
-        rows, "order_id int, status string, "
-              "items array<struct<sku:string, qty:int, unit_price:decimal(12,3)>>")
+ITEMS = "items array<struct<sku:string, qty:int, unit_price:decimal(12,3)>>"
+FLAT = ("order_id int, status string, user_email string, line_no int, sku string, qty int, "
+        "unit_price decimal(12,3)")
+MAIL = "a@mail.example.com"
+
+
+def _both(spark, rows):
+    """Results of the nested and the flat form for (order_id, status, email, items)."""
+    nested = V.order_checks_nested(
+        spark.createDataFrame(rows, f"order_id int, status string, user_email string, {ITEMS}"))
+    flat_rows = [(oid, st, mail, n, *item) for oid, st, mail, items in rows
+                 for n, item in (enumerate(items, 1) if items else [(None, (None, None, None))])]
+    flat = V.order_checks_flat(spark.createDataFrame(flat_rows, FLAT))
+    out = []
+    for checks in (nested, flat):
+        lists = {r.order_id: (r.valid, r.errors, r.total) for r in V.validate_orders(checks).collect()}
+        first = {r.order_id: (r.ok, r.message) for r in V.order_result(checks).collect()}
+        out.append((lists, first))
+    return out
 
 
 def test_orders_nested_and_flat_agree(spark):
+    nothing = Decimal("0.000")
     rows = [
-        (1, "paid", [("ABC123", 1, Decimal("0.000"))]),              # paid with total 0
-        (2, "new", [("ABC123", 1, Decimal("0.000"))]),               # fine
-        (3, "new", []),                                              # no items
-        (4, "delivered", [("abc", 1, Decimal("1.00")), ("ABC", 0, Decimal("-1.00"))]),
-        (5, "lost", [("ABC123", 1, Decimal("999.99")), ("DEF456", 2, Decimal("29.50"))]),
+        (1, "paid", MAIL, [("ABC123", 1, nothing)]),                    # paid with total 0
+        (2, "new", MAIL, [("ABC123", 1, nothing)]),                     # fine
+        (3, "new", MAIL, []),                                           # no items
+        (4, "delivered", MAIL, [("ABC", 0, nothing), ("abc", 1, Decimal("1.00"))]),
+        (5, "lost", MAIL, [("ABC123", 1, Decimal("999.99")), ("DEF456", 2, Decimal("29.50"))]),
+        (6, "paid", MAIL, [("abc", 1, nothing)]),                       # total rule not checked
+        (7, "new", None, [("ABC", None, None), (None, 1, Decimal("-1.000"))]),
+        (8, "new", "nobody", []),
     ]
-    nested = V.validate_orders(V.order_checks_nested(_nested(spark, rows)))
-    flat_rows = []
-    for oid, st, items in rows:
-        if not items:
-            flat_rows.append((oid, st, None, None, None, None))
-        for i, (s, q, p) in enumerate(items, 1):
-            flat_rows.append((oid, st, i, s, q, p))
-    flat = spark.createDataFrame(flat_rows, "order_id int, status string, line_no int, sku string, "
-                                            "qty int, unit_price decimal(12,3)")
-    got_flat = {r.order_id: (r.valid, r.errors, r.total)
-                for r in V.validate_orders(V.order_checks_flat(flat)).collect()}
-    got_nested = {r.order_id: (r.valid, r.errors, r.total) for r in nested.collect()}
-    assert got_flat == got_nested
-    assert got_flat[1][0] is False and "needs a total above 0" in got_flat[1][1][0]
-    assert got_flat[2] == (True, [], Decimal("0.00"))
-    assert got_flat[3][1] == [V.MSG_NO_ITEMS]
-    assert got_flat[4][1] == [V.MSG_SKU, V.MSG_QTY, V.MSG_PRICE]
-    assert got_flat[5] == (False, [V.MSG_STATUS], Decimal("1058.99"))
+    nested, flat = _both(spark, rows)
+    assert nested == flat
+    lists, first = flat
+    assert lists[1] == (False, ["status 'paid' needs a total above 0"], Decimal("0.00"))
+    assert lists[2] == (True, [], Decimal("0.00")) and first[2] == (True, "total=0.00")
+    assert lists[3][1] == [V.MSG_NO_ITEMS]
+    assert lists[4][1] == [V.MSG_SKU, V.MSG_QTY]
+    assert first[4] == (False, V.MSG_QTY)             # line 1 comes first, whatever the rule
+    assert lists[5] == (False, [V.MSG_STATUS], Decimal("1058.99"))
+    assert lists[6][1] == [V.MSG_SKU]
+    assert lists[7][1] == ["user_email: missing", "sku: missing", "qty: missing", "unit_price: missing",
+                           V.MSG_PRICE]
+    assert first[7] == (False, "user_email: missing")
+    assert lists[8][1] == ["user_email: not an e-mail address"]
+
+
+def test_place_order(spark):
+    good = "123e4567-e89b-12d3-a456-426614174000"
+    rows = [(1, good, "ABC123", 2, Decimal("19.995")), (2, "me", "abc", 0, Decimal("1")),
+            (3, good, "ABCDEFGHIJKLM", 1, Decimal("1")), (4, good, "ABC", 1, Decimal("-0.010")),
+            (5, good, "ABC", None, Decimal("1"))]
+    df = spark.createDataFrame(rows, "k int, user_id string, sku string, qty int, unit_price decimal(12,3)")
+    got = {r.k: r for r in V.place_order(df).collect()}
+    assert (got[1].error, got[1].price, got[1].amount) == (None, Decimal("20.00"), Decimal("40.00"))
+    assert [got[k].error for k in (2, 3, 4, 5)] == ["user_id: not a UUID", V.MSG_SKU_LEN, V.MSG_PRICE, "qty: missing"]
+    assert got[4].amount is None and got[4].sku is None
+
+
+def test_signup(spark):
+    rows = [(1, None, "a@x.com", " aNNA  lee ", "12345678", "https://y.com"),
+            (2, "zz", None, "b", "short", "ftp://h.io"),
+            (3, None, "a@x.com", "c", "12345678", "https://www.x.com/")]
+    df = spark.createDataFrame(rows, "user_key int, id string, email string, name string, password string, website string")
+    got = {r.user_key: r for r in V.signup(df).collect()}
+    assert (got[1].valid, got[1].name, got[1].password) == (True, "Anna Lee", "**********")
+    assert got[2].errors == [V.MSG_UUID, "email: missing", V.MSG_PASSWORD, V.MSG_WEBSITE]
+    assert got[3].errors == [V.MSG_SITE_IS_MAIL]
+
+
+def test_every_rule_message_fires_on_the_fixtures(spark):
+    from ledgerline.plans.registry import QUERIES
+    sf = "/root/testdata/sf0.01"
+
+    def messages(query, column="errors"):
+        df = QUERIES[query](spark, sf)
+        one = F.explode(column) if dict(df.dtypes)[column].startswith("array") else F.col(column)
+        return {r[0] for r in df.select(one.alias("m")).distinct().collect()}
+
+    assert {m for _, m in V.ITEM_RULES} | {V.MSG_STATUS, V.MSG_NO_ITEMS, "user_email: missing"} \
+        <= messages("validate_orders")
+    assert {V.MSG_SKU_CHARS, V.MSG_SKU_LEN} <= messages("rule_sku_place", "error")
+    assert {V.MSG_UUID, V.MSG_EMAIL, V.MSG_PASSWORD, V.MSG_WEBSITE, V.MSG_SITE_IS_MAIL} <= messages("signup")
+    assert len(messages("rule_energy")) == 5
+    assert len(messages("load_rejects", "reason")) == 3
 
 
 def test_energy_rules(spark):

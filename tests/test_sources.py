@@ -37,6 +37,12 @@ def test_preview_and_register(spark):
     assert spark.sql("SELECT count(*) AS n FROM ledgerline_test_view").first().n == 10
 
 
+def test_empty_folder_is_an_error(spark, tmp_path):
+    import pytest
+    with pytest.raises(FileNotFoundError):
+        IO.scan_parquet_dir(spark, str(tmp_path), spark.range(1).schema)
+
+
 def test_declared_table_schemas_match_files(spark):
     from ledgerline.plans.tables import SCHEMAS
     for name, schema in SCHEMAS.items():

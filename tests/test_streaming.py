@@ -8,7 +8,7 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, St
 
 from ledgerline.plans import validation as V
 from ledgerline.session import scratch_path
-from ledgerline.streaming import stream_first_by_key, stream_records
+from ledgerline.streaming import accepted, rejected, stream_first_by_key, stream_records
 
 ENERGY = StructType([StructField("timestep", TimestampNTZType())]
                     + [StructField(m, DoubleType()) for m in
@@ -26,19 +26,19 @@ def test_intake_incremental_and_split(spark):
     t = dt.datetime(2024, 1, 1)
     _energy(spark, [(t, 1.0, 1.0, 1.0, 1.0), (t, -1.0, 1.0, 1.0, 1.0)]).coalesce(1) \
         .write.mode("append").parquet(f"{base}/in")
-    args = (spark, f"{base}/in", ENERGY, V.energy_rules(), f"{base}/out", f"{base}/rej", f"{base}/ck")
+    args = (spark, f"{base}/in", ENERGY, V.energy_rules(), f"{base}/out", f"{base}/ck")
     stream_records(*args, max_files_per_trigger=1)
-    assert spark.read.parquet(f"{base}/out").count() == 1
-    assert spark.read.parquet(f"{base}/rej").count() == 1
+    assert accepted(spark, f"{base}/out").count() == 1
+    assert rejected(spark, f"{base}/out").count() == 1
     # a second run without new files changes nothing
     stream_records(*args, max_files_per_trigger=1)
-    assert spark.read.parquet(f"{base}/out").count() == 1
+    assert accepted(spark, f"{base}/out").count() == 1
     # a new file is taken in, the old ones are not read again
     _energy(spark, [(t, 2.0, 2.0, 2.0, 2.0)]).coalesce(1).write.mode("append").parquet(f"{base}/in")
     stream_records(*args, max_files_per_trigger=1)
-    out = spark.read.parquet(f"{base}/out")
+    out = accepted(spark, f"{base}/out")
     assert out.count() == 2 and sorted(r.consumption_eur for r in out.collect()) == [1.0, 2.0]
-    rej = spark.read.parquet(f"{base}/rej").first()
+    rej = rejected(spark, f"{base}/out").first()
     assert rej.errors == ["consumption_eur: must not be negative"]
 
 
