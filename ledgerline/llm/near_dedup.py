@@ -20,10 +20,10 @@ linked when 100 * intersection >= percent * union.
 4. *The rest.* Only pairs that could still join two components are left. The
    other star pairs are verified as they are. Buckets with members of two
    components and three or more members are compared in blocks of ``BLOCK``
-   members: each task holds two blocks of signatures and gives out only the
-   pairs of different components whose minima agree enough. So no bucket, how
-   large ever, is in one task, no list of all its pairs is made, and every
-   pair of a bucket is covered.
+   members: each task holds two blocks with signatures and sets, compares pairs
+   that are not yet connected, each in the first band it shares, and gives out
+   only links. So no bucket, how large ever, is in one task, no list of all
+   its pairs is made, and every pair of a bucket is covered.
 5. A pair is verified first by its signatures (agreement of at least
    the threshold less five standard deviations), then exactly, on full sets.
 
@@ -140,28 +140,51 @@ def _band_rows(plan: Bands):
                     key = mix(key * np.uint64(0x9E3779B97F4A7C15) + signatures[:, j])
                 keys[:, band] = key
             reps = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), plan.bands)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(reps, pa.int64())],
-                                             ["bucket", "rep"])
+            bands = np.tile(np.arange(plan.bands, dtype=np.int32), len(signatures))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.ravel().view(np.int64)), pa.array(bands), pa.array(reps, pa.int64())],
+                ["bucket", "band", "rep"])
     return run
 
 
-def _block_pairs(plan: Bands):
+def _linked(x: bytes, y: bytes, percent: int) -> bool:
+    """The exact rule, on two full sets."""
+    a, b = (np.frombuffer(z, dtype=np.uint64) for z in (x, y))
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
+def _block_links(plan: Bands):
+    """Links between the members of two blocks of a bucket. A pair is compared
+    in the first band that it shares, unless it is known to be connected."""
     def run(table: pa.Table) -> pa.Table:
-        lo, hi = table["lo"][0].as_py(), table["hi"][0].as_py()
+        lo, hi, band = (table[c][0].as_py() for c in ("lo", "hi", "band"))
         block = table["block"].to_numpy()
         reps, labels = table["rep"].to_numpy(), table["component"].to_numpy()
         signatures = _signature_matrix(table["signature"])
+        sets = table["shingles"]
+        root = {label: label for label in labels.tolist()}
+
+        def top(label: int) -> int:
+            while root[label] != label:
+                root[label] = root[root[label]]
+                label = root[label]
+            return label
+
         rows = np.flatnonzero(block == lo)
         others = rows if lo == hi else np.flatnonzero(block == hi)
         a, b = [], []
-        for n, i in enumerate(rows):
+        for n, i in enumerate(rows.tolist()):
             against = others[n + 1:] if lo == hi else others
             against = against[labels[against] != labels[i]]
-            if len(against):
-                agree = (signatures[against] == signatures[i]).sum(axis=1)
-                found = reps[against[agree >= plan.least_agreement]]
-                a += [reps[i]] * len(found)
-                b += found.tolist()
+            same = signatures[against] == signatures[i]
+            against, same = (x[same.sum(axis=1) >= plan.least_agreement] for x in (against, same))
+            shared = same[:, :plan.bands * plan.rows].reshape(len(against), plan.bands, plan.rows).all(axis=2)
+            for j in against[shared.argmax(axis=1) == band].tolist() if len(against) else ():
+                if top(labels[i]) != top(labels[j]) and _linked(sets[i].as_py(), sets[j].as_py(), plan.percent):
+                    root[top(labels[i])] = top(labels[j])
+                    a.append(reps[i])
+                    b.append(reps[j])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
     return run
 
@@ -180,9 +203,7 @@ def _exact(percent: int):
         for batch in batches:
             linked = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(z.as_buffer(), dtype=np.uint64) for z in (x, y))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * common >= percent * (len(x) + len(y) - common))
+                linked.append(_linked(x.as_py(), y.as_py(), percent))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(
                 pa.array(linked, pa.bool_()))
     return run
@@ -220,7 +241,7 @@ def near_classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, D
     named = reps.filter(F.col("rep").isNotNull())
     signatures = named.select(F.col("rep").alias("id"), "signature")
 
-    bands = named.select("rep", "signature").mapInArrow(_band_rows(plan), "bucket long, rep long")
+    bands = named.select("rep", "signature").mapInArrow(_band_rows(plan), "bucket long, band int, rep long")
     buckets = materialise(bands.groupBy("bucket").agg(F.min("rep").alias("center"), F.count(F.lit(1)).alias("n"))
                           .filter(F.col("n") > 1), "buckets")
     members = materialise(bands.join(buckets, "bucket"), "bucket-members")
@@ -255,13 +276,12 @@ def near_classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, D
     dealt = (placed.join(mixed, "bucket", "left_semi")
              .withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
              .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
-             .select("bucket", "rep", "component", "block", F.least("block", "with").alias("lo"),
+             .select("bucket", "band", "rep", "component", "block", F.least("block", "with").alias("lo"),
                      F.greatest("block", "with").alias("hi"))
-             .join(signatures.withColumnRenamed("id", "rep"), "rep"))
-    in_blocks = dealt.groupBy("bucket", "lo", "hi").applyInArrow(_block_pairs(plan), "a long, b long")
-    rest = materialise(other_stars.unionByName(in_blocks)
-                       .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "rest-pairs")
-    late = verified(rest)
+             .join(signatures.withColumnRenamed("id", "rep"), "rep")
+             .join(sets.withColumnRenamed("id", "rep"), "rep"))
+    in_blocks = dealt.groupBy("bucket", "lo", "hi").applyInArrow(_block_links(plan), "a long, b long")
+    late = verified(other_stars).unionByName(materialise(in_blocks, "block-links"))
     components = connected_components(
         labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late), "a", "b")
     classes = materialise(
