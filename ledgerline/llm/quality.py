@@ -80,15 +80,21 @@ def text_features(texts) -> np.ndarray:
             out[-7:] = (span.mean() / 10, len(times) / len(w), times.max() / len(w), repeated / len(part),
                         np.log1p(len(w)) / 10, np.log1p(len(lines)) / 10, 0)
             rows.append(out)
-    return np.array(rows).reshape(-1, N_TEXT)
+    return np.array(rows, dtype=np.float32).reshape(-1, N_TEXT)
 
 
-def meta_features(source: list, lang: list, n_chars: list) -> np.ndarray:
-    out = np.zeros((len(source), 2 * META_BUCKETS + 2))
-    for i, (s, l, n) in enumerate(zip(source, lang, n_chars)):
-        out[i, zlib.crc32(str(s).encode()) % META_BUCKETS] = 1
-        out[i, META_BUCKETS + zlib.crc32(str(l).encode()) % META_BUCKETS] = 1
-        out[i, -2:] = (np.log1p(max(0, n or 0)) / 10, n is None)
+def _bucket(value) -> int:
+    return zlib.crc32(str(value).encode()) % META_BUCKETS
+
+
+def meta_features(source: list[int], lang: list[int], n_chars: list) -> np.ndarray:
+    """One row per document; ``source`` and ``lang`` are bucket numbers."""
+    n = len(source)
+    out = np.zeros((n, 2 * META_BUCKETS + 2), dtype=np.float32)
+    out[np.arange(n), source] = 1
+    out[np.arange(n), META_BUCKETS + np.asarray(lang, dtype=np.int64)] = 1
+    out[:, -2] = [np.log1p(max(0, c or 0)) / 10 for c in n_chars]
+    out[:, -1] = [c is None for c in n_chars]
     return out
 
 
@@ -176,19 +182,27 @@ def _columns(docs: DataFrame) -> DataFrame:
                        or_null("lang", "string"), or_null("n_chars", "long"))
 
 
-def _views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+def _meta_columns(batch: pa.RecordBatch) -> tuple[list[int], list[int], list]:
     source, lang, n_chars = (batch.column(batch.schema.get_field_index(c)).to_pylist()
                              for c in ("source", "lang", "n_chars"))
-    return text_features(batch.column(batch.schema.get_field_index("text"))), meta_features(source, lang, n_chars)
+    return [_bucket(s) for s in source], [_bucket(x) for x in lang], n_chars
+
+
+def _views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return text_features(batch.column(batch.schema.get_field_index("text"))), meta_features(*_meta_columns(batch))
 
 
 def _view_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sampled documents' views in a compact form."""
     for batch in batches:
-        text, meta = _views(batch)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(text), pa.list_(pa.float64())), pa.array(list(meta), pa.list_(pa.float64())),
-             batch.column(batch.schema.get_field_index("quality")), batch.column(batch.schema.get_field_index("held"))],
-            ["text_view", "meta_view", "quality", "held"])
+        text = text_features(batch.column(batch.schema.get_field_index("text")))
+        source, lang, n_chars = _meta_columns(batch)
+        columns = {"doc_id": batch.column(batch.schema.get_field_index("doc_id")),
+                   "text_view": pa.array([row.tobytes() for row in text], pa.binary()),
+                   "source": pa.array(source, pa.int32()), "lang": pa.array(lang, pa.int32()),
+                   "n_chars": pa.array(n_chars, pa.int64())}
+        columns |= {c: batch.column(batch.schema.get_field_index(c)) for c in ("quality", "held")}
+        yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
 def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, pool_rows: int = POOL_ROWS) -> CoTrained | None:
@@ -204,14 +218,15 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, pool
                   .orderBy(order, "doc_id").limit(pool_rows).select("doc_id", F.lit(-1).alias("quality")))
     sample = materialise(labelled.unionByName(unlabelled).select(F.col("doc_id").alias("sampled"), "quality")
                          .withColumn("held", F.pmod(F.xxhash64("sampled", F.lit("held")), F.lit(5)) == 0), "quality-ids")
-    chosen = (_columns(docs).join(F.broadcast(sample), F.col("doc_id") == F.col("sampled"))
-              .dropDuplicates(["doc_id"])
-              .select("text", "source", "lang", "n_chars", "quality", "held"))
-    rows = chosen.mapInArrow(_view_batches, "text_view array<double>, meta_view array<double>, quality int, held boolean")
-    table = materialise(rows, "quality-views").toArrow()
+    chosen = _columns(docs).join(F.broadcast(sample), F.col("doc_id") == F.col("sampled")).drop("sampled")
+    schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL(
+        "text_view binary, source int, lang int, n_chars long, quality int, held boolean").fields])
+    table = chosen.mapInArrow(_view_batches, schema).dropDuplicates(["doc_id"]).toArrow()
     quality = table["quality"].to_numpy()
     held = table["held"].to_numpy(zero_copy_only=False).astype(bool)
-    views = [np.array(table[c].to_pylist(), dtype=float).reshape(len(quality), -1) for c in ("text_view", "meta_view")]
+    views = [np.frombuffer(b"".join(table["text_view"].to_pylist()), dtype=np.float32).reshape(-1, N_TEXT),
+             meta_features(*(table[c].to_pylist() for c in ("source", "lang", "n_chars")))]
+    views = [v.astype(float) for v in views]
     with_label = quality >= 0
     y, held = quality[with_label].astype(float), held[with_label]
     if min((y[~held] == 0).sum(), (y[~held] == 1).sum()) == 0:
