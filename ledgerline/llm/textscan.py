@@ -132,7 +132,7 @@ def shingle_hashes(words: np.ndarray, doc_words: np.ndarray, k: int = SHINGLE_WO
     acc = np.zeros(n, dtype=np.uint64)
     for j in range(k):
         here = np.zeros(n, dtype=np.uint64)
-        here[:n - j] = words[j:] * _POW[j + 1]
+        here[:max(0, n - j)] = words[j:] * _POW[j + 1]
         here[length <= j] = 0
         acc += here
     acc = mix(acc + length.astype(np.uint64))
