@@ -44,9 +44,10 @@ from pyspark.sql import types as T
 
 from ledgerline.session import ship_package
 
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 100_000
 CACHE_CHUNK_CHARS = 48
 SLICE_CHARS = 1 << 18
+SLICE_ROWS = 256
 
 # Unicode's white space
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -335,6 +336,11 @@ class BpeTokenizer:
             return self._pieces[chunk]
         return b"".join(map(self._pieces.__getitem__, self._piece.findall(chunk)))
 
+    def trim(self) -> None:
+        """Let go of the older entries: a worker that is done keeps little."""
+        self._chunks.old.clear()
+        self._pieces.old.clear()
+
     def _slices(self, text: str) -> Iterator[str]:
         """The text cut at white space into slices of about SLICE_CHARS."""
         at = 0
@@ -406,7 +412,8 @@ def _encode_batches(path: str, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load_tokenizer(path)
         decoder = Decoder(tokenizer)
-        for batch in batches:
+        # a few rows at a time: what a task holds follows them, not the batch
+        for batch in (b.slice(lo, SLICE_ROWS) for b in batches for lo in range(0, b.num_rows, SLICE_ROWS)):
             at = batch.schema.get_field_index("text")
             counts, id_digests, text_digests, all_ids = [], [], [], []
             for text in batch.column(at):
@@ -432,6 +439,7 @@ def _encode_batches(path: str, with_ids: bool):
                 columns.append(pa.array(all_ids, pa.list_(pa.int32())))
                 names.append("token_ids")
             yield pa.RecordBatch.from_arrays(columns, names)
+        tokenizer.trim()
     return run
 
 
