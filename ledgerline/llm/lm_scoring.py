@@ -1,25 +1,26 @@
 """Cross-entropy difference of a target and a background language model.
 
 Both models are interpolated bigram models over words (A-Z lower-cased) and
-share one vocabulary: words and word pairs are hashed into fixed numbers of
-buckets, so the models have a size that the corpus doesn't change, and every
-word of every document counts. The background is all documents; the target is
-the documents of ``target_ids`` (here those labelled as good and not toxic).
-
-Counting is one pass: each task sums dense counts of its documents and gives
-out its non-zero buckets, which are summed by a shuffle; what is gathered grows
-with the corpus, the summed model doesn't. The counts (at most 2 * ``UNIGRAMS`` +
-``BIGRAMS`` rows) are broadcast, and a second pass scores all documents
-without a shuffle. The models are *matched*: background counts are scaled to
-the target's number of tokens, so both are smoothed alike, and a document's own
-counts are taken off both models before it is scored, so neither has seen it:
+share one vocabulary. Words, histories and word pairs are counted under their
+own 64-bit hashes, so no two of them share a count, and every word of every
+document counts. The background is all documents; the target is the documents
+of ``target_ids`` (here those labelled as good and not toxic).
+
+The counts are a written table that grows with the corpus: tasks count their
+documents' pairs, a shuffle sums them, and word and history counts are sums
+of the pairs' counts. Nothing of that size reaches the driver. Each document's
+distinct pairs are then joined to the table and summed by document. The models
+are *matched*: background counts are scaled to the target's number of tokens,
+so both are smoothed alike, and a document's own counts are taken off both
+models before it is scored, so neither has seen it:
 
     p(w | v) = (c(v w) + PAIR_MASS * p(w)) / (c(v) + PAIR_MASS)
-    p(w)     = (c(w) + 1 / 2) / (N + UNIGRAMS / 2)
+    p(w)     = (c(w) + 1 / 2) / (N + V / 2)
 
-A document's score is the mean over its tokens of log2 p_target - log2
-p_background (the cross-entropy difference: higher is more like the target).
-A document starts in a state of its own.
+V is the number of distinct words of the corpus and ``UNIGRAMS`` unseen ones,
+so p(w) sums to no more than 1. A document's score is the mean over its tokens
+of log2 p_target - log2 p_background (the cross-entropy difference: higher is
+more like the target). A document starts in a state of its own.
 
 Defined cases: null and empty texts have no tokens and null scores; an empty
 target gives the uniform target model; repeated rows count as often as they
@@ -32,7 +33,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,16 +42,17 @@ from ledgerline.llm.near_dedup import BROADCAST_IDS
 from ledgerline.llm.storage import materialise
 from ledgerline.llm.textscan import mix, text_chunks, word_hashes, word_spans
 
-UNIGRAMS = 1 << 20
-BIGRAMS = 1 << 21
+UNIGRAMS = 1 << 20                      # words that the corpus doesn't have
 PAIR_MASS = 64.0
+WORD, HISTORY, PAIR = 0, UNIGRAMS, 2 * UNIGRAMS     # kinds of counts
+COUNT_TOKENS = 1 << 20                  # tokens that a task counts at a time
 
 _START = np.uint64(0x5DEECE66D)         # the state before a document's first word
 
 
 def _tokens(texts) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """By chunk: first row, last row + 1, index of each document's first word,
-    and per word the buckets of the word, of the one before, and of the pair."""
+    and per word the hashes of the word, of the one before, and of the pair."""
     for lo, hi, data, offsets in text_chunks(texts):
         starts, ends, doc_words = word_spans(data, offsets)
         words = word_hashes(data, starts, ends)
@@ -57,73 +60,82 @@ def _tokens(texts) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarra
         before[1:] = words[:-1]
         before[doc_words[:-1][doc_words[:-1] < doc_words[1:]]] = _START
         pairs = mix(before * np.uint64(0x9E3779B97F4A7C15) + words)
-        yield (lo, hi, doc_words, (words % np.uint64(UNIGRAMS)).astype(np.int64),
-               (before % np.uint64(UNIGRAMS)).astype(np.int64), (pairs % np.uint64(BIGRAMS)).astype(np.int64))
+        yield lo, hi, doc_words, words.view(np.int64), before.view(np.int64), pairs.view(np.int64)
+
+
+def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that puts equal keys (the last is the first to sort by) side
+    by side, and where in it each group begins."""
+    order = np.lexsort(keys)
+    if len(order) == 0:
+        return order, order
+    new = np.zeros(len(order), dtype=bool)
+    new[0] = True
+    for key in keys:
+        new[1:] |= key[order[1:]] != key[order[:-1]]
+    return order, np.flatnonzero(new)
+
+
+def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(pair, word, before, n, n_target) of ``COUNT_TOKENS`` tokens at a time."""
+    held, size = [], 0
+
+    def counted() -> pa.RecordBatch:
+        words, before, pairs, of_target = (np.concatenate(c) for c in zip(*held))
+        order, first = _groups(pairs)
+        n = np.diff(first, append=len(order))
+        n_target = np.add.reduceat(of_target[order].astype(np.int64), first)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (
+            pairs[order[first]], words[order[first]], before[order[first]], n, n_target)],
+            ["pair", "word", "before", "n", "n_target"])
 
-
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, all, target) of a partition. Buckets: words, then histories,
-    then pairs."""
-    size = 2 * UNIGRAMS + BIGRAMS
-    totals = np.zeros((2, size), dtype=np.int64)
     for batch in batches:
         wanted = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
         for lo, hi, doc_words, words, before, pairs in _tokens(batch.column(0)):
-            of_target = np.repeat(wanted[lo:hi], np.diff(doc_words))
-            for start, buckets in ((0, words), (UNIGRAMS, before), (2 * UNIGRAMS, pairs)):
-                np.add.at(totals[0], buckets + start, 1)
-                np.add.at(totals[1], buckets[of_target] + start, 1)
-    for lo in range(0, size, 1 << 18):
-        part = totals[:, lo:lo + (1 << 18)]
-        found = np.flatnonzero(part[0])
-        if len(found):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((found + lo).astype(np.int32)), pa.array(part[0][found]), pa.array(part[1][found])],
-                ["bucket", "n", "n_target"])
-
-
-def _own(buckets: np.ndarray, doc_of: np.ndarray, size: int) -> np.ndarray:
-    """How often each token's bucket occurs in the token's own document."""
-    _, at, times = np.unique(doc_of * size + buckets, return_inverse=True, return_counts=True)
-    return times[at]
-
-
-def _log2(counts: tuple[np.ndarray, ...], total: float, scale: float, found: list[tuple[np.ndarray, np.ndarray]],
-          own_tokens: np.ndarray) -> np.ndarray:
-    """Per token: log2 p by the counts (words, histories, pairs) less the
-    document's own, scaled. ``found``: buckets and own occurrences."""
-    word, history, pair = (np.maximum(c[b] - own, 0) * scale for c, (b, own) in zip(counts, found))
-    p = (word + 0.5) / (np.maximum(total - own_tokens, 0) * scale + 0.5 * UNIGRAMS)
-    return np.log2((pair + PAIR_MASS * p) / (history + PAIR_MASS))
-
-
-def _score_batches(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, background = shared.value
-        n_target, n_all = (float(c[0].sum(dtype=np.float64)) for c in (target, background))
-        match = n_target / n_all if n_target else 1.0
-        for batch in batches:
-            of_target = batch.column(2).to_numpy(zero_copy_only=False).astype(np.float64)
-            sizes, losses = [], ([], [])
-            for lo, hi, doc_words, words, before, pairs in _tokens(batch.column(1)):
-                n = np.diff(doc_words)
-                doc_of = np.repeat(np.arange(hi - lo), n)
-                found = [(b, _own(b, doc_of, size)) for b, size in
-                         ((words, UNIGRAMS), (before, UNIGRAMS), (pairs, BIGRAMS))]
-                inside = of_target[lo:hi][doc_of]
-                sizes.append(n)
-                for out, counts, total, scale, part in ((losses[0], target, n_target, 1.0, inside),
-                                                        (losses[1], background, n_all, match, 1.0)):
-                    bits = _log2(counts, total, scale, [(b, own * part) for b, own in found], n[doc_of] * part)
-                    sums = np.concatenate([[0.0], np.cumsum(bits)])
-                    out.append(sums[doc_words[1:]] - sums[doc_words[:-1]])
-            n = np.concatenate(sizes) if sizes else np.empty(0, np.int64)
-            with np.errstate(invalid="ignore", divide="ignore"):
-                ce = [-np.concatenate(x) / n if x else np.empty(0) for x in losses]
-            columns = [pa.array(x, mask=n == 0) for x in (*ce, ce[1] - ce[0])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), *columns],
-                                             ["doc_id", "n_tokens", "ce_target", "ce_background", "score"])
-    return run
+            held.append((words, before, pairs, np.repeat(wanted[lo:hi], np.diff(doc_words))))
+            size += len(words)
+            if size >= COUNT_TOKENS:
+                yield counted()
+                held, size = [], 0
+    if size:
+        yield counted()
+
+
+def _own(keys: np.ndarray, doc_of: np.ndarray) -> np.ndarray:
+    """How often each token's key occurs in the token's own document."""
+    order, first = _groups(keys, doc_of)
+    n = np.diff(first, append=len(order))
+    times = np.empty(len(order), dtype=np.int32)
+    times[order] = np.repeat(n, n)
+    return times
+
+
+_GRAMS = "row long, pair long, m int, own_word int, own_before int, n_tokens long, of_target boolean"
+
+
+def _gram_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document and distinct pair: the document's number, the
+    pair, its occurrences and those of its words there; and one row per
+    document with its doc_id and no occurrence."""
+    number = TaskContext.get().partitionId() << 40
+    for batch in batches:
+        of_target = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+        for lo, hi, doc_words, words, before, pairs in _tokens(batch.column(1)):
+            n = np.diff(doc_words)
+            doc_of = np.repeat(np.arange(hi - lo), n)
+            order, first = _groups(pairs, doc_of)
+            at = order[first]
+            docs = np.concatenate([doc_of[at], np.arange(hi - lo)])
+            none = np.zeros(hi - lo, dtype=np.int32)
+            rows = number + np.arange(hi - lo, dtype=np.int64)
+            number += hi - lo
+            ids = pa.concat_arrays([pa.nulls(len(at), batch.column(0).type), batch.column(0).slice(lo, hi - lo)])
+            columns = (rows[docs], np.concatenate([pairs[at], mix(rows.view(np.uint64)).view(np.int64)]),
+                       np.concatenate([np.diff(first, append=len(order)).astype(np.int32), none]),
+                       np.concatenate([_own(words, doc_of)[at], none]), np.concatenate([_own(before, doc_of)[at], none]),
+                       n[docs].astype(np.int64), of_target[lo:hi][docs])
+            yield pa.RecordBatch.from_arrays([ids, *(pa.array(c) for c in columns)],
+                                             ["doc_id", *(c.split()[0] for c in _GRAMS.split(", "))])
 
 
 def good_ids(labels: DataFrame) -> DataFrame:
@@ -133,18 +145,45 @@ def good_ids(labels: DataFrame) -> DataFrame:
 
 
 def _marked(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
-    """(doc_id, text, of_target); up to BROADCAST_IDS ids are broadcast."""
+    """(doc_id, text, of_target); up to BROADCAST_IDS ids are broadcast. More
+    are joined by a shuffle and the result is written, so that a task that
+    runs again sees its rows in the same order."""
     few = target_ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return (docs.select("doc_id", "text")
-            .join(F.broadcast(target_ids) if few else target_ids, F.col("doc_id") == F.col("target_id"), "left")
-            .select("doc_id", "text", F.col("target_id").isNotNull().alias("of_target")))
+    marked = (docs.select("doc_id", "text")
+              .join(F.broadcast(target_ids) if few else target_ids, F.col("doc_id") == F.col("target_id"), "left")
+              .select("doc_id", "text", F.col("target_id").isNotNull().alias("of_target")))
+    return marked if few else materialise(marked, "marked-documents")
+
+
+def _sums(counts: DataFrame, *keys: str) -> DataFrame:
+    return counts.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
 
 
 def ngram_counts(marked: DataFrame) -> DataFrame:
-    """Written (bucket, n, n_target) over all rows of (text, of_target)."""
-    return materialise(marked.select("text", "of_target").mapInArrow(_counts, "bucket int, n long, n_target long")
-                       .groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")),
-                       "ngram-counts")
+    """(bucket, pair, word, before, n, n_target) over all rows of (text,
+    of_target): the written counts of pairs, and those of words and histories,
+    told apart by ``bucket`` (WORD, HISTORY or PAIR)."""
+    pairs = materialise(_sums(marked.select("text", "of_target").mapInArrow(
+        _pair_counts, "pair long, word long, before long, n long, n_target long"), "pair", "word", "before"), "pair-counts")
+    none = F.lit(None).cast("long")
+
+    def kind(bucket: int, counts: DataFrame) -> DataFrame:
+        return counts.select(F.lit(bucket).alias("bucket"), *((F.col(c) if c in counts.columns else none).alias(c)
+                             for c in ("pair", "word", "before")), "n", "n_target")
+
+    return (kind(WORD, _sums(pairs, "word")).unionByName(kind(HISTORY, _sums(pairs, "before")))
+            .unionByName(kind(PAIR, pairs)))
+
+
+def _bits(suffix: str, own: float | Column, total: float, scale: float, vocabulary: float) -> Column:
+    """-log2 p of a row's pair, times its occurrences, by one model's counts
+    less ``own`` times the document's own, scaled."""
+    def left(count: str, mine: str) -> Column:
+        return F.greatest(F.coalesce(F.col(count + suffix), F.lit(0)) - F.col(mine) * own, F.lit(0)) * F.lit(scale)
+
+    p = ((left("word", "own_word") + 0.5)
+         / (F.greatest(F.lit(total) - F.col("n_tokens") * own, F.lit(0.0)) * F.lit(scale) + F.lit(0.5 * vocabulary)))
+    return -F.col("m") * F.log2((left("pair", "m") + PAIR_MASS * p) / (left("before", "own_before") + PAIR_MASS))
 
 
 def score_documents(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
@@ -152,13 +191,27 @@ def score_documents(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     (bits per token) and score = ce_background - ce_target. ``target_ids``:
     distinct (target_id)."""
     marked = _marked(docs, materialise(target_ids, "target-ids"))
-    rows = ngram_counts(marked).toArrow()       # at most 2 * UNIGRAMS + BIGRAMS rows
-    models = []
-    for name in ("n_target", "n"):
-        counts = np.zeros(2 * UNIGRAMS + BIGRAMS, dtype=np.float64)
-        counts[rows["bucket"].to_numpy()] = rows[name].to_numpy()
-        models.append((counts[:UNIGRAMS], counts[UNIGRAMS:2 * UNIGRAMS], counts[2 * UNIGRAMS:]))
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(models))
-    schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL(
-        "n_tokens long, ce_target double, ce_background double, score double").fields])
-    return marked.mapInArrow(_score_batches(shared), schema)
+    counts = ngram_counts(marked)
+
+    def of(bucket: int, name: str, *keys: str) -> DataFrame:
+        return counts.filter(F.col("bucket") == bucket).select(
+            *keys, F.col("n").alias(f"{name}_all"), F.col("n_target").alias(f"{name}_target"))
+
+    words = materialise(of(WORD, "word", "word"), "word-counts")
+    totals = words.agg(F.count("*").alias("words"), F.sum("word_all").alias("n"), F.sum("word_target").alias("t")).first()
+    n_all, n_target = float(totals.n or 0), float(totals.t or 0)
+    model = (of(PAIR, "pair", "pair", "word", "before").join(words, "word").join(of(HISTORY, "before", "before"), "before")
+             .select(F.col("pair").alias("known"), *(f"{k}_{m}" for k in ("word", "before", "pair")
+                                                     for m in ("all", "target"))))
+    schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL(_GRAMS).fields])
+    grams = marked.mapInArrow(_gram_batches, schema).join(model, F.col("pair") == F.col("known"), "left")
+    vocabulary = totals.words + UNIGRAMS
+    of_target = F.col("of_target").cast("int")
+    sums = (grams.select("row", "doc_id", "n_tokens",
+                         _bits("_target", of_target, n_target, 1.0, vocabulary).alias("target"),
+                         _bits("_all", F.lit(1), n_all, n_target / n_all if n_target else 1.0, vocabulary).alias("background"))
+            .groupBy("row").agg(F.first("doc_id", ignorenulls=True).alias("doc_id"), F.max("n_tokens").alias("n_tokens"),
+                                F.sum("target").alias("target"), F.sum("background").alias("background")))
+    mean = {c: F.when(F.col("n_tokens") > 0, F.col(c) / F.col("n_tokens")) for c in ("target", "background")}
+    return sums.select("doc_id", "n_tokens", mean["target"].alias("ce_target"), mean["background"].alias("ce_background"),
+                       (mean["background"] - mean["target"]).alias("score"))

@@ -88,3 +88,23 @@ def test_edges(spark):
     odd = spark.createDataFrame([(None, 1, 0), (1, 1, None), (2, 1, 1), (3, 0, 0), (1, 1, 0)],
                                 "doc_id long, quality int, toxic int")
     assert [r.target_id for r in lm.good_ids(odd).collect()] == [1]
+
+
+def test_no_two_pairs_share_a_count(spark):
+    # 60,000 words and pairs: in 2^20 and 2^21 buckets some 1,700 and 860 would fall together
+    words = [f"w{i}" for i in range(60_000)]
+    texts = [(k, " ".join(words[k * 6000:(k + 1) * 6000]) + f" tail{k}") for k in range(10)]
+    rows = lm.ngram_counts(lm._marked(documents(spark, texts), spark.createDataFrame([(1,)], "target_id long")))
+    by = {r.bucket: r for r in rows.groupBy("bucket").agg({"n": "max", "n_target": "sum", "*": "count"}).collect()}
+    assert by[lm.WORD]["count(1)"] == 60_010 and by[lm.WORD]["max(n)"] == 1
+    assert by[lm.PAIR]["count(1)"] == 60_010 and by[lm.PAIR]["max(n)"] == 1
+    assert by[lm.HISTORY]["count(1)"] == 60_001 and by[lm.HISTORY]["max(n)"] == 10     # a start each
+    # a pair has no more occurrences than its history, so p(w | v) is a probability
+    seen = rows.filter(rows.bucket == lm.HISTORY).select("before", rows.n.alias("limit"))
+    assert rows.filter(rows.bucket == lm.PAIR).join(seen, "before").filter("n > limit").count() == 0
+
+
+def test_rows_with_the_same_id_are_scored_apart(spark):
+    docs = documents(spark, [(1, "a b c"), (1, "x y"), (None, "a b"), (None, None)])
+    got = lm.score_documents(docs, spark.createDataFrame([(1,)], "target_id long")).collect()
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in got) == [(0, 0), (0, 2), (1, 2), (1, 3)]
