@@ -17,9 +17,16 @@ than five words are one shingle of all their words.
 3. The items' SimHashes are indexed by their blocks of 16 bits: a block value
    leads to all items whose block is within ``BLOCK_RADIUS`` bits of it. With b
    blocks, two fingerprints within b * (BLOCK_RADIUS + 1) - 1 bits
-   agree so on at least one block, so every item within that radius is found. The radius is more than
-   4.5 standard deviations above the expected distance at the threshold.
-4. Candidates are verified exactly.
+   agree so on at least one block, so every item within that radius is found. A
+   similar window's weights differ from the item's by at most a quarter of the item's
+   sum, which bounds their angle by the item's own weights; this index decides for
+   the items whose expected distance at that angle is ``SURE`` standard deviations
+   or more below the radius. These are short ones only: a shingle of no item
+   weighs 1, and a few of them can turn the fingerprint of a long or much
+   shared item's window.
+4. For all other items every window of step 1 is a candidate if what it has of
+   the item's shingles could make it similar: a bound that loses nothing.
+5. Candidates are verified exactly.
 
 Items are taken in groups of ``GROUP_ITEMS``, whose index has a bounded size and
 is broadcast; each group is one pass over the documents without a shuffle, and
@@ -54,6 +61,8 @@ BLOCK_RADIUS = 4
 RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1
 GROUP_ITEMS = 1_000
 _TABLE_BITS = 22
+SURE = 4.5
+_ROUNDING = 1e-9
 
 _NEAR = np.array([x for x in range(1 << 16) if bin(x).count("1") <= BLOCK_RADIUS], dtype=np.uint16)
 
@@ -81,6 +90,16 @@ def _words_of(texts) -> tuple[list[np.ndarray], list[np.ndarray]]:
     return words, shingles
 
 
+def _reach(weights: np.ndarray) -> float:
+    """The distance that a similar window's fingerprint is sure to be within,
+    for an item with these weights."""
+    sine = (1 / SIMILAR - 1) * weights.sum() / np.sqrt((weights ** 2).sum())
+    if sine >= 1:
+        return math.inf
+    p = math.asin(sine) / math.pi
+    return BITS * p + SURE * math.sqrt(BITS * p * (1 - p))
+
+
 class SizeIndex:
     """The items of one size: fingerprints in multi-index blocks, and weights."""
 
@@ -88,6 +107,15 @@ class SizeIndex:
         self.size, self.numbers, self.bags = size, numbers, bags
         self.width = max(1, size - SHINGLE_WORDS + 1)       # shingles of a full window
         self.shingles = np.unique(np.array([s for bag in bags for s in bag], dtype=np.uint64))
+        weights = [np.array([weight[s] * n for s, n in bag.items()]) for bag in bags]
+        self.totals = np.array([w.sum() for w in weights])
+        self.by_print = np.array([_reach(w) <= RADIUS for w in weights])
+        # the items of each shingle, for those that fingerprints don't decide
+        owned = [(s, i) for i, bag in enumerate(bags) if not self.by_print[i] for s in bag]
+        at = np.searchsorted(self.shingles, np.array([s for s, _ in owned], dtype=np.uint64))
+        order = np.argsort(at, kind="stable")
+        self.owners = np.array([i for _, i in owned], dtype=np.int64)[order]
+        self.owner_bounds = np.searchsorted(at[order], np.arange(len(self.shingles) + 1))
         sums = [(_bits(np.array(list(bag), dtype=np.uint64))
                  * np.array([weight[s] * n for s, n in bag.items()])[:, None]).sum(axis=0) for bag in bags]
         self.prints = _blocks(np.array(sums))
@@ -116,14 +144,46 @@ class SizeIndex:
         return zip(rows[near].tolist(), items[near].tolist())
 
 
+    def possible(self, part: np.ndarray, weights: np.ndarray, starts: np.ndarray,
+                 ends: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(window, item) for the items that fingerprints don't decide, where
+        the weights of the item's shingles in the window don't rule it out."""
+        if len(self.owners) == 0:
+            return
+        at = np.minimum(np.searchsorted(self.shingles, part), len(self.shingles) - 1)
+        places = np.flatnonzero(self.shingles[at] == part)
+        lo = self.owner_bounds[at[places]]
+        n = self.owner_bounds[at[places] + 1] - lo
+        items = self.owners[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+        places = np.repeat(places, n)
+        inside = np.bincount(items, weights[places], minlength=len(self.numbers))
+        order = np.argsort(items, kind="stable")
+        bounds = np.searchsorted(items[order], np.arange(len(self.numbers) + 1))
+        sums = np.concatenate([[0.0], np.cumsum(weights)])
+        total = sums[ends] - sums[starts]
+        for item in np.flatnonzero((inside >= SIMILAR * self.totals - _ROUNDING) & (np.diff(bounds) > 0)).tolist():
+            own = np.zeros(len(part) + 1)
+            mine = places[order[bounds[item]:bounds[item + 1]]]
+            own[mine + 1] = weights[mine]
+            np.cumsum(own, out=own)
+            common = own[ends] - own[starts]
+            for window in np.flatnonzero(common >= SIMILAR * np.maximum(total, self.totals[item]) - _ROUNDING).tolist():
+                yield window, item
+
+
 class Index:
-    """A group of items, by size."""
+    """A group of items, by size. ``item_counts``: hashes, sorted, and numbers
+    of items of the shingles that several items of the whole benchmark have."""
 
-    def __init__(self, texts: list[str], item_counts: dict[int, int] | None = None):
+    def __init__(self, texts: list[str], item_counts: tuple[np.ndarray, np.ndarray] | None = None):
         words, shingles = _words_of(pa.array(texts, pa.string()))
         bags = [Counter(s.tolist()) for s in shingles]
-        shared = item_counts or Counter(s for bag in bags for s in bag)
-        self.weight = {s: 1 / (1 + math.log(n)) for s, n in shared.items()}
+        if item_counts is None:
+            found, times = np.unique(np.array([s for bag in bags for s in bag], dtype=np.uint64), return_counts=True)
+            item_counts = found[times > 1], times[times > 1]
+        self.shared, self.shared_weights = item_counts[0], 1 / (1 + np.log(item_counts[1]))
+        own = np.unique(np.concatenate([np.empty(0, np.uint64), *shingles]))
+        self.weight = dict(zip(own.tolist(), self.weights(own).tolist()))
         by_size: dict[int, list[int]] = {}
         for i, w in enumerate(words):
             if len(w):
@@ -142,10 +202,21 @@ class Index:
         at = np.minimum(np.searchsorted(self.known, shingles[maybe]), len(self.known) - 1)
         return maybe[self.known[at] == shingles[maybe]]
 
-    def similarity(self, bag: Counter, window: list[int]) -> float:
+    def weights(self, shingles: np.ndarray) -> np.ndarray:
+        """Weights by the whole benchmark; a shingle of one or no item weighs 1."""
+        out = np.ones(len(shingles))
+        if len(self.shared):
+            at = np.minimum(np.searchsorted(self.shared, shingles), len(self.shared) - 1)
+            known = self.shared[at] == shingles
+            out[known] = self.shared_weights[at[known]]
+        return out
+
+    def similarity(self, bag: Counter, window: list[int], weight: dict[int, float]) -> float:
+        """``weight``: weights of the window's shingles."""
         here = Counter(window)
-        common = sum(self.weight.get(s, 1.0) * min(n, here[s]) for s, n in bag.items())
-        total = sum(self.weight.get(s, 1.0) * max(bag[s], here[s]) for s in {*bag, *here})
+        weight = weight | {s: self.weight[s] for s in bag}
+        common = math.fsum(weight[s] * min(n, here[s]) for s, n in bag.items())
+        total = math.fsum(weight[s] * max(bag[s], here[s]) for s in {*bag, *here})
         return common / total if total else 0.0
 
     def matches(self, shingles: np.ndarray) -> dict[int, tuple[float, int]]:
@@ -163,14 +234,20 @@ class Index:
             for run in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
                 a, b = int(run[0]), int(run[-1]) + width
                 part = shingles[a:b]
-                weights = np.array([self.weight.get(s, 1.0) for s in part.tolist()], dtype=np.float32)
-                sums = np.zeros((len(part) + 1, BITS))
-                np.cumsum(_bits(part) * weights[:, None], axis=0, out=sums[1:])
+                weights = self.weights(part)
                 ends = np.minimum(np.arange(len(run)) + width, len(part))
-                for window, item in size.within(_blocks(sums[ends] - sums[:len(run)])):
-                    found = self.similarity(size.bags[item], part[window:window + width].tolist())
+                pairs = list(size.possible(part, weights, np.arange(len(run)), ends))
+                if size.by_print.any():
+                    sums = np.zeros((len(part) + 1, BITS))
+                    np.cumsum(_bits(part) * weights[:, None], axis=0, out=sums[1:])
+                    pairs += [(window, item) for window, item in size.within(_blocks(sums[ends] - sums[:len(run)]))
+                              if size.by_print[item]]
+                for window, item in sorted(pairs):
+                    here = slice(window, window + width)
+                    found = self.similarity(size.bags[item], part[here].tolist(),
+                                            dict(zip(part[here].tolist(), weights[here].tolist())))
                     number = size.numbers[item]
-                    if found >= SIMILAR and found > best.get(number, (0.0, 0))[0]:
+                    if found >= SIMILAR - _ROUNDING and found > best.get(number, (0.0, 0))[0]:
                         best[number] = (found, a + window)
         return best
 
@@ -190,9 +267,9 @@ class Index:
         return best
 
 
-def _match_batches(texts: list[str], ids: list, counts: dict[int, int], id_type: pa.DataType):
+def _match_batches(texts: list[str], ids: list, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(texts, counts)
+        index = Index(texts)
         for batch in batches:
             rows, items, similar, at = [], [], [], []
             for lo, hi, data, offsets in text_chunks(batch.column(1)):
@@ -232,10 +309,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, group_items: int = GROUP_ITEMS
         if not rows:
             continue
         texts = [r.text for r in rows]
-        counts = dict(Counter(s for shingles in _words_of(pa.array(texts, pa.string()))[1]
-                              for s in set(shingles.tolist())))
         found = docs.select("doc_id", "text").mapInArrow(
-            _match_batches(texts, [r.item_id for r in rows], counts, to_arrow_type(item_type.dataType)), schema)
+            _match_batches(texts, [r.item_id for r in rows], to_arrow_type(item_type.dataType)), schema)
         out = out.unionByName(found)
     return out
 

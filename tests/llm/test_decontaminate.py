@@ -87,3 +87,41 @@ def test_edges(spark):
     assert dc.find_leaks(empty(spark), items).count() == 0
     assert dc.find_leaks(docs, benchmark(spark, [])).count() == 0
     assert dc.Index([]).places(dc._words_of(pa.array(["a b c d e f"]))[1][0]).size == 0
+
+
+def test_similar_windows_of_shared_items(spark):
+    # what many items share weighs little, a foreign shingle weighs 1 and turns the window's fingerprint
+    items, docs = [], []
+    for n, copies, edits in ((40, 100, 1), (55, 100, 1), (104, 100, 3), (40, 10, 1), (30, 1, 1)):
+        passage = [f"p{n}x{copies}x{i}" for i in range(n)]
+        first = len(items)
+        items += [(first + k, " ".join(passage)) for k in range(copies)]
+        for d in range(12):
+            edited = passage[:n - edits] + [f"edit{d}y{i}" for i in range(edits)]
+            docs.append((len(docs), " ".join(["before"] * 3 + edited)))
+    # a foreign shingle that repeats turns it also where nothing is shared
+    passage = [f"r{i}" for i in range(40)]
+    items.append((len(items), " ".join(passage)))
+    docs += [(len(docs) + d, " ".join(passage[:32] + [f"again{d}"] * 8)) for d in range(12)]
+    got = {(r.doc_id, r.item_id) for r in dc.find_leaks(documents(spark, docs), benchmark(spark, items)).collect()}
+    chosen = {i for i, _ in items[::10]} | {items[-2][0], items[-1][0]}
+    assert {r for r in got if r[1] in chosen} == brute_of(docs, items, chosen)
+    assert len(got) > 3000
+
+
+def brute_of(docs, items, chosen):
+    """brute() for the chosen items, by the weights of all."""
+    shared = Counter(s for _, t in items for s in bag(words(t)))
+    out = set()
+    for doc, text in docs:
+        w = words(text)
+        for item, t in items:
+            n, b = len(words(t)), bag(words(t))
+            for a in range(max(1, len(w) - n + 1)) if item in chosen else ():
+                here = bag(w[a:a + n])
+                weight = {s: 1 / (1 + math.log(max(1, shared[s]))) for s in {*b, *here}}
+                total = sum(weight[s] * max(b[s], here[s]) for s in weight)
+                if sum(weight[s] * min(b[s], here[s]) for s in weight) >= 0.8 * total - 1e-12:
+                    out.add((doc, item))
+                    break
+    return out
