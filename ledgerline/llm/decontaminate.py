@@ -30,7 +30,9 @@ than five words are one shingle of all their words.
 
 Items are taken in groups of ``GROUP_ITEMS``, whose index has a bounded size and
 is broadcast; each group is one pass over the documents without a shuffle, and
-a document's matches are found in the task that reads it.
+a document's matches are found in the task that reads it. k is counted over the
+whole benchmark, and the shingles that several of its items have are broadcast
+with their counts (16 bytes each), so groups don't change a weight.
 
 Defined cases: null and empty texts and items match nothing; repeated documents
 each get their rows; items that repeat an id each count as an item of that id;
@@ -267,9 +269,9 @@ class Index:
         return best
 
 
-def _match_batches(texts: list[str], ids: list, id_type: pa.DataType):
+def _match_batches(texts: list[str], ids: list, counts, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(texts)
+        index = Index(texts, counts.value)
         for batch in batches:
             rows, items, similar, at = [], [], [], []
             for lo, hi, data, offsets in text_chunks(batch.column(1)):
@@ -294,6 +296,23 @@ def _match_batches(texts: list[str], ids: list, id_type: pa.DataType):
     return run
 
 
+def _item_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each item's distinct shingles."""
+    for batch in batches:
+        shingles = [np.empty(0, np.uint64), *(np.unique(s) for s in _words_of(batch.column(0))[1])]
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingles).view(np.int64))], ["shingle"])
+
+
+def shared_shingles(items: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles that several items of the whole benchmark have, sorted, and
+    their numbers of items. All others weigh 1 and needn't be known."""
+    rows = (items.select("text").mapInArrow(_item_shingles, "shingle long").groupBy("shingle").agg(F.count("*").alias("n"))
+            .filter(F.col("n") > 1).toArrow())
+    shingles = rows["shingle"].to_numpy().view(np.uint64)
+    order = np.argsort(shingles)
+    return shingles[order], rows["n"].to_numpy()[order]
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, group_items: int = GROUP_ITEMS) -> DataFrame:
     """One row per document and item found in it: doc_id, item_id, similarity
     of the best window, first_word (its place, in words)."""
@@ -304,13 +323,14 @@ def find_leaks(docs: DataFrame, items: DataFrame, group_items: int = GROUP_ITEMS
     numbered = items.filter(F.length(F.trim("text")) > 0).select(
         "item_id", "text", F.pmod(F.xxhash64("item_id", "text"), F.lit(_groups(items, group_items))).alias("part"))
     out = docs.sparkSession.createDataFrame([], schema)
+    counts = docs.sparkSession.sparkContext.broadcast(shared_shingles(items))
     for part in range(_groups(items, group_items)):
         rows = numbered.filter(F.col("part") == part).orderBy("item_id", "text").select("item_id", "text").collect()
         if not rows:
             continue
         texts = [r.text for r in rows]
         found = docs.select("doc_id", "text").mapInArrow(
-            _match_batches(texts, [r.item_id for r in rows], to_arrow_type(item_type.dataType)), schema)
+            _match_batches(texts, [r.item_id for r in rows], counts, to_arrow_type(item_type.dataType)), schema)
         out = out.unionByName(found)
     return out
 

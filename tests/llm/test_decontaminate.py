@@ -125,3 +125,18 @@ def brute_of(docs, items, chosen):
                     out.add((doc, item))
                     break
     return out
+
+
+def test_groups_of_items_change_nothing(spark):
+    rng = random.Random(9)
+    common, other = ([f"{c}{i}" for i in range(120)] for c in "co")
+    items = [(k, " ".join(common)) for k in range(20)]
+    # shingles of other items in a window weigh by the whole benchmark too
+    items += [(20 + k, " ".join(other[:30] + [f"own{k}x{i}" for i in range(10)])) for k in range(20)]
+    docs = [(d, " ".join(common[:120 - d] + [f"e{d}x{i}" for i in range(d)])) for d in range(8)]
+    docs += [(100 + d, " ".join(common[:120 - d] + other[:d])) for d in range(4, 10)]
+    rng.shuffle(items)
+    whole, *parts = ({(r.doc_id, r.item_id): (round(r.similarity, 9), r.first_word) for r in dc.find_leaks(
+        documents(spark, docs), benchmark(spark, items), group_items=n).collect()} for n in (1000, 9))
+    assert set(whole) == brute(docs, items) and len(whole) > 100
+    assert all(part == whole for part in parts)
