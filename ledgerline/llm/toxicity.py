@@ -11,7 +11,8 @@ matched clauses and their reading, not on isolated words.
 
 *Learning.* Labels are used only from rows whose crc32(doc_id as text) mod 3 is
 not 1. Up to ``TRAIN_ROWS`` of them, in the order of a hash of doc_id, are read;
-of documents that share their smallest shingle hash (copies) one counts. A
+of documents with the same whole text (copies) and the same label one counts, in
+the patterns and in the channels' weights, wherever they lie. A
 pattern is taken when at least ``PRECISION`` of the documents with it are toxic
 and the chance of that is so small that ``MISTAKES`` patterns are expected to
 be taken by accident; of nested word beginnings a longer one is taken too if
@@ -43,7 +44,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm.storage import materialise
-from ledgerline.llm.textscan import shingle_hashes, text_chunks, word_hashes, word_spans
 
 TRAIN_ROWS = 16_000
 MISTAKES = 0.1                          # patterns expected to be taken by accident
@@ -186,20 +186,14 @@ def _rare(n: int, k: int, p: float) -> float:
 
 def _pattern_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(pattern, toxic, documents) of a partition; ``=w`` is a whole word. Also
-    one row without pattern with all its documents. Each copy group's key makes
-    its documents count once within a partition."""
-    toxic_counts, counts, seen = Counter(), Counter(), set()
+    one row without pattern with all its documents. Texts without a word are
+    no documents here."""
+    toxic_counts, counts = Counter(), Counter()
     totals = [0, 0]
     for batch in batches:
-        copies = []
-        for _, _, data, offsets in text_chunks(batch.column(0)):
-            starts, ends, doc_words = word_spans(data, offsets)
-            shingles, bounds = shingle_hashes(word_hashes(data, starts, ends), doc_words)
-            copies += [int(shingles[a:b].min()) if b > a else None for a, b in zip(bounds[:-1], bounds[1:])]
-        for text, toxic, copy in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), copies):
-            if copy is None or (copy, toxic) in seen:
+        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if not text.strip(" \t\n\v\f\r"):
                 continue
-            seen.add((copy, toxic))
             found = set(_WORD.findall(text.lower()))
             patterns = {"=" + w for w in found if len(w) >= 3} | {w[:n] for w in found for n in PREFIXES if len(w) > n}
             counts.update(patterns)
@@ -217,13 +211,16 @@ def learnable(labels: DataFrame, doc_id: str = "doc_id") -> DataFrame:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """Written (text, toxic) of the bounded training sample."""
+    """Written (text, toxic) of the bounded training sample, one row for each
+    text and label: rows are dealt by a digest of the whole text, and a task
+    sends one row of each group, so a large one doesn't gather in a task."""
     sample = (learnable(labels).filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
               .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
               .select(F.col("doc_id").alias("labelled"), "toxic"))
     return materialise(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
                        .join(F.broadcast(sample), F.col("doc_id") == F.col("labelled"))
+                       .groupBy(F.sha2("text", 256).alias("copy"), "toxic").agg(F.first("text").alias("text"))
                        .select("text", "toxic"), "toxicity-sample")
 
 

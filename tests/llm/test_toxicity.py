@@ -71,3 +71,19 @@ def test_edges(spark):
 def test_accident_bound():
     assert tx._rare(10, 10, 0.1) == pytest.approx(1e-10)
     assert tx._rare(10, 1, 0.1) == 1.0
+
+
+def test_copies_count_once_in_learning(spark):
+    # copies in many files: each has words of its own that nothing but the copies would make a pattern
+    toxic_copy = "harmlessword anotherword you awfulone"
+    rows = [(i, toxic_copy if i % 3 == 0 else f"plain text number{i} goes here") for i in range(600)]
+    docs = documents(spark, rows).repartition(24)
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    sample = tx.training_rows(docs, labels)
+    assert sample.filter(sample.text == toxic_copy).count() == 1
+    assert sample.filter("toxic = 0").count() == len([1 for i, _ in rows if i % 3 and zlib.crc32(str(i).encode()) % 3 != 1])
+    assert tx.learn_patterns(sample) == ({}, {})
+    # texts that only share their beginning are no copies
+    near = documents(spark, [(i, f"one two three four five {i}") for i in range(60)])
+    truth = spark.createDataFrame([(i, 1, i % 2) for i in range(60)], labels.schema)
+    assert tx.training_rows(near, truth).count() == tx.learnable(truth).count()
