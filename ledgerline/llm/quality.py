@@ -6,11 +6,16 @@ lengths, taken from the whole text. Metadata: the document's source, language
 and stated length (hashed one-hot and logarithm). Each view has a ridge logistic
 regression of its own.
 
-*Co-training.* Up to ``TRAIN_ROWS`` labelled and ``POOL_ROWS`` unlabelled
-documents, in the order of a hash of doc_id, are read; a fifth of the labelled
-ones is set aside. In each of ``ROUNDS`` rounds every view labels the pool, and
-its ``SHARE`` most confident documents of each class, if surer than
-``CONFIDENT``, join the other view's training set with those pseudo-labels.
+*Co-training.* Up to ``TRAIN_ROWS`` labelled documents, in the order of a hash
+of doc_id, are read; a fifth of them is set aside. The pool is every row without
+a label; its features are written once and stay distributed. In each of
+``ROUNDS`` rounds every view labels the whole pool, and its ``SHARE`` most
+confident documents of each class, if surer than ``CONFIDENT``, join the other
+view's training set with those pseudo-labels. Confidences are compared in steps
+of 1 / ``STEPS`` of log odds: the documents of the step in which the share ends
+join with the weight that makes the share exact, so no order decides. The views
+are fitted on the labelled rows and sums (moments, gradient, Hessian) over all
+chosen rows; a task recomputes the choices from the rounds' models.
 
 *Calibration and combination.* On the set-aside labelled documents each view's
 log odds are calibrated (Platt), and a logistic regression with non-negative
@@ -35,14 +40,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.llm.near_dedup import with_ids
 from ledgerline.llm.storage import materialise
 from ledgerline.llm.textscan import text_chunks, word_hashes, word_spans
 
 TRAIN_ROWS = 8_000
-POOL_ROWS = 8_000
 ROUNDS = 3
 SHARE = 0.05
 CONFIDENT = 0.9
+STEPS = 256
 REJECT_BELOW = 0.3                      # documents with a lower probability of being good go
 META_BUCKETS = 64
 
@@ -119,8 +125,11 @@ class Logistic:
                 break
         return cls(mean, scale, w)
 
+    def margin(self, x: np.ndarray) -> np.ndarray:
+        return self.weights[0] + np.clip((x - self.mean) / self.scale, -20, 20) @ self.weights[1:]
+
     def logit(self, x: np.ndarray) -> np.ndarray:
-        return np.clip(self.weights[0] + np.clip((x - self.mean) / self.scale, -20, 20) @ self.weights[1:], -30, 30)
+        return np.clip(self.margin(x), -30, 30)
 
 
 def _platt(logits: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -143,28 +152,176 @@ class CoTrained:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np.ndarray, np.ndarray],
-             held: np.ndarray, rounds: int = ROUNDS) -> CoTrained:
-    """``views``: text and metadata features of the labelled rows; ``held``:
-    which of them are set aside for calibration."""
-    x = [v[~held] for v in views]
-    sets = [(x[k], y[~held]) for k in (0, 1)]
-    free = [np.ones(len(pool[0]), dtype=bool) for _ in (0, 1)]
+@dataclass
+class Choice:
+    """What a pupil's teacher gives it in a round: per class (good, bad) the
+    step that the share ends in, and the weight of that step's rows."""
+    teacher: Logistic
+    cuts: tuple[tuple[float, float], tuple[float, float]]
+
+
+def _steps(margin: np.ndarray) -> np.ndarray:
+    return np.floor(np.clip(margin, -200, 200) * STEPS)
+
+
+def _sure(margin: np.ndarray) -> np.ndarray:
+    return margin >= np.log(CONFIDENT / (1 - CONFIDENT))
+
+
+def _pseudo_labels(choices: list[Choice], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Labels and weights that one pupil's rounds gave the rows whose teacher's
+    view is ``x``; weight 0 for rows that weren't chosen."""
+    labels, weights = np.zeros(len(x)), np.zeros(len(x))
+    for choice in choices:
+        free, margin = weights == 0, choice.teacher.margin(x)
+        for label, side, (cut, part) in zip((1.0, 0.0), (margin, -margin), choice.cuts):
+            steps = _steps(side)
+            weight = np.where(steps > cut, 1.0, np.where(steps == cut, part, 0.0)) * (free & _sure(side))
+            labels[weight > 0] = label
+            weights += weight
+    return labels, weights
+
+
+def _confident(state, views) -> np.ndarray:
+    """(pupil, class, step, rows) of the sure rows that are still free. ``state``:
+    each pupil's choices so far and its teacher."""
+    out = [np.empty((0, 4))]
+    for pupil, (choices, teacher) in enumerate(state):
+        x = views[1 - pupil]
+        free, margin = _pseudo_labels(choices, x)[1] == 0, teacher.margin(x)
+        for label, side in ((0, margin), (1, -margin)):
+            steps, n = np.unique(_steps(side)[free & _sure(side)], return_counts=True)
+            out.append(np.column_stack([np.full(len(n), pupil), np.full(len(n), label), steps, n]))
+    return np.concatenate(out)
+
+
+def _moments(state, views) -> np.ndarray:
+    """Per pupil: weight, sums of x - centre and of its square. ``state``: each
+    pupil's choices and centre."""
+    out = []
+    for pupil, (choices, centre) in enumerate(state):
+        w = _pseudo_labels(choices, views[1 - pupil])[1]
+        x = views[pupil][w > 0] - centre
+        w = w[w > 0]
+        out += [[w.sum()], w @ x, w @ x ** 2]
+    return np.concatenate(out)
+
+
+def _newton_sums(design: np.ndarray, y: np.ndarray, w: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Gradient and Hessian of the log likelihood, in one row."""
+    p = 1 / (1 + np.exp(-np.clip(design @ weights, -30, 30)))
+    return np.concatenate([design.T @ (w * (y - p)), ((design * (w * p * (1 - p))[:, None]).T @ design).ravel()])
+
+
+def _standard(model: Logistic, x: np.ndarray) -> np.ndarray:
+    return np.column_stack([np.ones(len(x)), (x - model.mean) / model.scale])
+
+
+def _newton(state, views) -> np.ndarray:
+    """Per pupil the sums of a Newton step. ``state``: choices and model."""
+    out = []
+    for pupil, (choices, model) in enumerate(state):
+        y, w = _pseudo_labels(choices, views[1 - pupil])
+        rows = w > 0
+        out.append(_newton_sums(_standard(model, views[pupil][rows]), y[rows], w[rows], model.weights))
+    return np.concatenate(out)
+
+
+class ArrayPool:
+    """Unlabelled rows in memory."""
+
+    def __init__(self, views: tuple[np.ndarray, np.ndarray]):
+        self.views, self.size = views, len(views[0])
+
+    def counts(self, state) -> np.ndarray:
+        return _confident(state, self.views)
+
+    def sums(self, what, state) -> np.ndarray:
+        return what(state, self.views)
+
+
+class TablePool:
+    """Unlabelled rows as a written table of compact views; a task keeps sums
+    of its rows, so what reaches the driver doesn't grow with them."""
+
+    def __init__(self, table: DataFrame):
+        self.table, self.size = table, table.count()
+
+    def counts(self, state) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = _confident(state, _compact_views(batch)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found.T], ["pupil", "class", "step", "n"])
+        rows = (self.table.mapInArrow(run, "pupil long, class long, step long, n long")
+                .groupBy("pupil", "class", "step").agg({"n": "sum"}).toArrow())
+        return np.column_stack([c.to_numpy() for c in rows.columns]).astype(float).reshape(-1, 4)
+
+    def sums(self, what, state) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = None
+            for batch in batches:
+                part = what(state, _compact_views(batch))
+                total = part if total is None else total + part
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+        return sum(np.frombuffer(r.sums) for r in self.table.mapInArrow(run, "sums binary").collect())
+
+
+def _cut(steps: np.ndarray, n: np.ndarray, most: int) -> tuple[float, float]:
+    """The step in which the ``most`` surest rows end, and the part of its rows
+    that belongs to them."""
+    order = np.argsort(-steps)
+    upto = np.cumsum(n[order])
+    k = int(np.searchsorted(upto, most))
+    if k == len(upto):
+        return -np.inf, 1.0
+    return float(steps[order][k]), float((most - upto[k] + n[order][k]) / n[order][k])
+
+
+def _fit_pupils(sets: list[tuple[np.ndarray, np.ndarray]], pool, choices: list[list[Choice]],
+                ridge: float = 1.0) -> list[Logistic]:
+    """Both views' regressions over the labelled rows and the chosen rows."""
+    centres = [x.mean(axis=0) for x, _ in sets]
+    found = pool.sums(_moments, list(zip(choices, centres)))
+    models, at = [], 0
+    for (x, _), centre in zip(sets, centres):
+        k = len(centre)
+        n, first, second = found[at], found[at + 1:at + 1 + k], found[at + 1 + k:at + 1 + 2 * k]
+        at += 1 + 2 * k
+        shift = first / (len(x) + n)
+        square = (((x - centre) ** 2).sum(axis=0) + second) / (len(x) + n)
+        models.append(Logistic(centre + shift, np.sqrt(np.maximum(square - shift ** 2, 0)) + 1e-6, np.zeros(k + 1)))
+    for _ in range(30):
+        found, at, largest = pool.sums(_newton, list(zip(choices, models))), 0, 0.0
+        for model, (x, y) in zip(models, sets):
+            k = len(model.weights)
+            total = found[at:at + k + k * k] + _newton_sums(_standard(model, x), y, np.ones(len(x)), model.weights)
+            at += k + k * k
+            penalty = np.diag([1e-6, *[ridge] * (k - 1)])
+            step = np.linalg.solve(total[k:].reshape(k, k) + penalty, total[:k] - penalty @ model.weights)
+            model.weights = model.weights + step
+            largest = max(largest, np.abs(step).max())
+        if largest < 1e-6:
+            break
+    return models
+
+
+def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool, held: np.ndarray,
+             rounds: int = ROUNDS) -> CoTrained:
+    """``views``: text and metadata features of the labelled rows; ``pool``: the
+    unlabelled rows' (arrays or a :class:`TablePool`); ``held``: which labelled
+    rows are set aside for calibration."""
+    pool = ArrayPool(pool) if isinstance(pool, tuple) else pool
+    sets = [(v[~held], y[~held]) for v in views]
+    choices: list[list[Choice]] = [[], []]
     models = [Logistic.fit(*s) for s in sets]
-    for _ in range(rounds if len(pool[0]) else 0):
-        taught = []
-        for teacher, pupil in ((0, 1), (1, 0)):
-            p = 1 / (1 + np.exp(-models[teacher].logit(pool[teacher])))
-            most = max(1, int(SHARE * len(p)))
-            picks = []
-            for sure in (p, 1 - p):
-                order = np.argsort(-np.where(free[pupil], sure, -1), kind="stable")[:most]
-                picks.append(order[(sure[order] >= CONFIDENT) & free[pupil][order]])
-            taught.append((pupil, np.concatenate(picks), np.concatenate([np.ones(len(picks[0])), np.zeros(len(picks[1]))])))
-        for pupil, rows, labels in taught:
-            free[pupil][rows] = False
-            sets[pupil] = (np.vstack([sets[pupil][0], pool[pupil][rows]]), np.concatenate([sets[pupil][1], labels]))
-        models = [Logistic.fit(*s) for s in sets]
+    most = max(1, int(SHARE * pool.size))
+    for _ in range(rounds if pool.size else 0):
+        found = pool.counts([(choices[pupil], models[1 - pupil]) for pupil in (0, 1)])
+        for pupil in (0, 1):
+            cuts = tuple(_cut(*found[(found[:, 0] == pupil) & (found[:, 1] == k)][:, 2:].T, most) for k in (0, 1))
+            choices[pupil] = [*choices[pupil], Choice(models[1 - pupil], cuts)]
+        models = _fit_pupils(sets, pool, choices)
     z = [m.logit(v[held]) for m, v in zip(models, views)]
     platt = [_platt(logits, y[held]) for logits in z]
     calibrated = np.column_stack([a * logits + b for (a, b), logits in zip(platt, z)])
@@ -193,7 +350,7 @@ def _views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _view_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sampled documents' views in a compact form."""
+    """The documents' views in a compact form."""
     for batch in batches:
         text = text_features(batch.column(batch.schema.get_field_index("text")))
         source, lang, n_chars = _meta_columns(batch)
@@ -201,42 +358,41 @@ def _view_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                    "text_view": pa.array([row.tobytes() for row in text], pa.binary()),
                    "source": pa.array(source, pa.int32()), "lang": pa.array(lang, pa.int32()),
                    "n_chars": pa.array(n_chars, pa.int64())}
-        columns |= {c: batch.column(batch.schema.get_field_index(c)) for c in ("quality", "held")}
         yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
-def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, pool_rows: int = POOL_ROWS) -> CoTrained | None:
+def _compact_views(table) -> tuple[np.ndarray, np.ndarray]:
+    """The views of a batch or table of compact ones."""
+    source, lang, n_chars, text = (table.column(table.schema.get_field_index(c)).to_pylist()
+                                   for c in ("source", "lang", "n_chars", "text_view"))
+    return (np.frombuffer(b"".join(text), dtype=np.float32).reshape(-1, N_TEXT).astype(float),
+            meta_features(source, lang, n_chars).astype(float))
+
+
+def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> CoTrained | None:
     """The classifier, or nothing without labels of both classes. The driver
-    gets the features of at most ``train_rows`` + ``pool_rows`` documents."""
+    gets the features of at most ``train_rows`` labelled documents; the pool of
+    all others stays a written table of their features."""
     order = F.xxhash64(F.col("doc_id"), F.lit("quality"))
     known = (labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
              .groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality")))
-    labelled = known.orderBy(order, "doc_id").limit(train_rows).select("doc_id", "quality")
-    # enough of the first ids for the pool, whatever part of them is labelled
-    unlabelled = (docs.select("doc_id").filter(F.col("doc_id").isNotNull())
-                  .join(known.select("doc_id"), "doc_id", "left_anti")
-                  .orderBy(order, "doc_id").limit(pool_rows).select("doc_id", F.lit(-1).alias("quality")))
-    sample = materialise(labelled.unionByName(unlabelled).select(F.col("doc_id").alias("sampled"), "quality")
+    sample = materialise(known.orderBy(order, "doc_id").limit(train_rows).select(F.col("doc_id").alias("sampled"), "quality")
                          .withColumn("held", F.pmod(F.xxhash64("sampled", F.lit("held")), F.lit(5)) == 0), "quality-ids")
-    chosen = _columns(docs).join(F.broadcast(sample), F.col("doc_id") == F.col("sampled")).drop("sampled")
     schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL(
-        "text_view binary, source int, lang int, n_chars long, quality int, held boolean").fields])
-    table = chosen.mapInArrow(_view_batches, schema).dropDuplicates(["doc_id"]).toArrow()
-    quality = table["quality"].to_numpy()
+        "text_view binary, source int, lang int, n_chars long").fields])
+    compact = materialise(_columns(docs).mapInArrow(_view_batches, schema), "quality-views")
+    table = (compact.join(F.broadcast(sample), F.col("doc_id") == F.col("sampled")).drop("sampled")
+             .dropDuplicates(["doc_id"]).toArrow())
+    y = table["quality"].to_numpy().astype(float)
     held = table["held"].to_numpy(zero_copy_only=False).astype(bool)
-    views = [np.frombuffer(b"".join(table["text_view"].to_pylist()), dtype=np.float32).reshape(-1, N_TEXT),
-             meta_features(*(table[c].to_pylist() for c in ("source", "lang", "n_chars")))]
-    views = [v.astype(float) for v in views]
-    with_label = quality >= 0
-    y, held = quality[with_label].astype(float), held[with_label]
     if min((y[~held] == 0).sum(), (y[~held] == 1).sum()) == 0:
         return None
-    if len(set(y[held].tolist())) < 2:
-        held = np.ones(len(y), dtype=bool) & held   # too few to set aside: calibrate on all
-        return co_train((np.vstack([views[0][with_label]] * 2), np.vstack([views[1][with_label]] * 2)),
-                        np.concatenate([y, y]), tuple(v[~with_label] for v in views),
+    views = _compact_views(table)
+    pool = TablePool(materialise(with_ids(compact, known, "left_anti", "doc_id"), "quality-pool"))
+    if len(set(y[held].tolist())) < 2:              # too few to set aside: calibrate on all
+        return co_train(tuple(np.vstack([v] * 2) for v in views), np.concatenate([y, y]), pool,
                         np.concatenate([np.zeros(len(y), bool), np.ones(len(y), bool)]))
-    return co_train(tuple(v[with_label] for v in views), y, tuple(v[~with_label] for v in views), held)
+    return co_train(views, y, pool, held)
 
 
 def _score_batches(model: CoTrained | None, rate: float):

@@ -58,3 +58,27 @@ def test_edges(spark):
     assert q.score_documents(bare, odd).count() == docs.count()
     assert q.score_documents(empty(spark), odd).count() == 0
     assert q.drop_low_quality(empty(spark), odd).count() == 0
+
+
+def test_every_unlabelled_document_is_in_the_pool(spark, monkeypatch):
+    docs = documents(spark, [(i, f"Plain text number {i}." if i % 2 else f"BUY NOW!!! {i} $$$") for i in range(9_000)])
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    pools = []
+    monkeypatch.setattr(q, "co_train", lambda views, y, pool, held: pools.append(pool))
+    q.learn(docs, labels)
+    assert pools[0].size == 9_000 - 60                   # more than the 8,000 of a bounded sample
+    # counts and sums over the table are those over the same rows in memory
+    views = q._compact_views(pools[0].table.toArrow())
+    models = [q.Logistic.fit(v[:500], np.arange(500) % 2.0) for v in views]
+    there, here = (p.counts([([], models[1]), ([], models[0])]) for p in (pools[0], q.ArrayPool(views)))
+    assert sorted(map(tuple, there)) == sorted(map(tuple, here))
+    choices = [[q.Choice(models[1 - k], ((0.0, 0.5), (100.0, 1.0)))] for k in (0, 1)]
+    for what, more in ((q._moments, [v.mean(axis=0) for v in views]), (q._newton, models)):
+        there, here = (p.sums(what, list(zip(choices, more))) for p in (pools[0], q.ArrayPool(views)))
+        assert np.allclose(there, here)
+
+
+def test_shares_are_exact():
+    steps, n = np.array([3.0, 9.0, 5.0]), np.array([4, 2, 10])
+    assert q._cut(steps, n, 7) == (5.0, 0.5) and q._cut(steps, n, 2) == (9.0, 1.0)
+    assert q._cut(steps, n, 17) == (-np.inf, 1.0) and q._cut(steps[:0], n[:0], 1) == (-np.inf, 1.0)
