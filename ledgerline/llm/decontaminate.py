@@ -52,8 +52,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.near_dedup import with_ids
-from ledgerline.llm.storage import materialise
 from ledgerline.llm.textscan import SHINGLE_WORDS, mix, shingle_hashes, text_chunks, word_hashes, word_spans
 
 SIMILAR = 0.8
@@ -269,26 +267,33 @@ class Index:
         return best
 
 
+def _found(index: Index, texts) -> Iterator[tuple[int, dict[int, tuple[float, int]]]]:
+    """Rows with a match, and their items' best windows."""
+    for lo, hi, data, offsets in text_chunks(texts):
+        starts, ends, doc_words = word_spans(data, offsets)
+        words = word_hashes(data, starts, ends)
+        shingles, bounds = shingle_hashes(words, doc_words)
+        hit = np.zeros(hi - lo, dtype=bool)
+        hit[np.searchsorted(bounds, index.places(shingles), side="right") - 1] = True
+        for k in (range(hi - lo) if index.short else np.flatnonzero(hit).tolist()):
+            found = index.matches(shingles[bounds[k]:bounds[k + 1]]) if hit[k] else {}
+            if index.short:
+                found |= index.short_matches(words[doc_words[k]:doc_words[k + 1]])
+            if found:
+                yield lo + k, found
+
+
 def _match_batches(texts: list[str], ids: list, counts, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(texts, counts.value)
         for batch in batches:
             rows, items, similar, at = [], [], [], []
-            for lo, hi, data, offsets in text_chunks(batch.column(1)):
-                starts, ends, doc_words = word_spans(data, offsets)
-                words = word_hashes(data, starts, ends)
-                shingles, bounds = shingle_hashes(words, doc_words)
-                hit = np.zeros(hi - lo, dtype=bool)
-                hit[np.searchsorted(bounds, index.places(shingles), side="right") - 1] = True
-                for k in (range(hi - lo) if index.short else np.flatnonzero(hit).tolist()):
-                    found = index.matches(shingles[bounds[k]:bounds[k + 1]]) if hit[k] else {}
-                    if index.short:
-                        found |= index.short_matches(words[doc_words[k]:doc_words[k + 1]])
-                    for item, (similarity, start) in sorted(found.items()):
-                        rows.append(lo + k)
-                        items.append(ids[item])
-                        similar.append(similarity)
-                        at.append(start)
+            for row, found in _found(index, batch.column(1)):
+                for item, (similarity, start) in sorted(found.items()):
+                    rows.append(row)
+                    items.append(ids[item])
+                    similar.append(similarity)
+                    at.append(start)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(items, id_type),
                  pa.array(similar, pa.float64()), pa.array(at, pa.int64())],
@@ -313,6 +318,17 @@ def shared_shingles(items: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return shingles[order], rows["n"].to_numpy()[order]
 
 
+def _parts(items: DataFrame, group_items: int) -> Iterator[tuple[list[str], list]]:
+    """Texts and ids of each group of items."""
+    groups = _groups(items, group_items)
+    numbered = items.filter(F.length(F.trim("text")) > 0).select(
+        "item_id", "text", F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)).alias("part"))
+    for part in range(groups):
+        rows = numbered.filter(F.col("part") == part).orderBy("item_id", "text").select("item_id", "text").collect()
+        if rows:
+            yield [r.text for r in rows], [r.item_id for r in rows]
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, group_items: int = GROUP_ITEMS) -> DataFrame:
     """One row per document and item found in it: doc_id, item_id, similarity
     of the best window, first_word (its place, in words)."""
@@ -320,17 +336,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, group_items: int = GROUP_ITEMS
     item_type = items.schema["item_id"]
     schema = T.StructType([docs.schema["doc_id"], T.StructField("item_id", item_type.dataType),
                            *T.StructType.fromDDL("similarity double, first_word long").fields])
-    numbered = items.filter(F.length(F.trim("text")) > 0).select(
-        "item_id", "text", F.pmod(F.xxhash64("item_id", "text"), F.lit(_groups(items, group_items))).alias("part"))
     out = docs.sparkSession.createDataFrame([], schema)
     counts = docs.sparkSession.sparkContext.broadcast(shared_shingles(items))
-    for part in range(_groups(items, group_items)):
-        rows = numbered.filter(F.col("part") == part).orderBy("item_id", "text").select("item_id", "text").collect()
-        if not rows:
-            continue
-        texts = [r.text for r in rows]
+    for texts, ids in _parts(items, group_items):
         found = docs.select("doc_id", "text").mapInArrow(
-            _match_batches(texts, [r.item_id for r in rows], counts, to_arrow_type(item_type.dataType)), schema)
+            _match_batches(texts, ids, counts, to_arrow_type(item_type.dataType)), schema)
         out = out.unionByName(found)
     return out
 
@@ -339,7 +349,22 @@ def _groups(items: DataFrame, group_items: int) -> int:
     return max(1, math.ceil(items.count() / group_items))
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the documents that have a leaked item."""
-    leaks = materialise(find_leaks(docs, items).filter(F.col("doc_id").isNotNull()).select("doc_id"), "leaks")
-    return with_ids(docs, leaks, "left_anti", "doc_id")
+def _clean_batches(texts: list[str], counts):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = Index(texts, counts.value)
+        for batch in batches:
+            leaked = np.zeros(batch.num_rows, dtype=bool)
+            for row, _ in _found(index, batch.column(1)):
+                leaked[row] = True
+            yield batch.filter(pa.array(~leaked))
+    return run
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, group_items: int = GROUP_ITEMS) -> DataFrame:
+    """``docs`` without the rows that have a leaked item, decided row by row in
+    the pass that matches: a null or repeated doc_id changes nothing."""
+    counts = docs.sparkSession.sparkContext.broadcast(shared_shingles(items))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    for texts, _ in _parts(items, group_items):
+        rows = rows.mapInArrow(_clean_batches(texts, counts), rows.schema)
+    return rows.select("row.*")

@@ -140,3 +140,13 @@ def test_groups_of_items_change_nothing(spark):
         documents(spark, docs), benchmark(spark, items), group_items=n).collect()} for n in (1000, 9))
     assert set(whole) == brute(docs, items) and len(whole) > 100
     assert all(part == whole for part in parts)
+
+
+def test_rows_are_dropped_not_ids(spark):
+    passage = " ".join(f"w{i}" for i in range(20))
+    items = benchmark(spark, [(1, passage), (2, " ".join(f"v{i}" for i in range(30)))])
+    docs = documents(spark, [(None, passage), (1, "before " + passage), (1, "a clean text"), (None, None), (2, "")])
+    for group_items in (1000, 1):
+        left = dc.drop_contaminated(docs, items, group_items)
+        assert left.schema == docs.schema
+        assert sorted((r.doc_id or 0, r.text or "") for r in left.collect()) == [(0, ""), (1, "a clean text"), (2, "")]
