@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import (bpe, decontaminate, exact_dedup, lm_scoring, near_dedup, quality, secret_scan, token_counts, toxicity,
-                            warc)
+                            url_filter, warc)
 from ledgerline.llm.storage import documents, table
 from ledgerline.session import scratch_path
 
@@ -65,10 +65,63 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      scratch_path(spark, "token-counts"))
 
 
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by rules and by the link graph."""
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_bpe_transducer, op2_minhash_near_dedup, op3_quality_classifier, op4_decontamination,
                               op5_exact_dedup, op6_warc, op7_secret_scan,
-                              op8_toxicity, op9_lm_scoring, op10_token_counts)}
+                              op8_toxicity, op9_lm_scoring, op10_token_counts, op13_url_filter)}
+
+
+
+def _url_filter_sql() -> str:
+    """The rules, the host graph and the two propagations, a step a CTE."""
+    u = url_filter
+    lower = f"translate({{}}, '{u.UPPER}', '{u.LOWER}')"
+    fits = [(r, f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')")
+            for r in sorted(u.RULES, key=lambda r: (-len(r.name), r.name))]
+    name, verdict = ("CASE " + " ".join(f"WHEN {f} THEN '{getattr(r, of)}'" for r, f in fits) + " END"
+                     for of in ("name", "verdict"))
+    link = u.LINK.replace("'", "''")
+    steps, before = [], "start"
+    for n in range(1, u.STEPS + 1):
+        steps.append(f"""s{n} AS MATERIALIZED (SELECT kind, host, sum(score)::BIGINT AS score FROM (
+              SELECT w.kind, w.dst AS host, {u.DAMPING} * s.score // (100 * w.degree) AS score
+              FROM ways w JOIN {before} s ON w.kind = s.kind AND w.src = s.host
+              UNION ALL SELECT kind, host, {100 - u.DAMPING} * score // 100 FROM start)
+              GROUP BY kind, host HAVING sum(score) > 0)""")
+        before = f"s{n}"
+    return f"""
+        WITH parts AS (
+               SELECT page_id, {lower.format(f"regexp_extract(coalesce(url, ''), '{u.HOST}', 1)")} AS host,
+                      regexp_extract(coalesce(url, ''), '{u.PATH}', 1) AS path,
+                      regexp_extract_all(coalesce(html, ''), '{link}', 1) AS links FROM pages),
+             found AS MATERIALIZED (SELECT *, {name} AS rule, {verdict} AS verdict FROM parts),
+             hosts AS (SELECT DISTINCT host FROM found WHERE host <> ''),
+             edges AS MATERIALIZED (SELECT DISTINCT src, dst FROM (
+               SELECT host AS src, {lower.format("unnest(links)")} AS dst FROM found WHERE host <> ''
+               UNION ALL SELECT host, regexp_extract(host, '^[^.]*[.](.+)$', 1) FROM hosts
+                 WHERE regexp_extract(host, '^[^.]*[.](.+)$', 1) IN (SELECT host FROM hosts))
+               WHERE src <> dst AND dst <> ''),
+             both_ways AS (SELECT 'allow' AS kind, src, dst FROM edges UNION ALL SELECT 'block', dst, src FROM edges),
+             ways AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY kind, src) AS degree FROM both_ways),
+             seeds AS (SELECT verdict AS kind, host, count(*) AS n FROM found
+                       WHERE host <> '' AND verdict IS NOT NULL GROUP BY 1, 2),
+             start AS MATERIALIZED (SELECT kind, host,
+               ({u.MASS}::HUGEINT * n // sum(n) OVER (PARTITION BY kind))::BIGINT AS score FROM seeds),
+             {", ".join(steps)},
+             scores AS (SELECT host, coalesce(sum(score) FILTER (kind = 'allow'), 0)::BIGINT AS trust,
+                               coalesce(sum(score) FILTER (kind = 'block'), 0)::BIGINT AS distrust
+                        FROM {before} GROUP BY host)
+        SELECT page_id, host, path, rule,
+               coalesce(verdict, CASE WHEN 100 * distrust > {u.BLOCK_PERCENT} * (trust + distrust) THEN 'block' ELSE 'allow' END)
+                 AS verdict,
+               coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust
+        FROM found LEFT JOIN scores USING (host)"""
+
 
 _LOWER_TEXT = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
 
@@ -87,4 +140,5 @@ ORACLE: dict[str, str] = {
                CASE WHEN p.page_id <> g.first THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN p.page_id <> g.first THEN g.first END AS refers_to
         FROM p LEFT JOIN g USING (payload_digest)""",
+    "op13_url_filter": _url_filter_sql(),
 }
