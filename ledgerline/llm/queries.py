@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import (bpe, decontaminate, exact_dedup, lm_scoring, near_dedup, quality, secret_scan, token_counts, toxicity,
+from ledgerline.llm import (bpe, decontaminate, exact_dedup, lexical_search, lm_scoring, near_dedup, quality, secret_scan, token_counts, toxicity,
                             url_filter, warc)
 from ledgerline.llm.storage import documents, table
 from ledgerline.session import scratch_path
@@ -65,6 +65,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      scratch_path(spark, "token-counts"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of each benchmark item."""
+    return lexical_search.rank_documents(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by rules and by the link graph."""
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
@@ -73,7 +78,8 @@ def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_bpe_transducer, op2_minhash_near_dedup, op3_quality_classifier, op4_decontamination,
                               op5_exact_dedup, op6_warc, op7_secret_scan,
-                              op8_toxicity, op9_lm_scoring, op10_token_counts, op13_url_filter)}
+                              op8_toxicity, op9_lm_scoring, op10_token_counts, op11_lexical_search,
+                              op13_url_filter)}
 
 
 
@@ -125,6 +131,8 @@ def _url_filter_sql() -> str:
 
 _LOWER_TEXT = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
 
+_TERM = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
 ORACLE: dict[str, str] = {
     "op5_exact_dedup": f"""
         WITH d AS (SELECT doc_id, sha256({_LOWER_TEXT}) AS text_sha256 FROM documents),
@@ -140,5 +148,19 @@ ORACLE: dict[str, str] = {
                CASE WHEN p.page_id <> g.first THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN p.page_id <> g.first THEN g.first END AS refers_to
         FROM p LEFT JOIN g USING (payload_digest)""",
+    "op11_lexical_search": f"""
+        WITH t AS (SELECT row, doc_id, unnest(regexp_extract_all({_LOWER_TEXT}, '{_TERM}')) AS term
+                   FROM (SELECT row_number() OVER () AS row, doc_id, text FROM documents)),
+             p AS MATERIALIZED (SELECT row, doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+             d AS MATERIALIZED (SELECT row, sum(tf)::BIGINT AS n FROM p GROUP BY row),
+             c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM d),
+             df AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+             i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER_TEXT}, '{_TERM}')) AS term FROM benchmark),
+             s AS (SELECT i.item_id, p.doc_id, sum(floor(1000 * ln((2 * c.docs + 2) / (2 * df.df + 1)))::BIGINT
+                          * (1000000000 * p.tf // (1000 * p.tf + 20 * (50 + 50 * d.n * c.docs // c.terms))))::BIGINT AS score
+                   FROM i JOIN p USING (term) JOIN df USING (term) JOIN d ON d.row = p.row, c GROUP BY i.item_id, p.row, p.doc_id),
+             r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank,
+                          doc_id, score FROM s WHERE score > 0)
+        SELECT * FROM r WHERE rank <= 50""",
     "op13_url_filter": _url_filter_sql(),
 }
