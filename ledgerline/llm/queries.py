@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import (bpe, decontaminate, exact_dedup, lexical_search, lm_scoring, near_dedup, quality, secret_scan, token_counts, toxicity,
+from ledgerline.llm import (bpe, collocations, decontaminate, exact_dedup, lexical_search, lm_scoring, near_dedup, quality, secret_scan, token_counts, toxicity,
                             url_filter, warc)
 from ledgerline.llm.storage import documents, table
 from ledgerline.session import scratch_path
@@ -70,6 +70,11 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.rank_documents(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2,000 best phrases."""
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by rules and by the link graph."""
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
@@ -79,7 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_bpe_transducer, op2_minhash_near_dedup, op3_quality_classifier, op4_decontamination,
                               op5_exact_dedup, op6_warc, op7_secret_scan,
                               op8_toxicity, op9_lm_scoring, op10_token_counts, op11_lexical_search,
-                              op13_url_filter)}
+                              op12_collocations, op13_url_filter)}
 
 
 
@@ -162,5 +167,31 @@ ORACLE: dict[str, str] = {
              r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank,
                           doc_id, score FROM s WHERE score > 0)
         SELECT * FROM r WHERE rank <= 50""",
+    "op12_collocations": f"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER_TEXT}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+                   FROM documents),
+             w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+             g AS (SELECT lang, 1 AS k, unnest(ws) AS phrase FROM w
+                   UNION ALL SELECT lang, 2, unnest([ws[i] || ' ' || ws[i + 1] FOR i IN range(1, len(ws))]) FROM w
+                   UNION ALL SELECT lang, 3, unnest([ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] FOR i IN range(1, len(ws) - 1)])
+                             FROM w),
+             c AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f, string_split(phrase, ' ') AS ws FROM g GROUP BY ALL
+                                HAVING count(*) >= 10),
+             n AS (SELECT lang, count(*) AS n FROM g WHERE k = 1 GROUP BY lang),
+             cuts AS (
+               SELECT c.lang, c.k, c.phrase, c.f AS a, j.j, x.f AS l, y.f AS r,
+                      (1000000::HUGEINT * c.f * c.f // (x.f::HUGEINT * y.f))::BIGINT AS score
+               FROM c JOIN (VALUES (1), (2)) j(j) ON j.j < c.k
+               JOIN c x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:j.j], ' ')
+               JOIN c y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[j.j + 1:], ' ')),
+             best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+             longer AS (SELECT lang, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase, f
+                        FROM c WHERE k = 3),
+             inside AS (SELECT lang, phrase, max(f) AS f FROM longer GROUP BY ALL),
+             ranked AS (SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank,
+                               b.phrase, a, l, r, score
+                        FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+                        WHERE i.f IS NULL OR b.k = 3 OR 100 * i.f < 50 * a)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000""",
     "op13_url_filter": _url_filter_sql(),
 }
