@@ -58,7 +58,8 @@ LEAST = 10
 ABSORB = 50
 TOP = 2000
 WORDS = 3
-WINDOW_BYTES = 1 << 23
+WINDOW_BYTES = 1 << 21
+OUT_ROWS = 1 << 16
 FILTER_BITS = 1 << 27
 BITS_PER_KEY = 12
 PROBES = 4
@@ -198,7 +199,9 @@ def _count(length: int, shorter):
         for batch in batches:
             coded = pc.fill_null(batch.column(0), "und").dictionary_encode()
             langs, codes = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
-            for lo, hi, data, offsets in text_chunks(batch.column(1), WINDOW_BYTES):
+            texts = batch.column(1)
+            del batch
+            for lo, hi, data, offsets in text_chunks(texts, WINDOW_BYTES):
                 w = Words(data, offsets, codes[lo:hi])
                 if len(w.ids) < length:
                     continue
@@ -211,8 +214,12 @@ def _count(length: int, shorter):
                     lang = np.concatenate([lang, np.arange(len(langs))])
                     phrase = pa.concat_arrays([phrase, pa.nulls(len(langs), pa.string())])
                     counts = np.concatenate([counts, sums])
-                yield pa.RecordBatch.from_arrays([langs.take(pa.array(lang)), phrase, pa.array(counts.astype(np.int64))],
-                                                 ["lang", "phrase", "f"])
+                del w, numbers
+                for a in range(0, len(phrase), OUT_ROWS):       # small batches: the JVM holds one at a time
+                    b = a + OUT_ROWS
+                    yield pa.RecordBatch.from_arrays(
+                        [langs.take(pa.array(lang[a:b])), phrase.slice(a, OUT_ROWS), pa.array(counts[a:b].astype(np.int64))],
+                        ["lang", "phrase", "f"])
     return run
 
 
