@@ -672,4 +672,4 @@ def q_stream_dedup_keys(spark, sf):
     wide.write.option("maxRecordsPerFile", STREAM_FILE_ROWS * 4).parquet(src)
     ST.stream_first_by_key(spark, src, USERS_SCHEMA, ["user_id"], list(FX.LOAD_ORDER),
                            f"{base}/out", f"{base}/checkpoint", max_files_per_trigger=STREAM_FILES)
-    return spark.read.parquet(f"{base}/out").select("user_id", "user_phone")
+    return ST.first_rows(spark, f"{base}/out").select("user_id", "user_phone")

@@ -2,13 +2,16 @@
 keys kept once across batches and runs."""
 
 import datetime as dt
+import pathlib
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
                                StructType, TimestampNTZType)
 
 from ledgerline.plans import validation as V
-from ledgerline.session import scratch_path
-from ledgerline.streaming import accepted, rejected, stream_first_by_key, stream_records
+from ledgerline.session import local_path, scratch_path
+from ledgerline.streaming import accepted, first_rows, intake, rejected, stream_first_by_key, stream_records
 
 ENERGY = StructType([StructField("timestep", TimestampNTZType())]
                     + [StructField(m, DoubleType()) for m in
@@ -58,3 +61,63 @@ def test_keys_kept_once_across_batches(spark):
     stream_first_by_key(*args, max_files_per_trigger=1)
     out2 = spark.read.parquet(f"{base}/out")
     assert out2.count() == 4 and {r.user_id: r.user_phone for r in out2.collect()}[3] == "c"
+
+
+def _load(spark, base, rows, **options):
+    """One file of rows per list, loaded a file a batch."""
+    for part in rows:
+        spark.createDataFrame(part, USERS).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    return stream_first_by_key(spark, f"{base}/in", USERS, ["user_id"], ["seq"], f"{base}/out", f"{base}/ck",
+                               max_files_per_trigger=1, **options)
+
+
+def _loaded(spark, base):
+    return sorted((r.user_id, r.user_phone) for r in first_rows(spark, f"{base}/out").collect())
+
+
+def test_later_batches_never_replace_a_loaded_row(spark):
+    """A key of an earlier batch stays as loaded, also against a row of a
+    lower order; ties go by the other columns, NULL first."""
+    base = scratch_path(spark, "test_keys_order")
+    _load(spark, base, [[(1, "first", 50), (2, "b", 9), (2, None, 9), (2, "a", 9)]])
+    _load(spark, base, [[(1, "lower order", 1), (3, "c", 1)]])
+    assert _loaded(spark, base) == [(1, "first"), (2, None), (3, "c")]
+    assert first_rows(spark, f"{base}/out").columns == USERS.names
+
+
+def test_a_batch_run_again_replaces_its_output(spark):
+    """The offsets of the last batch are written, its commit is lost."""
+    base = scratch_path(spark, "test_keys_again")
+    _load(spark, base, [[(1, "a", 1)]])
+    _load(spark, base, [[(1, "x", 0), (2, "b", 2)]])
+    folder = pathlib.Path(local_path(base)) / "ck" / "commits"
+    last = max(int(f.name) for f in folder.iterdir() if f.name.isdigit())
+    for f in (folder / str(last), folder / f".{last}.crc"):
+        f.unlink(missing_ok=True)
+    _load(spark, base, [])
+    assert _loaded(spark, base) == [(1, "a"), (2, "b")]
+    _load(spark, base, [[(2, "y", 0), (4, "d", 4)]])
+    assert _loaded(spark, base) == [(1, "a"), (2, "b"), (4, "d")]
+
+
+def test_hot_key_is_combined_before_it_moves(spark):
+    """A third of all rows is one key: the map tasks aggregate first."""
+    base = scratch_path(spark, "test_keys_hot")
+    rows = [(7 if i % 3 == 0 else i, f"p{i}", 10_000 - i) for i in range(9000)]
+    q = _load(spark, base, [rows])
+    loaded = dict(_loaded(spark, base))
+    assert len(loaded) == len({r[0] for r in rows}) and loaded[7] == "p8997"
+    plan = q._jsq.explainInternal(False)
+    assert "partial_min" in plan and plan.index("partial_min") > plan.index("Exchange hashpartitioning") and "Python" not in plan
+
+
+def test_clock_set_back_writes_nothing(spark, monkeypatch):
+    base = scratch_path(spark, "test_keys_clock")
+    _load(spark, base, [[(1, "a", 1)]])
+    monkeypatch.setattr(intake, "_batch_time", lambda spark, checkpoint, batch: 1000 - batch)
+    with pytest.raises(StreamingQueryException):
+        _load(spark, base, [[(2, "b", 2)]])
+    assert _loaded(spark, base) == [(1, "a")]
+    monkeypatch.undo()
+    _load(spark, base, [])
+    assert _loaded(spark, base) == [(1, "a"), (2, "b")]
