@@ -112,6 +112,55 @@ def check_unique(df: DataFrame, keys: Sequence[str], out: str = "n_rows") -> Dat
             .filter(F.col(out) > 1))
 
 
+# ---- D2: many-to-many join -------------------------------------------------
+
+HEAVY_SHARE = 1000               # a key with more than 1/1000 of a side's rows is heavy
+
+
+def heavy_keys(df: DataFrame, keys: Sequence[str], share: int = HEAVY_SHARE) -> DataFrame:
+    """Keys with more than 1/``share`` of the rows that have a key, so fewer than ``share``
+    of them, and in how many pieces to split each (``pieces``, up to ``share``)."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    total = counts.agg(F.sum("__n").alias("__total"))
+    return (counts.join(F.broadcast(total), F.col("__n") * share > F.col("__total"))
+            .select(*keys, F.expr(f"cast(ceil({share} * __n / __total) as int)").alias("pieces")))
+
+
+def join_many(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], share: int = HEAVY_SHARE) -> DataFrame:
+    """Inner join in which a key may be held by many rows of both sides.
+
+    The heavy keys of each side are counted first (fewer than ``share`` a side, so they
+    are broadcast). A heavy key of the left side is dealt over ``a`` pieces, one
+    of the right side over ``b``; a left row goes to its piece in each of
+    the ``b`` columns and a right row to its piece in each of the ``a`` rows of that
+    grid, so each pair of rows meets in exactly one cell. Cells are shuffled
+    apart, so no task gets a whole heavy key. The work added is one count of each
+    side and the copies of rows with a heavy key, fewer than the pairs they form.
+    Rows with a NULL key match nothing and are left out first."""
+    names = [f"__k{i}" for i in range(len(on))]
+
+    def keyed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+        df = df.withColumns({n: F.col(c) for n, c in zip(names, columns)})
+        for n in names:
+            df = df.filter(F.col(n).isNotNull())
+        return df
+
+    a, b = keyed(left, [x for x, _ in on]), keyed(right, [y for _, y in on])
+    grid = heavy_keys(a, names, share).withColumnRenamed("pieces", "__a").join(
+        heavy_keys(b, names, share).withColumnRenamed("pieces", "__b"), names, "full")
+
+    def dealt(df: DataFrame, own: str, own_cell: str, other: str, other_cell: str) -> DataFrame:
+        pieces = df.join(F.broadcast(grid), names, "left")
+        one = F.lit(1)
+        return (pieces
+                .withColumn(own_cell, F.pmod(F.monotonically_increasing_id(), F.coalesce(F.col(own), one)).cast("int"))
+                .withColumn(other_cell, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other), one) - 1)))
+                .drop("__a", "__b"))
+
+    cells = dealt(a, "__a", "__i", "__b", "__j").join(dealt(b, "__b", "__j", "__a", "__i"), [*names, "__i", "__j"])
+    return cells.drop(*names, "__i", "__j")
+
+
 # ---- F/H: ranking, ordering, top-k ---------------------------------------
 
 def top_ranked(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int = 1,
@@ -179,18 +228,81 @@ def append_records(existing: DataFrame, new: DataFrame, order_by: Sequence[str],
     return existing.unionByName(fresh.select(*existing.columns))
 
 
+_WORD, _BLOCK = 6, 12            # 2^6 ids a word of a mask, 2^12 ids a block
+
+
+def deleted_ranks(ids: DataFrame, n: int, id_col: str = "id") -> DataFrame:
+    """Rank structure over deleted ids of 1..n: a row per block of 2^12 ids
+    with the number of ids deleted in lower blocks (``before``), and where the block
+    has any, 64-bit masks of its 64 words with the number deleted before each
+    word of the block. ``ids`` may repeat."""
+    at = ids.select((F.col(id_col).cast("long") - 1).alias("__at")).select(
+        F.shiftright("__at", _BLOCK).alias("block"),
+        (F.shiftright("__at", _WORD) % (1 << _BLOCK - _WORD)).cast("int").alias("word"),
+        F.expr(f"shiftleft(1L, cast(__at % {1 << _WORD} as int))").alias("mask"))
+    words = at.groupBy("block", "word").agg(F.bit_or("mask").alias("mask"))
+    held = words.groupBy("block").agg(
+        F.sum(F.bit_count("mask")).alias("here"),
+        F.map_from_entries(F.collect_list(F.struct("word", "mask"))).alias("by_word"))      # at most 64
+    spark = ids.sparkSession
+    blocks = spark.range(0, (n + (1 << _BLOCK) - 1) >> _BLOCK).withColumnRenamed("id", "block").join(held, "block", "left")
+    # running sums in two levels: within 2^12 blocks, and over those groups
+    group = F.shiftright("block", _BLOCK)
+    own = F.coalesce("here", F.lit(0))
+    inner = Window.partitionBy("group").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    outer = Window.orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    grouped = blocks.withColumn("group", group)
+    groups = (grouped.groupBy("group").agg(F.sum(own).alias("__all"))
+              .select("group", F.coalesce(F.sum("__all").over(outer), F.lit(0)).alias("__lower")))
+    placed = grouped.withColumn("__inner", F.coalesce(F.sum(own).over(inner), F.lit(0))).join(groups, "group")
+    places = F.sequence(F.lit(0), F.lit((1 << _BLOCK - _WORD) - 1))
+    masks = F.when(F.col("here").isNotNull(), F.transform(places, lambda w: F.coalesce(F.element_at("by_word", w), F.lit(0).cast("long"))))
+    return (placed.select("block", (F.col("__lower") + F.col("__inner")).alias("before"), masks.alias("masks"))
+            .withColumn("lower", F.transform("masks", lambda _, i: F.aggregate(
+                F.slice("masks", 1, i), F.lit(0), lambda acc, m: acc + F.bit_count(m)))))
+
+
 def delete_records(df: DataFrame, ids: DataFrame, id_col: str = "id", check: bool = True) -> DataFrame:
     """Remove rows by id, then renumber 1..n in the stored order (that of
-    the ids). An unknown id is an error (one bounded probe: at most one row
-    reaches the driver)."""
+    the ids). An unknown id is an error (with ``check``).
+
+    The stored ids are dense (:func:`with_row_id`), so a row's new id is its id less the number
+    of deleted ids below it. That is read from :func:`deleted_ranks`: the stored rows meet
+    one row a block of 4,096 ids, broadcast by Spark's own size check up to some
+    10^9 rows with few deletions, and are neither sorted nor written. Ids that are not
+    dense (count, bounds and a 64-bit mark of the ids tell) are numbered anew by
+    :func:`with_row_id`."""
+    def summary(column: str) -> list[Column]:
+        return [F.count(column).alias("n"), F.min(column).alias("low"), F.max(column).alias("high"),
+                F.bit_xor(F.xxhash64(F.col(column).cast("long"))).alias("mark")]
+
+    stored = df.agg(F.count(F.lit(1)).alias("rows"), *summary(id_col)).first()
+    n = stored.rows
+    dense = stored.n == n and stored[1:] == df.sparkSession.range(1, n + 1).agg(*summary("id")).first()
+    gone = ids.select(id_col)
     if check:
-        missing = ids.select(id_col).join(df.select(id_col), id_col, "left_anti")
-        probe = missing.limit(1).collect()
+        unknown = (gone.filter(~F.col(id_col).between(1, n) | F.col(id_col).isNull()) if dense else
+                   gone.join(df.select(id_col), id_col, "left_anti"))
+        probe = unknown.limit(1).collect()
         if probe:
             raise KeyError(f"record id {probe[0][0]} not found")
-    kept = df.join(ids.select(id_col), id_col, "left_anti")
-    return with_row_id(kept, [id_col], out="__new").drop(id_col).withColumnRenamed("__new", id_col) \
-        .select(*df.columns)
+    if not dense:
+        kept = df.join(gone, id_col, "left_anti")
+        return with_row_id(kept, [id_col], out="__new").drop(id_col).withColumnRenamed("__new", id_col) \
+            .select(*df.columns)
+    ranks = deleted_ranks(gone.filter(F.col(id_col).between(1, n)), n, id_col)
+    place = F.col(id_col).cast("long") - 1
+    rows = df.withColumns({
+        "__block": F.shiftright(place, _BLOCK),
+        "__word": (F.shiftright(place, _WORD) % (1 << _BLOCK - _WORD)).cast("int") + 1,
+        "__bit": (place % (1 << _WORD)).cast("int")}).join(ranks, F.col("__block") == F.col("block"))
+    mask = F.coalesce(F.element_at("masks", F.col("__word")), F.lit(0).cast("long"))
+    lower = F.coalesce(F.element_at("lower", F.col("__word")), F.lit(0))
+    rows = rows.withColumn("__mask", mask).filter(
+        F.expr("shiftright(__mask, __bit) & 1L") == 0)
+    below = F.expr("bit_count(__mask & ~shiftleft(-1L, __bit))")
+    new_id = (F.col(id_col) - F.col("before") - lower - below).cast(df.schema[id_col].dataType)
+    return rows.withColumn(id_col, new_id).select(*df.columns)
 
 
 def to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str],

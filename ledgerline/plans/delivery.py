@@ -17,7 +17,7 @@ from ledgerline.functions import scalars as S
 from ledgerline.operators.quality import Rule, conform
 from ledgerline.operators.relational import first_by_key, with_row_id
 from ledgerline.session import scratch_path
-from ledgerline.sources.files import write_table
+from ledgerline.sources.versions import publish
 
 # ---- fixed values --------------------------------------------------------
 # Declared column types and widths of the delivery tables.
@@ -144,14 +144,13 @@ def split_conformed(conformed: DataFrame, order_col: str | Sequence[str] = "row_
 def load_delivery(wide: DataFrame, out_dir: str,
                   order_col: str | Sequence[str] = "row_seq") -> dict[str, str]:
     """P1 + A5: full refresh of the five tables (and rejects) under
-    ``out_dir``. The input is checked first, so an empty input fails without
-    touching the output (X5)."""
+    ``out_dir``, as one (:mod:`ledgerline.sources.versions`): readers see all old
+    tables or all new ones, whatever fails. The input is checked first, so an empty
+    input fails without touching the output (X5). Returns the tables' paths."""
     conformed = written_conformed(wide, order_col)
     if not conformed.limit(1).collect():
         raise ValueError("no input rows: nothing loaded, output left as it was")
-    tables = split_conformed(conformed, order_col)
-    return {name: write_table(df, f"{out_dir.rstrip('/')}/{name}")
-            for name, df in tables.items()}
+    return publish(wide.sparkSession, out_dir, split_conformed(conformed, order_col))
 
 
 # ---- P2: marts -------------------------------------------------------------
@@ -254,10 +253,10 @@ def item_mart(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 def build_marts(orders: DataFrame, items: DataFrame, out_dir: str | None = None,
                 partition_by: tuple[str, ...] = ()) -> dict[str, DataFrame]:
-    """Both marts, order mart first. With ``out_dir`` each is written
-    (full refresh), optionally partitioned (e.g. by year, month)."""
+    """Both marts, order mart first. With ``out_dir`` they are refreshed as
+    one, optionally partitioned (e.g. by year, month); ``read_published`` reads
+    them. ``out_dir`` may be the folder of the loaded tables, which stay."""
     marts = {"order_mart": order_mart(orders, items), "item_mart": item_mart(orders, items)}
     if out_dir:
-        for name in ("order_mart", "item_mart"):
-            write_table(marts[name], f"{out_dir.rstrip('/')}/{name}", partition_by=partition_by)
+        publish(orders.sparkSession, out_dir, marts, {name: partition_by for name in marts})
     return marts

@@ -227,6 +227,11 @@ SELECT row_seq AS order_item_id, order_id, item_id, item_title, item_category, i
        item_price, item_discount, item_canceled_quantity, item_replaced_id AS replaced_by_item_id
 FROM delivery_wide""")
 
+ORACLE["refresh_tables"] = "\nUNION ALL\n".join(
+    f"SELECT '{table}' AS table_name, COUNT(*) AS n_rows FROM ({ORACLE[name]}) t" for table, name in (
+        ("users", "dim_users"), ("stores", "dim_stores"), ("drivers", "dim_drivers"), ("orders", "fact_orders"),
+        ("order_items", "fact_items"))) + "\nUNION ALL SELECT 'rejects', 0"
+
 ORACLE["insert_new_keys"] = with_fixtures(("delivery_wide",), """
 , existing AS (SELECT CAST(c_custkey AS INTEGER) AS user_id, c_name AS user_phone
                FROM customer WHERE c_custkey % 2 = 0),
@@ -293,6 +298,9 @@ ORACLE["top_prices_in_period"] = with_fixtures(("prices", "calendar"), """
 SELECT DISTINCT p.sell_price FROM prices p JOIN calendar c ON p.wm_yr_wk = c.wm_yr_wk
 WHERE c.date BETWEEN DATE '1998-01-01' AND DATE '1998-01-31'
 ORDER BY sell_price DESC LIMIT 5""")
+ORACLE["prices_by_day"] = with_fixtures(("prices", "calendar"), """
+SELECT p.store_id, p.item_id, p.wm_yr_wk, p.sell_price, c.date
+FROM prices p JOIN calendar c ON p.wm_yr_wk = c.wm_yr_wk""")
 ORACLE["top_sales_per_category"] = with_fixtures(("sales",), """
 SELECT * FROM (
   SELECT *, CAST(rank() OVER (PARTITION BY cat_id ORDER BY d_1 DESC) AS INTEGER) AS rank FROM sales) t

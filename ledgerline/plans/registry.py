@@ -24,6 +24,7 @@ from ledgerline.plans import validation as V
 from ledgerline.plans.tables import load
 from ledgerline.session import scratch_path
 from ledgerline.sources import files as IO
+from ledgerline.sources.versions import read_published
 from ledgerline.streaming import intake as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -174,14 +175,29 @@ def q_build_marts(spark, sf):
     """Both marts written, their totals read back."""
     out = scratch_path(spark, "marts")
     delivery.build_marts(FX.mart_orders(spark, sf), FX.mart_items(spark, sf), out)
-    a = spark.read.parquet(f"{out}/order_mart").agg(
+    a = read_published(spark, out, "order_mart").agg(
         F.sum("revenue").cast("decimal(20,2)").alias("amount"), F.count("*").alias("n"))
-    b = spark.read.parquet(f"{out}/item_mart").agg(
+    b = read_published(spark, out, "item_mart").agg(
         F.sum("item_turnover").cast("decimal(20,2)").alias("amount"), F.count("*").alias("n"))
     return a.select(F.lit("order_mart").alias("mart"), "amount", "n").unionByName(
         b.select(F.lit("item_mart").alias("mart"), "amount", "n"))
 
 
+@query("refresh_tables")
+def q_refresh_tables(spark, sf):
+    """P1 + A5: an older state is loaded, then the whole input as one
+    refresh; each table's rows, read through the latest manifest."""
+    out = scratch_path(spark, "refresh")
+    wide = FX.delivery_wide(spark, sf)
+    delivery.load_delivery(wide.filter(F.col("order_id") % 4 == 0), out, FX.LOAD_ORDER)
+    delivery.load_delivery(wide, out, FX.LOAD_ORDER)
+    rows = None
+    for name in delivery.DELIVERY_TABLES:
+        n = read_published(spark, out, name).agg(F.lit(name).alias("table_name"), F.count("*").alias("n_rows"))
+        rows = n if rows is None else rows.unionByName(n)
+    return rows
+
+
 @query("delivery_rejects")
 def q_delivery_rejects(spark, sf):
     """Wide rows that the load turns away, where every 97th order has a
@@ -311,6 +327,12 @@ def q_top_prices_in_period(spark, sf):
     return retail.top_prices_in_period(FX.prices(spark, sf), FX.calendar(spark, sf), *PERIOD)
 
 
+@query("prices_by_day")
+def q_prices_by_day(spark, sf):
+    """Each weekly price with every day of its week."""
+    return retail.prices_by_day(FX.prices(spark, sf), FX.calendar(spark, sf))
+
+
 @query("top_sales_per_category")
 def q_top_sales_per_category(spark, sf):
     return retail.top_sales_per_category(FX.sales(spark, sf))

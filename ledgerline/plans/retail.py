@@ -61,6 +61,13 @@ def filter_state(sales: DataFrame, state: str) -> DataFrame:
     return RL.where_eq(sales, state_id=state)
 
 
+def prices_by_day(prices: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Each weekly price once for every day of its week. A week may hold any
+    share of the prices."""
+    days = calendar.select(F.col("wm_yr_wk").alias("week_id"), "date")
+    return RL.join_many(prices, days, [("wm_yr_wk", "week_id")]).drop("week_id")
+
+
 def top_prices_in_period(prices: DataFrame, calendar: DataFrame, lo: str, hi: str,
                          k: int = 5) -> DataFrame:
     """10: the k highest distinct prices of the weeks that have a day in

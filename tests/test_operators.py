@@ -148,3 +148,42 @@ def test_money_units_round_other_types(spark):
     assert got == [(29, 9750), (101, 8765)]
     exact = spark.createDataFrame([(Decimal("0.29"),)], "p decimal(10,2)").select(S.cents("p")).first()[0]
     assert exact == 29
+
+
+def _plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("n", [1, 64, 65, 4096, 4097, 20_000])
+def test_delete_against_brute_force(spark, n):
+    """Deletions at the ends of words and blocks, runs of them, and none."""
+    stored = spark.range(1, n + 1).select("id", (F.col("id") * 10).alias("v"))
+    edges = {1, 2, 63, 64, 65, 128, 4095, 4096, 4097, 8192, 8193, n} | set(range(5000, 5300)) | set(range(9000, 13_500))
+    for gone in (set(), {n}, {i for i in edges if i <= n}, set(range(1, n + 1)), {i for i in range(1, n + 1) if i % 3}):
+        ids = spark.createDataFrame([(i,) for i in gone] * 2, "id long")          # repeated ids count once
+        got = sorted((r.id, r.v) for r in RL.delete_records(stored, ids).collect())
+        assert got == [(k + 1, i * 10) for k, i in enumerate(i for i in range(1, n + 1) if i not in gone)]
+
+
+def test_delete_neither_sorts_nor_writes_the_stored_rows(spark):
+    stored = spark.range(1, 50_001).select("id", (F.col("id") % 7).alias("v"))
+    left = RL.delete_records(stored, spark.createDataFrame([(5,), (49_999,)], "id long"))
+    plan = _plan_of(left)
+    assert "rangepartitioning" not in plan and "Scan ExistingRDD" not in plan.split("Range (1, 50001")[0][-400:]
+    assert left.agg(F.min("id"), F.max("id"), F.count_distinct("id")).first() == (1, 49_998, 49_998)
+
+
+def test_delete_of_unknown_and_sparse_ids(spark):
+    stored = spark.createDataFrame([(i, i) for i in (1, 2, 3)], "id long, v int")
+    for bad in (0, 4, None):
+        with pytest.raises(KeyError):
+            RL.delete_records(stored, spark.createDataFrame([(bad,)], "id long"))
+    assert RL.delete_records(stored, spark.createDataFrame([(9,), (2,)], "id long"), check=False).count() == 2
+    sparse = spark.createDataFrame([(10, 1), (20, 2), (30, 3)], "id long, v int")        # numbered anew
+    assert sorted(map(tuple, RL.delete_records(sparse, spark.createDataFrame([(20,)], "id long")).collect())) == [(1, 1), (2, 3)]
+    doubled = spark.createDataFrame([(1, 1), (1, 2), (4, 3), (4, 4)], "id long, v int")  # count, bounds and sum as of 1..4
+    assert sorted(r.id for r in RL.delete_records(doubled, spark.createDataFrame([(4,)], "id long")).collect()) == [1, 2]
+    none = spark.createDataFrame([], "id long, v int")
+    assert RL.delete_records(none, spark.createDataFrame([], "id long")).count() == 0
+    whole = spark.createDataFrame([(1, 1), (2, 2)], "id int, v int")
+    assert RL.delete_records(whole, spark.createDataFrame([(1,)], "id long")).schema == whole.schema

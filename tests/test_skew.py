@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import aggregates as A
 from ledgerline.operators import relational as RL
-from ledgerline.plans import delivery
+from ledgerline.plans import delivery, retail
 from tests.naive_marts import order_mart_naive
 
 N = 3000
@@ -109,3 +109,41 @@ def test_sorted_quantiles_equal_exact_on_hot_group(spark):
             assert abs(u - v) <= 1e-9 * max(1.0, abs(u)), (g, a[g], b[g])
     one = A.group_quantiles(df.filter("g = 'hot'"), [], "x", (0.5,), method="sorted").first()
     assert abs(one[0] - a["hot"][2]) < 1e-9
+
+
+def _pairs(left, right):
+    return sorted((a, b) for k, a in left for j, b in right if k is not None and k == j)
+
+
+def test_many_to_many_join_splits_hot_keys(spark):
+    """One week holds a third of the prices, another a third of the days."""
+    left = [(1 if i % 3 == 0 else i % 40, i) for i in range(900)] + [(None, -1), (77, -2)]
+    right = [(2 if i % 3 == 0 else i % 40, i) for i in range(90)] + [(1, 500), (None, -3), (88, -4)] + [(1, 501)] * 2
+    a = spark.createDataFrame(left, "k int, v int").repartition(4)
+    b = spark.createDataFrame(right, "j int, w int").repartition(3)
+    for share in (10, 1000):
+        joined = RL.join_many(a, b, [("k", "j")], share)
+        assert joined.columns == ["k", "v", "j", "w"]
+        assert sorted((r.v, r.w) for r in joined.collect()) == _pairs(left, right)
+    heavy = {r.k: r.pieces for r in RL.heavy_keys(a.filter("k IS NOT NULL"), ["k"], 10).collect()}
+    assert set(heavy) == {1} and heavy[1] == 4          # 308 of 901 rows: 10 x 308 / 901, rounded up
+    # the hot key's rows lie in several cells, which are shuffled apart
+    plan = _plan(RL.join_many(a, b, [("k", "j")], 10).hint("merge"))
+    assert "__i" in plan and "__j" in plan and "CartesianProduct" not in plan
+
+
+def test_many_to_many_join_of_empty_sides(spark):
+    a = spark.createDataFrame([], "k int, v int")
+    b = spark.createDataFrame([(1, 2)], "j int, w int")
+    assert RL.join_many(a, b, [("k", "j")]).count() == 0
+    assert RL.join_many(b, a, [("j", "k")]).columns == ["j", "w", "k", "v"]
+
+
+def test_weekly_prices_meet_each_day(spark):
+    prices = spark.createDataFrame([(1, 7, 100, 2.5), (1, 8, 100, 3.0), (2, 7, 101, 2.0), (2, 9, 200, 1.0)],
+                                   "store_id int, item_id int, wm_yr_wk int, sell_price double")
+    days = [(100 + d // 7, dt.date(1998, 1, 5) + dt.timedelta(d)) for d in range(14)]
+    calendar = spark.createDataFrame(days, "wm_yr_wk int, date date")
+    rows = retail.prices_by_day(prices, calendar).collect()
+    assert len(rows) == 21 and rows[0].asDict().keys() == {"store_id", "item_id", "wm_yr_wk", "sell_price", "date"}
+    assert sum(r.sell_price for r in rows) == 7 * 7.5
