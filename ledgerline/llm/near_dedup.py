@@ -18,12 +18,19 @@ linked when 100 * intersection >= percent * union.
    the pair with most shared buckets is verified first, then components are
    formed.
 4. *The rest.* Only pairs that could still join two components are left. The
-   other star pairs are verified as they are. Buckets with members of two
-   components and three or more members are compared in blocks of ``BLOCK``
-   members: each task holds two blocks with signatures and sets, compares pairs
-   that are not yet connected, each in the first band it shares, and gives out
-   only links. So no bucket, how large ever, is in one task, no list of all
-   its pairs is made, and every pair of a bucket is covered.
+   other star pairs are verified as they are. Of the buckets with members of two
+   components and three or more members, those with the same members count once
+   (the lowest band stays). A bucket's *rest* are its members outside its largest component:
+   any open pair has one of them. The rest is dealt into blocks of about ``BLOCK``
+   members, all members into chunks of about ``CHUNK``, and a task compares one block
+   with one chunk, carrying signatures and sets. So a bucket whose
+   rest fits one block and whose members fit one chunk, however often it is cut
+   through by components, has each member in the work once; rows grow with
+   members times blocks only for a larger rest. There a member
+   meets only blocks of its own size class and the two next to it, classes being powers of
+   the threshold, since sets of sizes further apart can't reach it. No
+   bucket is in one task, no list of its pairs is made, and no pair is left out: a pair
+   is compared in the first band that it shares, unless it is already connected.
 5. A pair is verified first by its signatures (agreement of at least
    the threshold less five standard deviations), then exactly, on full sets.
 
@@ -51,7 +58,8 @@ from ledgerline.llm.textscan import mix, shingle_hashes, text_chunks, word_hashe
 
 HASHES = 256
 MISS = 1e-6
-BLOCK = 256
+BLOCK = 512
+CHUNK = 2048
 BROADCAST_IDS = 500_000
 
 _RNG = np.random.default_rng(20240229)
@@ -155,12 +163,14 @@ def _linked(x: bytes, y: bytes, percent: int) -> bool:
 
 
 def _block_links(plan: Bands):
-    """Links between the members of two blocks of a bucket. A pair is compared
-    in the first band that it shares, unless it is known to be connected."""
+    """Links between the rest members of a block (``own``) and the members of a
+    chunk (``other``) of a bucket. A pair is compared in the first band that it shares,
+    unless it is known to be connected; a pair of two rest members where the
+    one with the larger id is ``own``."""
     def run(table: pa.Table) -> pa.Table:
-        lo, hi, band = (table[c][0].as_py() for c in ("lo", "hi", "band"))
-        block = table["block"].to_numpy()
-        reps, labels = table["rep"].to_numpy(), table["component"].to_numpy()
+        band = table["band"][0].as_py()
+        reps, labels, sizes = (table[c].to_numpy() for c in ("rep", "component", "n_shingles"))
+        rest, own, other = (table[c].to_numpy().astype(bool) for c in ("rest", "own", "other"))
         signatures = _signature_matrix(table["signature"])
         sets = table["shingles"]
         root = {label: label for label in labels.tolist()}
@@ -171,12 +181,12 @@ def _block_links(plan: Bands):
                 label = root[label]
             return label
 
-        rows = np.flatnonzero(block == lo)
-        others = rows if lo == hi else np.flatnonzero(block == hi)
+        others = np.flatnonzero(other)
         a, b = [], []
-        for n, i in enumerate(rows.tolist()):
-            against = others[n + 1:] if lo == hi else others
-            against = against[labels[against] != labels[i]]
+        for i in np.flatnonzero(own).tolist():
+            small, large = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
+            against = others[(labels[others] != labels[i]) & (~rest[others] | (reps[others] < reps[i]))
+                             & (100 * small >= plan.percent * large)]
             same = signatures[against] == signatures[i]
             against, same = (x[same.sum(axis=1) >= plan.least_agreement] for x in (against, same))
             shared = same[:, :plan.bands * plan.rows].reshape(len(against), plan.bands, plan.rows).all(axis=2)
@@ -189,6 +199,42 @@ def _block_links(plan: Bands):
     return run
 
 
+def _dealt(placed: DataFrame, plan: Bands) -> DataFrame:
+    """The members of mixed buckets by block and chunk: (bucket, band, rep,
+    component, n_shingles, rest, cell, own, other), a row for each cell that a member is in.
+    ``placed``: written (bucket, band, rep, component, n_shingles)."""
+    parts = placed.groupBy("bucket", "band", "component").agg(
+        F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("rep")).alias("x"),
+        F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y"))
+    whole = parts.groupBy("bucket", "band").agg(
+        F.sum("m").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"), F.count(F.lit(1)).alias("parts"),
+        F.max(F.struct("m", (-F.col("component")).alias("minus"))).alias("main"))
+    mixed = (whole.filter(F.col("parts") > 1).groupBy("n", "x", "y")
+             .agg(F.min(F.struct("band", "bucket", "main")).alias("b"))
+             .select("b.bucket", "n", (-F.col("b.main.minus")).alias("main"),
+                     (F.col("n") - F.col("b.main.m") > BLOCK).alias("wide")))
+    step = math.log(100 / plan.percent) if plan.percent < 100 else 1.0
+    size_class = F.when(F.col("wide"), F.floor(F.log("n_shingles") / step)).otherwise(0).cast("int")
+    members = materialise(
+        placed.join(mixed, "bucket")
+        .withColumns({"rest": F.col("component") != F.col("main"), "class": size_class,
+                      "chunks": F.ceil(F.col("n") / CHUNK).cast("int")})
+        .withColumn("chunk", F.pmod(F.xxhash64("rep", F.lit(2)), "chunks").cast("int"))
+        .drop("n", "main"), "mixed-members")
+    blocks = (members.filter("rest").groupBy("bucket", F.col("class").alias("of")).agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")))
+    # classes that a member's sets can reach; one more for rounding at their edges
+    near = F.when(F.col("wide"), F.sequence(F.col("class") - 2, F.col("class") + 2)).otherwise(F.array(F.lit(0)))
+    met = (members.withColumn("of", F.explode(near)).join(blocks, ["bucket", "of"])
+           .withColumn("home", F.pmod(F.xxhash64("rep", F.lit(3)), "blocks"))
+           .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+           .withColumn("own", F.col("rest") & (F.col("of") == F.col("class")) & (F.col("block") == F.col("home")))
+           .withColumn("in", F.when(F.col("own"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("chunk")))
+           .withColumn("into", F.explode("in")))
+    return met.select("bucket", "band", "rep", "component", "n_shingles", "rest", F.struct("of", "block", "into").alias("cell"),
+                      "own", (F.col("into") == F.col("chunk")).alias("other"))
+
+
 def _agreeing(plan: Bands):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,9 +259,10 @@ def with_ids(docs: DataFrame, ids: DataFrame, how: str, column: str = "id") -> D
     """Rows of ``docs`` whose doc_id is (left_semi) or isn't (left_anti) among
     ``ids``. Up to ``BROADCAST_IDS`` ids are broadcast, so no text moves; more
     are joined by a shuffle."""
-    ids = materialise(ids.select(F.col(column).alias("__id")).distinct(), "ids")
+    ids = materialise(ids.select(F.col(column).alias("id")).distinct(), "ids")
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("__id"), how)
+    rows = docs.select(F.col("doc_id").alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.join(F.broadcast(ids) if few else ids, F.col("key") == F.col("id"), how).select("row.*")
 
 
 def _pairs_with(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
@@ -237,7 +284,7 @@ def near_classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, D
     reps = materialise(
         prints.filter(F.col("n_shingles") > 0)
         .withColumn("place", F.row_number().over(first)).filter(F.col("place") == 1)
-        .select("set_digest", F.col("doc_id").cast("long").alias("rep"), "signature"), "representatives")
+        .select("set_digest", F.col("doc_id").cast("long").alias("rep"), "n_shingles", "signature"), "representatives")
     named = reps.filter(F.col("rep").isNotNull())
     signatures = named.select(F.col("rep").alias("id"), "signature")
 
@@ -269,18 +316,13 @@ def near_classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, D
 
     other_stars = (labelled(labelled(ranked.filter(F.col("place") > 1).select("a", "b"), "a", "of_a"), "b", "of_b")
                    .filter(F.col("of_a") != F.col("of_b")).select("a", "b"))
-    placed = materialise(labelled(members.filter(F.col("n") > 2), "rep", "component"), "placed-members")
-    mixed = materialise(placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                        .filter(F.col("low") != F.col("high")).select("bucket"), "mixed-buckets")
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    dealt = (placed.join(mixed, "bucket", "left_semi")
-             .withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-             .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
-             .select("bucket", "band", "rep", "component", "block", F.least("block", "with").alias("lo"),
-                     F.greatest("block", "with").alias("hi"))
-             .join(signatures.withColumnRenamed("id", "rep"), "rep")
-             .join(sets.withColumnRenamed("id", "rep"), "rep"))
-    in_blocks = dealt.groupBy("bucket", "lo", "hi").applyInArrow(_block_links(plan), "a long, b long")
+    placed = materialise(labelled(members.filter(F.col("n") > 2), "rep", "component")
+                         .join(named.select("rep", "n_shingles"), "rep")
+                         .select("bucket", "band", "rep", "component", "n_shingles"), "placed-members")
+    dealt = materialise(_dealt(placed, plan), "dealt-members")
+    carried = materialise(signatures.join(sets, "id").withColumnRenamed("id", "rep"), "signatures-and-sets")
+    in_blocks = (dealt.join(carried, "rep").groupBy("bucket", "cell")
+                 .applyInArrow(_block_links(plan), "a long, b long"))
     late = verified(other_stars).unionByName(materialise(in_blocks, "block-links"))
     components = connected_components(
         labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late), "a", "b")

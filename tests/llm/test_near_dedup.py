@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.llm import components, near_dedup, textscan
 from tests.llm.cases import documents, empty, lower_ascii
@@ -60,14 +61,42 @@ def test_families_against_brute_force(spark, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == brute(rows, percent)
 
 
-def test_blocks_cover_large_buckets(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+@pytest.mark.parametrize("block, chunk", [(8, 16), (1, 5), (512, 2048)])
+def test_blocks_cover_large_buckets(spark, monkeypatch, block, chunk):
+    """A hot group whose members are alike just below and above the threshold,
+    of different lengths, cut into blocks, chunks and size classes."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "CHUNK", chunk)
     rng = random.Random(5)
-    rows = list(enumerate(family(rng, 80, 100, 8)))
+    texts = family(rng, 60, 100, 8)
+    texts += [t + " " + " ".join(f"u{rng.randrange(10 ** 6)}" for _ in range(rng.randrange(1, 40))) for t in family(rng, 1, 100, 1) * 40]
+    rows = list(enumerate(texts))
     got = near_dedup.near_groups(documents(spark, rows), 85).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == brute(rows, 85)
 
 
+def test_rows_of_the_block_step_grow_with_the_members(spark):
+    """A bucket whose rest fits a block and whose members fit a chunk has each
+    member in the work once, whatever its components; same members count once."""
+    plan = near_dedup.Bands.of(85)
+    def dealt(n):
+        rows = [(b, b, i, 1 if i % 2 else i, 100) for b in range(3) for i in range(n)]
+        return near_dedup._dealt(spark.createDataFrame(rows, "bucket long, band int, rep long, component long, n_shingles long"), plan)
+    assert dealt(400).count() == 400 and dealt(800).count() == 800
+    assert {r.band for r in dealt(400).collect()} == {0}
+    rows = dealt(40)
+    assert rows.filter("own").count() == 20 and rows.filter("other").count() == 40
+
+
+def test_clashing_column_names(spark):
+    docs = documents(spark)
+    for name in ("__id", "id", "a", "b", "rep", "key", "row"):
+        docs = docs.withColumn(name, F.lit("z"))
+    left = near_dedup.drop_near_copies(docs, 80)
+    assert left.columns == docs.columns
+    assert sorted(r.doc_id for r in left.collect() if r.doc_id is not None) == [1, 4, 5, 6, 7, 8, 9, 11]
+
+
 def test_edges(spark):
     docs = documents(spark)
     got = near_dedup.near_groups(docs, 80).collect()
