@@ -122,11 +122,3 @@ def fill_defaults(df: DataFrame, defaults: dict) -> DataFrame:
         else:
             out = out.withColumn(name, d)
     return out
-
-
-def schema_summary(df: DataFrame) -> DataFrame:
-    """V4: the schema of ``df`` as JSON text and its number of fields (a
-    one-row DataFrame built from metadata only; no data is read)."""
-    spark = df.sparkSession
-    return spark.createDataFrame([(df.schema.json(), len(df.schema.fields))],
-                                 "schema_json string, n_fields int")

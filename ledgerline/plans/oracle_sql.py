@@ -203,7 +203,35 @@ ORACLE["preview"] = "SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_order
 ORACLE["has_key"] = """
 SELECT c_custkey AS o_custkey FROM customer
 WHERE EXISTS (SELECT 1 FROM orders WHERE orders.o_custkey = customer.c_custkey)"""
-ORACLE["schema_summary"] = "SELECT CAST(COUNT(*) AS INTEGER) AS n_fields FROM (DESCRIBE orders)"
+ORACLE["schema_summary"] = "\nUNION ALL\n".join(
+    f"""SELECT '{field}' AS field, '{kind}' AS type, 6 AS n_fields, COUNT(*) AS n_rows,
+           COUNT(*) FILTER ({null}) AS n_nulls, COUNT(*) FILTER ({bad}) AS n_violations FROM orders"""
+    for field, kind, null, bad in (
+        ("o_orderkey", "integer", "o_orderkey IS NULL", "o_orderkey IS NULL OR o_orderkey < 0"),
+        ("o_custkey", "integer", "o_custkey IS NULL", "o_custkey IS NULL OR o_custkey <= 0"),
+        ("o_orderstatus", "string", "o_orderstatus IS NULL", "o_orderstatus NOT IN ('F', 'O')"),
+        ("o_totalprice", "number", "o_totalprice IS NULL", "o_totalprice < 1000 OR o_totalprice >= 300000"),
+        ("o_orderpriority", "string", "o_orderpriority IS NULL",
+         "NOT regexp_matches(o_orderpriority, '^[1-4]-') OR length(o_orderpriority) > 12"),
+        ("o_comment", "string", "TRUE", "TRUE")))
+_BROKEN_LINES = """
+WITH cells AS (
+  SELECT event_id, event_type || ', x' AS category,
+         CASE WHEN event_id % 53 = 0 THEN 'n/a' ELSE CAST(event_id % 1000 AS VARCHAR) END AS price,
+         CASE WHEN event_id % 67 = 0 THEN '1998-13-01' ELSE '1998-01-31' END AS day,
+         event_id % 59 = 0 AS few, event_id % 59 <> 0 AND event_id % 61 = 0 AS many FROM events),
+lines AS (
+  SELECT *, CAST(event_id AS VARCHAR) || ',"' || category || '",' || price || CASE WHEN few THEN '' ELSE ',' || day END
+            || CASE WHEN many THEN ',more' ELSE '' END AS line,
+         price = 'n/a' AS bad_price, day = '1998-13-01' AS bad_day FROM cells)"""
+ORACLE["scan_csv_rejects"] = _BROKEN_LINES + """
+SELECT line, CASE WHEN few THEN ['3 cells, 4 expected'] WHEN many THEN ['5 cells, 4 expected']
+                  ELSE list_concat(CASE WHEN bad_price THEN ['price: value does not fit double'] ELSE [] END,
+                                   CASE WHEN bad_day THEN ['day: value does not fit date'] ELSE [] END) END AS reasons
+FROM lines WHERE few OR many OR bad_price OR bad_day"""
+ORACLE["scan_csv_accepted"] = _BROKEN_LINES + """
+SELECT event_id, category, CAST(price AS DOUBLE) AS price, CAST(day AS DATE) AS day
+FROM lines WHERE NOT (few OR many OR bad_price OR bad_day)"""
 ORACLE["build_marts"] = f"""
 SELECT 'order_mart' AS mart, CAST(SUM(revenue) AS DECIMAL(20,2)) AS amount, COUNT(*) AS n
 FROM ({ORACLE["order_mart"]}) a

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DecimalType, DoubleType, IntegerType, LongType, StringType,
+from pyspark.sql.types import (DateType, DecimalType, DoubleType, IntegerType, LongType, StringType,
                                StructField, StructType, TimestampNTZType)
 
 from ledgerline.functions import coerce as C
@@ -15,6 +15,7 @@ from ledgerline.functions import rules as RU
 from ledgerline.functions import scalars as SC
 from ledgerline.operators import quality as Q
 from ledgerline.operators import relational as RL
+from ledgerline.operators import schema_rules as SR
 from ledgerline.plans import delivery, retail
 from ledgerline.plans import explore as X
 from ledgerline.plans import fixtures as FX
@@ -133,6 +134,35 @@ def q_load_rejects(spark, sf):
             .join(raw, "p_partkey"))
 
 
+CSV_TYPES = StructType([StructField("event_id", LongType()), StructField("category", StringType()),
+                        StructField("price", DoubleType()), StructField("day", DateType())])
+
+
+def _broken_csv(spark, sf) -> str:
+    """Events as CSV lines; some have a wrong value, too few or too many cells."""
+    e = load(spark, sf, "events")
+    k = F.col("event_id")
+    price = F.when(k % 53 == 0, "n/a").otherwise((k % 1000).cast("string"))
+    day = F.when(k % 67 == 0, "1998-13-01").otherwise("1998-01-31")
+    line = F.concat_ws(",", k.cast("string"), F.concat(F.lit('"'), "event_type", F.lit(', x"')), price)
+    line = F.when(k % 59 == 0, line).when(k % 61 == 0, F.concat_ws(",", line, day, F.lit("more"))).otherwise(F.concat_ws(",", line, day))
+    path = scratch_path(spark, "broken_csv")
+    e.select(line.alias("value")).write.text(path)
+    return path
+
+
+@query("scan_csv_rejects")
+def q_scan_csv_rejects(spark, sf):
+    """A3: lines that don't fit their declared types, with the reasons."""
+    return IO.scan_csv_checked(spark, _broken_csv(spark, sf), CSV_TYPES, header=False)[1].select("line", "reasons")
+
+
+@query("scan_csv_accepted")
+def q_scan_csv_accepted(spark, sf):
+    """A3: the rows that do fit."""
+    return IO.scan_csv_checked(spark, _broken_csv(spark, sf), CSV_TYPES, header=False)[0]
+
+
 @query("scan_csv_infer")
 def q_scan_csv_infer(spark, sf):
     """A4: the transactions read back with inferred types."""
@@ -164,10 +194,25 @@ def q_has_key(spark, sf):
     return RL.has_key(load(spark, sf, "orders"), keys, "o_custkey")
 
 
+# a schema document of the orders table; some rows break it on purpose
+ORDERS_DOCUMENT = """
+{"title": "Order", "type": "object", "required": ["o_orderkey", "o_custkey", "o_comment"],
+ "$defs": {"Status": {"type": "string", "enum": ["F", "O"]}},
+ "properties": {
+   "o_orderkey": {"type": "integer", "minimum": 0},
+   "o_custkey": {"type": "integer", "exclusiveMinimum": 0},
+   "o_orderstatus": {"$ref": "#/$defs/Status"},
+   "o_totalprice": {"type": "number", "minimum": 1000, "exclusiveMaximum": 300000},
+   "o_orderpriority": {"anyOf": [{"type": "string", "pattern": "^[1-4]-", "maxLength": 12}, {"type": "null"}]},
+   "o_comment": {"type": "string"}}}
+"""
+
+
 @query("schema_summary")
 def q_schema_summary(spark, sf):
-    """V4: fields and types of the orders table."""
-    return Q.schema_summary(load(spark, sf, "orders")).select("n_fields")
+    """V4: what the orders document says of each field, and how many rows of
+    the orders table break it."""
+    return SR.schema_summary(load(spark, sf, "orders"), ORDERS_DOCUMENT)
 
 
 @query("build_marts")

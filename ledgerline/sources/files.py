@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def scan_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -54,6 +54,38 @@ def scan_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return reader.csv(path)
 
 
+def scan_csv_checked(spark: SparkSession, path: str, schema: StructType, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """A3: ``(rows, rejects)`` of a CSV scan: lines that fit ``schema``, and those that
+    do not, as (file, line, reasons). Nothing is dropped or turned to NULL: a line with
+    a cell that is not of its type, or with too few or too many cells, is a reject
+    with its whole text. An empty cell is NULL; a blank line is no line. Cells are
+    parted by commas, quoted by ``"`` (doubled or after a backslash inside)."""
+    corrupt = "__line"
+    read = (spark.read.schema(StructType([*schema.fields, StructField(corrupt, StringType())]))
+            .option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt)
+            .option("columnPruning", False).csv(path))
+    # Spark refuses a scan that reads the line column alone, as a count would: the
+    # test reads every column and is always true
+    every = F.size(F.array(*[F.col(f"`{f.name}`").isNull() for f in schema.fields])) > 0
+    line = F.col("line")
+    plain = F.regexp_replace(line, r'"([^"\\]|\\.|"")*"', "")
+    cells = 1 + F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit("")))
+    texts = ", ".join(f"c{i} string" for i in range(len(schema.fields)))
+    bad = (read.filter(F.col(corrupt).isNotNull())
+           .select(*[F.col(f"`{f.name}`").alias(f"read_{i}") for i, f in enumerate(schema.fields)],
+                   F.col("_metadata.file_path").alias("file"), F.col(corrupt).alias("line"))
+           .withColumns({"cells": cells, "text": F.from_csv(line, texts)}))
+    # the reader leaves a cell that does not fit NULL and keeps the others
+    misfits = [F.when(F.col("text").getField(f"c{i}").isNotNull() & F.col(f"read_{i}").isNull(),
+                      F.array(F.lit(f"{f.name}: value does not fit {f.dataType.simpleString()}")))
+               .otherwise(F.array().cast("array<string>")) for i, f in enumerate(schema.fields)]
+    found = F.concat(*misfits)
+    wrong_size = F.array(F.concat(F.col("cells").cast("string"), F.lit(f" cells, {len(schema.fields)} expected")))
+    reasons = (F.when(F.col("cells") != len(schema.fields), wrong_size)
+               .when(F.size(found) > 0, found).otherwise(F.array(F.lit("the line cannot be read"))))
+    return read.filter(F.col(corrupt).isNull() & every).drop(corrupt), bad.select("file", "line", reasons.alias("reasons"))
+
+
 def write_table(df: DataFrame, path: str | None, mode: str = "overwrite",
                 partition_by: tuple[str, ...] = (), fmt: str = "parquet",
                 options: dict[str, str] | None = None) -> str | None:

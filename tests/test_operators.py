@@ -1,12 +1,15 @@
 """Relational and aggregate operators on hand-made rows."""
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import aggregates as A
 from ledgerline.operators import relational as RL
+from ledgerline.operators import schema_rules as SR
+from ledgerline.operators.quality import annotate
 
 
 def test_histogram_edges_and_empty_bins(spark):
@@ -133,10 +136,53 @@ def test_row_ids_hot_key_spread(spark):
     assert got.filter(F.col("id") != F.col("v") + 1).count() == 0
 
 
-def test_schema_summary(spark):
-    from ledgerline.operators.quality import schema_summary
-    r = schema_summary(spark.createDataFrame([(1, "a")], "a int, b string")).first()
-    assert r.n_fields == 2 and '"name":"a"' in r.schema_json
+DOCUMENT = {
+    "title": "Order", "required": ["id", "items", "sku", "gone"],
+    "$defs": {"Item": {"type": "object", "required": ["qty"], "properties": {
+        "qty": {"type": "integer", "exclusiveMinimum": 0}, "code": {"type": "string", "pattern": "^[A-Z]+$"}}}},
+    "properties": {
+        "id": {"type": "integer", "minimum": 1, "maximum": 9}, "sku": {"type": ["string", "null"], "minLength": 3, "maxLength": 5},
+        "status": {"enum": ["new", "paid"]}, "price": {"type": "number", "multipleOf": 0.5}, "whole": {"type": "integer"},
+        "items": {"type": "array", "minItems": 1, "maxItems": 2, "items": {"$ref": "#/$defs/Item"}},
+        "home": {"anyOf": [{"$ref": "#/$defs/Home"}, {"type": "null"}]}, "gone": {"type": "string"}, "flag": {"const": True}}}
+DOCUMENT["$defs"]["Home"] = {"type": "object", "required": ["city"], "properties": {"city": {"type": "string", "maxLength": 4}}}
+ORDER_TYPE = ("id int, sku string, status string, price double, whole double, items array<struct<qty:int,code:string>>, "
+              "home struct<city:string>, flag boolean")
+
+
+def test_rules_of_a_schema_document(spark):
+    good = (1, "abc", "new", 1.5, 2.0, [(1, "A")], ("Rome",), True)
+    def broken(**changes):
+        names = [c.split()[0] for c in ORDER_TYPE.replace("struct<qty:int,code:string>", "x").split(", ")]
+        return tuple(changes.get(n, v) for n, v in zip(names, good))
+    cases = [({}, []), ({"id": 0}, ["id: below 1"]), ({"id": 10}, ["id: above 9"]), ({"id": None}, ["id: missing"]),
+             ({"sku": None}, []), ({"sku": "ab"}, ["sku: shorter than 3"]), ({"sku": "abcdef"}, ["sku: longer than 5"]),
+             ({"status": "old"}, ['status: not one of ["new", "paid"]']), ({"status": None}, []),
+             ({"price": 1.25}, ["price: not a multiple of 0.5"]), ({"whole": 2.5}, ["whole: not of type integer"]),
+             ({"items": []}, ["items: fewer than 1 items"]), ({"items": None}, ["items: missing"]),
+             ({"items": [(1, "A")] * 3}, ["items: more than 2 items"]), ({"items": [(1, None), (0, "A")]}, ["items[].qty: not above 0"]),
+             ({"items": [(None, "a")]}, ["items[].qty: missing", "items[].code: does not match ^[A-Z]+$"]),
+             ({"home": None}, []), ({"home": (None,)}, ["home.city: missing"]), ({"home": ("Paris",)}, ["home.city: longer than 4"]),
+             ({"flag": False}, ["flag: not true"])]
+    df = spark.createDataFrame([broken(**c) for c, _ in cases], ORDER_TYPE)
+    got = annotate(df, SR.compile_schema(json.dumps(DOCUMENT), df.schema)).collect()
+    for row, (case, errors) in zip(got, cases):
+        assert sorted(row.errors) == sorted([*errors, "gone: missing"]), case
+    summary = {r.field: r for r in SR.schema_summary(df, DOCUMENT).collect()}
+    assert list(summary) == list(DOCUMENT["properties"]) and summary["id"].n_fields == 9
+    assert (summary["id"].n_rows, summary["id"].n_nulls, summary["id"].n_violations) == (20, 1, 3)
+    assert summary["items"].n_violations == 5 and summary["gone"].n_nulls == 20 and summary["home"].n_violations == 2
+
+
+def test_schema_documents_that_are_not_understood(spark):
+    schema = spark.createDataFrame([], "a string").schema
+    for node in ({"type": "string", "contains": 1}, {"anyOf": [{"type": "string"}, {"type": "integer"}]}, {"$ref": "#/properties/a"}):
+        with pytest.raises(ValueError):
+            SR.compile_schema({"properties": {"a": node}}, schema)
+    with pytest.raises(ValueError):
+        SR.schema_summary(spark.createDataFrame([], "a string"), {})
+    empty = SR.schema_summary(spark.createDataFrame([], "a string"), {"properties": {"a": {"type": "integer"}}}).first()
+    assert (empty.n_rows, empty.n_violations) == (0, 0)
 
 
 def test_money_units_round_other_types(spark):

@@ -116,3 +116,19 @@ def test_what_a_dead_refresh_left_goes_after_a_while(spark):
     assert VE.read_published(spark, root, "t").count() == 1
     with pytest.raises(ValueError):
         VE.drop_old(spark, root, keep=0)
+
+
+def test_csv_rejects_keep_every_line(spark):
+    path = scratch_path(spark, "csv_rejects")
+    lines = ['1,"a, b",2.5', "x,y,1", "2,only two", '3,"q ""in"" it",1,extra', "4,,", "5,z,n/a", "nan,z,also", "", ',"", ', '6,"esc \\" ok",7']
+    spark.createDataFrame([(t,) for t in lines], "value string").coalesce(1).write.text(path)
+    schema = spark.createDataFrame([], "id int, name string, v double").schema
+    rows, rejects = IO.scan_csv_checked(spark, path, schema, header=False)
+    assert rows.columns == ["id", "name", "v"]
+    assert [tuple(r) for r in rows.orderBy("id").collect() if r.id] == [(1, "a, b", 2.5), (4, None, None), (6, 'esc " ok', 7.0)]
+    got = {r.line: r.reasons for r in rejects.collect()}
+    assert got["x,y,1"] == ["id: value does not fit int"] and got["5,z,n/a"] == ["v: value does not fit double"]
+    assert got["nan,z,also"] == ["id: value does not fit int", "v: value does not fit double"]
+    assert got["2,only two"] == ["2 cells, 3 expected"] and got['3,"q ""in"" it",1,extra'] == ["4 cells, 3 expected"]
+    assert rows.count() + len(got) == len([t for t in lines if t])
+    assert all(r.file.endswith(".txt") for r in rejects.collect())
