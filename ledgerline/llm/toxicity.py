@@ -51,7 +51,6 @@ LEAST_DOCUMENTS = 4
 PRECISION = 0.7
 FINER = 0.5                             # weight that a longer beginning must add
 PREFIXES = range(3, 9)
-PATTERNS = 5_000                        # most patterns a grammar may have
 THRESHOLD = 0.7
 
 # fixed values: words of the grammar in four languages
@@ -184,6 +183,16 @@ def _rare(n: int, k: int, p: float) -> float:
     return math.exp(-n * (share * math.log(share / p) + (1 - share) * math.log((1 - share) / (1 - p))))
 
 
+def _rarer_than(chance: float, p: float):
+    """Keeps the patterns whose toxic documents are rarer than ``chance``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = {name: i for i, name in enumerate(batch.schema.names)}
+            n, k = batch.column(at["documents"]).to_pylist(), batch.column(at["toxic"]).to_pylist()
+            yield batch.filter(pa.array([_rare(a, b, p) <= chance for a, b in zip(n, k)], pa.bool_()))
+    return run
+
+
 def _pattern_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(pattern, toxic, documents) of a partition; ``=w`` is a whole word. Also
     one row without pattern with all its documents. Texts without a word are
@@ -236,11 +245,12 @@ def learn_patterns(sample: DataFrame) -> tuple[dict[str, float], dict[str, float
     p = total[0].toxic / total[0].documents
     tests = counts.filter(F.col("documents") >= LEAST_DOCUMENTS).count()
     chance = MISTAKES / max(1, tests)
+    # the tasks test every candidate, so only patterns of the grammar reach the driver
     fit = (counts.filter((F.col("pattern") != "") & (F.col("toxic") >= PRECISION * F.col("documents"))
                          & (F.col("toxic") >= LEAST_DOCUMENTS) & (F.col("toxic") >= math.log(chance) / math.log(p)))
-           .orderBy(F.col("toxic").desc(), F.length("pattern"), "pattern").limit(PATTERNS).collect())
-    good = {r.pattern: math.log((r.toxic + 0.5) / (r.documents - r.toxic + 0.5) * (1 - p) / p)
-            for r in fit if _rare(r.documents, r.toxic, p) <= chance}
+           .mapInArrow(_rarer_than(chance, p), counts.schema)
+           .orderBy(F.col("toxic").desc(), F.length("pattern"), "pattern").collect())
+    good = {r.pattern: math.log((r.toxic + 0.5) / (r.documents - r.toxic + 0.5) * (1 - p) / p) for r in fit}
     support = {r.pattern: r.toxic for r in fit}
     beginnings: dict[str, float] = {}
 
@@ -286,8 +296,9 @@ def _channel_batches(words: dict[str, float], beginnings: dict[str, float]):
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
-    """The grammar and its weights; what reaches the driver is bounded by
-    ``PATTERNS`` and by ``TRAIN_ROWS`` rows of channels."""
+    """The grammar and its weights; what reaches the driver is bounded by the
+    ``TRAIN_ROWS`` documents of the sample: their rows of channels, and those of their
+    patterns that pass the test (no number of patterns is set)."""
     sample = training_rows(docs, labels)
     words, beginnings = learn_patterns(sample)
     rows = sample.mapInArrow(_channel_batches(words, beginnings), "channels array<double>, toxic int").collect()

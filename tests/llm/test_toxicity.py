@@ -87,3 +87,13 @@ def test_copies_count_once_in_learning(spark):
     near = documents(spark, [(i, f"one two three four five {i}") for i in range(60)])
     truth = spark.createDataFrame([(i, 1, i % 2) for i in range(60)], labels.schema)
     assert tx.training_rows(near, truth).count() == tx.learnable(truth).count()
+
+
+def test_no_number_of_patterns_is_set(spark):
+    """A rarer pattern is learned beside thousands of more frequent ones."""
+    def word(i):
+        return "".join(chr(97 + i // 26 ** k % 26) for k in range(5))
+    many = " ".join(word(i * 1009) for i in range(7000))
+    rows = [(f"{many} {'zyxrare' if i < 25 else ''} toxic text {i}", 1) for i in range(30)] + [(f"plain words {i}", 0) for i in range(30)]
+    words, beginnings = tx.learn_patterns(spark.createDataFrame(rows, "text string, toxic int").repartition(4))
+    assert len(words) + len(beginnings) > 20 and any("zyxrare".startswith(b) for b in [*words, *beginnings])
