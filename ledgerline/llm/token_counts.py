@@ -19,8 +19,8 @@ unknown to Python's Unicode tables go to the library itself.
 
 Defined cases: null and empty texts have 0 bytes and 0 tokens; repeated rows
 each get a result row; an empty table gives an empty result; other columns are
-not read. One writer at a time: two concurrent calls with one cache may append
-a count twice.
+not read. Calls at the same time, or one that is run again, may append a count
+twice: it is read once; different counts of one digest are an error.
 """
 
 from __future__ import annotations
@@ -124,7 +124,11 @@ def count_tokens(docs: DataFrame, path: str, cache: str, limit: int = TOKEN_LIMI
     def stored() -> DataFrame:
         return (spark.read.schema(_CACHE_SCHEMA).parquet(cache)
                 .filter(F.col("tokenizer_digest") == version)
-                .select("content_digest", F.col("n_tokens").alias("stored_tokens")))
+                # two writers, or a call that was run again, may have stored a count twice
+                .groupBy("content_digest").agg(F.min("n_tokens").alias("least"), F.max("n_tokens").alias("most"))
+                .select("content_digest", F.when(F.col("least") == F.col("most"), F.col("most")).otherwise(
+                    F.raise_error(F.concat(F.lit("different counts are stored for "), "content_digest")).cast("long"))
+                        .alias("stored_tokens")))
 
     content = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select("doc_id", content.alias("content"), F.sha2(content, 256).alias("content_digest"))

@@ -1,6 +1,7 @@
 """Token counts: the library's counts, and what the cache saves."""
 
 import public_tokenizers
+import pytest
 import tokenizers
 from pyspark.sql import functions as F
 
@@ -44,5 +45,20 @@ def test_cache(spark, monkeypatch):
     assert 77 not in {r.n_tokens for r in tc.count_tokens(docs, PATH, other).collect()}
 
 
+def test_counts_stored_twice(spark):
+    """Two writers: rows stay one each; counts that differ are an error."""
+    cache = scratch_path(spark, "test-twice")
+    docs = documents(spark)
+    first = sorted(map(repr, tc.count_tokens(docs, PATH, cache).collect()))
+    doubled = scratch_path(spark, "test-doubled")
+    stored = spark.read.parquet(cache)
+    stored.unionByName(stored).write.parquet(doubled)
+    assert sorted(map(repr, tc.count_tokens(docs, PATH, doubled).collect())) == first
+    assert spark.read.parquet(doubled).count() == 2 * stored.count()         # nothing is encoded again
+    stored.withColumn("n_tokens", F.col("n_tokens") + 1).write.mode("append").parquet(doubled)
+    with pytest.raises(Exception, match="different counts"):
+        tc.count_tokens(docs, PATH, doubled).collect()
+
+
 def test_empty_table(spark):
     assert tc.count_tokens(empty(spark), PATH, scratch_path(spark, "test-none")).count() == 0
