@@ -112,6 +112,16 @@ def check_unique(df: DataFrame, keys: Sequence[str], out: str = "n_rows") -> Dat
             .filter(F.col(out) > 1))
 
 
+def placed_rows(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder and read back with each row's
+    place (``__file``, ``__row``), which a task that is run again finds unchanged."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "placed")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(
+        "*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+
+
 # ---- D2: many-to-many join -------------------------------------------------
 
 HEAVY_SHARE = 1000               # a key with more than 1/1000 of a side's rows is heavy
@@ -134,7 +144,9 @@ def join_many(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
     of the right side over ``b``; a left row goes to its piece in each of
     the ``b`` columns and a right row to its piece in each of the ``a`` rows of that
     grid, so each pair of rows meets in exactly one cell. Cells are shuffled
-    apart, so no task gets a whole heavy key. The work added is one count of each
+    apart, so no task gets a whole heavy key. A row's piece follows from its place in
+    a written file (only rows with a heavy key are written), so it stays the same when
+    a task is run again, and equal rows are split too. The work added is one count of each
     side and the copies of rows with a heavy key, fewer than the pairs they form.
     Rows with a NULL key match nothing and are left out first."""
     names = [f"__k{i}" for i in range(len(on))]
@@ -149,13 +161,20 @@ def join_many(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
     grid = heavy_keys(a, names, share).withColumnRenamed("pieces", "__a").join(
         heavy_keys(b, names, share).withColumnRenamed("pieces", "__b"), names, "full")
 
+    path = scratch_path(left.sparkSession, "heavy-keys")
+    grid.write.parquet(path)
+    grid = left.sparkSession.read.schema(grid.schema).parquet(path)
+    if grid.isEmpty():
+        return a.join(b, names).drop(*names)
+
     def dealt(df: DataFrame, own: str, own_cell: str, other: str, other_cell: str) -> DataFrame:
-        pieces = df.join(F.broadcast(grid), names, "left")
-        one = F.lit(1)
-        return (pieces
-                .withColumn(own_cell, F.pmod(F.monotonically_increasing_id(), F.coalesce(F.col(own), one)).cast("int"))
-                .withColumn(other_cell, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other), one) - 1)))
-                .drop("__a", "__b"))
+        light = df.join(F.broadcast(grid), names, "left_anti").withColumns({own_cell: F.lit(0), other_cell: F.lit(0)})
+        heavy = placed_rows(df.join(F.broadcast(grid), names))
+        piece = F.pmod(F.xxhash64("__file", "__row"), F.coalesce(F.col(own), F.lit(1))).cast("int")
+        heavy = (heavy.withColumn(own_cell, piece)
+                 .withColumn(other_cell, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)))
+                 .drop("__a", "__b", "__file", "__row"))
+        return light.unionByName(heavy)
 
     cells = dealt(a, "__a", "__i", "__b", "__j").join(dealt(b, "__b", "__j", "__a", "__i"), [*names, "__i", "__j"])
     return cells.drop(*names, "__i", "__j")

@@ -7,11 +7,14 @@ per order, checked with array functions)."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import rules as R
 from ledgerline.functions import scalars as S
+from ledgerline.operators import relational as RL
 from ledgerline.operators.quality import Rule, annotate, any_failed
 
 # ---- fixed values --------------------------------------------------------
@@ -87,6 +90,27 @@ def order_checks_nested(orders: DataFrame, items: str = "items") -> DataFrame:
     )
 
 
+PIECE_ITEMS = 1000
+
+
+def nested_pieces(lines: DataFrame, keys: Sequence[str], item: Column, piece_items: int = PIECE_ITEMS) -> DataFrame:
+    """Lines nested by ``keys`` in pieces: one row per key and run of ``piece_items`` places in
+    a written file, with an ``items`` array of at most that many. A hot order is
+    spread over many rows and tasks. A null ``item`` is no item."""
+    piece = F.struct("__file", F.floor(F.col("__row") / piece_items).alias("run"))
+    return (RL.placed_rows(lines).groupBy(*keys, piece.alias("__piece"))
+            .agg(F.collect_list(item).alias("items")).drop("__piece"))
+
+
+def order_checks_pieces(pieces: DataFrame, keys: Sequence[str] = ("order_id",)) -> DataFrame:
+    """B26, B27, R9, R10 per order, from pieces of its items: item count, total and one
+    flag per item rule. Totals of pieces are whole cents, so their sum is the total."""
+    checked = order_checks_nested(pieces)
+    return checked.groupBy(*keys).agg(
+        F.sum("n_items").alias("n_items"), F.sum("total").cast("decimal(18,2)").alias("total"),
+        *[F.bool_or(f"bad_{name}").alias(f"bad_{name}") for name, _ in ITEM_RULES])
+
+
 def field_rules(status: str = "status", email: str = "user_email") -> list[Rule]:
     """The rules of single fields, in field order: e-mail, lines, status."""
     return [

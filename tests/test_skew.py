@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import aggregates as A
 from ledgerline.operators import relational as RL
 from ledgerline.plans import delivery, retail
+from ledgerline.plans import validation as V
 from tests.naive_marts import order_mart_naive
 
 N = 3000
@@ -147,3 +148,18 @@ def test_weekly_prices_meet_each_day(spark):
     rows = retail.prices_by_day(prices, calendar).collect()
     assert len(rows) == 21 and rows[0].asDict().keys() == {"store_id", "item_id", "wm_yr_wk", "sell_price", "date"}
     assert sum(r.sell_price for r in rows) == 7 * 7.5
+
+
+def test_nested_items_of_a_hot_order_are_bounded(spark):
+    """One order has a third of all lines: no array passes the bound, and the
+    checks equal those of the whole order in one array."""
+    rows = [(7 if i % 3 == 0 else i % 50, i, None if i % 31 == 0 else f"SKU{i}", i % 5, Decimal(i % 700) / 1000) for i in range(3000)]
+    rows += [(9999, None, None, None, None)] + [(7, 1, "SKU1", 2, Decimal("0.125"))] * 40
+    lines = spark.createDataFrame(rows, "order_id long, line_no int, sku string, qty int, unit_price decimal(12,3)")
+    item = F.when(F.col("line_no").isNotNull(), F.struct("sku", "qty", "unit_price"))
+    pieces = V.nested_pieces(lines.repartition(4), ["order_id"], item, 50)
+    assert pieces.agg(F.max(F.size("items"))).first()[0] <= 50 and pieces.filter("order_id = 7").count() >= 20
+    whole = V.order_checks_nested(lines.groupBy("order_id").agg(F.collect_list(item).alias("items")))
+    got = V.order_checks_pieces(pieces)
+    assert got.columns == [c for c in whole.columns if c not in ("items", "first_item_error")]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, whole.select(*got.columns).collect()))
