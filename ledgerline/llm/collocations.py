@@ -60,6 +60,7 @@ TOP = 2000
 WORDS = 3
 WINDOW_BYTES = 1 << 21
 OUT_ROWS = 1 << 16
+SCAN_ROWS = 1024                        # rows of a batch that are unpacked at a time
 FILTER_BITS = 1 << 27
 BITS_PER_KEY = 12
 PROBES = 4
@@ -169,6 +170,14 @@ def _passes(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
     return ok
 
 
+def _windows(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """First row, last row + 1, bytes and offsets of each window of a batch."""
+    for first in range(0, len(texts), SCAN_ROWS):
+        for lo, hi, data, offsets in text_chunks(texts.slice(first, SCAN_ROWS), WINDOW_BYTES):
+            yield first + lo, first + hi, data, offsets
+        pa.default_memory_pool().release_unused()
+
+
 def _count(length: int, shorter):
     """Counts of the runs of ``length`` words whose runs of one word less pass
     the filter ``shorter`` (none for single words). Single words
@@ -201,7 +210,7 @@ def _count(length: int, shorter):
             langs, codes = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
             texts = batch.column(1)
             del batch
-            for lo, hi, data, offsets in text_chunks(texts, WINDOW_BYTES):
+            for lo, hi, data, offsets in _windows(texts):
                 w = Words(data, offsets, codes[lo:hi])
                 if len(w.ids) < length:
                     continue
