@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.operators import selection
+
 
 def avg_by(df: DataFrame, key: str | Sequence[str], col: str | Column, out: str = "avg") -> DataFrame:
     """E1/E2."""
@@ -77,6 +79,9 @@ def group_quantiles(df: DataFrame, by: Sequence[str], col: str,
       range-partitioned sort (a hot group spans many tasks), then the two
       neighbours of each quantile position are fetched by an equi-join on
       the unique id. No group is ever gathered in one task.
+    * ``method="select"``: exact, for very many values: ranges of values are
+      counted and narrowed down until they are small (``selection.quantiles``);
+      nothing is sorted or written but the ranges.
     * ``approx=True`` / ``method="approx"``: ``percentile_approx``.
     """
     names = list(names) if names else [f"q{int(round(p * 100))}" for p in probs]
@@ -85,6 +90,8 @@ def group_quantiles(df: DataFrame, by: Sequence[str], col: str,
         q = F.percentile_approx(F.col(col), list(probs), accuracy)
     elif method == "sorted":
         return _quantiles_sorted(src, list(by), col, list(probs), names)
+    elif method == "select":
+        return selection.quantiles(src, list(by), col, list(probs), names)
     else:
         q = F.percentile(F.col(col), F.array(*[F.lit(p) for p in probs]))
     agg = src.groupBy(*by).agg(q.alias("__q"))

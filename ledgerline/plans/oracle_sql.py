@@ -718,3 +718,21 @@ ORACLE["stream_rejects"] = with_fixtures(("energy_checked",), """
 SELECT timestep, consumption_eur, consumption_sib, price_eur, price_sib, errors
 FROM energy_checked WHERE len(errors) > 0""")
 ORACLE["stream_dedup_keys"] = ORACLE["dim_users"]
+
+ORACLE["price_quartiles"] = """
+SELECT l_returnflag, quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.5) AS median,
+       quantile_cont(l_extendedprice, 0.75) AS q3
+FROM lineitem GROUP BY l_returnflag"""
+ORACLE["price_box"] = """
+WITH q AS (SELECT quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.5) AS median,
+                  quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem),
+f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
+SELECT q1, median, q3, iqr, MIN(l_extendedprice) FILTER (WHERE l_extendedprice BETWEEN lo AND hi) AS whisker_lo,
+       MAX(l_extendedprice) FILTER (WHERE l_extendedprice BETWEEN lo AND hi) AS whisker_hi,
+       COUNT(*) FILTER (WHERE NOT l_extendedprice BETWEEN lo AND hi) AS n_outliers, COUNT(l_extendedprice) AS n
+FROM lineitem, f GROUP BY q1, median, q3, iqr"""
+ORACLE["top_parts"] = """
+SELECT l_partkey, COUNT(*) AS n FROM lineitem WHERE l_partkey IS NOT NULL
+GROUP BY l_partkey ORDER BY n DESC, l_partkey LIMIT 20"""
+ORACLE["order_mart_by_load"] = ORACLE["order_mart"]
+ORACLE["item_mart_by_load"] = ORACLE["item_mart"]

@@ -16,9 +16,12 @@ from ledgerline.functions import scalars as SC
 from ledgerline.operators import quality as Q
 from ledgerline.operators import relational as RL
 from ledgerline.operators import schema_rules as SR
+from ledgerline.operators import aggregates as AG
+from ledgerline.operators import selection as SEL
 from ledgerline.plans import delivery, retail
 from ledgerline.plans import explore as X
 from ledgerline.plans import fixtures as FX
+from ledgerline.plans import mart_refresh as MR
 from ledgerline.plans import records as REC
 from ledgerline.plans import transactions as TX
 from ledgerline.plans import validation as V
@@ -228,6 +231,28 @@ def q_build_marts(spark, sf):
         b.select(F.lit("item_mart").alias("mart"), "amount", "n"))
 
 
+def _marts_by_load(spark, sf, name: str) -> DataFrame:
+    """The orders up to 2000, without the items of every 50th order, are one load; later
+    orders and the late items are the next. By month, as a day has few orders."""
+    root = scratch_path(spark, "marts-by-load")
+    orders, items = FX.mart_orders(spark, sf), FX.mart_items(spark, sf)
+    early, late = F.col("created_at") < F.lit("2001-01-01").cast("timestamp_ntz"), F.col("order_id") % 50 == 0
+    for n, (some_orders, some_items) in enumerate(((early, ~late), (~early, late)), 1):
+        MR.store_load(spark, root, n, orders.filter(some_orders), items.filter(some_items), "month")
+        MR.refresh_marts(spark, root, n, orders.schema, items.schema, "month")
+    return MR.read_mart(spark, root, name, orders.schema, items.schema, "month")
+
+
+@query("order_mart_by_load")
+def q_order_mart_by_load(spark, sf):
+    return _marts_by_load(spark, sf, "order_mart")
+
+
+@query("item_mart_by_load")
+def q_item_mart_by_load(spark, sf):
+    return _marts_by_load(spark, sf, "item_mart")
+
+
 @query("refresh_tables")
 def q_refresh_tables(spark, sf):
     """P1 + A5: an older state is loaded, then the whole input as one
@@ -692,6 +717,28 @@ def q_combine_dt(spark, sf):
     return REC.minute_text(FX.energy(spark, sf))
 
 
+# ---- very many distinct values ------------------------------------------------
+
+
+@query("price_quartiles")
+def q_price_quartiles(spark, sf):
+    """Quartiles of all line prices by return flag."""
+    return AG.group_quantiles(load(spark, sf, "lineitem"), ["l_returnflag"], "l_extendedprice",
+                              names=["q1", "median", "q3"], method="select")
+
+
+@query("price_box")
+def q_price_box(spark, sf):
+    """Box statistics of all line prices."""
+    return AG.box_stats(load(spark, sf, "lineitem"), "l_extendedprice", method="select")
+
+
+@query("top_parts")
+def q_top_parts(spark, sf):
+    """The 20 parts with most order lines."""
+    return SEL.top_values(load(spark, sf, "lineitem"), "l_partkey", 20)
+
+
 # ---- streams -----------------------------------------------------------------
 
 
