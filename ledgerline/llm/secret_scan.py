@@ -10,9 +10,15 @@ Added spans (*guess*): the value after a wider set of credential names is scored
 by the number of guesses that its cheapest explanation takes, as password
 strength meters do. Dynamic programming over the value's positions finds the
 minimum-cost segmentation into dictionary words (also reversed, capitalised or
-with digits for letters), dates, repeats, walks over keyboard or alphabet rows,
-and brute-force spans. A value that takes ``MIN_GUESSES`` (log10) or more and
-isn't inside a base span is added. The cost is linear in the value's length.
+with digits for letters), dates, repeats of units of up to ``LONGEST_UNIT``, walks
+over keyboard or alphabet rows, and brute-force spans: pieces from every start to every
+end. A value that takes ``MIN_GUESSES`` (log10) or more and isn't inside a base span
+is added.
+
+The dictionary is a fixed list of common passwords and, after it, the words of the
+documents by the number of documents that hold them, counted over all whole texts:
+the first ``DICTIONARY`` (a bound on the model, 24 letters each) of those in at least
+``WORD_DOCUMENTS`` documents, so that a value planted once is no word.
 
 Positions are code points, ends exclusive. Null and empty texts have no spans;
 repeated rows each get a result; an empty table gives an empty result; other
@@ -29,9 +35,13 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MIN_GUESSES = 10.0
+DICTIONARY = 20_000
+WORD_DOCUMENTS = 5
+LONGEST_UNIT = 32
 
 KINDS = ("assign", "access", "hex", "guess")
 _ASSIGN = re.compile(
@@ -65,13 +75,91 @@ _STEPS = {a + b for row in _ROWS for a, b in zip(row, row[1:])}
 _STEPS |= {b + a for a, b in (s for s in _STEPS)}
 _STEPS |= {a + b for up, down in zip(_ROWS[:3], _ROWS[1:4]) for a, b in zip(up, down)}
 _WALK_STARTS, _WALK_DEGREE = 47, 4
-_DATE = re.compile(r"(?=((?:\d{4}([-/._]?)\d{1,2}\2\d{1,2})|(?:\d{1,2}([-/._]?)\d{1,2}\3\d{4})|(?:19|20)\d\d))")
-_REPEAT = re.compile(r"(.{1,32}?)\1+", re.DOTALL)
+_YEAR = re.compile(r"(?:19|20)\d\d")
+_DATE = re.compile(r"\d{4}([-/._]?)\d{1,2}\1\d{1,2}|\d{1,2}([-/._]?)\d{1,2}\2\d{4}")
 _CLASSES = ((re.compile(r"[a-z]"), 26), (re.compile(r"[A-Z]"), 26), (re.compile(r"[0-9]"), 10),
             (re.compile(r"[^A-Za-z0-9]"), 33))
 _SEGMENT = math.log10(2)                # what one more segment costs
 
 
+class _Starts:
+    """Starts i of pieces that cost base_i + log10((j - i) / unit) up to j. Of two
+    starts the earlier one gains on the later as j grows, so a later start that is
+    not ahead is never ahead again, and an earlier one with the larger base never is."""
+
+    def __init__(self, unit: int = 1):
+        self.unit, self.held = unit, []
+
+    def add(self, i: int, base: float) -> None:
+        while self.held and self.held[-1][1] >= base:
+            self.held.pop()
+        self.held.append((i, base))
+
+    def least(self, j: int) -> float:
+        best, ahead = math.inf, []
+        for i, base in self.held:
+            cost = base + math.log10((j - i) / self.unit)
+            if cost < best:
+                best = cost
+                ahead.append((i, base))
+        self.held = ahead
+        return best
+
+
+class _Walks:
+    """The walk that a value's position is in: 3 or more characters, each a step from the last."""
+
+    def __init__(self, value: str):
+        self.lower, self.first = value.lower(), 0
+        if len(self.lower) != len(value):           # a letter whose small form is longer
+            self.lower = value
+        self.turns, self.way = [0], None            # direction changes up to each step of the walk
+        self.starts = _Starts()
+
+    def least(self, j: int, best: list[float]) -> float:
+        """Of the pieces that end before ``j``."""
+        if j < 2 or self.lower[j - 2:j] not in _STEPS:
+            self.first, self.turns, self.way, self.starts = j - 1, [0], None, _Starts()
+            return math.inf
+        step = ord(self.lower[j - 1]) - ord(self.lower[j - 2])
+        self.turns.append(self.turns[-1] + (self.way is not None and step != self.way))
+        self.way = step
+        i = j - 3
+        if i < self.first:
+            return math.inf
+        # turns inside a piece: those after its first step
+        self.starts.add(i, best[i] - self.turns[i - self.first + 1] * math.log10(_WALK_DEGREE))
+        return self.starts.least(j) + self.turns[-1] * math.log10(_WALK_DEGREE) + math.log10(_WALK_STARTS)
+
+
+class _Repeats:
+    """The run of one period that a value's position is in. The units of a run
+    are turns of one another, so all have the same characters and cost."""
+
+    def __init__(self, value: str, unit: int, brute):
+        self.value, self.unit, self.brute = value, unit, brute
+        self.reset(0)
+
+    def reset(self, first: int) -> None:
+        self.first, self.cost, self.starts = first, None, {}
+
+    def least(self, j: int, best: list[float]) -> float:
+        u = self.unit
+        if j <= u:
+            return math.inf
+        if self.value[j - 1] != self.value[j - 1 - u]:
+            self.reset(j - u)
+            return math.inf
+        i = j - 2 * u
+        if i < self.first:
+            return math.inf
+        if self.cost is None:
+            self.cost = self.brute(self.value[j - u:j])
+        starts = self.starts.setdefault(j % u, _Starts(u))
+        starts.add(i, best[i])
+        return starts.least(j) + self.cost
+
+
 class GuessCost:
     """log10 of the guesses that the cheapest segmentation of a value takes."""
 
@@ -94,37 +182,31 @@ class GuessCost:
                         yield i, j, math.log10(rank * factor)
                         break
 
-    def _walks(self, value: str) -> Iterator[tuple[int, int, float]]:
-        lower = value.lower()
-        i = 0
-        while i < len(lower) - 2:
-            j, turns, way = i + 1, 0, None
-            while j < len(lower) and lower[j - 1:j + 1] in _STEPS:
-                step = ord(lower[j]) - ord(lower[j - 1])
-                turns += way is not None and step != way
-                way, j = step, j + 1
-            if j - i >= 3:
-                yield i, j, math.log10(_WALK_STARTS * (j - i)) + turns * math.log10(_WALK_DEGREE)
-            i = max(i + 1, j - 1)
+    def _date(self, text: str) -> float | None:
+        """Cost of a year or a whole date."""
+        if _YEAR.fullmatch(text):
+            return math.log10(max(20, abs(int(text) - self.this_year)))
+        if not _DATE.fullmatch(text):
+            return None
+        parts = re.findall(r"\d+", text)
+        marked = len(parts) > 1
+        if not marked:
+            if len(text) != 8:
+                return None
+            parts = [text[:4], text[4:6], text[6:]] if text[:2] in ("19", "20") else [text[:2], text[2:4], text[4:]]
+        year = next((int(p) for p in parts if len(p) == 4), None)
+        a, b = (int(p) for p in parts if len(p) != 4) if year is not None and len(parts) == 3 else (0, 0)
+        if not any(self._is_date(year, x, y) for x, y in ((a, b), (b, a))):
+            return None
+        return math.log10(365 * max(20, abs(year - self.this_year)) * (4 if marked else 1))
 
     def _dates(self, value: str) -> Iterator[tuple[int, int, float]]:
-        for m in _DATE.finditer(value):
-            text = m.group(1)
-            if len(text) == 4:
-                yield m.start(1), m.end(1), math.log10(max(20, abs(int(text) - self.this_year)))
-                continue
-            parts = re.findall(r"\d+", text)
-            if len(parts) == 1:
-                digits = parts[0]
-                if len(digits) != 8:
-                    continue
-                parts = [digits[:4], digits[4:6], digits[6:]] if digits[:2] in ("19", "20") else \
-                    [digits[:2], digits[2:4], digits[4:]]
-            year = next((int(p) for p in parts if len(p) == 4), None)
-            a, b = (int(p) for p in parts if len(p) != 4) if year is not None and len(parts) == 3 else (0, 0)
-            if any(self._is_date(year, x, y) for x, y in ((a, b), (b, a))):
-                cost = 365 * max(20, abs(year - self.this_year)) * (4 if len(re.findall(r"\d+", text)) > 1 else 1)
-                yield m.start(1), m.end(1), math.log10(cost)
+        for i, char in enumerate(value):
+            if char.isdigit():
+                for length in (4, 6, 7, 8, 9, 10):
+                    cost = self._date(value[i:i + length]) if i + length <= len(value) else None
+                    if cost is not None:
+                        yield i, i + length, cost
 
     @staticmethod
     def _is_date(year: int | None, month: int, day: int) -> bool:
@@ -134,11 +216,6 @@ class GuessCost:
             return False
         return True
 
-    def _repeats(self, value: str) -> Iterator[tuple[int, int, float]]:
-        for m in _REPEAT.finditer(value):
-            unit = m.group(1)
-            yield m.start(), m.end(), self._brute(unit) + math.log10((m.end() - m.start()) // len(unit))
-
     @staticmethod
     def _alphabet(text: str) -> float:
         return math.log10(sum(size for pattern, size in _CLASSES if pattern.search(text)) or 1)
@@ -150,15 +227,18 @@ class GuessCost:
         n = len(value)
         per_char = self._alphabet(value)
         into: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
-        for find in (self._words, self._walks, self._dates, self._repeats):
+        for find in (self._words, self._dates):
             for i, j, cost in find(value):
                 into[j].append((i, cost))
+        runs = [_Walks(value), *(_Repeats(value, u, self._brute) for u in range(1, min(LONGEST_UNIT, n // 2) + 1))]
         best = [0.0] * (n + 1)
         open_ = 0.0                     # least cost of a brute-force span from before, less its length
         for j in range(1, n + 1):
             cost = open_ + j * per_char + _SEGMENT
             for i, match in into[j]:
                 cost = min(cost, best[i] + match + _SEGMENT)
+            for run in runs:
+                cost = min(cost, run.least(j, best) + _SEGMENT)
             best[j] = cost
             open_ = min(open_, cost - j * per_char)
         return best[n] - _SEGMENT if n else 0.0
@@ -208,10 +288,23 @@ def _scan(least: float, words: tuple[str, ...]):
     return run
 
 
-def find_secrets(docs: DataFrame, least: float = MIN_GUESSES, words: tuple[str, ...] = COMMON_WORDS) -> DataFrame:
+def corpus_words(docs: DataFrame, size: int = DICTIONARY, least: int = WORD_DOCUMENTS) -> tuple[str, ...]:
+    """The ``size`` words (runs of 3 to 24 letters, in small letters) that most rows
+    hold, of those that ``least`` rows or more hold; ties by word. Each row counts a word
+    once; counts are combined by each task before they are shuffled."""
+    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
+    counts = (docs.select(F.explode(words).alias("word")).filter(F.length("word").between(3, 24))
+              .groupBy("word").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") >= least))
+    return tuple(r.word for r in counts.orderBy(F.desc("rows"), "word").limit(size).collect())
+
+
+def find_secrets(docs: DataFrame, least: float = MIN_GUESSES, words: tuple[str, ...] | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_assign, n_access, n_hex,
     base_sha256 (of the base spans as kind:start:end, comma-joined), spans (all
-    spans, joined likewise). One pass, no shuffle."""
+    spans, joined likewise). ``words``: a dictionary, most common first; without one
+    it is made of the documents by a pass before the scan."""
+    if words is None:
+        words = tuple(dict.fromkeys(COMMON_WORDS + corpus_words(docs)))
     schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL(
         "n_assign long, n_access long, n_hex long, base_sha256 string, spans string").fields])
     return docs.select("doc_id", "text").mapInArrow(_scan(least, words), schema)

@@ -1,6 +1,8 @@
 """Secrets: base spans against a plain version, guess costs, edge cases."""
 
 import hashlib
+import math
+import random
 import re
 
 from ledgerline.llm import secret_scan as ss
@@ -59,23 +61,72 @@ def test_guess_costs():
     assert cost("x9$" * 40_000) < 20                        # linear, and one long repeat
 
 
+def _pieces(cost, value):
+    """Least cost of every piece value[i:j], each looked at by itself."""
+    out = {}
+    for i in range(len(value)):
+        for j in range(i + 1, len(value) + 1):
+            part, costs = value[i:j], []
+            low = part.lower()
+            for text, factor in ((low, 1), (low.translate(str.maketrans("@4301$57", "aaeolsst")), 4), (low[::-1], 2)):
+                if text in cost.rank:
+                    costs.append(math.log10(cost.rank[text] * factor * (1 if low == part else 2)))
+                    break
+            if len(part) >= 3 and all(low[k:k + 2] in ss._STEPS for k in range(len(low) - 1)):
+                ways = [ord(b) - ord(a) for a, b in zip(low, low[1:])]
+                turns = sum(a != b for a, b in zip(ways, ways[1:]))
+                costs.append(math.log10(47 * len(part)) + turns * math.log10(4))
+            for u in range(1, min(32, len(part) // 2) + 1):
+                if part == part[:u] * (len(part) // u):
+                    costs.append(cost._brute(part[:u]) + math.log10(len(part) // u))
+            date = cost._date(part)
+            if date is not None:
+                costs.append(date)
+            if costs:
+                out[i, j] = min(costs)
+    return out
+
+
+def _plain_cost(cost, value):
+    per_char, pieces = cost._alphabet(value), _pieces(cost, value)
+    best = [0.0] + [math.inf] * len(value)
+    for j in range(1, len(value) + 1):
+        for i in range(j):
+            step = min((j - i) * per_char, pieces.get((i, j), math.inf))
+            best[j] = min(best[j], best[i] + step + ss._SEGMENT)
+    return best[-1] - ss._SEGMENT
+
+
 def test_segmentation_is_minimal():
-    """Against all ways to cut short values."""
-    import math
-    cost = ss.GuessCost(words=("abc", "cat"))
-
-    def brute(value):
-        per_char = cost._alphabet(value)
-        pieces = {}
-        for find in (cost._words, cost._walks, cost._dates, cost._repeats):
-            for i, j, c in find(value):
-                pieces[i, j] = min(c, pieces.get((i, j), math.inf))
-        best = [0.0] + [math.inf] * len(value)
-        for j in range(1, len(value) + 1):
-            for i in range(j):
-                step = min((j - i) * per_char, pieces.get((i, j), math.inf))
-                best[j] = min(best[j], best[i] + step + ss._SEGMENT)
-        return best[-1] - ss._SEGMENT
-
-    for value in ("abc", "xabcx", "catcat", "1qaz2abc", "aabbcc", "zzz9cat", "12345cat", "qwe!abc"):
-        assert abs(cost(value) - brute(value)) < 1e-9, value
+    """Against every way to cut values, with pieces found one by one."""
+    cost = ss.GuessCost(words=("abc", "cat", "dogs"))
+    values = ["abc", "xabcx", "catcat", "1qaz2abc", "aabbcc", "zzz9cat", "12345cat", "qwe!abc", "aaabaaabaaab", "xababababab7",
+              "20240229x2023-1-12", "31121999", "1/2/1987qwerty", "abababcabababc", "poiuytrewq", "zaqzaqzaqwsx", "c4tC4T"]
+    rng = random.Random(7)
+    for alphabet in ("ab", "abc1", "qwas12", "catdogs", "0129-", "aA1!z"):
+        values += ["".join(rng.choices(alphabet, k=rng.randint(1, 26))) for _ in range(60)]
+    for _ in range(60):
+        unit = "".join(rng.choices("abq1", k=rng.randint(1, 5)))
+        values.append("".join(rng.choices("ab1", k=3)) + unit * rng.randint(2, 8) + unit[:2] + "".join(rng.choices("qw1", k=4)))
+    for value in values:
+        assert abs(cost(value) - _plain_cost(cost, value)) < 1e-9, value
+
+
+def test_dictionary_from_the_documents(spark):
+    rows = [(i, "Le chat internationalization ÉLÉPHANT éléphant ab " + ("common " if i < 6 else "") + ("rare " if i < 4 else ""))
+            for i in range(8)] + [(9, None), (10, "")]
+    words = ss.corpus_words(documents(spark, rows))
+    assert words == ("chat", "internationalization", "éléphant", "common")       # by rows, then by word
+    assert ss.corpus_words(documents(spark, rows), size=2) == words[:2]
+    assert ss.corpus_words(empty(spark)) == ()
+    text = [(20, "passphrase: internationalization"), (21, "passphrase: xkqvjzwpbgtr")]
+    got = {r.doc_id: r.spans for r in ss.find_secrets(documents(spark, rows + text)).collect()}
+    assert got[20] == "" and got[21] == "guess:12:24"
+
+
+def test_no_word_of_the_corpus_is_a_secret(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    words = tuple(dict.fromkeys(ss.COMMON_WORDS + ss.corpus_words(docs)))
+    cost = ss.GuessCost(words)
+    assert len(words) > 1000 and max(map(cost, words)) < ss.MIN_GUESSES
+    assert cost("zq8#Kd!2vXw0") >= ss.MIN_GUESSES
