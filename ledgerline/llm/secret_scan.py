@@ -17,8 +17,8 @@ is added.
 
 The dictionary is a fixed list of common passwords and, after it, the words of the
 documents by the number of documents that hold them, counted over all whole texts:
-the first ``DICTIONARY`` (a bound on the model, 24 letters each) of those in at least
-``WORD_DOCUMENTS`` documents, so that a value planted once is no word.
+the most frequent, up to ``DICTIONARY`` (a bound on the model, 24 letters each), of those
+in at least ``WORD_DOCUMENTS`` documents, so that a value planted once is no word.
 
 Positions are code points, ends exclusive. Null and empty texts have no spans;
 repeated rows each get a result; an empty table gives an empty result; other
@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import datetime
 import hashlib
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -38,10 +39,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.llm.storage import materialise
+
 MIN_GUESSES = 10.0
 DICTIONARY = 20_000
 WORD_DOCUMENTS = 5
 LONGEST_UNIT = 32
+_CLASSES_PER_DOUBLING = 64
 
 KINDS = ("assign", "access", "hex", "guess")
 _ASSIGN = re.compile(
@@ -289,13 +293,23 @@ def _scan(least: float, words: tuple[str, ...]):
 
 
 def corpus_words(docs: DataFrame, size: int = DICTIONARY, least: int = WORD_DOCUMENTS) -> tuple[str, ...]:
-    """The ``size`` words (runs of 3 to 24 letters, in small letters) that most rows
-    hold, of those that ``least`` rows or more hold; ties by word. Each row counts a word
-    once; counts are combined by each task before they are shuffled."""
+    """The words (runs of 3 to 24 letters, in small letters) that most rows hold, of
+    those that ``least`` rows or more hold, by rows, then by word. Words fall into classes
+    of about equal rows (``_CLASSES_PER_DOUBLING``); whole classes are taken, the most
+    frequent first, as long as all of them are ``size`` words or fewer, so no more than
+    these reach the driver. Each row counts a word once; counts are combined by each task
+    before they are shuffled."""
     words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
-    counts = (docs.select(F.explode(words).alias("word")).filter(F.length("word").between(3, 24))
-              .groupBy("word").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") >= least))
-    return tuple(r.word for r in counts.orderBy(F.desc("rows"), "word").limit(size).collect())
+    counts = materialise(docs.select(F.explode(words).alias("word")).filter(F.length("word").between(3, 24))
+                         .groupBy("word").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") >= least), "word-rows")
+    # at most 64 doublings of classes
+    classes = (counts.groupBy(F.floor(F.log2("rows") * _CLASSES_PER_DOUBLING).alias("class"))
+               .agg(F.count(F.lit(1)).alias("words"), F.min("rows").alias("fewest")).orderBy(F.desc("class")).collect())
+    fewest = [c.fewest for c, n in zip(classes, itertools.accumulate(c.words for c in classes)) if n <= size]
+    if not fewest:
+        return ()
+    return tuple(r.word for r in sorted(counts.filter(F.col("rows") >= fewest[-1]).collect(),
+                                        key=lambda r: (-r.rows, r.word)))
 
 
 def find_secrets(docs: DataFrame, least: float = MIN_GUESSES, words: tuple[str, ...] | None = None) -> DataFrame:

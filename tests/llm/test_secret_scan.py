@@ -117,7 +117,8 @@ def test_dictionary_from_the_documents(spark):
             for i in range(8)] + [(9, None), (10, "")]
     words = ss.corpus_words(documents(spark, rows))
     assert words == ("chat", "internationalization", "éléphant", "common")       # by rows, then by word
-    assert ss.corpus_words(documents(spark, rows), size=2) == words[:2]
+    assert ss.corpus_words(documents(spark, rows), size=3) == words[:3]
+    assert ss.corpus_words(documents(spark, rows), size=2) == ()        # three words of equal frequency
     assert ss.corpus_words(empty(spark)) == ()
     text = [(20, "passphrase: internationalization"), (21, "passphrase: xkqvjzwpbgtr")]
     got = {r.doc_id: r.spans for r in ss.find_secrets(documents(spark, rows + text)).collect()}
