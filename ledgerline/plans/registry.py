@@ -751,15 +751,25 @@ USERS_SCHEMA = StructType([StructField("user_id", IntegerType()), StructField("u
                            StructField("load_extendedprice", DoubleType()),
                            StructField("load_shipdate", TimestampNTZType())])
 STREAM_FILE_ROWS = 2500          # several files, so several micro-batches, at the test sizes
-STREAM_FILES = 4                 # files of a micro-batch
+STREAM_FILES = 4                 # files of a micro-batch, or more where the backlog is longer
+STREAM_BATCHES = 16              # micro-batches that a backlog is drained in
+STREAM_FILE_MOST = 250_000       # rows of a file
+
+
+def _backlog(df: DataFrame, n: int, file_rows: int, src: str) -> int:
+    """Drop some ``n`` rows as files into a folder: of ``file_rows`` rows, and of more
+    where that would make a great many. Returns the files of a micro-batch."""
+    file_rows = min(max(file_rows, n // (STREAM_FILES * STREAM_BATCHES)), STREAM_FILE_MOST)
+    df.write.option("maxRecordsPerFile", file_rows).parquet(src)
+    return ST.files_per_batch(df.sparkSession, src, STREAM_FILES, STREAM_BATCHES)
 
 
 def _taken_in(spark, sf) -> str:
     base = scratch_path(spark, "stream_intake")
     src = f"{base}/in"
-    FX.energy(spark, sf).write.option("maxRecordsPerFile", STREAM_FILE_ROWS).parquet(src)
+    files = _backlog(FX.energy(spark, sf), load(spark, sf, "events").count(), STREAM_FILE_ROWS, src)
     ST.stream_records(spark, src, ENERGY_SCHEMA, V.energy_rules(), f"{base}/out", f"{base}/checkpoint",
-                      max_files_per_trigger=STREAM_FILES)
+                      max_files_per_trigger=files)
     return f"{base}/out"
 
 
@@ -782,7 +792,7 @@ def q_stream_dedup_keys(spark, sf):
     base = scratch_path(spark, "stream_dedup")
     src = f"{base}/in"
     wide = FX.delivery_wide(spark, sf).select("user_id", "user_phone", *FX.LOAD_ORDER)
-    wide.write.option("maxRecordsPerFile", STREAM_FILE_ROWS * 4).parquet(src)
+    files = _backlog(wide, load(spark, sf, "lineitem").count(), STREAM_FILE_ROWS * 4, src)
     ST.stream_first_by_key(spark, src, USERS_SCHEMA, ["user_id"], list(FX.LOAD_ORDER),
-                           f"{base}/out", f"{base}/checkpoint", max_files_per_trigger=STREAM_FILES)
+                           f"{base}/out", f"{base}/checkpoint", max_files_per_trigger=files)
     return ST.first_rows(spark, f"{base}/out").select("user_id", "user_phone")

@@ -21,6 +21,17 @@ def _batch_path(base: str, batch_id: int) -> str:
     return f"{base.rstrip('/')}/batch_id={int(batch_id)}"
 
 
+def files_per_batch(spark: SparkSession, src_dir: str, at_least: int, batches: int) -> int:
+    """Files of a micro-batch so that what lies in ``src_dir`` is drained in ``batches``
+    of them, or in fewer with ``at_least`` files each. A micro-batch has a price of its
+    own (log, state, commit) whatever it holds, so a backlog is cut into a
+    number of batches and not into batches of a size."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(src_dir)
+    listed = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    n = sum(not f.getPath().getName().startswith(("_", ".")) for f in listed)
+    return max(at_least, -(-n // batches))
+
+
 def stream_records(spark: SparkSession, src_dir: str, schema: StructType, rules: Sequence[Rule],
                    out_dir: str, checkpoint: str,
                    max_files_per_trigger: int | None = None, wait: bool = True):

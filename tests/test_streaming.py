@@ -9,6 +9,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
                                StructType, TimestampNTZType)
 
+from ledgerline.plans import registry
 from ledgerline.plans import validation as V
 from ledgerline.session import local_path, scratch_path
 from ledgerline.streaming import accepted, first_rows, intake, rejected, stream_first_by_key, stream_records
@@ -121,3 +122,21 @@ def test_clock_set_back_writes_nothing(spark, monkeypatch):
     monkeypatch.undo()
     _load(spark, base, [])
     assert _loaded(spark, base) == [(1, "a"), (2, "b")]
+
+
+def test_a_long_backlog_takes_a_bounded_number_of_batches(spark, tmp_path):
+    """300,000 records: 120 files of 2,500 rows would be 30 batches of 4 files."""
+    n = 300_000
+    spark.range(0, n, 1, 8).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id) AS ts", "id % 97 AS user_id",
+        "'view' AS event_type", "cast(id % 20 AS double) AS value", "'' AS props").write.parquet(str(tmp_path / "events.parquet"))
+    out = registry._taken_in(spark, str(tmp_path))
+    batches = [f for f in pathlib.Path(local_path(out)).iterdir() if f.name.startswith("batch_id=")]
+    assert 2 <= len(batches) <= registry.STREAM_BATCHES
+    assert accepted(spark, out).count() + rejected(spark, out).count() == n
+    # the same for few files of a fixed size: more of them a batch
+    for i in range(7):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / f"part-{i}.parquet").touch()
+    (tmp_path / "in" / "_SUCCESS").touch()
+    assert [intake.files_per_batch(spark, str(tmp_path / "in"), k, b) for k, b in ((1, 3), (4, 3), (1, 100))] == [3, 4, 1]
