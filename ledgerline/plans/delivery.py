@@ -15,8 +15,8 @@ from pyspark.sql.types import (DecimalType, IntegerType, IntegralType, StringTyp
 from ledgerline.functions import rules as R
 from ledgerline.functions import scalars as S
 from ledgerline.operators.quality import Rule, conform
-from ledgerline.operators.relational import first_by_key, with_row_id
-from ledgerline.session import scratch_path
+from ledgerline.operators.relational import first_by_key, row_place, with_row_id
+from ledgerline.session import SCRATCH_CODEC, scratch_path
 from ledgerline.sources.versions import publish
 
 # ---- fixed values --------------------------------------------------------
@@ -99,7 +99,7 @@ def normalize_delivery(wide: DataFrame, order_col: str | Sequence[str] = "row_se
       ``order_col`` columns.
     """
     if written and len(tables) > 1:
-        return split_conformed(written_conformed(wide, order_col), order_col, tables)
+        return split_conformed(written_conformed(wide, order_col), order_col, tables, written=True)
     return split_conformed(conform_wide(wide, order_col), order_col, tables)
 
 
@@ -108,14 +108,15 @@ def written_conformed(wide: DataFrame, order_col: str | Sequence[str] = "row_seq
     outputs read it, and a lost executor does not make the wide join run again."""
     conformed = conform_wide(wide, order_col)
     path = scratch_path(wide.sparkSession, "conformed")
-    conformed.write.parquet(path)
+    conformed.write.parquet(path, compression=SCRATCH_CODEC)
     return wide.sparkSession.read.schema(conformed.schema).parquet(path)
 
 
 def split_conformed(conformed: DataFrame, order_col: str | Sequence[str] = "row_seq",
-                    tables: tuple[str, ...] = DELIVERY_TABLES) -> dict[str, DataFrame]:
+                    tables: tuple[str, ...] = DELIVERY_TABLES, written: bool = False) -> dict[str, DataFrame]:
     """The P1 outputs from an already conformed wide frame (see
-    :func:`normalize_delivery`)."""
+    :func:`normalize_delivery`); ``written``: one that is read from files, whose
+    rows' places then order equal items."""
     order_cols = _names(order_col)
     ok = conformed.filter(F.col("load_ok")).drop("load_errors", "load_ok")
     order = [F.col(c) for c in order_cols]
@@ -133,8 +134,9 @@ def split_conformed(conformed: DataFrame, order_col: str | Sequence[str] = "row_
                                            *item_cols)
         else:
             # e.g. (file name, row position): dense ids in that order
-            out["order_items"] = with_row_id(ok.select(*order_cols, *item_cols), order_cols,
-                                             "order_item_id").drop(*order_cols)
+            place = row_place() if written else []
+            items = conformed.filter(F.col("load_ok")).select(*order_cols, *item_cols, *place)
+            out["order_items"] = with_row_id(items, order_cols, "order_item_id", placed=written, drop=order_cols)
     if "rejects" in tables:
         out["rejects"] = (conformed.filter(~F.col("load_ok"))
                           .select(*order_cols, "order_id", "item_id", "load_errors"))
@@ -150,7 +152,7 @@ def load_delivery(wide: DataFrame, out_dir: str,
     conformed = written_conformed(wide, order_col)
     if not conformed.limit(1).collect():
         raise ValueError("no input rows: nothing loaded, output left as it was")
-    return publish(wide.sparkSession, out_dir, split_conformed(conformed, order_col))
+    return publish(wide.sparkSession, out_dir, split_conformed(conformed, order_col, written=True))
 
 
 # ---- P2: marts -------------------------------------------------------------

@@ -26,6 +26,9 @@ DEFAULT_CONF = {
 }
 
 
+SCRATCH_CODEC = "zstd"           # of large tables written only to be read again
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "ledgerline", extra: dict | None = None) -> SparkSession:
     """Builder used by tests and the bench. On a cluster, pass the master

@@ -233,3 +233,29 @@ def test_delete_of_unknown_and_sparse_ids(spark):
     assert RL.delete_records(none, spark.createDataFrame([], "id long")).count() == 0
     whole = spark.createDataFrame([(1, 1), (2, 2)], "id int, v int")
     assert RL.delete_records(whole, spark.createDataFrame([(1,)], "id long")).schema == whole.schema
+
+
+def test_row_ids_need_no_uncompressed_copy(spark, tmp_path):
+    """Ids of rows in written files: one compressed, sorted copy, no checkpoint and no second staging."""
+    import os
+
+    from ledgerline.session import ensure_checkpoint_dir, local_path
+    folder = local_path(ensure_checkpoint_dir(spark))
+
+    def held():
+        return {os.path.relpath(os.path.join(b, d), folder) for b, ds, _ in os.walk(folder) for d in ds
+                if d.startswith(("rdd-", "row-ids-", "ordered-"))}
+
+    df = spark.range(0, 5000, 1, 7).selectExpr("cast(id % 300 as int) k", "id v", "cast(null as string) z")
+    df.write.parquet(str(tmp_path / "in"))
+    rows = spark.read.schema(df.schema).parquet(str(tmp_path / "in")).select("*", *RL.row_place())
+    before = held()
+    got = RL.with_row_id(rows, ["k"], "n", placed=True)
+    assert got.columns == ["n", "k", "v", "z"]
+    found = sorted((r.n, r.k, r.v) for r in got.collect())
+    assert [n for n, _, _ in found] == list(range(1, 5001))
+    assert [k for _, k, _ in found] == sorted(i % 300 for i in range(5000))
+    assert sorted(v for _, _, v in found) == list(range(5000))
+    assert [n.split("/")[-1].split("-")[0] for n in held() - before] == ["ordered"]
+    assert RL.with_row_id(df, ["k"], drop=["k"]).columns == ["id", "v", "z"]
+    assert not any(n.split("/")[-1].startswith("rdd-") for n in held() - before)
