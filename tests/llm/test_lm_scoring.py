@@ -108,3 +108,30 @@ def test_rows_with_the_same_id_are_scored_apart(spark):
     docs = documents(spark, [(1, "a b c"), (1, "x y"), (None, "a b"), (None, None)])
     got = lm.score_documents(docs, spark.createDataFrame([(1,)], "target_id long")).collect()
     assert sorted((r.doc_id or 0, r.n_tokens) for r in got) == [(0, 0), (0, 2), (1, 2), (1, 3)]
+
+
+def test_many_chunks_and_slices_give_the_same_scores(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").limit(300)
+    docs = docs.unionByName(documents(spark, [(None, ""), (1, "a b"), (2, None)]).select("doc_id", "text")).cache()
+    target = docs.filter("doc_id % 3 = 0").select("doc_id").distinct().withColumnRenamed("doc_id", "target_id")
+
+    def scores():
+        rows = lm.score_documents(docs, target).collect()
+        return sorted((r.doc_id or -1, r.n_tokens, *(round(x or 0, 9) for x in r[2:])) for r in rows)
+
+    whole = scores()
+    monkeypatch.setattr(lm, "CHUNK_TEXT", 1 << 10)
+    monkeypatch.setattr(lm, "SLICE_TEXT", 1 << 14)
+    assert len(whole) == docs.count() and np.allclose(scores(), whole)
+
+
+def test_what_moves_follows_distinct_pairs_of_chunks(spark):
+    # 200 documents of the same 500 pairs: a pair is sent once a chunk, not once a document, and without the hashes of its words
+    text = " ".join(f"w{i}" for i in range(500))
+    marked = lm._marked(documents(spark, [(i, text) for i in range(200)]).coalesce(1),
+                        spark.createDataFrame([(1,)], "target_id long"))
+    chunks, sent = lm._sent_by_chunks(marked, named=False)
+    assert chunks.count() == 1
+    assert sum(len(r.pairs) + len(r.words) + len(r.names) for r in sent.collect()) < 1000 * 12
+    pairs = np.concatenate([lm._unpack_keys(r.pairs, 2)[1][0] for r in sent.collect()])
+    assert len(pairs) == 500 and set(pairs.tolist()) == {200}
