@@ -50,6 +50,7 @@ UNIGRAMS = 1 << 20                      # words that the corpus doesn't have
 PAIR_MASS = 64.0
 WORD, HISTORY, PAIR = 0, UNIGRAMS, 2 * UNIGRAMS     # kinds of counts
 CHUNK_TEXT = 8 << 20                    # bytes of text that are counted together
+PART_TOKENS = 1 << 18                   # tokens that are scored at a time
 SLICE_TEXT = 16 << 20                   # bytes of text whose keys are a slice's share
 
 _START = np.uint64(0x5DEECE66D)         # the state before a document's first word
@@ -85,7 +86,7 @@ def _chunks(limit: int):
         for batch in batches:
             for lo, hi, data, _ in text_chunks(batch.column(1)):
                 held.append(batch.slice(lo, hi - lo))
-                size += len(data)
+                size += len(data) + 8 * (hi - lo)       # rows without text count too
                 if size >= limit:
                     yield packed(number, size, held)
                     number, size, held = number + 1, 0, []
@@ -94,6 +95,11 @@ def _chunks(limit: int):
     return run
 
 
+def _indexed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    distinct, index = np.unique(keys, return_inverse=True)
+    return distinct, index.astype(np.int32)
+
+
 @dataclass(frozen=True)
 class _Chunk:
     """Documents by token: ``pair``, ``word`` and ``before`` index the sorted
@@ -113,21 +119,28 @@ class _Chunk:
         parts = list(_tokens(docs["text"]))
         n_tokens = np.concatenate([np.diff(p[2]) for p in parts])
         words, pairs = (np.concatenate([p[k] for p in parts]).view(np.uint64) for k in (3, 5))
-        pairs, pair = np.unique(pairs, return_inverse=True)
-        words, word = np.unique(words, return_inverse=True)
+        del parts
+        pairs, pair = _indexed(pairs)
+        words, word = _indexed(words)
         before = np.empty_like(word)
         if len(word):
             start = int(np.searchsorted(words, _START))
             if start == len(words) or words[start] != _START:
                 words = np.insert(words, start, _START)
-                word = word + (word >= start)
+                word += word >= start
             before[1:] = word[:-1]
             before[(np.cumsum(n_tokens) - n_tokens)[n_tokens > 0]] = start
         return cls(docs["doc_id"].combine_chunks(), docs["of_target"].to_numpy().astype(bool), n_tokens,
                    pairs, words, pair, word, before)
 
-    def doc_of(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.n_tokens)), self.n_tokens)
+    def parts(self) -> Iterator[tuple[slice, slice]]:
+        """Runs of documents of some ``PART_TOKENS`` tokens, and their tokens."""
+        ends = np.concatenate([[0], np.cumsum(self.n_tokens)])
+        lo = 0
+        while lo < len(self.n_tokens):
+            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + PART_TOKENS, side="right")) - 1)
+            yield slice(lo, hi), slice(ends[lo], ends[hi])
+            lo = hi
 
     def counts(self) -> tuple[np.ndarray, np.ndarray]:
         """(n, n_target) of the pairs; (n, n_target, and both as history) of the words."""
@@ -256,26 +269,30 @@ def _scored(chunks: pa.Table, answers: pa.Table) -> pa.Table:
                           for kind, own in zip(("pairs", "words"), chunk.counts()))
     words, n_all, n_target = (sum(answers[c].to_pylist()) for c in ("vocabulary", "n", "n_target"))
     vocabulary = words + UNIGRAMS
-    doc_of = chunk.doc_of()
-    _, at, m = np.unique(doc_of * len(chunk.pairs) + chunk.pair, return_index=True, return_counts=True)
-    doc, pair, word, before = doc_of[at], chunk.pair[at], chunk.word[at], chunk.before[at]
-    own_word, own_before = (_own(doc_of, i, len(chunk.words))[at] for i in (chunk.word, chunk.before))
-
-    def per_token(model: int, own: np.ndarray, total: int, scale: float) -> np.ndarray:
-        """-log2 p by document: counts less ``own`` times the document's own, scaled."""
-        mine = own[doc]
-
-        def left(counts: np.ndarray, of_doc: np.ndarray) -> np.ndarray:
-            return np.maximum(counts - of_doc * mine, 0) * scale
-
-        p = ((left(of_words[model, word], own_word) + 0.5)
-             / (np.maximum(total - chunk.n_tokens[doc] * mine, 0) * scale + 0.5 * vocabulary))
-        bits = -m * np.log2((left(of_pairs[model, pair], m) + PAIR_MASS * p)
-                            / (left(of_words[2 + model, before], own_before) + PAIR_MASS))
-        return np.bincount(doc, bits, len(chunk.n_tokens)) / np.maximum(chunk.n_tokens, 1)
-
-    target = per_token(1, chunk.of_target.astype(np.int64), n_target, 1.0)
-    background = per_token(0, np.ones(len(chunk.n_tokens), np.int64), n_all, n_target / n_all if n_target else 1.0)
+
+    def bits(docs: slice, tokens: slice) -> list[np.ndarray]:
+        """-log2 p by document, summed over its tokens, by the target and by the background model."""
+        n_tokens = chunk.n_tokens[docs]
+        doc_of = np.repeat(np.arange(len(n_tokens)), n_tokens)
+        _, at, m = np.unique(doc_of * len(chunk.pairs) + chunk.pair[tokens], return_index=True, return_counts=True)
+        doc, pair, word, before = (x[at] for x in (doc_of, chunk.pair[tokens], chunk.word[tokens], chunk.before[tokens]))
+        own_word, own_before = (_own(doc_of, i[tokens], len(chunk.words))[at] for i in (chunk.word, chunk.before))
+
+        def by(model: int, mine: np.ndarray, total: int, scale: float) -> np.ndarray:
+            # counts less ``mine`` times the document's own, scaled
+            def left(counts: np.ndarray, of_doc: np.ndarray) -> np.ndarray:
+                return np.maximum(counts - of_doc * mine, 0) * scale
+
+            p = ((left(of_words[model, word], own_word) + 0.5)
+                 / (np.maximum(total - n_tokens[doc] * mine, 0) * scale + 0.5 * vocabulary))
+            each = -m * np.log2((left(of_pairs[model, pair], m) + PAIR_MASS * p)
+                                / (left(of_words[2 + model, before], own_before) + PAIR_MASS))
+            return np.bincount(doc, each, len(n_tokens))
+
+        return [by(1, chunk.of_target[docs][doc].astype(np.int64), n_target, 1.0),
+                by(0, np.ones(len(doc), np.int64), n_all, n_target / n_all if n_target else 1.0)]
+
+    target, background = np.concatenate([bits(*part) for part in chunk.parts()], axis=1) / np.maximum(chunk.n_tokens, 1)
     none = chunk.n_tokens == 0
     return pa.table({"doc_id": chunk.doc_ids, "n_tokens": pa.array(chunk.n_tokens.astype(np.int64)),
                      **{k: pa.array(v, mask=none) for k, v in (("ce_target", target), ("ce_background", background),

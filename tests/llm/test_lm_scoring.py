@@ -122,6 +122,7 @@ def test_many_chunks_and_slices_give_the_same_scores(spark, monkeypatch):
     whole = scores()
     monkeypatch.setattr(lm, "CHUNK_TEXT", 1 << 10)
     monkeypatch.setattr(lm, "SLICE_TEXT", 1 << 14)
+    monkeypatch.setattr(lm, "PART_TOKENS", 100)
     assert len(whole) == docs.count() and np.allclose(scores(), whole)
 
 
