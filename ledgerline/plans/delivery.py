@@ -223,13 +223,9 @@ def order_mart(orders: DataFrame, items: DataFrame) -> DataFrame:
     ))
 
 
-def item_mart(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Daily item mart by the order-mart keys + (category, item, title).
-
-    Items are first combined per (order, category, item, title) map-side, so
-    each order appears once per item group: ``orders_with_item`` and
-    ``orders_with_cancel`` become plain counts (no distinct expansion). An
-    order without items gives one row with NULL item keys, counted once."""
+def _order_items(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Orders with their items, combined map-side per (order, category, item, title); an
+    order without items is one row with NULL item keys."""
     item_keys = ["item_category", "item_id", "item_title"]
     per_oi = _item_units(items).groupBy("order_id", *item_keys).agg(
         F.sum("__net_u").alias("__net_u"),
@@ -241,16 +237,43 @@ def item_mart(orders: DataFrame, items: DataFrame) -> DataFrame:
     # split, so an order with very many items does not stay in one task
     with_items = orders.join(per_oi, "order_id")
     bare = orders.join(items.select("order_id").distinct(), "order_id", "left_anti")
-    j = with_items.unionByName(bare, allowMissingColumns=True)
-    keys = _mart_keys(orders) + [F.col("item_category").alias("category"), F.col("item_id"),
-                                 F.col("item_title")]
-    return (j.groupBy(*keys).agg(
+    return with_items.unionByName(bare, allowMissingColumns=True)
+
+
+def _item_groups(rows: DataFrame, *also: str) -> DataFrame:
+    keys = _mart_keys(rows) + [F.col("item_category").alias("category"), F.col("item_id"),
+                               F.col("item_title")]
+    return (rows.groupBy(*keys, *also).agg(
         _discounted_sum("__net_u", "order_discount").alias("item_turnover"),
         F.sum("__qty").cast("int").alias("quantity_ordered"),
         F.sum("__canc").cast("int").alias("quantity_canceled"),
         F.count("order_id").cast("int").alias("orders_with_item"),
         F.count(F.when(F.col("__has_cancel") > 0, 1)).cast("int").alias("orders_with_cancel"),
-    ))
+    ).drop(*also))
+
+
+def item_mart(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Daily item mart by the order-mart keys + (category, item, title).
+
+    Items are first combined per (order, category, item, title) map-side, so
+    each order appears once per item group: ``orders_with_item`` and
+    ``orders_with_cancel`` become plain counts (no distinct expansion). An
+    order without items gives one row with NULL item keys, counted once."""
+    return _item_groups(_order_items(orders, items))
+
+
+def item_mart_by(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """The item mart by one shuffle that suits its writing by day: ``orders`` also have a
+    ``day`` (or another truncation of their time) and in how many ``__parts`` its items are
+    dealt. A part is in one task, and so are the groups in it."""
+    dealt = _order_items(orders, items).withColumn(
+        "__part", F.pmod(F.xxhash64("item_category", "item_id", "item_title"), "__parts").cast("int"))
+    # few columns move; grouping before would give no fewer rows
+    moved = dealt.select("order_id", "created_at", "address_text", "store_id", "order_discount", "item_category",
+                         "item_id", "item_title", "__net_u", "__qty", "__canc", "__has_cancel",
+                         F.col("day").alias("__day"), "__part").withColumn(
+        "address_text", S.city_of("address_text")).repartition("__day", "__part")
+    return _item_groups(moved, "__day", "__part")
 
 
 def build_marts(orders: DataFrame, items: DataFrame, out_dir: str | None = None,

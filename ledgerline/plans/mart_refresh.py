@@ -6,7 +6,14 @@ touched.
     <root>/items/load=<n>/day=<date>/    items of load n, by the day of their order
     <root>/order_mart/year=/month=/day=/ and item_mart alike (year=/month=/ by month)
 
-A root has one ``unit``.
+A root has one ``unit`` and, from its first load on, one number of buckets (a folder of the
+root, ``_buckets=<n>``, says which).
+
+Orders and items are kept in Spark's buckets of order_id. Joins of items to orders and the
+sums by order, at storing and at refreshing, thus move no stored row. Items move once, to their
+order's bucket, when they are stored, and once a refresh, to the part of their day
+that their item belongs to (``PART_ITEMS`` items on average), where the item mart's groups are
+whole and are written. All items of one order, and those without order_id, are in one bucket.
 
 A load is written under its own number, so one that stopped is run again and
 replaces its own output; a refresh replaces whole days and can be run again too. Loads
@@ -19,7 +26,9 @@ items' partition of no day, which each refresh reads besides the days touched.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,7 +38,12 @@ from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 from ledgerline.plans import delivery
 
 MARTS = {"order_mart": delivery.order_mart, "item_mart": delivery.item_mart}
+# marts that can be laid out for writing by the shuffle that groups them
+LAID_OUT = {delivery.item_mart: delivery.item_mart_by}
 MART_KEYS = {"day": ["year", "month", "day"], "month": ["year", "month"]}
+BUCKETS = 16
+BUCKET_BYTES = 64 << 20
+PART_ITEMS = 500_000
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -37,29 +51,78 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
-def stored(spark: SparkSession, root: str, table: str, schema: StructType) -> DataFrame:
-    """``orders`` or ``items`` of all loads, with ``load`` and ``day``."""
+def buckets_for(spark: SparkSession, *paths: str) -> int:
+    """Buckets for a root whose loads are about as large as these files in all."""
+    conf, size = spark._jsc.hadoopConfiguration(), 0
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        size += folder.getFileSystem(conf).getContentSummary(folder).getLength()
+    return max(4, -(-size // BUCKET_BYTES))
+
+
+def _buckets(spark: SparkSession, root: str, first: int | None = None) -> int | None:
+    """The root's buckets; ``first`` for a root without loads. None: nothing is stored."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, "_buckets=*")) or ():
+        return int(status.getPath().getName().split("=")[1])
+    if _exists(spark, f"{root}/orders"):
+        raise ValueError(f"{root}: its loads were stored without buckets; store them anew")
+    if first is not None:
+        files.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(folder, f"_buckets={first}"))
+    return first
+
+
+@contextmanager
+def _passing_table(spark: SparkSession) -> Iterator[str]:
+    """A name for a table over a folder: bucketed files are written and read through the
+    catalog. Its partitions are those of the folder; the name goes, the files stay."""
+    name, key = f"ledgerline_{uuid.uuid4().hex}", "spark.sql.hive.manageFilesourcePartitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield name
+    finally:
+        spark.conf.set(key, before)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def stored(spark: SparkSession, root: str, table: str, schema: StructType, bucketed: bool = False) -> DataFrame:
+    """``orders`` or ``items`` of all loads, with ``load`` and ``day``; ``bucketed``: Spark
+    knows which files have an order_id."""
     whole = StructType([*schema.fields, StructField("load", IntegerType()), StructField("day", DateType())])
     if not _exists(spark, f"{root}/{table}"):
         return spark.createDataFrame([], whole)
-    return spark.read.schema(whole).parquet(f"{root}/{table}")
+    if not bucketed:
+        return spark.read.schema(whole).parquet(f"{root}/{table}")
+    columns = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in whole.fields)
+    location = f"{root}/{table}".replace("\\", "\\\\").replace("'", "\\'")
+    with _passing_table(spark) as name:
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (load, day) "
+                  f"CLUSTERED BY (order_id) INTO {_buckets(spark, root)} BUCKETS LOCATION '{location}'")
+        return spark.table(name)
 
 
-def _write_days(df: DataFrame, path: str) -> None:
-    # rows of a day side by side, so a day has few files; a large day is split
-    df.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(path)
+def _write_days(df: DataFrame, path: str, buckets: int) -> None:
+    """``df``, which is hash partitioned by order_id into ``buckets``: a file per day and bucket."""
+    with _passing_table(df.sparkSession) as name:
+        (df.write.format("parquet").mode("overwrite").option("path", path).partitionBy("day")
+         .bucketBy(buckets, "order_id").saveAsTable(name))
 
 
-def store_load(spark: SparkSession, root: str, load: int, orders: DataFrame, items: DataFrame, unit: str = "day") -> None:
+def store_load(spark: SparkSession, root: str, load: int, orders: DataFrame, items: DataFrame, unit: str = "day",
+               buckets: int = BUCKETS) -> None:
     """Keep one load. Of orders with the same id the earliest load's stays (within a
     load the order_id is the key); all items are kept. Of the stored orders only id and day
-    are read."""
-    before = stored(spark, root, "orders", orders.schema).filter(F.col("load") < load)
-    fresh = orders.join(before.select("order_id"), "order_id", "left_anti").select(
+    are read. ``buckets`` counts for the first load of a root."""
+    buckets = _buckets(spark, root, buckets)
+    before = stored(spark, root, "orders", orders.schema, True).filter(F.col("load") < load)
+    fresh = orders.repartition(buckets, "order_id").join(before.select("order_id"), "order_id", "left_anti").select(
         *orders.columns, F.date_trunc(unit, "created_at").cast("date").alias("day"))
-    _write_days(fresh, f"{root}/orders/load={load}")
-    days = stored(spark, root, "orders", orders.schema).filter(F.col("load") <= load).select("order_id", "day")
-    _write_days(items.join(days, "order_id", "left").select(*items.columns, "day"), f"{root}/items/load={load}")
+    _write_days(fresh, f"{root}/orders/load={load}", buckets)
+    days = stored(spark, root, "orders", orders.schema, True).filter(F.col("load") <= load).select("order_id", "day")
+    _write_days(items.repartition(buckets, "order_id").join(days, "order_id", "left").select(*items.columns, "day"),
+                f"{root}/items/load={load}", buckets)
 
 
 def _in_days(days: Sequence[date | None]) -> Column:
@@ -77,6 +140,17 @@ def touched_days(spark: SparkSession, root: str, load: int, orders: StructType,
     return sorted((r.day for r in days.collect()), key=lambda d: (d is None, d or date.min))
 
 
+def _in_parts(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """``orders`` with the number of ``__parts`` that their day's items are dealt into, by the
+    rows of the stored files: orders of the day times items per order."""
+    n = F.count(F.lit(1))
+    per_order = orders.agg(n.alias("__orders")).crossJoin(items.agg(n.alias("__items")))
+    parts = orders.groupBy(F.col("day").alias("__of")).agg(n.alias("__n")).crossJoin(per_order).select("__of", F.greatest(
+        F.ceil(F.col("__n") / F.col("__orders") * F.col("__items") / PART_ITEMS).cast("int"), F.lit(1)).alias("__parts"))
+    return (orders.join(F.broadcast(parts), F.col("day").eqNullSafe(F.col("__of")))
+            .select(*orders.columns, "__parts"))
+
+
 def refresh_marts(spark: SparkSession, root: str, load: int, orders: StructType, items: StructType,
                   unit: str = "day") -> list[date | None]:
     """Compute the days that ``load`` touched, from all loads up to it, and replace
@@ -85,11 +159,15 @@ def refresh_marts(spark: SparkSession, root: str, load: int, orders: StructType,
     if not days:
         return days
     loaded = F.col("load") <= load
-    some_orders = stored(spark, root, "orders", orders).filter(_in_days(days) & loaded).select(*orders.names)
-    some_items = stored(spark, root, "items", items).filter(_in_days([*days, None]) & loaded).select(*items.names)
+    some_orders = stored(spark, root, "orders", orders, True).filter(_in_days(days) & loaded).select(*orders.names, "day")
+    some_items = stored(spark, root, "items", items, True).filter(_in_days([*days, None]) & loaded).select(*items.names)
     for name, mart in MARTS.items():
-        (mart(some_orders, some_items).hint("rebalance", *MART_KEYS[unit]).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(*MART_KEYS[unit]).parquet(f"{root}/{name}"))
+        if mart in LAID_OUT:
+            rows = LAID_OUT[mart](_in_parts(some_orders, some_items), some_items)
+        else:
+            rows = mart(some_orders.drop("day"), some_items).hint("rebalance", *MART_KEYS[unit])
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*MART_KEYS[unit]).parquet(f"{root}/{name}"))
     return days
 
 

@@ -237,8 +237,9 @@ def _marts_by_load(spark, sf, name: str) -> DataFrame:
     root = scratch_path(spark, "marts-by-load")
     orders, items = FX.mart_orders(spark, sf), FX.mart_items(spark, sf)
     early, late = F.col("created_at") < F.lit("2001-01-01").cast("timestamp_ntz"), F.col("order_id") % 50 == 0
+    buckets = MR.buckets_for(spark, f"{sf}/orders.parquet", f"{sf}/lineitem.parquet")
     for n, (some_orders, some_items) in enumerate(((early, ~late), (~early, late)), 1):
-        MR.store_load(spark, root, n, orders.filter(some_orders), items.filter(some_items), "month")
+        MR.store_load(spark, root, n, orders.filter(some_orders), items.filter(some_items), "month", buckets)
         MR.refresh_marts(spark, root, n, orders.schema, items.schema, "month")
     return MR.read_mart(spark, root, name, orders.schema, items.schema, "month")
 

@@ -122,3 +122,39 @@ def test_empty(spark):
     assert MR.read_mart(spark, root, "order_mart", *schemas).count() == 0
     MR.store_load(spark, root, 1, *_frames(spark, ([], [])))
     assert MR.refresh_marts(spark, root, 1, *schemas) == []
+
+
+@pytest.mark.parametrize("part_items", [3, 500_000])
+def test_stored_items_move_once_a_refresh(spark, monkeypatch, part_items):
+    monkeypatch.setattr(MR, "PART_ITEMS", part_items)
+    root = scratch_path(spark, "test-marts")
+    schemas = [f.schema for f in _frames(spark, ([], []))]
+    for n, rows in enumerate(LOADS[:2], 1):
+        MR.store_load(spark, root, n, *_frames(spark, rows), buckets=3 + n)       # those of the first load count
+        MR.refresh_marts(spark, root, n, *schemas)
+    for name, mart in MR.MARTS.items():
+        assert _same(MR.read_mart(spark, root, name, *schemas), mart(*_expected(spark, LOADS[:2])))
+    orders, items = (MR.stored(spark, root, t, s, True).drop("load") for t, s in zip(("orders", "items"), schemas))
+    assert orders.select("order_id").exceptAll(MR.stored(spark, root, "orders", schemas[0]).select("order_id")).count() == 0
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    buf = io.StringIO()
+    try:
+        with contextlib.redirect_stdout(buf):
+            delivery.item_mart_by(MR._in_parts(orders, items), items.drop("day")).explain()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    moves = [line for line in buf.getvalue().split("\n") if "Exchange hashpartitioning(" in line]
+    assert sum("hashpartitioning(__day" in m for m in moves) == 1
+    assert all("hashpartitioning(__day" in m or "hashpartitioning(day" in m or "__of" in m for m in moves), moves
+    assert not any("order_id" in m for m in moves)
+
+
+def test_items_of_a_day_are_dealt_into_parts(spark, monkeypatch):
+    monkeypatch.setattr(MR, "PART_ITEMS", 10)
+    orders, items = _frames(spark, ([order(i, 1 if i < 9 else None) for i in range(10)], [item(i % 10, i) for i in range(100)]))
+    orders = orders.withColumn("day", F.col("created_at").cast("date"))
+    parts = {r.day: r.n for r in MR._in_parts(orders, items).groupBy("day").agg(F.max("__parts").alias("n")).collect()}
+    assert parts == {dt.date(2024, 3, 1): 9, None: 1}
