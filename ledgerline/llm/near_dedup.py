@@ -272,6 +272,13 @@ def _pairs_with(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
     return pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "value_a", "value_b")
 
 
+def _few_files(pairs: DataFrame, name: str) -> DataFrame:
+    """Written pairs. They are few beside the sets that they were found with, so they get files by
+    their own size and not one from each task that carried sets (on a local file system
+    Hadoop starts processes for each file)."""
+    return materialise(pairs.hint("rebalance"), name)
+
+
 def near_classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Written tables: fingerprints of all rows (doc_id, n_shingles, set_digest),
     classes (set_digest, rep, component) and exact links between
@@ -302,8 +309,8 @@ def near_classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, D
 
     def verified(pairs: DataFrame) -> DataFrame:
         alike = _pairs_with(pairs, signatures, "signature").mapInArrow(_agreeing(plan), "a long, b long")
-        alike = materialise(alike, "alike-pairs")
-        return materialise(_pairs_with(alike, sets, "shingles").mapInArrow(_exact(percent), "a long, b long"), "links")
+        alike = _few_files(alike, "alike-pairs")
+        return _few_files(_pairs_with(alike, sets, "shingles").mapInArrow(_exact(percent), "a long, b long"), "links")
 
     best = Window.partitionBy("a").orderBy(F.col("shared").desc(), F.col("b"))
     ranked = stars.withColumn("place", F.row_number().over(best))
@@ -320,10 +327,10 @@ def near_classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, D
                          .join(named.select("rep", "n_shingles"), "rep")
                          .select("bucket", "band", "rep", "component", "n_shingles"), "placed-members")
     dealt = materialise(_dealt(placed, plan), "dealt-members")
-    carried = materialise(signatures.join(sets, "id").withColumnRenamed("id", "rep"), "signatures-and-sets")
+    carried = signatures.join(sets, "id").withColumnRenamed("id", "rep")
     in_blocks = (dealt.join(carried, "rep").groupBy("bucket", "cell")
                  .applyInArrow(_block_links(plan), "a long, b long"))
-    late = verified(other_stars).unionByName(materialise(in_blocks, "block-links"))
+    late = verified(other_stars).unionByName(_few_files(in_blocks, "block-links"))
     components = connected_components(
         labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late), "a", "b")
     classes = materialise(

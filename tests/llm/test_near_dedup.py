@@ -145,3 +145,28 @@ def test_bands_miss_bound():
         plan = near_dedup.Bands.of(percent)
         assert (1 - (percent / 100) ** plan.rows) ** plan.bands <= near_dedup.MISS
         assert plan.rows * plan.bands <= near_dedup.HASHES
+
+
+def test_pairs_get_few_files(spark, monkeypatch):
+    written = {}
+
+    def noted(df, name, write=near_dedup.materialise):
+        out = write(df, name)
+        written.setdefault(name, []).append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(near_dedup, "materialise", noted)
+    rows = [(2 * i + j, " ".join(f"w{i}x{k}" for k in range(60)) + " end" * j) for i in range(200) for j in (0, 1)]
+    conf = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "8k", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        _, _, links = near_dedup.near_classes(documents(spark, rows), 85)
+        assert links.count() == 200
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert min(written["fingerprints"] + written["shingle-sets"]) >= 1
+    assert written["alike-pairs"][0] == written["links"][0] == 1
+    assert "signatures-and-sets" not in written
